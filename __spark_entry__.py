@@ -2,10 +2,15 @@
 
 Every query reads the driver's tables (or tables Spark derives from them) in full. The driver
 tables stand in for the two feeds: ``events(event_id, ts, user_id, event_type, value, props)``
-plays the event export (``event_id`` = GlobalEventID, ``ts`` = DATEADDED / reading time,
-``event_type`` = country / city, ``value`` = tone / temperature, ``props`` = raw payload text).
-Doubles are rounded in both the Spark result and the oracle so that summation order does not
-decide the comparison.
+plays both the event export and the weather readings (``event_id`` = GlobalEventID, ``ts`` =
+DATEADDED / reading time, ``event_type`` = country / city, ``value`` = tone / temperature,
+``props`` = raw payload text, ``user_id`` = a high-cardinality group for top-k).
+
+The merge queries derive a history and a re-sent batch from ``events`` by time, the way the
+feeds re-read "yesterday and today": history = every row up to the day before the newest day,
+batch = every row from that day on, re-sent with a corrected value (``value + 1``). All rows
+of the table take part. Doubles are rounded in both the Spark result and the oracle so that
+summation order does not decide the comparison.
 """
 
 from __future__ import annotations
@@ -13,22 +18,251 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from feedloom.operators import audit
+from feedloom.operators.dedup import keep_latest
+from feedloom.operators.layout import land_partitioned
+from feedloom.operators.merge import compact_days, merge_insert_only, merge_latest
+from feedloom.plans import probes
+from feedloom.plans.adhoc import DEFAULT_QUERY, adhoc
+from feedloom.plans.dashboard import class_mix, leaders_tone, top_groups
 from feedloom.plans.hourly import hourly
+from feedloom.plans.lookback import day_window, since, window_bounds, window_totals
+from feedloom.plans.series import (
+    axis_positions, daily_summary, day_ticks, hourly_domain, series_all, series_domain, series_one,
+    series_totals,
+)
+from feedloom.session import scratch_path
+from feedloom.sources.csv import read_text_csv
 
 SMOKE_DIR = "/root/testdata/sf0.001"
+EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-# --------------------------------------------------------------------------- queries
+def _events(spark, sf):
+    return _t(spark, sf, "events")
+
+
+def _with_day(df: DataFrame) -> DataFrame:
+    return df.withColumn("day", F.to_date("ts"))
+
+
+def _history_and_batch(ev: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """History up to the day before the newest day; batch = that day onward, value corrected."""
+    cut = F.date_sub(ev.select(F.max(F.to_date("ts"))).scalar(), 1)
+    old = ev.filter(F.to_date("ts") <= cut)
+    new = ev.filter(F.to_date("ts") >= cut).withColumn("value", F.col("value") + 1)
+    return old, new
+
+
+# --------------------------------------------------------------------------- hourly
 
 def q_events_per_hour(spark, sf):
-    return hourly(_t(spark, sf, "events"), as_of="latest", days=7, ts="ts", value="value", digits=4)
+    return hourly(_events(spark, sf), as_of="latest", days=7, ts="ts", value="value", digits=4)
+
+
+def q_events_per_hour_type(spark, sf):
+    return hourly(_events(spark, sf), as_of="latest", days=7, group="view", group_col="event_type",
+                  normalise_group=False, ts="ts", value="value", digits=4)
+
+
+def q_hourly_domain(spark, sf):
+    return hourly_domain(q_events_per_hour(spark, sf))
+
+
+# --------------------------------------------------------------------------- daily, series
+
+def q_daily_summary(spark, sf):
+    return daily_summary(_events(spark, sf), city_col="event_type", ts="ts", temp="value", rain="value")
+
+
+def q_daily_summary_city(spark, sf):
+    return daily_summary(_events(spark, sf), city="click", city_col="event_type", ts="ts", temp="value", rain="value")
+
+
+def q_one_series(spark, sf):
+    return series_one(_events(spark, sf), "view", as_of="latest", days=7, city_col="event_type", ts="ts",
+                      value="value", extra=("user_id",), tie=("event_id",))
+
+
+def q_all_series(spark, sf):
+    return series_all(_events(spark, sf), as_of="latest", days=7, city_col="event_type", ts="ts",
+                      value="value", tie=("event_id",))
+
+
+# --------------------------------------------------------------------------- chart numbers
+
+def _chart_window(spark, sf):
+    ev = _events(spark, sf)
+    return since(ev, "ts", "latest", 7)
+
+
+def q_chart_domain(spark, sf):
+    return series_domain(_chart_window(spark, sf), "value", rain="value")
+
+
+def q_chart_totals(spark, sf):
+    return series_totals(_chart_window(spark, sf), "event_type", "ts", "value", rain="value")
+
+
+def q_chart_day_ticks(spark, sf):
+    return day_ticks(_chart_window(spark, sf), "ts", "event_type")
+
+
+def q_chart_axis(spark, sf):
+    return axis_positions(_chart_window(spark, sf), "ts")
+
+
+# --------------------------------------------------------------------------- keep one per key
+
+def q_keep_latest(spark, sf):
+    return keep_latest(_t(spark, sf, "conversations"), "conv_id", by=["turn"])
+
+
+def q_latest_per_user(spark, sf):
+    return keep_latest(_events(spark, sf), "user_id", by=["ts", "event_id"])
+
+
+# --------------------------------------------------------------------------- merges
+
+def q_merge_latest(spark, sf):
+    old, new = _history_and_batch(_events(spark, sf))
+    return merge_latest(old, new, "event_id", order=[F.desc("ts")])
+
+
+def q_merge_insert_only(spark, sf):
+    old, new = _history_and_batch(_events(spark, sf))
+    return merge_insert_only(old, new, "event_id", order=[F.desc("ts")])
+
+
+def q_day_compaction(spark, sf):
+    """Build a day table from the history, then compact the re-sent batch into its two days."""
+    ev = _events(spark, sf)
+    old, new = _history_and_batch(ev)
+    table = scratch_path(spark, "day-table")
+    day = F.to_date("ts")
+    compact_days(spark, table, old.withColumn("ingest_day", day), "event_id", order=[F.desc("ts")])
+    compact_days(spark, table, new.withColumn("ingest_day", day), "event_id", order=[F.desc("ts")])
+    return spark.read.parquet(table).select(*EVENT_COLS, "ingest_day")
+
+
+def q_csv_landing_roundtrip(spark, sf):
+    """Land the table as day-partitioned CSV pulls, read it back as text, type it again."""
+    ev = _events(spark, sf)
+    root = scratch_path(spark, "landing")
+    land_partitioned(ev.withColumn("ingest_day", F.to_date("ts"))
+                       .withColumn("stamp", F.date_format(F.to_date("ts"), "yyyyMMdd000000")), root)
+    raw = read_text_csv(spark, root, EVENT_COLS, recursiveFileLookup="false", basePath=root)
+    return raw.select(
+        F.col("event_id").cast("bigint").alias("event_id"),
+        F.to_timestamp_ntz("ts", F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSSSS")).alias("ts"),
+        F.col("user_id").cast("bigint").alias("user_id"), "event_type",
+        F.col("value").cast("double").alias("value"), "props")
 
 
+# --------------------------------------------------------------------------- window, dashboard
+
+def _day_events(spark, sf):
+    return _with_day(_events(spark, sf))
+
+
+def q_window_bounds(spark, sf):
+    return window_bounds(_day_events(spark, sf), "day", 7)
+
+
+def q_window_totals(spark, sf):
+    return window_totals(_day_events(spark, sf), "day", 7)
+
+
+def q_top_users(spark, sf):
+    w = day_window(_day_events(spark, sf), "day", 7)
+    return top_groups(w, "user_id", 15, alias="user_id")
+
+
+def q_top_hosts(spark, sf):
+    pages = _t(spark, sf, "pages").withColumn("host", F.regexp_extract("url", r"^[a-z]+://([^/:?#]+)", 1))
+    return top_groups(pages, "host", 15, alias="host", count_name="pages")
+
+
+def q_leaders_by_day(spark, sf):
+    w = day_window(_day_events(spark, sf), "day", 7)
+    leaders = top_groups(w, "user_id", 15, alias="user_id").limit(6)
+    return leaders_tone(w, leaders, "day", "user_id", "value", alias="user_id", digits=4)
+
+
+def q_class_mix(spark, sf):
+    w = day_window(_day_events(spark, sf), "day", 7)
+    return class_mix(w, "day", "event_type", label=False, digits=4)
+
+
+# --------------------------------------------------------------------------- casts, probes, audits
+
+def _props_k(ev: DataFrame) -> DataFrame:
+    return ev.select("event_id", F.get_json_object("props", "$.k").alias("k_raw"))
+
+
+def q_lenient_cast(spark, sf):
+    from feedloom.functions.casts import lenient
+    return _props_k(_events(spark, sf)).select("event_id", lenient("k_raw", "bigint").alias("k"))
+
+
+def q_cast_loss(spark, sf):
+    from feedloom.functions.casts import lenient
+    ev = _events(spark, sf)
+    d = ev.select(F.get_json_object("props", "$.k").alias("k_raw"), F.col("event_type").alias("type_raw"))
+    d = d.withColumns({"k": lenient("k_raw", "bigint"), "event_type_code": lenient("type_raw", "bigint")})
+    return audit.cast_loss(d, {"k": "k_raw", "event_type_code": "type_raw"})
+
+
+def q_regex_count_urls(spark, sf):
+    return probes.regex_count(_t(spark, sf, "pages"), "url")
+
+
+def q_regex_count_docs(spark, sf):
+    return probes.regex_count(_t(spark, sf, "documents"), "text")
+
+
+def q_probe_modsum(spark, sf):
+    return probes.modular_sum(_t(spark, sf, "lineitem"), "l_orderkey")
+
+
+def q_probe_groups(spark, sf):
+    return probes.group_count(_t(spark, sf, "lineitem"), "l_orderkey", 7)
+
+
+def q_gap_audit(spark, sf):
+    return audit.gaps(_events(spark, sf), "ts", 15)
+
+
+def q_dup_audit_docs(spark, sf):
+    d = _t(spark, sf, "documents").select(F.sha2("text", 256).alias("text_sha256"), "lang", "source")
+    return audit.duplicates(d, "text_sha256", ["lang", "source"])
+
+
+def q_dup_audit_events(spark, sf):
+    ev = _events(spark, sf)
+    _, new = _history_and_batch(ev)
+    return audit.duplicates(ev.unionByName(new), "event_id")
+
+
+def q_freshness(spark, sf):
+    return audit.freshness(_events(spark, sf), "latest", "ts", group="event_type")
+
+
+def q_adhoc_sql(spark, sf):
+    ev = _events(spark, sf)
+    weather = ev.select(F.col("event_type").alias("city"), F.col("ts").alias("time"),
+                        F.col("value").alias("temperature_c"))
+    return adhoc(spark, {"weather": weather}, DEFAULT_QUERY)
+
+
+# --------------------------------------------------------------------------- contract
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: events and mean value per hour over the newest seven days."""
     return q_events_per_hour(spark, SMOKE_DIR)
@@ -37,14 +271,183 @@ def entry(spark: SparkSession) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "events_per_hour": q_events_per_hour,
+        "events_per_hour_type": q_events_per_hour_type,
+        "hourly_domain": q_hourly_domain,
+        "daily_summary": q_daily_summary,
+        "daily_summary_city": q_daily_summary_city,
+        "one_series": q_one_series,
+        "all_series": q_all_series,
+        "chart_domain": q_chart_domain,
+        "chart_totals": q_chart_totals,
+        "chart_day_ticks": q_chart_day_ticks,
+        "chart_axis": q_chart_axis,
+        "keep_latest": q_keep_latest,
+        "latest_per_user": q_latest_per_user,
+        "merge_latest": q_merge_latest,
+        "merge_insert_only": q_merge_insert_only,
+        "day_compaction": q_day_compaction,
+        "csv_landing_roundtrip": q_csv_landing_roundtrip,
+        "window_bounds": q_window_bounds,
+        "window_totals": q_window_totals,
+        "top_users": q_top_users,
+        "top_hosts": q_top_hosts,
+        "leaders_by_day": q_leaders_by_day,
+        "class_mix": q_class_mix,
+        "lenient_cast": q_lenient_cast,
+        "cast_loss": q_cast_loss,
+        "regex_count_urls": q_regex_count_urls,
+        "regex_count_docs": q_regex_count_docs,
+        "probe_modsum": q_probe_modsum,
+        "probe_groups": q_probe_groups,
+        "gap_audit": q_gap_audit,
+        "dup_audit_docs": q_dup_audit_docs,
+        "dup_audit_events": q_dup_audit_events,
+        "freshness": q_freshness,
+        "adhoc_sql": q_adhoc_sql,
     }
 
 
+_WINDOW7 = "ts >= (SELECT max(ts) FROM events) - INTERVAL 7 DAY"
+_DAY7 = ("CAST(ts AS DATE) BETWEEN (SELECT max(CAST(ts AS DATE)) - 6 FROM events) "
+         "AND (SELECT max(CAST(ts AS DATE)) FROM events)")
+_SPLIT = """
+    cut AS (SELECT max(CAST(ts AS DATE)) - 1 AS c FROM events),
+    old AS (SELECT * FROM events WHERE CAST(ts AS DATE) <= (SELECT c FROM cut)),
+    new AS (SELECT event_id, ts, user_id, event_type, value + 1 AS value, props
+            FROM events WHERE CAST(ts AS DATE) >= (SELECT c FROM cut))"""
+_MERGE_LATEST = f"""
+    WITH {_SPLIT}
+    SELECT * FROM old o WHERE NOT EXISTS (SELECT 1 FROM new n WHERE n.event_id = o.event_id)
+    UNION ALL SELECT * FROM new"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
-        "events_per_hour": """
+        "events_per_hour": f"""
+            SELECT date_trunc('hour', ts) AS h, count(*) AS n, round(avg(value), 4) AS tone
+            FROM events WHERE {_WINDOW7} GROUP BY 1""",
+        "events_per_hour_type": f"""
             SELECT date_trunc('hour', ts) AS h, count(*) AS n, round(avg(value), 4) AS tone
+            FROM events WHERE {_WINDOW7} AND event_type = 'view' GROUP BY 1""",
+        "hourly_domain": f"""
+            SELECT max(n) * 1.05 AS top, CAST(sum(n) AS BIGINT) AS total FROM (
+              SELECT date_trunc('hour', ts) AS h, count(*) AS n FROM events WHERE {_WINDOW7} GROUP BY 1)""",
+        "daily_summary": """
+            SELECT event_type AS city, CAST(ts AS DATE) AS day, round(avg(value), 1) AS mean_c,
+                   round(min(value), 1) AS min_c, round(max(value), 1) AS max_c,
+                   CAST(round(sum(CAST(value AS DECIMAL(38, 6))), 1) AS DOUBLE) AS rain_mm,
+                   count(*) AS readings
+            FROM events GROUP BY 1, 2""",
+        "daily_summary_city": """
+            SELECT event_type AS city, CAST(ts AS DATE) AS day, round(avg(value), 1) AS mean_c,
+                   round(min(value), 1) AS min_c, round(max(value), 1) AS max_c,
+                   CAST(round(sum(CAST(value AS DECIMAL(38, 6))), 1) AS DOUBLE) AS rain_mm,
+                   count(*) AS readings
+            FROM events WHERE event_type = 'click' GROUP BY 1, 2""",
+        "one_series": f"""
+            SELECT strftime(date_trunc('minute', ts), '%Y-%m-%dT%H:%M') AS time, value, user_id
+            FROM events WHERE event_type = 'view' AND {_WINDOW7}
+            QUALIFY row_number() OVER (PARTITION BY date_trunc('minute', ts) ORDER BY ts DESC, event_id DESC) = 1""",
+        "all_series": f"""
+            SELECT event_type AS city, strftime(date_trunc('minute', ts), '%Y-%m-%dT%H:%M') AS time, value
+            FROM events WHERE {_WINDOW7}
+            QUALIFY row_number() OVER (PARTITION BY event_type, date_trunc('minute', ts)
+                                       ORDER BY ts DESC, event_id DESC) = 1""",
+        "chart_domain": f"""
+            SELECT min(value) - 1 AS lo, max(value) + 1 AS hi, greatest(max(value), 1.0) AS rmax
+            FROM events WHERE {_WINDOW7}""",
+        "chart_totals": f"""
+            SELECT event_type, count(*) AS readings, max(ts) AS latest, arg_max(value, ts) AS last_value,
+                   count(*) FILTER (WHERE value > 0) AS wet_readings,
+                   CAST(round(sum(CAST(value AS DECIMAL(38, 6))), 1) AS DOUBLE) AS rain_total
+            FROM events WHERE {_WINDOW7} GROUP BY 1""",
+        "chart_day_ticks": f"""
+            SELECT event_type, CAST(ts AS DATE) AS day, min(ts) AS first_time
+            FROM events WHERE {_WINDOW7} GROUP BY 1, 2""",
+        "chart_axis": f"""
+            SELECT ts, row_number() OVER (ORDER BY ts) - 1 AS pos
+            FROM (SELECT DISTINCT ts FROM events WHERE {_WINDOW7} AND ts IS NOT NULL)""",
+        "keep_latest": """
+            SELECT * FROM conversations
+            QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) = 1""",
+        "latest_per_user": """
+            SELECT * FROM events
+            QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
+        "merge_latest": _MERGE_LATEST,
+        "merge_insert_only": f"""
+            WITH {_SPLIT}
+            SELECT * FROM old
+            UNION ALL
+            SELECT * FROM new n WHERE NOT EXISTS (SELECT 1 FROM old o WHERE o.event_id = n.event_id)""",
+        "day_compaction": f"SELECT *, CAST(ts AS DATE) AS ingest_day FROM ({_MERGE_LATEST})",
+        "csv_landing_roundtrip": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
+        "window_bounds": """
+            SELECT max(CAST(ts AS DATE)) AS last_day, max(CAST(ts AS DATE)) - 6 AS first_day FROM events""",
+        "window_totals": f"""
+            SELECT count(*) AS rows_scanned, count(DISTINCT CAST(ts AS DATE)) AS days
+            FROM events WHERE {_DAY7}""",
+        "top_users": f"""
+            SELECT user_id, count(*) AS events FROM events
+            WHERE {_DAY7} AND user_id IS NOT NULL
+            GROUP BY 1 ORDER BY events DESC, user_id LIMIT 15""",
+        "top_hosts": r"""
+            SELECT regexp_extract(url, '^[a-z]+://([^/:?#]+)', 1) AS host, count(*) AS pages
+            FROM pages
+            WHERE regexp_extract(url, '^[a-z]+://([^/:?#]+)', 1) <> ''
+            GROUP BY 1 ORDER BY pages DESC, host LIMIT 15""",
+        "leaders_by_day": f"""
+            WITH w AS (SELECT *, CAST(ts AS DATE) AS day FROM events WHERE {_DAY7}),
+            leaders AS (SELECT user_id FROM w WHERE user_id IS NOT NULL
+                        GROUP BY 1 ORDER BY count(*) DESC, user_id LIMIT 6)
+            SELECT day, user_id, round(avg(value), 4) AS tone
+            FROM w WHERE user_id IN (SELECT user_id FROM leaders) GROUP BY 1, 2""",
+        "class_mix": f"""
+            SELECT day, event_type, events, round(events / sum(events) OVER (PARTITION BY day), 4) AS share
+            FROM (SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS events
+                  FROM events WHERE {_DAY7} GROUP BY 1, 2)""",
+        "lenient_cast": r"""
+            SELECT event_id,
+                   CASE WHEN regexp_matches(json_extract_string(props, '$.k'), '^\s*-?\d+\s*$')
+                        THEN TRY_CAST(trim(json_extract_string(props, '$.k')) AS BIGINT) END AS k
+            FROM events""",
+        "cast_loss": r"""
+            SELECT 'k' AS "column",
+                   count(*) FILTER (WHERE json_extract_string(props, '$.k') IS NOT NULL
+                                    AND trim(json_extract_string(props, '$.k')) <> ''
+                                    AND NOT regexp_matches(json_extract_string(props, '$.k'), '^\s*-?\d+\s*$')) AS lost
             FROM events
-            WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 7 DAY
-            GROUP BY 1""",
+            UNION ALL
+            SELECT 'event_type_code',
+                   count(*) FILTER (WHERE event_type IS NOT NULL AND trim(event_type) <> ''
+                                    AND NOT regexp_matches(event_type, '^\s*-?\d+\s*$'))
+            FROM events""",
+        "regex_count_urls": """
+            SELECT count(*) FILTER (WHERE regexp_matches(url, '(news|press|times|post)')) AS n FROM pages""",
+        "regex_count_docs": """
+            SELECT count(*) FILTER (WHERE regexp_matches(text, '(news|press|times|post)')) AS n FROM documents""",
+        "probe_modsum": """
+            SELECT CAST(sum((l_orderkey * 2654435761) % 1000003) AS BIGINT) AS s FROM lineitem""",
+        "probe_groups": """
+            SELECT count(*) AS groups FROM (SELECT l_orderkey % 7 AS k, sum(l_orderkey) FROM lineitem GROUP BY 1)""",
+        "gap_audit": """
+            WITH b AS (SELECT min(CAST(ts AS DATE)) AS a, max(CAST(ts AS DATE)) AS z FROM events),
+            slots AS (SELECT unnest(generate_series(CAST(a AS TIMESTAMP), CAST(z AS TIMESTAMP) + INTERVAL 1425 MINUTE,
+                                                    INTERVAL 15 MINUTE)) AS slot FROM b),
+            seen AS (SELECT DISTINCT time_bucket(INTERVAL 15 MINUTE, ts) AS slot FROM events WHERE ts IS NOT NULL)
+            SELECT slot FROM slots WHERE NOT EXISTS (SELECT 1 FROM seen WHERE seen.slot = slots.slot)""",
+        "dup_audit_docs": """
+            SELECT sha256(text) AS text_sha256, count(*) AS copies, count(DISTINCT (lang, source)) AS versions
+            FROM documents GROUP BY 1 HAVING count(*) > 1""",
+        "dup_audit_events": f"""
+            WITH {_SPLIT},
+            both_ AS (SELECT * FROM events UNION ALL SELECT * FROM new)
+            SELECT event_id, count(*) AS copies,
+                   count(DISTINCT (ts, user_id, event_type, value, props)) AS versions
+            FROM both_ GROUP BY 1 HAVING count(*) > 1""",
+        "freshness": """
+            SELECT event_type, max(ts) AS newest,
+                   CAST(epoch_us((SELECT max(ts) FROM events)) - epoch_us(max(ts)) AS DOUBLE) / 1000000 AS age_seconds
+            FROM events GROUP BY 1""",
+        "adhoc_sql": """
+            SELECT event_type AS city, count(*) AS readings FROM events GROUP BY 1""",
     }

@@ -1,0 +1,14 @@
+"""Open a file by URI inside a task (local paths, file:, hdfs:, s3: through pyarrow)."""
+
+from __future__ import annotations
+
+from urllib.parse import urlparse
+
+
+def open_input(uri: str):
+    parsed = urlparse(uri)
+    if parsed.scheme in ("", "file"):
+        return open(parsed.path if parsed.scheme else uri, "rb")
+    from pyarrow import fs as pafs
+    filesystem, path = pafs.FileSystem.from_uri(uri)
+    return filesystem.open_input_file(path)

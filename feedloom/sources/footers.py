@@ -1,0 +1,28 @@
+"""Parquet footers as data (S13): row groups, rows and bytes per file, read in tasks."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+
+from feedloom.sources._fs import open_input
+
+FOOTER_SCHEMA = "path string, row_groups int, rows long, bytes long"
+
+
+def _footers(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    import pyarrow.parquet as pq
+    for pdf in it:
+        out = []
+        for path, length in zip(pdf["path"], pdf["length"]):
+            with open_input(path) as fh:
+                md = pq.ParquetFile(fh).metadata
+                out.append((path, md.num_row_groups, md.num_rows, int(length)))
+        yield pd.DataFrame(out, columns=["path", "row_groups", "rows", "bytes"])
+
+
+def footers(spark: SparkSession, files: DataFrame) -> DataFrame:
+    """``files`` is a listing (``path, length``) of Parquet files."""
+    return files.select("path", "length").mapInPandas(_footers, FOOTER_SCHEMA)
