@@ -19,6 +19,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from feedloom.operators import audit
 from feedloom.operators.dedup import keep_latest
@@ -35,6 +36,7 @@ from feedloom.plans.series import (
 )
 from feedloom.session import scratch_path
 from feedloom.sources.csv import read_text_csv
+from feedloom.streaming import stream as st
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
@@ -151,18 +153,78 @@ def q_day_compaction(spark, sf):
     return spark.read.parquet(table).select(*EVENT_COLS, "ingest_day")
 
 
-def q_csv_landing_roundtrip(spark, sf):
-    """Land the table as day-partitioned CSV pulls, read it back as text, type it again."""
-    ev = _events(spark, sf)
-    root = scratch_path(spark, "landing")
-    land_partitioned(ev.withColumn("ingest_day", F.to_date("ts"))
-                       .withColumn("stamp", F.date_format(F.to_date("ts"), "yyyyMMdd000000")), root)
-    raw = read_text_csv(spark, root, EVENT_COLS, recursiveFileLookup="false", basePath=root)
+def _typed_from_text(raw: DataFrame) -> DataFrame:
+    """Landed event text back to the table's types; landing columns pass through."""
+    extra = [c for c in raw.columns if c not in EVENT_COLS]
     return raw.select(
         F.col("event_id").cast("bigint").alias("event_id"),
         F.to_timestamp_ntz("ts", F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSSSS")).alias("ts"),
         F.col("user_id").cast("bigint").alias("user_id"), "event_type",
-        F.col("value").cast("double").alias("value"), "props")
+        F.col("value").cast("double").alias("value"), "props", *extra)
+
+
+def _land(df: DataFrame, root: str, stamp_time: str) -> None:
+    """Land rows as CSV pulls, one pull per day stamped ``<day><stamp_time>``."""
+    day = F.to_date("ts")
+    land_partitioned(df.withColumn("ingest_day", day)
+                       .withColumn("stamp", F.concat(F.date_format(day, "yyyyMMdd"), F.lit(stamp_time))), root)
+
+
+_LANDED_TEXT = T.StructType([T.StructField(c, T.StringType(), True) for c in EVENT_COLS]
+                            + [T.StructField("ingest_day", T.DateType(), True),
+                               T.StructField("stamp", T.StringType(), True)])
+
+
+def q_csv_landing_roundtrip(spark, sf):
+    """Land the table as day-partitioned CSV pulls, read it back as text, type it again."""
+    root = scratch_path(spark, "landing")
+    _land(_events(spark, sf), root, "000000")
+    raw = read_text_csv(spark, root, EVENT_COLS, basePath=root)
+    return _typed_from_text(raw).select(*EVENT_COLS)
+
+
+# --------------------------------------------------------------------------- streams
+
+def q_stream_compaction(spark, sf):
+    """Two pulls land (history, then the re-sent days); the stream compacts them by day.
+
+    Within a micro-batch the later pull wins by landing position (keep last, W5)."""
+    old, new = _history_and_batch(_events(spark, sf))
+    root, table, ck = (scratch_path(spark, n) for n in ("landing", "day-table", "ckpt"))
+    _land(old, root, "000000")
+    _land(new, root, "235959")
+    stream = st.landed_stream(spark, root, _LANDED_TEXT)
+    q = st.compaction_query(stream, table, "event_id", ck, normalise=_typed_from_text)
+    st.run_until_done(q)
+    return spark.read.parquet(table).select(*EVENT_COLS, "ingest_day")
+
+
+def q_stream_dedup(spark, sf):
+    """The newest two days are delivered twice; the stream keeps one copy per event id."""
+    ev = _events(spark, sf)
+    root, out, ck = (scratch_path(spark, n) for n in ("landing", "dedup", "ckpt"))
+    cut = F.date_sub(ev.select(F.max(F.to_date("ts"))).scalar(), 1)
+    _land(ev, root, "000000")
+    _land(ev.filter(F.to_date("ts") >= cut), root, "235959")
+    typed = _typed_from_text(st.landed_stream(spark, root, _LANDED_TEXT, position=False))
+    st.run_until_done(st.append_to_table(st.dedup_stream(typed, ["event_id"], "ts"), out, ck))
+    return spark.read.parquet(out).select(*EVENT_COLS)
+
+
+def q_stream_hourly(spark, sf):
+    root, out, ck = (scratch_path(spark, n) for n in ("landing", "hourly", "ckpt"))
+    _land(_events(spark, sf), root, "000000")
+    typed = _typed_from_text(st.landed_stream(spark, root, _LANDED_TEXT, position=False))
+    st.run_until_done(st.complete_to_table(st.hourly_stream(typed, "ts", "value"), out, ck))
+    return spark.read.parquet(out).select("h", "n", F.round("tone", 4).alias("tone"))
+
+
+def q_stream_latest(spark, sf):
+    root, out, ck = (scratch_path(spark, n) for n in ("landing", "latest", "ckpt"))
+    _land(_events(spark, sf), root, "000000")
+    typed = _typed_from_text(st.landed_stream(spark, root, _LANDED_TEXT, position=False))
+    st.run_until_done(st.complete_to_table(st.latest_stream(typed, "event_type", "value", "ts"), out, ck))
+    return spark.read.parquet(out)
 
 
 # --------------------------------------------------------------------------- window, dashboard
@@ -287,6 +349,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "merge_insert_only": q_merge_insert_only,
         "day_compaction": q_day_compaction,
         "csv_landing_roundtrip": q_csv_landing_roundtrip,
+        "stream_compaction": q_stream_compaction,
+        "stream_dedup": q_stream_dedup,
+        "stream_hourly": q_stream_hourly,
+        "stream_latest": q_stream_latest,
         "window_bounds": q_window_bounds,
         "window_totals": q_window_totals,
         "top_users": q_top_users,
@@ -381,6 +447,13 @@ def oracle_sql() -> dict[str, str]:
             SELECT * FROM new n WHERE NOT EXISTS (SELECT 1 FROM old o WHERE o.event_id = n.event_id)""",
         "day_compaction": f"SELECT *, CAST(ts AS DATE) AS ingest_day FROM ({_MERGE_LATEST})",
         "csv_landing_roundtrip": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
+        "stream_compaction": f"SELECT *, CAST(ts AS DATE) AS ingest_day FROM ({_MERGE_LATEST})",
+        "stream_dedup": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
+        "stream_hourly": """
+            SELECT date_trunc('hour', ts) AS h, count(*) AS n, round(avg(value), 4) AS tone
+            FROM events GROUP BY 1""",
+        "stream_latest": """
+            SELECT event_type, arg_max(value, ts) AS last_value, max(ts) AS latest FROM events GROUP BY 1""",
         "window_bounds": """
             SELECT max(CAST(ts AS DATE)) AS last_day, max(CAST(ts AS DATE)) - 6 AS first_day FROM events""",
         "window_totals": f"""

@@ -28,10 +28,22 @@ def with_position(df: DataFrame) -> DataFrame:
     time. Path, split start and row id are stable for a given file set, so a re-run task
     (executor loss) computes the same positions.
     """
+    row = F.lit(None).cast("bigint") if df.isStreaming else F.monotonically_increasing_id()
     return df.withColumn(POS, F.struct(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row")))
+        row.alias("row")))
+
+
+def number_rows(df: DataFrame) -> DataFrame:
+    """Fill the row id of a position taken on a stream; call inside ``foreachBatch``.
+
+    A micro-batch re-runs over the same files and splits, so the ids repeat on a retry.
+    """
+    if POS not in df.columns:
+        return df
+    return df.withColumn(POS, F.struct(F.col(f"{POS}.file").alias("file"), F.col(f"{POS}.block").alias("block"),
+                                       F.monotonically_increasing_id().alias("row")))
 
 
 def split_null_keys(df: DataFrame, keys) -> tuple[DataFrame, DataFrame]:
