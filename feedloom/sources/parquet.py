@@ -40,3 +40,14 @@ def last_days(spark: SparkSession, root: str, as_of: _dt.date, days: int, day_co
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """Typed empty relation, the fallback when a source is missing."""
     return spark.createDataFrame([], schema)
+
+
+def read_parquet_nanos(spark: SparkSession, path: str, ts_cols) -> DataFrame:
+    """Parquet written with nanosecond timestamps (pandas' default), which Spark rejects (H7).
+
+    Read with ``spark.sql.legacy.parquet.nanosAsLong`` (a session setting, left on) so the
+    columns arrive as BIGINT nanoseconds, then turned into microsecond timestamps.
+    """
+    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
+    df = spark.read.parquet(path)
+    return df.withColumns({c: F.timestamp_micros(F.floor(F.col(c) / 1000)) for c in ts_cols})

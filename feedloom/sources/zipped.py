@@ -51,7 +51,9 @@ def _unzip(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                             cols[j].append(fields[j] if fields[j] != "" else None)
                         files.append(path)
                         lines.append(i)
-            data = {EVENT_FIELDS[j]: cols[j] for j in range(N)}
+            if not files:
+                continue  # an empty archive (a quarter hour with no events)
+            data = {EVENT_FIELDS[j]: pd.Series(cols[j], dtype=object) for j in range(N)}
             data.update({"_file": files, "_line": lines, "_nfields": widths})
             yield pd.DataFrame(data).astype({"_line": "int64", "_nfields": "int32"})
 
