@@ -55,10 +55,12 @@ def _with_day(df: DataFrame) -> DataFrame:
 
 
 def _history_and_batch(ev: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """History up to the day before the newest day; batch = that day onward, value corrected."""
-    cut = F.date_sub(ev.select(F.max(F.to_date("ts"))).scalar(), 1)
-    old = ev.filter(F.to_date("ts") <= cut)
-    new = ev.filter(F.to_date("ts") >= cut).withColumn("value", F.col("value") + 1)
+    """History up to the day before the newest day; batch = that day onward, value corrected.
+
+    The cuts are plain ``ts`` ranges (no function of ``ts``), so they can reach the reader."""
+    cut = F.date_sub(ev.select(F.max(F.to_date("ts"))).scalar(), 1).cast("timestamp_ntz")
+    old = ev.filter(F.col("ts") < cut + F.make_dt_interval(days=F.lit(1)))
+    new = ev.filter(F.col("ts") >= cut).withColumn("value", F.col("value") + 1)
     return old, new
 
 

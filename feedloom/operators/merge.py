@@ -57,7 +57,8 @@ def merge_latest(old: DataFrame, new: DataFrame, keys, order: Sequence[Column |
     ks = _cols(keys)
     new_d, rejects = dedup_batch(new, ks, order)
     if history_unique:
-        nk, _ = bounded_broadcast(new_d.select(*ks), broadcast_rows)
+        # The batch's key set, pre-aggregated map-side (no second window over the batch).
+        nk, _ = bounded_broadcast(split_null_keys(new, ks)[0].select(*ks).distinct(), broadcast_rows)
         out = union_by_name(old.join(nk, ks, "left_anti"), new_d)
     else:
         both = union_by_name(old.withColumn(SRC, F.lit(0)), new_d.withColumn(SRC, F.lit(1)))
@@ -75,7 +76,7 @@ def merge_insert_only(old: DataFrame, new: DataFrame, keys, order: Sequence[Colu
     """
     ks = _cols(keys)
     new_d, rejects = dedup_batch(new, ks, order)
-    nk, small = bounded_broadcast(new_d.select(*ks), broadcast_rows)
+    nk, small = bounded_broadcast(split_null_keys(new, ks)[0].select(*ks).distinct(), broadcast_rows)
     if small:
         # Scan history keys against the broadcast batch keys: no history shuffle at all.
         seen = old.select(*ks).join(nk, ks, "left_semi").distinct()

@@ -1,0 +1,22 @@
+"""Every registered query against its DuckDB oracle at sf0.01, and the driver's smoke entry."""
+
+import __spark_entry__ as E
+from tools.oracle_check import check
+
+SF01 = "/root/testdata/sf0.01"
+
+
+def test_entry_smoke(spark):
+    df = E.entry(spark)
+    assert df.columns == ["h", "n", "tone"] and df.count() > 0
+
+
+def test_every_query_has_an_oracle_or_a_reason():
+    missing = set(E.queries()) - set(E.oracle_sql())
+    assert missing <= {"layout_report", "layout_equivalence"}, missing
+
+
+def test_queries_match_duckdb(spark):
+    report = check(spark, SF01, verbose=False)
+    bad = {k: v for k, v in report.items() if not (v.startswith("OK") or v.startswith("rows-only"))}
+    assert not bad, bad
