@@ -96,46 +96,60 @@ def table_exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
+REJECT = "_reject"
+
+
 def compact_days(spark: SparkSession, table_path: str, new: DataFrame, keys,
                  order: Sequence[Column | str] = (), day_col: str = "ingest_day",
                  cluster_by: Sequence[str] | None = None, mode: str = "latest",
-                 run_log: bool = True) -> dict:
+                 run_log: bool = True, keep_rejects: bool = True) -> dict:
     """Merge ``new`` into the day partitions it touches and overwrite only those partitions.
 
     De-duplication is per day (key = ``day_col`` + ``keys``); ``mode`` is ``"latest"`` (the
     batch wins) or ``"insert_only"`` (history wins). Untouched days are neither read nor
-    written. Returns the run report (rows before / in / after, rejects, partitions).
+    written. Rows without a key or a day go to ``<table>/_rejects``. Returns the run report.
+
+    Jobs: the de-duplicated batch and its rejects are staged once in the checkpoint folder
+    (the raw batch is read once, and a lost executor re-reads the staged copy, not the
+    landing); one small aggregate gives the touched days and the counts; then one range
+    shuffle on (day, keys) serves the merge window and lays the files out sorted by key.
     """
     if mode not in ("latest", "insert_only"):
         raise ValueError("mode must be 'latest' or 'insert_only'")
     ks = [day_col, *_cols(keys)]
     cluster = list(cluster_by or _cols(keys))
     keyed, rejects = split_null_keys(new, ks)
-    batch = cut_lineage(keep_one(keyed, ks, order))  # used for the day list and the merge
-    n_rejects = rejects.count()
-    # The touched days: bounded by the calendar span of one batch, so a literal list is fine
-    # and gives static partition pruning on the history read.
-    days = [r[0] for r in batch.select(day_col).distinct().collect()]
-    report = {"target": table_path, "rows_in": batch.count(), "rejects": n_rejects,
-              "partitions": len(days), "rows_before": 0, "rows_after": 0}
+    # The batch de-dup: partial group limit before its shuffle, so a hot key cannot swamp a task.
+    staged = cut_lineage(union_by_name(keep_one(keyed, ks, order).withColumn(REJECT, F.lit(False)),
+                                       rejects.withColumn(REJECT, F.lit(True))))
+    counts = staged.groupBy(REJECT, day_col).agg(F.count(F.lit(1)).alias("n")).collect()  # <= days + 1 rows
+    days = sorted({r[day_col] for r in counts if not r[REJECT]})
+    report = {"target": table_path, "rows_in": sum(r.n for r in counts if not r[REJECT]),
+              "rejects": sum(r.n for r in counts if r[REJECT]), "partitions": len(days),
+              "rows_before": 0, "rows_after": 0}
+    if keep_rejects and report["rejects"]:
+        staged.filter(F.col(REJECT)).drop(REJECT).write.mode("append").parquet(f"{table_path.rstrip('/')}/_rejects")
     if not days:
         return report
+    batch = staged.filter(~F.col(REJECT)).drop(REJECT)
     before, after = Observation("before"), Observation("after")
     parts = [batch.withColumn(SRC, F.lit(1))]
     if table_exists(spark, table_path):
+        # A literal day list: static partition pruning, no other day is listed or read.
         existing = spark.read.parquet(table_path).filter(F.col(day_col).isin(days))
-        existing = existing.observe(before, F.count(F.lit(1)).alias("n"))
         parts.insert(0, existing.withColumn(SRC, F.lit(0)))
-    both = union_by_name(*parts)
+    # Each key appears at most once per side here, so range partitioning cannot meet a hot key;
+    # the range exchange satisfies the window's clustering and gives each file a key range.
+    # Counts are observed above the exchange: the range sampler re-runs the plan below it.
+    both = (union_by_name(*parts).repartitionByRange(day_col, *cluster)
+            .observe(before, F.count_if(F.col(SRC) == 0).alias("n")))
     rank_src = F.desc(SRC) if mode == "latest" else F.asc(SRC)
     merged = keep_one(both, ks, [rank_src, *order]).drop(SRC, POS)
-    out = (merged.repartitionByRange(day_col, *cluster)
-                 .sortWithinPartitions(day_col, *cluster)
-                 .observe(after, F.count(F.lit(1)).alias("n")))
+    out = merged.sortWithinPartitions(day_col, *cluster).observe(after, F.count(F.lit(1)).alias("n"))
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(day_col).parquet(table_path))
     report["rows_after"] = after.get.get("n", 0)
-    report["rows_before"] = before.get.get("n", 0) if len(parts) == 2 else 0
+    report["rows_before"] = before.get.get("n", 0)
     if run_log:
         from feedloom.operators.layout import log_run
         log_run(spark, table_path, "compact_days", report)

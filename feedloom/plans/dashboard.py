@@ -14,7 +14,7 @@ from feedloom.functions.casts import lenient
 from feedloom.functions.labels import quad_label
 from feedloom.functions.text import non_blank
 from feedloom.functions.time import hour_of
-from feedloom.plans.lookback import as_time, day_window, window_bounds
+from feedloom.plans.lookback import as_time, literal_day_window
 
 
 def top_groups(df: DataFrame, group: str, k: int = 15, alias: str = "country", count_name: str = "events") -> DataFrame:
@@ -50,14 +50,56 @@ def class_mix(window: DataFrame, day: str, cls: str, label: bool = True, digits:
 def dashboard(df: DataFrame, days: int = 7, top: int = 15, tone: int = 6, day: str = "ingest_day",
               group: str = "ActionGeo_CountryCode", tone_col: str = "AvgTone", ts: str = "ts",
               cls: str = "QuadClass", label: bool = True) -> dict[str, DataFrame]:
-    window = day_window(df, day, days)
-    leaders_all = top_groups(window, group, top)
-    leaders = leaders_all.limit(tone)
+    """The six dashboard answers from ONE scan of the window.
+
+    The window bounds are resolved first (one tiny aggregate; on a day-partitioned table it
+    reads only the partition column) and applied as literals, so every later read is pruned
+    statically. One grouping-sets aggregate then yields the grand total, rows per day, per
+    hour, per group, per (day, class) and tone sums per (day, group); it is checkpointed (a
+    few thousand rows, bounded by days x groups + hours) and each answer reads that.
+    """
+    from feedloom.session import cut_lineage
+    window, first, last = literal_day_window(df, day, days)
+    spark = df.sparkSession
+    bounds = spark.createDataFrame([(last, first)], "last_day date, first_day date")
+    t = lenient(tone_col, "double")
+    slim = window.select(F.col(day).alias("day"), as_time(df, ts, hour_of(ts)).alias("hour"),
+                         F.col(group).alias("country"), F.col(cls).alias(cls), t.alias("_tone"))
+    sets = [[], ["day"], ["hour"], ["country"], ["day", cls], ["day", "country"]]
+    cube = cut_lineage(
+        slim.groupingSets(sets, "day", "hour", "country", cls)
+            .agg(F.count(F.lit(1)).alias("events"), F.sum("_tone").alias("tone_sum"),
+                 F.count("_tone").alias("tone_n"), F.grouping_id().alias("gid")))
+    gid = {tuple(x): _gid(["day", "hour", "country", cls], x) for x in sets}
+
+    def part(key):
+        return cube.filter(F.col("gid") == gid[tuple(key)])
+
+    g0, gday = gid[()], gid[("day",)]
+    totals = (cube.filter(F.col("gid").isin(g0, gday))
+                  .agg(F.coalesce(F.sum(F.when(F.col("gid") == g0, F.col("events"))), F.lit(0)).alias("rows_scanned"),
+                       F.count_if(F.col("gid") == gday).alias("days")))
+    named = part(["country"]).filter(non_blank("country") if dict(slim.dtypes)["country"] == "string"
+                                     else F.col("country").isNotNull())
+    top_countries = named.select("country", "events").orderBy(F.desc("events"), F.asc("country")).limit(top)
+    leaders = top_countries.limit(tone).select("country")
+    tone_df = (part(["day", "country"]).join(F.broadcast(leaders), "country", "left_semi")
+               .select("day", "country", (F.col("tone_sum") / F.col("tone_n")).alias("tone")))
+    quad = part(["day", cls]).select("day", cls, "events")
+    quad = quad.withColumn("share", F.col("events") / F.sum("events").over(Window.partitionBy("day")))
+    if label:
+        quad = quad.withColumn("class", quad_label(cls))
     return {
-        "bounds": window_bounds(df, day, days),
-        "totals": window.agg(F.count(F.lit(1)).alias("rows_scanned"), F.count_distinct(day).alias("days")),
-        "per_hour": window.groupBy(as_time(df, ts, hour_of(ts)).alias("hour")).agg(F.count(F.lit(1)).alias("events")),
-        "top_countries": leaders_all,
-        "tone": leaders_tone(window, leaders, day, group, tone_col),
-        "quad": class_mix(window, day, cls, label),
+        "bounds": bounds,
+        "totals": totals,
+        "per_hour": part(["hour"]).select("hour", "events"),
+        "top_countries": top_countries,
+        "tone": tone_df,
+        "quad": quad,
     }
+
+
+def _gid(cols: list[str], grouped: list[str]) -> int:
+    """Spark's grouping id: bit set for each column NOT grouped, first column most significant."""
+    n = len(cols)
+    return sum(1 << (n - 1 - i) for i, c in enumerate(cols) if c not in grouped)

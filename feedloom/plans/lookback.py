@@ -64,3 +64,15 @@ def window_totals(df: DataFrame, day: str, days: int = 7) -> DataFrame:
     """One row: rows in the window and distinct days covered."""
     w = day_window(df, day, days)
     return w.agg(F.count(F.lit(1)).alias("rows_scanned"), F.count_distinct(day).alias("days"))
+
+
+def literal_day_window(df: DataFrame, day: str, days: int = 7):
+    """``(window, first_day, last_day)`` with the bounds resolved to literals (F5, two-step).
+
+    One tiny aggregate finds the newest day; the filter then carries literal dates, so every
+    plan built on the window prunes partitions statically. Empty input -> empty window, None bounds.
+    """
+    b = window_bounds(df, day, days).first()
+    if b is None or b.last_day is None:
+        return df.filter(F.lit(False)), None, None
+    return df.filter(F.col(day).between(F.lit(b.first_day), F.lit(b.last_day))), b.first_day, b.last_day

@@ -13,6 +13,7 @@ from feedloom.plans import probes
 from feedloom.plans.adhoc import adhoc
 from feedloom.plans.dashboard import class_mix, dashboard, top_groups
 from feedloom.plans.hourly import hourly
+from feedloom.plans.lookback import literal_day_window
 from feedloom.sources.csv import read_text_csv
 
 SF001 = "/root/testdata/sf0.001"
@@ -58,8 +59,10 @@ def test_hourly_reads_three_columns_and_prunes_days(spark, day_table):
 
 def test_dashboard_window_prunes_by_subquery_and_answers_agree(spark, day_table):
     t = spark.read.parquet(day_table)
+    w, first, last = literal_day_window(t, "ingest_day", 7)
+    assert f"PartitionFilters: [isnotnull(ingest_day" in _plan(w.groupBy("ingest_day").count())
+    assert f"ingest_day#" in _plan(w.select("ts")).split("PartitionFilters: [")[1].split("]")[0]
     d = dashboard(t, days=7, top=3, tone=2)
-    assert "PartitionFilters: [isnotnull(ingest_day" in _plan(d["totals"])
     totals = d["totals"].first()
     assert totals.days == 7
     assert sum(r.events for r in d["per_hour"].collect()) == totals.rows_scanned
@@ -161,3 +164,31 @@ def test_modular_sum_has_no_overflow_and_matches_python(spark):
 def test_regex_count(spark):
     df = spark.createDataFrame([("http://news.example",), ("https://x/post/1",), ("http://y",), (None,)], "u string")
     assert probes.regex_count(df, "u").first().n == 2
+
+
+def test_single_scan_dashboard_equals_separate_queries(spark, day_table):
+    from feedloom.plans.dashboard import leaders_tone
+    t = spark.read.parquet(day_table)
+    d = dashboard(t, days=7, top=4, tone=3)
+    w, _, _ = literal_day_window(t, "ingest_day", 7)
+    top = top_groups(w, "ActionGeo_CountryCode", 4)
+    assert [tuple(r) for r in d["top_countries"].collect()] == [tuple(r) for r in top.collect()]
+    sep_tone = leaders_tone(w, top.limit(3), "ingest_day", "ActionGeo_CountryCode", "AvgTone")
+    a = {(r.day, r.country): round(r.tone, 9) for r in d["tone"].collect()}
+    b = {(r.day, r.country): round(r.tone, 9) for r in sep_tone.collect()}
+    assert a == b and len(a) > 0
+    sep_quad = class_mix(w, "ingest_day", "QuadClass")
+    assert sorted(tuple(r) for r in d["quad"].select("day", "QuadClass", "events", "share", "class").collect()) == \
+        sorted(tuple(r) for r in sep_quad.select("day", "QuadClass", "events", "share", "class").collect())
+    hours = w.groupBy(F.date_trunc("hour", "ts").alias("hour")).count()
+    assert sorted((r.hour, r.events) for r in d["per_hour"].collect()) == sorted(tuple(r) for r in hours.collect())
+
+
+def test_literal_alternation_fast_path_equals_rlike(spark):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    for pat in ("(news|press|times|post)", "the|and", "th[ae]", "(news)"):
+        fast = docs.filter(probes.matches("text", pat)).count()
+        slow = docs.filter(F.col("text").rlike(pat)).count()
+        assert fast == slow, pat
+    assert probes.literal_alternatives("(news|press)") == ["news", "press"]
+    assert probes.literal_alternatives("th[ae]") is None
