@@ -172,16 +172,15 @@ def _land(df: DataFrame, root: str, stamp_time: str) -> None:
                        .withColumn("stamp", F.concat(F.date_format(day, "yyyyMMdd"), F.lit(stamp_time))), root)
 
 
-_LANDED_TEXT = T.StructType([T.StructField(c, T.StringType(), True) for c in EVENT_COLS]
-                            + [T.StructField("ingest_day", T.DateType(), True),
-                               T.StructField("stamp", T.StringType(), True)])
+_LANDED_TEXT = T.StructType([T.StructField(c, T.StringType(), True) for c in EVENT_COLS + ["stamp"]]
+                            + [T.StructField("ingest_day", T.DateType(), True)])
 
 
 def q_csv_landing_roundtrip(spark, sf):
     """Land the table as day-partitioned CSV pulls, read it back as text, type it again."""
     root = scratch_path(spark, "landing")
     _land(_events(spark, sf), root, "000000")
-    raw = read_text_csv(spark, root, EVENT_COLS, basePath=root)
+    raw = read_text_csv(spark, root, EVENT_COLS + ["stamp"], basePath=root)
     return _typed_from_text(raw).select(*EVENT_COLS)
 
 

@@ -1,8 +1,9 @@
 """Physical layouts and sinks.
 
-* Landing (K1/K2): append-only, one new file set per pull under
-  ``<root>/ingest_day=YYYY-MM-DD/stamp=YYYYMMDDHHMMSS/``. Nothing is ever rewritten in place
-  (a file source never re-reads a grown file, and concurrent pulls cannot race).
+* Landing (K1/K2): append-only, one new file set per pull under ``<root>/ingest_day=YYYY-MM-DD/``,
+  every row carrying its pull's ``stamp`` (``YYYYMMDDHHMMSS``) as the last column. Nothing is
+  ever rewritten in place (a file source never re-reads a grown file, and concurrent pulls
+  cannot race); a backfill replaces a whole day folder.
 * Snapshot (K3): the whole-history table as versioned folders ``<root>/_v=NNNNNN`` plus an
   append-only pointer table; a merge reads version N and writes N+1, so it never overwrites
   what it reads. Files are range-partitioned and sorted, not coalesced into one.
@@ -31,41 +32,48 @@ CSV_OPTIONS = {
 }
 
 
-def land(df: DataFrame, root: str, stamp: str, day: str | None = None, fmt: str = "csv",
-         day_col: str = "ingest_day") -> str:
-    """Append one pull to the landing (K1). ``stamp`` is the pull's ``YYYYMMDDHHMMSS``.
+def _landing_order(df: DataFrame, day_col: str, stamp_col: str) -> DataFrame:
+    """Raw columns, then the stamp, then the day: the file layout readers rely on."""
+    data = [c for c in df.columns if c not in (day_col, stamp_col)]
+    return df.select(*data, stamp_col, day_col)
 
-    The day folder defaults to the stamp's UTC day. Returns the folder written.
-    """
-    day = day or f"{stamp[:4]}-{stamp[4:6]}-{stamp[6:8]}"
-    path = f"{root.rstrip('/')}/{day_col}={day}/stamp={stamp}"
-    w = df.write.mode("append")
+
+def _write(w, fmt: str, path: str) -> None:
     if fmt == "csv":
         w.options(**CSV_OPTIONS).csv(path)
     elif fmt == "json":
         w.json(path)
     else:
         w.format(fmt).save(path)
+
+
+def land(df: DataFrame, root: str, stamp: str, day: str | None = None, fmt: str = "csv",
+         day_col: str = "ingest_day") -> str:
+    """Append one pull to the landing (K1). ``stamp`` is the pull's ``YYYYMMDDHHMMSS``.
+
+    The day folder defaults to the stamp's UTC day. Returns the folder written.
+    """
+    day = day or f"{stamp[:4]}-{stamp[4:6]}-{stamp[6:8]}"
+    path = f"{root.rstrip('/')}/{day_col}={day}"
+    _write(df.withColumn("stamp", F.lit(stamp)).write.mode("append"), fmt, path)
     return path
 
 
 def land_partitioned(df: DataFrame, root: str, day_col: str = "ingest_day", stamp_col: str = "stamp",
                      fmt: str = "csv") -> None:
-    """Append many pulls at once: rows carry their own ``day_col`` and ``stamp_col`` (backfills)."""
-    w = df.write.mode("append").partitionBy(day_col, stamp_col)
-    if fmt == "csv":
-        w.options(**CSV_OPTIONS).csv(root)
-    else:
-        w.format(fmt).save(root)
+    """Append many pulls at once: rows carry their own ``day_col`` and ``stamp_col``."""
+    _write(_landing_order(df, day_col, stamp_col).write.mode("append").partitionBy(day_col), fmt, root)
 
 
-def backfill_day(df: DataFrame, root: str, day_col: str = "ingest_day", fmt: str = "csv") -> None:
-    """Replace whole landing days with ``df``'s rows (K2): dynamic overwrite of those days only."""
-    w = (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day_col))
-    if fmt == "csv":
-        w.options(**CSV_OPTIONS).csv(root)
-    else:
-        w.format(fmt).save(root)
+def backfill_day(df: DataFrame, root: str, day_col: str = "ingest_day", stamp_col: str = "stamp",
+                 fmt: str = "csv") -> None:
+    """Replace whole landing days with ``df``'s rows (K2): dynamic overwrite of those days only.
+
+    A stream reading the landing sees the new files as a new pull; the day compaction then
+    merges them (the backfill's later stamp wins)."""
+    w = (_landing_order(df, day_col, stamp_col).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(day_col))
+    _write(w, fmt, root)
 
 
 def write_days(df: DataFrame, path: str, day_col: str, cluster_by: Sequence[str]) -> None:

@@ -102,12 +102,14 @@ REJECT = "_reject"
 def compact_days(spark: SparkSession, table_path: str, new: DataFrame, keys,
                  order: Sequence[Column | str] = (), day_col: str = "ingest_day",
                  cluster_by: Sequence[str] | None = None, mode: str = "latest",
-                 run_log: bool = True, keep_rejects: bool = True) -> dict:
+                 run_log: bool = True, keep_rejects: bool = True,
+                 rejects: DataFrame | None = None) -> dict:
     """Merge ``new`` into the day partitions it touches and overwrite only those partitions.
 
     De-duplication is per day (key = ``day_col`` + ``keys``); ``mode`` is ``"latest"`` (the
     batch wins) or ``"insert_only"`` (history wins). Untouched days are neither read nor
-    written. Rows without a key or a day go to ``<table>/_rejects``. Returns the run report.
+    written. Rows without a key or a day, and any upstream ``rejects`` (e.g. rows whose time
+    did not parse), go to ``<table>/_rejects``. Returns the run report.
 
     Jobs: the de-duplicated batch and its rejects are staged once in the checkpoint folder
     (the raw batch is read once, and a lost executor re-reads the staged copy, not the
@@ -118,10 +120,11 @@ def compact_days(spark: SparkSession, table_path: str, new: DataFrame, keys,
         raise ValueError("mode must be 'latest' or 'insert_only'")
     ks = [day_col, *_cols(keys)]
     cluster = list(cluster_by or _cols(keys))
-    keyed, rejects = split_null_keys(new, ks)
+    keyed, no_key = split_null_keys(new, ks)
+    bad = no_key if rejects is None else union_by_name(no_key, rejects)
     # The batch de-dup: partial group limit before its shuffle, so a hot key cannot swamp a task.
     staged = cut_lineage(union_by_name(keep_one(keyed, ks, order).withColumn(REJECT, F.lit(False)),
-                                       rejects.withColumn(REJECT, F.lit(True))))
+                                       bad.withColumn(REJECT, F.lit(True))))
     counts = staged.groupBy(REJECT, day_col).agg(F.count(F.lit(1)).alias("n")).collect()  # <= days + 1 rows
     days = sorted({r[day_col] for r in counts if not r[REJECT]})
     report = {"target": table_path, "rows_in": sum(r.n for r in counts if not r[REJECT]),

@@ -41,14 +41,20 @@ def read_text_csv(spark: SparkSession, paths, columns: Iterable[str], position:
     return with_position(df) if position else df
 
 
-def read_weather_csv(spark: SparkSession, paths, position: bool = True, **options) -> DataFrame:
-    """Weather day files (S1), as text; ``operators.normalize.weather`` types them strictly."""
-    return read_text_csv(spark, paths, WEATHER_FIELDS, position=position, **options)
+def read_weather_csv(spark: SparkSession, paths, position: bool = True, landed: bool = True,
+                     **options) -> DataFrame:
+    """Weather day files (S1), as text; ``operators.normalize.weather`` types them strictly.
 
+    ``landed``: files of this library's landing, whose rows end with the pull ``stamp``."""
+    cols = WEATHER_FIELDS + (["stamp"] if landed else [])
+    return read_text_csv(spark, paths, cols, position=position, **options)
 
-def read_event_csv(spark: SparkSession, paths, position: bool = True, **options) -> DataFrame:
-    """Event day files: header, comma, doubled quotes, all 61 columns as text."""
-    return read_text_csv(spark, paths, EVENT_FIELDS, position=position, corrupt=True, **options)
+
+def read_event_csv(spark: SparkSession, paths, position: bool = True, landed: bool = True,
+                   **options) -> DataFrame:
+    """Event day files: header, comma, doubled quotes, all 61 columns as text (+ ``stamp``)."""
+    cols = EVENT_FIELDS + (["stamp"] if landed else [])
+    return read_text_csv(spark, paths, cols, position=position, corrupt=True, **options)
 
 
 def read_event_tsv(spark: SparkSession, paths, position: bool = True) -> DataFrame:

@@ -20,20 +20,21 @@ def city_dim(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(i, n, la, lo) for i, (n, la, lo) in enumerate(CITIES)], CITY_DIM)
 
 
-def payload_entries(payloads: DataFrame, text_col: str = "value") -> DataFrame:
-    """One row per payload entry: ``pos`` plus the entry's fields; keeps ``_pos`` when present."""
-    keep = [c for c in ("_pos",) if c in payloads.columns]
+def payload_entries(payloads: DataFrame, text_col: str = "value", keep: tuple = ()) -> DataFrame:
+    """One row per payload entry: ``pos`` plus the entry's fields; keeps ``_pos`` and ``keep``."""
+    kept = [c for c in ("_pos", *keep) if c in payloads.columns]
     arr = F.from_json(F.col(text_col), WEATHER_PAYLOAD)
-    return payloads.select(*keep, F.posexplode(arr).alias("pos", "p"))
+    return payloads.select(*kept, F.posexplode(arr).alias("pos", "p"))
 
 
-def rows_from_payload(payloads: DataFrame, cities: DataFrame, text_col: str = "value") -> tuple[DataFrame, DataFrame]:
+def rows_from_payload(payloads: DataFrame, cities: DataFrame, text_col: str = "value",
+                      keep: tuple = ()) -> tuple[DataFrame, DataFrame]:
     """``(rows, rejects)``: weather rows in the day-file field order, and unmatched entries."""
-    e = payload_entries(payloads, text_col)
+    e = payload_entries(payloads, text_col, keep)
     joined = e.join(F.broadcast(cities), "pos", "left")  # 10 fixed rows: a proven bound
     cur = F.col("p.current")
     rows = joined.filter(F.col("name").isNotNull()).select(
-        *[c for c in ("_pos",) if c in joined.columns],
+        *[c for c in ("_pos", *keep) if c in joined.columns],
         F.col("pos"),
         F.col("name").alias("city"),
         cur["time"].alias("time"),
@@ -43,7 +44,8 @@ def rows_from_payload(payloads: DataFrame, cities: DataFrame, text_col: str = "v
         cur["wind_speed_10m"].alias("wind_kmh"),
         cur["weather_code"].alias("weather_code"),
     )
-    rejects = joined.filter(F.col("name").isNull()).select("pos", F.to_json("p").alias("entry"))
+    rejects = joined.filter(F.col("name").isNull()).select(
+        *[c for c in keep if c in joined.columns], "pos", F.to_json("p").alias("entry"))
     return rows, rejects
 
 

@@ -33,8 +33,8 @@ AVAILABLE_NOW = {"availableNow": True}
 
 def landed_stream(spark: SparkSession, root: str, schema: T.StructType, fmt: str = "csv",
                   max_files: int | None = None, position: bool = True, **options) -> DataFrame:
-    """New files under ``root`` as a stream. Partition columns (``ingest_day``, ``stamp``)
-    listed in ``schema`` are filled from the folder names."""
+    """New files under ``root`` as a stream. ``schema`` lists the file columns (ending with
+    the pull ``stamp``) and then ``ingest_day``, which is filled from the folder name."""
     r = spark.readStream.schema(schema)
     if fmt == "csv":
         r = r.options(**{k: v for k, v in CSV_OPTIONS.items() if k != "lineSep"})

@@ -112,8 +112,8 @@ def test_layout_equivalence_csv_parquet_days(spark, day_table, tmp_path):
     t.drop("ingest_day").write.parquet(one)
     land = str(tmp_path / "landing")
     land_partitioned(t.withColumn("stamp", F.date_format("ingest_day", "yyyyMMdd000000")), land)
-    raw = read_text_csv(spark, land, ["GlobalEventID", "ts", "ActionGeo_CountryCode", "AvgTone", "QuadClass"],
-                        basePath=land)
+    raw = read_text_csv(spark, land, ["GlobalEventID", "ts", "ActionGeo_CountryCode", "AvgTone", "QuadClass",
+                                      "stamp"], basePath=land)
     csv = raw.withColumn("ts", F.to_timestamp("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
     as_of = dt.datetime(2024, 1, 30, 12)
     a = hourly(spark.read.parquet(one), as_of=as_of, days=7)

@@ -8,8 +8,8 @@ from pyspark.sql import types as T
 from feedloom.operators.layout import land
 from feedloom.streaming import stream as st
 
-TEXT = T.StructType([T.StructField(c, T.StringType()) for c in ("id", "ts", "v")]
-                    + [T.StructField("ingest_day", T.DateType()), T.StructField("stamp", T.StringType())])
+TEXT = T.StructType([T.StructField(c, T.StringType()) for c in ("id", "ts", "v", "stamp")]
+                    + [T.StructField("ingest_day", T.DateType())])
 
 
 def _typed(df):
