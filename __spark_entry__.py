@@ -184,6 +184,36 @@ def q_csv_landing_roundtrip(spark, sf):
     return _typed_from_text(raw).select(*EVENT_COLS)
 
 
+def q_layout_equivalence(spark, sf):
+    """One hourly answer from three layouts of the same rows, tagged by layout.
+
+    The CSV landing and the day table are written from the table; all three must agree."""
+    ev = _events(spark, sf)
+    root, days = scratch_path(spark, "landing"), scratch_path(spark, "day-table")
+    _land(ev, root, "000000")
+    compact_days(spark, days, ev.withColumn("ingest_day", F.to_date("ts")), "event_id", run_log=False)
+    csv = _typed_from_text(read_text_csv(spark, root, EVENT_COLS + ["stamp"], basePath=root))
+    answers = {
+        "parquet": hourly(ev, as_of="latest", days=7, ts="ts", value="value", digits=4),
+        "csv": hourly(csv, as_of="latest", days=7, ts="ts", value="value", digits=4, partition_col="ingest_day"),
+        "days": hourly(spark.read.parquet(days), as_of="latest", days=7, ts="ts", value="value", digits=4,
+                       partition_col="ingest_day"),
+    }
+    out = None
+    for name, a in answers.items():
+        a = a.select(F.lit(name).alias("layout"), "h", "n", "tone")
+        out = a if out is None else out.unionByName(a)
+    return out
+
+
+def q_layout_report(spark, sf):
+    """Files, row groups, rows and bytes per day of the day table built from events."""
+    days = scratch_path(spark, "day-table")
+    compact_days(spark, days, _events(spark, sf).withColumn("ingest_day", F.to_date("ts")), "event_id",
+                 run_log=False)
+    return audit.layout_report(spark, days)
+
+
 # --------------------------------------------------------------------------- streams
 
 def q_stream_compaction(spark, sf):
@@ -350,6 +380,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "merge_insert_only": q_merge_insert_only,
         "day_compaction": q_day_compaction,
         "csv_landing_roundtrip": q_csv_landing_roundtrip,
+        "layout_equivalence": q_layout_equivalence,
+        "layout_report": q_layout_report,
         "stream_compaction": q_stream_compaction,
         "stream_dedup": q_stream_dedup,
         "stream_hourly": q_stream_hourly,
@@ -448,6 +480,9 @@ def oracle_sql() -> dict[str, str]:
             SELECT * FROM new n WHERE NOT EXISTS (SELECT 1 FROM old o WHERE o.event_id = n.event_id)""",
         "day_compaction": f"SELECT *, CAST(ts AS DATE) AS ingest_day FROM ({_MERGE_LATEST})",
         "csv_landing_roundtrip": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
+        "layout_equivalence": " UNION ALL ".join(f"""
+            SELECT '{name}' AS layout, date_trunc('hour', ts) AS h, count(*) AS n, round(avg(value), 4) AS tone
+            FROM events WHERE {_WINDOW7} GROUP BY 2""" for name in ("parquet", "csv", "days")),
         "stream_compaction": f"SELECT *, CAST(ts AS DATE) AS ingest_day FROM ({_MERGE_LATEST})",
         "stream_dedup": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
         "stream_hourly": """

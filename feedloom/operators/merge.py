@@ -21,7 +21,7 @@ from pyspark.sql.utils import AnalysisException
 
 from feedloom.operators.dedup import POS, SRC, keep_one, split_null_keys
 from feedloom.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast
-from feedloom.session import cut_lineage
+from feedloom.session import cut_lineage, path_exists
 
 
 def _cols(keys) -> list[str]:
@@ -89,6 +89,10 @@ def merge_insert_only(old: DataFrame, new: DataFrame, keys, order: Sequence[Colu
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
+    """A readable Parquet table at ``path``. The filesystem is asked first: a failed read
+    would be reported to every query listener of the session."""
+    if path_exists(spark, path) is False:
+        return False
     try:
         spark.read.parquet(path).schema  # noqa: B018
         return True

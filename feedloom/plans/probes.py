@@ -59,3 +59,15 @@ def modular_sum(df: DataFrame, col: str) -> DataFrame:
 def row_groups(footers: DataFrame) -> DataFrame:
     """Total row groups over a footer listing (G13): how many splits a scan can use."""
     return footers.agg(F.sum("row_groups").alias("row_groups"), F.count(F.lit(1)).alias("files"))
+
+
+def range_modular_sum(spark, n: int, partitions: int | None = None) -> DataFrame:
+    """The generated-range probe (S12, G12): ``sum((i * 2654435761) % 1000003)`` for i < n.
+
+    ``spark.range`` is split across tasks from the start, unlike a single-stream generator."""
+    return modular_sum(spark.range(0, n, 1, partitions).withColumnRenamed("id", "i"), "i")
+
+
+def range_group_count(spark, n: int, modulus: int = 7, partitions: int | None = None) -> DataFrame:
+    """``count(*) FROM (SELECT range % 7, sum(range) FROM range(n) GROUP BY 1)``."""
+    return group_count(spark.range(0, n, 1, partitions), "id", modulus)

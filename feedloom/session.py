@@ -70,3 +70,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the reliable checkpoint folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool | None:
+    """Whether ``path`` exists, through the cluster's Hadoop filesystem (HDFS, S3, local).
+
+    Returns None where the JVM is not reachable (Spark Connect); callers then try a read.
+    """
+    try:
+        sc = spark.sparkContext
+        jvm, conf = sc._jvm, sc._jsc.hadoopConfiguration()
+    except Exception:  # noqa: BLE001 - Spark Connect has no JVM handle
+        return None
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(conf).exists(p))

@@ -192,3 +192,18 @@ def test_literal_alternation_fast_path_equals_rlike(spark):
         assert fast == slow, pat
     assert probes.literal_alternatives("(news|press)") == ["news", "press"]
     assert probes.literal_alternatives("th[ae]") is None
+
+
+def test_dashboard_cost_and_display_order(spark, day_table):
+    d = dashboard(spark.read.parquet(day_table), days=7, top=5, tone=2)
+    c = d["cost"].first()
+    assert c.scans == 1 and c.row_reads == d["totals"].first().rows_scanned
+    shown = [r.events for r in d["top_countries_display"].collect()]
+    assert shown == sorted(shown)
+
+
+def test_range_probes(spark):
+    n = 10_000
+    want = sum((i * 2654435761) % 1000003 for i in range(n))
+    assert probes.range_modular_sum(spark, n, 4).first().s == want
+    assert probes.range_group_count(spark, n).first().groups == 7
