@@ -23,7 +23,7 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def _gdelt_like(spark, n_days=10):
+def _event_table_like(spark, n_days=10):
     """A small event table with the feed's column names, derived from the test events."""
     ev = spark.read.parquet(f"{SF001}/events.parquet")
     return ev.select(
@@ -39,7 +39,7 @@ def _gdelt_like(spark, n_days=10):
 @pytest.fixture(scope="module")
 def day_table(spark, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("days") / "events")
-    compact_days(spark, path, _gdelt_like(spark), "GlobalEventID", order=[F.desc("ts")], run_log=False)
+    compact_days(spark, path, _event_table_like(spark), "GlobalEventID", order=[F.desc("ts")], run_log=False)
     return path
 
 
