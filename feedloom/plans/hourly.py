@@ -26,7 +26,7 @@ def hourly(df: DataFrame, as_of="now", days: int = 7, group: str | None = None,
     bound is also applied to it so Spark prunes partitions before reading any file. A row
     lands in the partition of its own day or a later one, so this never drops a row.
     """
-    anchor = resolve_as_of(df, ts, as_of)
+    anchor = resolve_as_of(df, ts, as_of, partition_col)
     lower = anchor - F.make_dt_interval(days=F.lit(days))
     out = df.filter(F.col(ts) >= lower)
     if partition_col:

@@ -5,6 +5,11 @@ A look-back is anchored at ``as_of``:
 * ``"now"``    - the session's current time (what a live chart wants);
 * ``"latest"`` - the newest time present in the data, as a scalar subquery, so no value
   travels through the driver and the bound still reaches the scan as a runtime filter;
+* ``"newest_partition"`` - the same, read from the newest day partition only (needs
+  ``partition_col``). Valid when no row's time is later than its partition day and the newest
+  partition holds the newest time, as in both feed tables (events: DATEADDED is the export's
+  own stamp, which names the partition; weather: partitioned by the reading's own day). It
+  reads one day of ``ts`` instead of the whole column;
 * a ``datetime``/``date``/string literal or a ``Column``.
 """
 
@@ -26,21 +31,26 @@ def as_time(df: DataFrame, ts: str, c: Column) -> Column:
     return c.cast(ts_type(df, ts))
 
 
-def resolve_as_of(df: DataFrame, ts: str, as_of="now") -> Column:
+def resolve_as_of(df: DataFrame, ts: str, as_of="now", partition_col: str | None = None) -> Column:
     if isinstance(as_of, Column):
         return as_of
     if as_of is None or as_of == "now":
         return as_time(df, ts, F.current_timestamp())
     if as_of == "latest":
         return df.select(F.max(ts)).scalar()
+    if as_of == "newest_partition":
+        if not partition_col:
+            raise ValueError("as_of='newest_partition' needs partition_col")
+        newest = df.select(F.max(partition_col)).scalar()
+        return df.filter(F.col(partition_col) == newest).select(F.max(ts)).scalar()
     if isinstance(as_of, (_dt.datetime, _dt.date, str)):
         return as_time(df, ts, F.lit(as_of))
     raise ValueError(f"as_of must be 'now', 'latest', a literal or a Column, not {as_of!r}")
 
 
-def since(df: DataFrame, ts: str, as_of="now", days: int = 7) -> DataFrame:
-    """Rows with ``ts >= as_of - days`` (the reference's ``ts >= now() - INTERVAL n DAY``)."""
-    anchor = resolve_as_of(df, ts, as_of)
+def since(df: DataFrame, ts: str, as_of="now", days: int = 7, partition_col: str | None = None) -> DataFrame:
+    """Rows with ``ts >= as_of - days`` (a look-back from ``as_of``)."""
+    anchor = resolve_as_of(df, ts, as_of, partition_col)
     return df.filter(F.col(ts) >= anchor - F.make_dt_interval(days=F.lit(days)))
 
 

@@ -207,3 +207,13 @@ def test_range_probes(spark):
     want = sum((i * 2654435761) % 1000003 for i in range(n))
     assert probes.range_modular_sum(spark, n, 4).first().s == want
     assert probes.range_group_count(spark, n).first().groups == 7
+
+
+def test_newest_partition_anchor_reads_one_day(spark, day_table):
+    t = spark.read.parquet(day_table)
+    fast = hourly(t, as_of="newest_partition", days=7, partition_col="ingest_day")
+    slow = hourly(t, as_of="latest", days=7)
+    assert sorted(tuple(r) for r in fast.collect()) == sorted(tuple(r) for r in slow.collect())
+    plan = fast._jdf.queryExecution().executedPlan().toString()
+    # the anchor's own scan carries a partition filter on the newest day
+    assert plan.count("PartitionFilters: [isnotnull(ingest_day") >= 2
