@@ -84,9 +84,3 @@ def keep_latest(df: DataFrame, keys, by: Sequence[str] = ()) -> DataFrame:
 def keep_first(df: DataFrame, keys, by: Sequence[str] = ()) -> DataFrame:
     """Oldest copy per key: ``by`` columns ascending (W1-W3 with a stated order)."""
     return keep_one(df, keys, [F.asc_nulls_last(c) for c in by])
-
-
-def duplicates_of(df: DataFrame, keys) -> DataFrame:
-    """Key groups with more than one row (input to audits)."""
-    ks = _cols(keys)
-    return df.groupBy(*ks).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")

@@ -76,12 +76,6 @@ def backfill_day(df: DataFrame, root: str, day_col: str = "ingest_day", stamp_co
     _write(w, fmt, root)
 
 
-def write_days(df: DataFrame, path: str, day_col: str, cluster_by: Sequence[str]) -> None:
-    """Write day partitions, each clustered by ``cluster_by`` so row-group statistics prune (K4)."""
-    (df.repartitionByRange(day_col, *cluster_by).sortWithinPartitions(day_col, *cluster_by)
-       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(day_col).parquet(path))
-
 
 # --------------------------------------------------------------------------- snapshots (K3)
 

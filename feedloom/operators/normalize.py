@@ -63,7 +63,3 @@ def events(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     ok = F.col("GlobalEventID").isNotNull() & F.col("ts").isNotNull()
     return typed.filter(ok), typed.filter(~ok)
-
-
-def drop_position(df: DataFrame) -> DataFrame:
-    return df.drop(POS) if POS in df.columns else df

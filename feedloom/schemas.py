@@ -105,7 +105,7 @@ CITY_DIM = T.StructType([
     T.StructField("longitude", T.DoubleType(), False),
 ])
 
-# One row per job run: what was read and written (the reference prints this as JSON).
+# One row per job run: what was read and written (the feed jobs printed this as JSON).
 RUN_LOG = T.StructType([
     T.StructField("run_at", T.TimestampType(), False),
     T.StructField("job", T.StringType(), False),
@@ -116,7 +116,3 @@ RUN_LOG = T.StructType([
     T.StructField("rejects", T.LongType(), True),
     T.StructField("partitions", T.LongType(), True),
 ])
-
-
-def typed_event_columns() -> list[str]:
-    return list(EVENT_CASTS)

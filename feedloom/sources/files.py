@@ -33,11 +33,3 @@ def slots(days: DataFrame, day_col: str = "day", minutes: int = 15, as_ntz: bool
     end = start + F.make_dt_interval(mins=F.lit(24 * 60 - minutes))
     step = F.make_dt_interval(mins=F.lit(minutes))
     return days.select(F.col(day_col).alias("day"), F.explode(F.sequence(start, end, step)).alias("slot"))
-
-
-def calendar(first: Column, last: Column, spark: SparkSession | None = None, df: DataFrame | None = None) -> DataFrame:
-    """Every day from ``first`` to ``last`` (inclusive) as rows of ``day``.
-
-    ``first``/``last`` are expressions over ``df`` (typically an aggregate row).
-    """
-    return df.select(F.explode(F.sequence(first, last)).alias("day"))

@@ -137,3 +137,21 @@ def test_snapshot_versions_never_overwrite_what_they_read(spark, tmp_path):
     assert p1 != p2 and current_version(spark, root)[0] == 2
     assert _set(read_snapshot(spark, root).select("id", "v")) == [(1, 1.0), (2, 20.0), (3, 3.0), (4, 41.0)]
     assert _set(spark.read.parquet(p1)) == _set(o)  # the old version is intact
+
+
+def test_keep_first_keeps_the_oldest_copy(spark):
+    from feedloom.operators.dedup import keep_first
+    df = _df(spark, [(1, 1.0, "b", None), (1, 2.0, "a", None), (2, 3.0, "c", None)])
+    assert _set(keep_first(df, "id", by=["ts"]).select("id", "v")) == [(1, 2.0), (2, 3.0)]
+
+
+def test_read_days_prunes_to_the_requested_days(spark, tmp_path):
+    import datetime as dt
+    from feedloom.sources.parquet import last_days, read_days
+    root = str(tmp_path / "t")
+    df = spark.createDataFrame([(i, dt.date(2026, 9, 10 + i)) for i in range(6)], "id bigint, ingest_day date")
+    df.write.partitionBy("ingest_day").parquet(root)
+    assert sorted(r.id for r in read_days(spark, root, "2026-09-12", "2026-09-13").collect()) == [2, 3]
+    got = last_days(spark, root, dt.date(2026, 9, 15), 3)
+    assert sorted(r.id for r in got.collect()) == [3, 4, 5]
+    assert "PartitionFilters: [isnotnull(ingest_day" in got._jdf.queryExecution().executedPlan().toString()
