@@ -84,3 +84,15 @@ def test_latest_and_distinct_streams(spark, tmp_path):
     st.run_until_done(st.complete_to_table(st.distinct_stream(typed, "id"), out2, ck2))
     r = spark.read.parquet(out2).first()
     assert r.rows == 30 and abs(r.distinct_approx - 30) <= 2
+
+
+def test_dedup_stream_pre_reduces_a_hot_key(spark, tmp_path):
+    root, out, ck = (str(tmp_path / n) for n in ("landing", "out", "ck"))
+    recs = _recs(D1, 60)
+    hot = [(7, r[1], r[2]) for r in recs]  # one key delivered in every row of a pull
+    _pull(spark, root, "20260916120000", recs)
+    _pull(spark, root, "20260916121500", hot)
+    typed = _typed(st.landed_stream(spark, root, TEXT, position=False))
+    st.run_until_done(st.append_to_table(st.dedup_stream(typed, ["id"], "ts", pre_reduce=True), out, ck))
+    got = spark.read.parquet(out)
+    assert got.count() == 60 and got.select("id").distinct().count() == 60
