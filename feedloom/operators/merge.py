@@ -135,10 +135,11 @@ def compact_days(spark: SparkSession, table_path: str, new: DataFrame, keys,
               "rejects": sum(r.n for r in counts if r[REJECT]), "partitions": len(days),
               "rows_before": 0, "rows_after": 0}
     if keep_rejects and report["rejects"]:
-        staged.filter(F.col(REJECT)).drop(REJECT).write.mode("append").parquet(f"{table_path.rstrip('/')}/_rejects")
+        (staged.filter(F.col(REJECT)).select(*bad.columns)
+               .write.mode("append").parquet(f"{table_path.rstrip('/')}/_rejects"))
     if not days:
         return report
-    batch = staged.filter(~F.col(REJECT)).drop(REJECT)
+    batch = staged.filter(~F.col(REJECT)).select(*keyed.columns)
     before, after = Observation("before"), Observation("after")
     parts = [batch.withColumn(SRC, F.lit(1))]
     if table_exists(spark, table_path):

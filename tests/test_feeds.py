@@ -32,6 +32,8 @@ def test_weather_feed_end_to_end(spark, tmp_path):
     rep = compact_weather(spark, landing, table)
     assert rep["rows_after"] == 20 and rep["partitions"] == 2
     t = spark.read.parquet(table)
+    assert t.columns == ["city", "time", "temperature_c", "humidity_pct", "precipitation_mm", "wind_kmh",
+                         "weather_code", "day"]
     v = {(r.city, str(r.time)): r.temperature_c for r in t.collect()}
     assert v[("Vancouver", "2026-09-16 23:45:00")] == 20.0  # the later pull wins, in its own day
     assert t.filter("day = '2026-09-16'").count() == 10
@@ -74,6 +76,7 @@ def test_event_feed_end_to_end(spark, tmp_path):
     rep = compact_events(spark, landing, table)
     assert rep["rejects"] == 1 and rep["partitions"] == 2
     t = spark.read.parquet(table)
+    assert t.columns == EVENT_FIELDS + ["ts", "event_day", "ingest_day"]
     got = {(str(r.ingest_day), r.GlobalEventID): r.AvgTone for r in t.collect()}
     assert got == {("2026-09-16", 1): -3.0, ("2026-09-16", 2): None, ("2026-09-16", 4): 4.0,
                    ("2026-09-17", 1): 9.0}
