@@ -429,7 +429,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT date_trunc('hour', ts) AS h, count(*) AS n, round(avg(value), 4) AS tone
             FROM events WHERE {_WINDOW7} AND event_type = 'view' GROUP BY 1""",
         "hourly_domain": f"""
-            SELECT max(n) * 1.05 AS top, CAST(sum(n) AS BIGINT) AS total FROM (
+            SELECT CAST(max(n) AS DOUBLE) * 1.05 AS top, CAST(sum(n) AS BIGINT) AS total FROM (
               SELECT date_trunc('hour', ts) AS h, count(*) AS n FROM events WHERE {_WINDOW7} GROUP BY 1)""",
         "daily_summary": """
             SELECT event_type AS city, CAST(ts AS DATE) AS day, round(avg(value), 1) AS mean_c,
