@@ -71,6 +71,8 @@ def keep_one(df: DataFrame, keys, order: Sequence[Column | str] = (), keep_rank:
         o.append(F.desc(POS))
     else:
         o.extend(F.asc_nulls_last(c) for c in df.columns if c not in ks)
+    if not o:  # only key columns: every row of a group is the same row
+        o = [F.col(k) for k in ks]
     w = Window.partitionBy(*ks).orderBy(*o)
     out = df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
     return out if keep_rank else out.drop("_rn")

@@ -19,6 +19,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",   # AQE coalesces shuffle output to ~128 MB
+    "spark.sql.files.maxPartitionBytes": "256m",                 # scan splits: ~400k tasks per 100 TB
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     "spark.sql.execution.arrow.pyspark.enabled": "true",

@@ -126,3 +126,22 @@ def test_listing_stamps_and_empty_folder(spark, tmp_path):
     empty = tmp_path / "empty"
     empty.mkdir()
     assert read_table(spark, str(empty), "a int").count() == 0
+
+
+def test_unicode_line_separators_stay_inside_a_field(spark, tmp_path):
+    row = [str(i) for i in range(61)]
+    row[6] = "name with separator"
+    text = ("\t".join(row) + "\n").encode("utf-8")
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w") as z:
+        z.writestr("a.CSV", text)
+    (tmp_path / "20260916000000.export.CSV.zip").write_bytes(buf.getvalue())
+    got = read_event_zips(spark, str(tmp_path)).collect()
+    assert len(got) == 1 and got[0].Actor1Name == "name with separator" and got[0]._nfields == 61
+
+
+def test_no_source_files_means_no_write(spark, tmp_path):
+    from feedloom.operators.merge import compact_days, table_exists
+    empty = spark.createDataFrame([], "id bigint, day date")
+    rep = compact_days(spark, str(tmp_path / "t"), empty, "id", day_col="day")
+    assert rep["rows_in"] == 0 and rep["partitions"] == 0 and not table_exists(spark, str(tmp_path / "t"))
