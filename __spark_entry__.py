@@ -272,6 +272,11 @@ def q_window_totals(spark, sf):
     return window_totals(_day_events(spark, sf), "day", 7)
 
 
+def q_top_groups(spark, sf):
+    w = day_window(_day_events(spark, sf), "day", 7)
+    return top_groups(w, "event_type", 15, alias="country")
+
+
 def q_top_users(spark, sf):
     w = day_window(_day_events(spark, sf), "day", 7)
     return top_groups(w, "user_id", 15, alias="user_id")
@@ -388,6 +393,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_latest": q_stream_latest,
         "window_bounds": q_window_bounds,
         "window_totals": q_window_totals,
+        "top_groups": q_top_groups,
         "top_users": q_top_users,
         "top_hosts": q_top_hosts,
         "leaders_by_day": q_leaders_by_day,
@@ -495,6 +501,10 @@ def oracle_sql() -> dict[str, str]:
         "window_totals": f"""
             SELECT count(*) AS rows_scanned, count(DISTINCT CAST(ts AS DATE)) AS days
             FROM events WHERE {_DAY7}""",
+        "top_groups": f"""
+            SELECT event_type AS country, count(*) AS events FROM events
+            WHERE {_DAY7} AND event_type IS NOT NULL AND event_type <> ''
+            GROUP BY 1 ORDER BY events DESC, country LIMIT 15""",
         "top_users": f"""
             SELECT user_id, count(*) AS events FROM events
             WHERE {_DAY7} AND user_id IS NOT NULL

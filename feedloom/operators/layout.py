@@ -96,7 +96,9 @@ def write_snapshot(df: DataFrame, root: str, sort_by: Sequence[str]) -> str:
     spark = df.sparkSession
     version, _ = current_version(spark, root)
     path = f"{root.rstrip('/')}/_v={version + 1:06d}"
-    df.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by).write.mode("errorifexists").parquet(path)
+    # A folder of this version can only be left by a run that failed before the pointer moved;
+    # nothing reads an unpointed version, so a retry may overwrite it.
+    df.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by).write.mode("overwrite").parquet(path)
     ptr = spark.createDataFrame([(version + 1, path, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))],
                                 "version long, path string, committed_at timestamp_ntz")
     ptr.write.mode("append").parquet(_pointer(root))
