@@ -16,10 +16,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.operators import audit, normalize
+from feedloom.operators import normalize
 from feedloom.operators.layout import land_partitioned
 from feedloom.operators.merge import compact_days
 from feedloom.schemas import EVENT_FIELDS, WEATHER_FIELDS
@@ -62,13 +62,16 @@ def compact_weather(spark: SparkSession, landing: str, table: str, ingest_days:
 
 # --------------------------------------------------------------------------- events
 
-def land_event_exports(spark: SparkSession, pattern: str, landing: str) -> DataFrame:
-    """Unzip the exports matching ``pattern`` in tasks and land each as one CSV pull under
-    its own day. Returns the ragged-row audit (rows with other than 61 fields)."""
-    rows = read_event_zips(spark, pattern)
+def land_event_exports(spark: SparkSession, pattern: str, landing: str) -> dict:
+    """Unzip the exports matching ``pattern`` in tasks and land each as one CSV pull under its
+    own day. Returns ``{"rows", "ragged"}``, counted while landing (the archives are read once);
+    ragged rows (other than 61 fields) are cut or padded to 61, as the feed's own pull did."""
+    obs = Observation("landed")
+    rows = read_event_zips(spark, pattern).observe(
+        obs, F.count(F.lit(1)).alias("rows"), F.count_if(F.col("_nfields") != len(EVENT_FIELDS)).alias("ragged"))
     landed = rows.withColumn("ingest_day", day_of_stamp(F.col("stamp")))
     land_partitioned(landed.select(*EVENT_FIELDS, "ingest_day", "stamp"), landing)
-    return audit.ragged(rows, width_col="_nfields", expected=len(EVENT_FIELDS)).select("_file", "_line", "_nfields")
+    return dict(obs.get)
 
 
 def compact_events(spark: SparkSession, landing: str, table: str, ingest_days: Sequence | None = None) -> dict:

@@ -71,8 +71,8 @@ def test_event_feed_end_to_end(spark, tmp_path):
         [_event(1, "20260916001500", "-3.0"), _event(4, "20260916001500", "4", "")]))
     (z / "20260917000000.export.CSV.zip").write_bytes(_export([_event(1, "20260917000000", "9")]))
     landing, table = str(tmp_path / "landing"), str(tmp_path / "table")
-    ragged = land_event_exports(spark, str(z), landing)
-    assert ragged.count() == 0
+    landed = land_event_exports(spark, str(z), landing)
+    assert landed == {"rows": 6, "ragged": 0}
     rep = compact_events(spark, landing, table)
     assert rep["rejects"] == 1 and rep["partitions"] == 2
     t = spark.read.parquet(table)
