@@ -107,13 +107,14 @@ def compact_days(spark: SparkSession, table_path: str, new: DataFrame, keys,
                  order: Sequence[Column | str] = (), day_col: str = "ingest_day",
                  cluster_by: Sequence[str] | None = None, mode: str = "latest",
                  run_log: bool = True, keep_rejects: bool = True,
-                 rejects: DataFrame | None = None) -> dict:
+                 rejects: DataFrame | None = None, dry_run: bool = False):
     """Merge ``new`` into the day partitions it touches and overwrite only those partitions.
 
     De-duplication is per day (key = ``day_col`` + ``keys``); ``mode`` is ``"latest"`` (the
     batch wins) or ``"insert_only"`` (history wins). Untouched days are neither read nor
     written. Rows without a key or a day, and any upstream ``rejects`` (e.g. rows whose time
-    did not parse), go to ``<table>/_rejects``. Returns the run report.
+    did not parse), go to ``<table>/_rejects``. Returns the run report; with ``dry_run`` it
+    returns ``(report, merged DataFrame)`` and writes nothing (for inspecting the plan).
 
     Jobs: the de-duplicated batch and its rejects are staged once in the checkpoint folder
     (the raw batch is read once, and a lost executor re-reads the staged copy, not the
@@ -134,11 +135,11 @@ def compact_days(spark: SparkSession, table_path: str, new: DataFrame, keys,
     report = {"target": table_path, "rows_in": sum(r.n for r in counts if not r[REJECT]),
               "rejects": sum(r.n for r in counts if r[REJECT]), "partitions": len(days),
               "rows_before": 0, "rows_after": 0}
-    if keep_rejects and report["rejects"]:
+    if keep_rejects and report["rejects"] and not dry_run:
         (staged.filter(F.col(REJECT)).select(*bad.columns)
                .write.mode("append").parquet(f"{table_path.rstrip('/')}/_rejects"))
     if not days:
-        return report
+        return (report, None) if dry_run else report
     batch = staged.filter(~F.col(REJECT)).select(*keyed.columns)
     before, after = Observation("before"), Observation("after")
     parts = [batch.withColumn(SRC, F.lit(1))]
@@ -154,6 +155,8 @@ def compact_days(spark: SparkSession, table_path: str, new: DataFrame, keys,
     rank_src = F.desc(SRC) if mode == "latest" else F.asc(SRC)
     merged = keep_one(both, ks, [rank_src, *order]).drop(SRC, POS)
     out = merged.sortWithinPartitions(day_col, *cluster).observe(after, F.count(F.lit(1)).alias("n"))
+    if dry_run:
+        return report, out
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(day_col).parquet(table_path))
     report["rows_after"] = after.get.get("n", 0)

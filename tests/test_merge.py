@@ -155,3 +155,18 @@ def test_read_days_prunes_to_the_requested_days(spark, tmp_path):
     got = last_days(spark, root, dt.date(2026, 9, 15), 3)
     assert sorted(r.id for r in got.collect()) == [3, 4, 5]
     assert "PartitionFilters: [isnotnull(ingest_day" in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_compaction_reads_only_the_touched_day(spark, tmp_path):
+    import datetime as dt
+    table = str(tmp_path / "t")
+    hist = spark.createDataFrame([(i, float(i), "a", dt.date(2026, 9, 1 + i % 10)) for i in range(100)], SCHEMA)
+    compact_days(spark, table, hist, "id", day_col="day", run_log=False)
+    batch = _df(spark, [(5, 50.0, "b", dt.date(2026, 9, 6))])
+    report, merged = compact_days(spark, table, batch, "id", day_col="day", dry_run=True)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    pf = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "day#" in pf and "2026-09-06" in pf and "2026-09-05" not in pf
+    assert report["partitions"] == 1
+    got = {r.id: r.v for r in merged.collect()}
+    assert len(got) == 10 and got[5] == 50.0  # only day 2026-09-06's ten ids are rewritten
