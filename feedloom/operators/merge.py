@@ -128,12 +128,18 @@ def compact_days(spark: SparkSession, table_path: str, new: DataFrame, keys,
     keyed, no_key = split_null_keys(new, ks)
     bad = no_key if rejects is None else union_by_name(no_key, rejects)
     # The batch de-dup: partial group limit before its shuffle, so a hot key cannot swamp a task.
-    staged = cut_lineage(union_by_name(keep_one(keyed, ks, order).withColumn(REJECT, F.lit(False)),
-                                       bad.withColumn(REJECT, F.lit(True))))
-    counts = staged.groupBy(REJECT, day_col).agg(F.count(F.lit(1)).alias("n")).collect()  # <= days + 1 rows
-    days = sorted({r[day_col] for r in counts if not r[REJECT]})
-    report = {"target": table_path, "rows_in": sum(r.n for r in counts if not r[REJECT]),
-              "rejects": sum(r.n for r in counts if r[REJECT]), "partitions": len(days),
+    # Counts and the touched days are observed while staging (one job); the day set is bounded
+    # by the calendar span of one batch.
+    staging = Observation("staging")
+    good = ~F.col(REJECT)
+    staged = cut_lineage(
+        union_by_name(keep_one(keyed, ks, order).withColumn(REJECT, F.lit(False)),
+                      bad.withColumn(REJECT, F.lit(True)))
+        .observe(staging, F.count_if(good).alias("rows_in"), F.count_if(~good).alias("rejects"),
+                 F.collect_set(F.when(good, F.col(day_col))).alias("days")))
+    m = staging.get
+    days = sorted(m["days"])
+    report = {"target": table_path, "rows_in": m["rows_in"], "rejects": m["rejects"], "partitions": len(days),
               "rows_before": 0, "rows_after": 0}
     if keep_rejects and report["rejects"] and not dry_run:
         (staged.filter(F.col(REJECT)).select(*bad.columns)
