@@ -99,13 +99,19 @@ def distinct_stream(df: DataFrame, col: str, group: str | None = None) -> DataFr
 def compaction_query(stream: DataFrame, table_path: str, keys, checkpoint: str,
                      order: Sequence[Column | str] = (), day_col: str = "ingest_day",
                      mode: str = "latest", normalise=None, trigger: dict | None = None,
-                     name: str | None = None) -> StreamingQuery:
-    """Start the compaction stream: each micro-batch is merged into the days it touches."""
+                     name: str | None = None, **compact_options) -> StreamingQuery:
+    """Start the compaction stream: each micro-batch is merged into the days it touches.
+
+    ``normalise`` turns the landed text into typed rows; it may return ``(typed, rejects)``,
+    and the rejects are kept with the table (``_rejects``) by the compaction.
+    """
 
     def merge_batch(batch: DataFrame, epoch_id: int) -> None:
         batch = number_rows(batch)
-        typed = normalise(batch) if normalise else batch
-        compact_days(batch.sparkSession, table_path, typed, keys, order=order, day_col=day_col, mode=mode)
+        out = normalise(batch) if normalise else batch
+        typed, rejects = out if isinstance(out, tuple) else (out, None)
+        compact_days(batch.sparkSession, table_path, typed, keys, order=order, day_col=day_col, mode=mode,
+                     rejects=rejects, **compact_options)
 
     w = stream.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint)
     if name:
