@@ -17,7 +17,12 @@ def _c(c) -> Column:
 
 
 def strict(c, to: str) -> Column:
-    return _c(c).cast(to)
+    """Cast that fails the job on a non-empty value it cannot read, whatever the session's
+    ANSI setting (the weather feed's own rule: a bad reading is an error, not a NULL)."""
+    col = _c(c)
+    typed = F.trim(col.cast("string")).try_cast(to) if to not in ("string",) else col.cast(to)
+    bad = col.isNotNull() & (F.trim(col.cast("string")) != "") & typed.isNull()
+    return F.when(bad, F.raise_error(F.concat(F.lit(f"cannot cast to {to}: "), col.cast("string")))).otherwise(typed)
 
 
 def lenient(c, to: str) -> Column:

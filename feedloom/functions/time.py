@@ -24,7 +24,10 @@ def parse_compact_day(c) -> Column:
 
 def parse_weather_time(c) -> Column:
     """``YYYY-MM-DDTHH:MM`` to a timestamp (strict: a bad reading time is an error)."""
-    return F.to_timestamp(_c(c), WEATHER_TIME_FORMAT)
+    col = _c(c)
+    t = F.try_to_timestamp(col, F.lit(WEATHER_TIME_FORMAT))
+    bad = col.isNotNull() & t.isNull()
+    return F.when(bad, F.raise_error(F.concat(F.lit("bad reading time: "), col))).otherwise(t)
 
 
 def fmt_minute(c) -> Column:

@@ -23,6 +23,7 @@ DEFAULT_CONF = {
     "spark.sql.files.maxPartitionBytes": "256m",                 # scan splits: ~400k tasks per 100 TB
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
