@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from feedloom.functions.casts import lenient_number, strict
 from feedloom.functions.text import blank_to_null
 from feedloom.functions.time import parse_compact_day, parse_stamp, parse_weather_time
-from feedloom.operators.dedup import POS
 from feedloom.schemas import EVENT_CASTS, EVENT_FIELDS, WEATHER_FIELDS
 
 WEATHER_TYPES = {"temperature_c": "double", "humidity_pct": "double", "precipitation_mm": "double",

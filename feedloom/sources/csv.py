@@ -10,7 +10,6 @@ from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedloom.operators.dedup import with_position
