@@ -19,12 +19,15 @@ from feedloom.plans.lookback import as_time, resolve_as_of
 def hourly(df: DataFrame, as_of="now", days: int = 7, group: str | None = None,
            group_col: str = "ActionGeo_CountryCode", ts: str = "ts", value: str = "AvgTone",
            normalise_group: bool = True, partition_col: str | None = None,
-           digits: int | None = None) -> DataFrame:
+           digits: int | None = None, fill: bool = False) -> DataFrame:
     """``h, n, tone`` per hour for rows with ``ts >= as_of - days``, optionally one group.
 
     ``partition_col`` names a day partition column (e.g. ``ingest_day``); when given, the same
     bound is also applied to it so Spark prunes partitions before reading any file. A row
     lands in the partition of its own day or a later one, so this never drops a row.
+
+    Hours without rows are absent, as in a GROUP BY; ``fill=True`` adds them with ``n = 0``
+    (and a NULL tone), joining onto the window's hour axis (24 rows a day).
     """
     anchor = resolve_as_of(df, ts, as_of, partition_col)
     lower = anchor - F.make_dt_interval(days=F.lit(days))
@@ -37,5 +40,14 @@ def hourly(df: DataFrame, as_of="now", days: int = 7, group: str | None = None,
     tone = F.avg(lenient(value, "double"))
     if digits is not None:
         tone = F.round(tone, digits)
-    return (out.groupBy(as_time(df, ts, hour_of(ts)).alias("h"))
-               .agg(F.count(F.lit(1)).alias("n"), tone.alias("tone")))
+    counts = (out.groupBy(as_time(df, ts, hour_of(ts)).alias("h"))
+                 .agg(F.count(F.lit(1)).alias("n"), tone.alias("tone")))
+    if not fill:
+        return counts
+    first_hour, last_hour = as_time(df, ts, hour_of(lower)), as_time(df, ts, hour_of(anchor))
+    axis = (df.sparkSession.range(1)
+              .select(F.explode(F.sequence(first_hour, last_hour, F.make_dt_interval(hours=F.lit(1)))).alias("h")))
+    # Both sides hold at most one row per hour of the window; the counts side is the one a
+    # left outer join can build on.
+    return (axis.join(F.broadcast(counts), "h", "left")
+                .select("h", F.coalesce("n", F.lit(0)).alias("n"), "tone"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from feedloom.functions.time import fmt_minute, minute_of
 from feedloom.operators.dedup import keep_one
 from feedloom.operators.joins import dense_index
-from feedloom.plans.lookback import since
+from feedloom.plans.lookback import resolve_as_of, since
 
 
 def exact_sum(c, digits: int) -> F.Column:
@@ -22,23 +22,31 @@ def exact_sum(c, digits: int) -> F.Column:
     return F.round(F.sum(col.cast("decimal(38,6)")), digits).cast("double")
 
 
+def _window(df: DataFrame, ts: str, as_of, days: int, partition_col: str | None) -> DataFrame:
+    rows = since(df, ts, as_of, days, partition_col)
+    if partition_col:  # same bound on the day partitions: whole days are skipped before any read
+        anchor = resolve_as_of(df, ts, as_of, partition_col)
+        rows = rows.filter(F.col(partition_col) >= F.to_date(anchor - F.make_dt_interval(days=F.lit(days))))
+    return rows
+
+
 def series_one(df: DataFrame, city: str, as_of="now", days: int = 7, city_col: str = "city",
                ts: str = "time", value: str = "temperature_c", extra: Sequence[str] = ("precipitation_mm",),
-               tie: Sequence[str] = ()) -> DataFrame:
+               tie: Sequence[str] = (), partition_col: str | None = None) -> DataFrame:
     """One city's readings over the look-back, one row per reading minute, in time order.
 
     The copy kept for a minute is the latest reading time, then ``tie`` columns descending.
     """
-    rows = since(df, ts, as_of, days).filter(F.col(city_col) == F.lit(city))
+    rows = _window(df, ts, as_of, days, partition_col).filter(F.col(city_col) == F.lit(city))
     rows = rows.withColumn("_t", minute_of(ts))
     one = keep_one(rows, ["_t"], [F.desc(ts), *[F.desc(c) for c in tie]])
     return one.select(fmt_minute("_t").alias("time"), value, *extra).orderBy("time")
 
 
 def series_all(df: DataFrame, as_of="now", days: int = 7, city_col: str = "city", ts: str = "time",
-               value: str = "temperature_c", tie: Sequence[str] = ()) -> DataFrame:
+               value: str = "temperature_c", tie: Sequence[str] = (), partition_col: str | None = None) -> DataFrame:
     """Every city's readings over the look-back, one row per city and minute."""
-    rows = since(df, ts, as_of, days).withColumn("_t", minute_of(ts))
+    rows = _window(df, ts, as_of, days, partition_col).withColumn("_t", minute_of(ts))
     one = keep_one(rows, [city_col, "_t"], [F.desc(ts), *[F.desc(c) for c in tie]])
     return (one.select(F.col(city_col).alias("city"), fmt_minute("_t").alias("time"), value)
                .orderBy("city", "time"))

@@ -217,3 +217,23 @@ def test_newest_partition_anchor_reads_one_day(spark, day_table):
     plan = fast._jdf.queryExecution().executedPlan().toString()
     # the anchor's own scan carries a partition filter on the newest day
     assert plan.count("PartitionFilters: [isnotnull(ingest_day") >= 2
+
+
+def test_zero_event_hours_are_absent_unless_filled(spark):
+    t0 = dt.datetime(2026, 9, 16, 10, 5)
+    df = spark.createDataFrame([(t0, 1.0), (t0 + dt.timedelta(hours=2), 3.0)], "ts timestamp, AvgTone double")
+    plain = hourly(df, as_of=dt.datetime(2026, 9, 16, 12, 30), days=1)
+    assert sorted(r.n for r in plain.collect()) == [1, 1]
+    filled = {r.h: (r.n, r.tone) for r in hourly(df, as_of=dt.datetime(2026, 9, 16, 12, 30), days=1, fill=True).collect()}
+    assert len(filled) == 25 and filled[dt.datetime(2026, 9, 16, 11)] == (0, None)
+    assert filled[dt.datetime(2026, 9, 16, 12)] == (1, 3.0)
+
+
+def test_series_prune_day_partitions(spark, day_table):
+    from feedloom.plans.series import series_all
+    t = spark.read.parquet(day_table)
+    a = series_all(t, as_of="newest_partition", days=3, city_col="ActionGeo_CountryCode", ts="ts",
+                   value="AvgTone", partition_col="ingest_day")
+    b = series_all(t, as_of="latest", days=3, city_col="ActionGeo_CountryCode", ts="ts", value="AvgTone")
+    assert a.collect() == b.collect() and a.count() > 0
+    assert "ingest_day#" in _plan(a).split("PartitionFilters: [")[1].split("]")[0]
