@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.functions.casts import lost_in_cast
+from feedloom.operators.dedup import comparable
 from feedloom.sources.files import slots
 
 
@@ -54,8 +55,9 @@ def duplicates(df: DataFrame, keys, value_cols: Sequence[str] | None = None) ->
     """
     ks = _cols(keys)
     vals = list(value_cols) if value_cols is not None else [c for c in df.columns if c not in ks]
+    contents = F.struct(*[comparable(df, c).alias(c) for c in vals])
     return (df.groupBy(*ks)
-              .agg(F.count(F.lit(1)).alias("copies"), F.count_distinct(F.struct(*vals)).alias("versions"))
+              .agg(F.count(F.lit(1)).alias("copies"), F.count_distinct(contents).alias("versions"))
               .filter(F.col("copies") > 1))
 
 

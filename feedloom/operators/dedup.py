@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 POS = "_pos"      # struct(stamp, file path, block start, row id): where a raw row sat in the landing
 SRC = "_src"      # 0 = history, 1 = new batch
@@ -58,6 +59,21 @@ def split_null_keys(df: DataFrame, keys) -> tuple[DataFrame, DataFrame]:
     return df.filter(has_key), df.filter(~has_key)
 
 
+def _has_map(t: T.DataType) -> bool:
+    if isinstance(t, T.MapType):
+        return True
+    if isinstance(t, T.StructType):
+        return any(_has_map(f.dataType) for f in t.fields)
+    if isinstance(t, T.ArrayType):
+        return _has_map(t.elementType)
+    return False
+
+
+def comparable(df: DataFrame, c: str) -> Column:
+    """``c`` as something Spark can sort and compare (maps are not: they become JSON text)."""
+    return F.to_json(F.col(c)) if _has_map(df.schema[c].dataType) else F.col(c)
+
+
 def keep_one(df: DataFrame, keys, order: Sequence[Column | str] = (), keep_rank: bool = False) -> DataFrame:
     """Keep the first row per key under ``order`` (first = winner).
 
@@ -70,7 +86,7 @@ def keep_one(df: DataFrame, keys, order: Sequence[Column | str] = (), keep_rank:
     if POS in df.columns:
         o.append(F.desc(POS))
     else:
-        o.extend(F.asc_nulls_last(c) for c in df.columns if c not in ks)
+        o.extend(F.asc_nulls_last(comparable(df, c)) for c in df.columns if c not in ks)
     if not o:  # only key columns: every row of a group is the same row
         o = [F.col(k) for k in ks]
     w = Window.partitionBy(*ks).orderBy(*o)

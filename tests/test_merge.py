@@ -170,3 +170,10 @@ def test_compaction_reads_only_the_touched_day(spark, tmp_path):
     assert report["partitions"] == 1
     got = {r.id: r.v for r in merged.collect()}
     assert len(got) == 10 and got[5] == 50.0  # only day 2026-09-06's ten ids are rewritten
+
+
+def test_map_columns_do_not_break_tie_breaks_or_audits(spark):
+    from feedloom.operators import audit
+    df = spark.createDataFrame([(1, {"a": 1}), (1, {"a": 2}), (2, {"b": 1})], "id bigint, m map<string,int>")
+    assert keep_one(df, "id").count() == 2
+    assert {r.id: r.versions for r in audit.duplicates(df, "id").collect()} == {1: 2}
