@@ -43,3 +43,12 @@ def lost_in_cast(raw, typed) -> Column:
     """True where a non-empty raw value became NULL after the cast."""
     r = _c(raw)
     return r.isNotNull() & (F.trim(r.cast("string")) != "") & _c(typed).isNull()
+
+
+def lenient_in(df, c: str, to: str) -> Column:
+    """``lenient`` for a column of ``df``: only text goes through parsing; a numeric column is
+    cast directly (no per-row string round trip)."""
+    t = df.schema[c].dataType.simpleString()
+    if t in ("string", "varchar", "char") or t.startswith(("varchar", "char")):
+        return lenient(c, to)
+    return F.col(c).cast(to)

@@ -10,11 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedloom.functions.casts import lenient
+from feedloom.functions.casts import lenient_in
 from feedloom.functions.labels import quad_label
 from feedloom.functions.text import non_blank
-from feedloom.functions.time import hour_of
-from feedloom.plans.lookback import as_time, literal_day_window
+from feedloom.plans.lookback import floor_time, literal_day_window
 
 
 def top_groups(df: DataFrame, group: str, k: int = 15, alias: str = "country", count_name: str = "events") -> DataFrame:
@@ -28,7 +27,7 @@ def leaders_tone(window: DataFrame, leaders: DataFrame, day: str, group: str, to
                  alias: str = "country", digits: int | None = None) -> DataFrame:
     """Mean tone by day for the leading groups (G4, J2). ``leaders`` has at most k rows."""
     sel = window.join(F.broadcast(leaders.select(F.col(alias).alias(group))), group, "left_semi")
-    t = F.avg(lenient(tone, "double"))
+    t = F.avg(lenient_in(window, tone, "double"))
     if digits is not None:
         t = F.round(t, digits)
     return sel.groupBy(F.col(day).alias("day"), F.col(group).alias(alias)).agg(t.alias("tone"))
@@ -62,8 +61,8 @@ def dashboard(df: DataFrame, days: int = 7, top: int = 15, tone: int = 6, day: s
     window, first, last = literal_day_window(df, day, days)
     spark = df.sparkSession
     bounds = spark.createDataFrame([(last, first)], "last_day date, first_day date")
-    t = lenient(tone_col, "double")
-    slim = window.select(F.col(day).alias("day"), as_time(df, ts, hour_of(ts)).alias("hour"),
+    t = lenient_in(df, tone_col, "double")
+    slim = window.select(F.col(day).alias("day"), floor_time(df, ts, "hour").alias("hour"),
                          F.col(group).alias("country"), F.col(cls).alias(cls), t.alias("_tone"))
     sets = [[], ["day"], ["hour"], ["country"], ["day", cls], ["day", "country"]]
     cube = cut_lineage(

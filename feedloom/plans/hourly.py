@@ -10,10 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.functions.casts import lenient
+from feedloom.functions.casts import lenient_in
 from feedloom.functions.text import country_code
 from feedloom.functions.time import hour_of
-from feedloom.plans.lookback import as_time, resolve_as_of
+from feedloom.plans.lookback import as_time, floor_time, resolve_as_of
 
 
 def hourly(df: DataFrame, as_of="now", days: int = 7, group: str | None = None,
@@ -37,10 +37,10 @@ def hourly(df: DataFrame, as_of="now", days: int = 7, group: str | None = None,
     if group is not None:
         key = country_code(group) if normalise_group else F.lit(group)
         out = out.filter(F.col(group_col) == key)
-    tone = F.avg(lenient(value, "double"))
+    tone = F.avg(lenient_in(df, value, "double"))
     if digits is not None:
         tone = F.round(tone, digits)
-    counts = (out.groupBy(as_time(df, ts, hour_of(ts)).alias("h"))
+    counts = (out.groupBy(floor_time(df, ts, "hour").alias("h"))
                  .agg(F.count(F.lit(1)).alias("n"), tone.alias("tone")))
     if not fill:
         return counts

@@ -31,6 +31,17 @@ def as_time(df: DataFrame, ts: str, c: Column) -> Column:
     return c.cast(ts_type(df, ts))
 
 
+def floor_time(df: DataFrame, ts: str, unit: str) -> Column:
+    """Start of the ``unit`` (``'hour'``, ``'minute'``) holding ``ts``, typed like ``ts``.
+
+    A wall-clock (NTZ) time is floored on the wall clock itself (a tumbling window, no zone),
+    so a session zone with daylight saving cannot move it; a zoned time uses ``date_trunc``.
+    """
+    if ts_type(df, ts).simpleString() == "timestamp_ntz":
+        return F.window(ts, f"1 {unit}").start
+    return as_time(df, ts, F.date_trunc(unit, ts))
+
+
 def resolve_as_of(df: DataFrame, ts: str, as_of="now", partition_col: str | None = None) -> Column:
     if isinstance(as_of, Column):
         return as_of

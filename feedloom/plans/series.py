@@ -10,10 +10,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.functions.time import fmt_minute, minute_of
+from feedloom.functions.time import fmt_minute
 from feedloom.operators.dedup import keep_one
 from feedloom.operators.joins import dense_index
-from feedloom.plans.lookback import resolve_as_of, since
+from feedloom.plans.lookback import floor_time, resolve_as_of, since
 
 
 def exact_sum(c, digits: int) -> F.Column:
@@ -22,6 +22,13 @@ def exact_sum(c, digits: int) -> F.Column:
     return F.round(F.sum(col.cast("decimal(38,6)")), digits).cast("double")
 
 
+def _minute_text(df: DataFrame, c: str) -> F.Column:
+    """``YYYY-MM-DDTHH:MM``; a wall-clock (NTZ) time is formatted without any zone."""
+    if c in df.columns and df.schema[c].dataType.simpleString() == "timestamp_ntz":
+        return F.regexp_replace(F.substring(F.col(c).cast("string"), 1, 16), " ", "T")
+    return fmt_minute(c)
+
+
 def _window(df: DataFrame, ts: str, as_of, days: int, partition_col: str | None) -> DataFrame:
     rows = since(df, ts, as_of, days, partition_col)
     if partition_col:  # same bound on the day partitions: whole days are skipped before any read
@@ -38,17 +45,17 @@ def series_one(df: DataFrame, city: str, as_of="now", days: int = 7, city_col: s
     The copy kept for a minute is the latest reading time, then ``tie`` columns descending.
     """
     rows = _window(df, ts, as_of, days, partition_col).filter(F.col(city_col) == F.lit(city))
-    rows = rows.withColumn("_t", minute_of(ts))
+    rows = rows.withColumn("_t", floor_time(df, ts, "minute"))
     one = keep_one(rows, ["_t"], [F.desc(ts), *[F.desc(c) for c in tie]])
-    return one.select(fmt_minute("_t").alias("time"), value, *extra).orderBy("time")
+    return one.select(_minute_text(one, "_t").alias("time"), value, *extra).orderBy("time")
 
 
 def series_all(df: DataFrame, as_of="now", days: int = 7, city_col: str = "city", ts: str = "time",
                value: str = "temperature_c", tie: Sequence[str] = (), partition_col: str | None = None) -> DataFrame:
     """Every city's readings over the look-back, one row per city and minute."""
-    rows = _window(df, ts, as_of, days, partition_col).withColumn("_t", minute_of(ts))
+    rows = _window(df, ts, as_of, days, partition_col).withColumn("_t", floor_time(df, ts, "minute"))
     one = keep_one(rows, [city_col, "_t"], [F.desc(ts), *[F.desc(c) for c in tie]])
-    return (one.select(F.col(city_col).alias("city"), fmt_minute("_t").alias("time"), value)
+    return (one.select(F.col(city_col).alias("city"), _minute_text(one, "_t").alias("time"), value)
                .orderBy("city", "time"))
 
 

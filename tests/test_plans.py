@@ -237,3 +237,17 @@ def test_series_prune_day_partitions(spark, day_table):
     b = series_all(t, as_of="latest", days=3, city_col="ActionGeo_CountryCode", ts="ts", value="AvgTone")
     assert a.collect() == b.collect() and a.count() > 0
     assert "ingest_day#" in _plan(a).split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_wall_clock_hours_ignore_daylight_saving(spark):
+    from feedloom.plans.series import series_all
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        t = dt.datetime(2024, 3, 10, 2, 30)  # does not exist as Los Angeles local time
+        df = spark.createDataFrame([(t, 1.0, "a")], "ts timestamp_ntz, AvgTone double, city string")
+        h = hourly(df, as_of=dt.datetime(2024, 3, 10, 3), days=1).collect()
+        assert [(r.h, r.n) for r in h] == [(dt.datetime(2024, 3, 10, 2), 1)]
+        s = series_all(df, as_of=dt.datetime(2024, 3, 10, 3), days=1, ts="ts", value="AvgTone").collect()
+        assert [r.time for r in s] == ["2024-03-10T02:30"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
