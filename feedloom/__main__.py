@@ -4,9 +4,9 @@ Each command is one Spark job over files; query commands print their (bounded) a
 JSON rows: hourly and daily answers have one row per hour or day, SQL is capped at 500 rows.
 
   land-events     --exports GLOB --landing PATH
-  compact-events  --landing PATH --table PATH [--days D ...]
+  compact-events  --landing PATH --table PATH [--days D ...] [--layout day|snapshot] [--mode latest|insert_only]
   land-weather    --payloads GLOB --landing PATH
-  compact-weather --landing PATH --table PATH [--days D ...]
+  compact-weather --landing PATH --table PATH [--days D ...] [--layout day|snapshot] [--mode latest|insert_only]
   stream-compact  --landing PATH --table PATH --checkpoint PATH [--feed events|weather] [--every "15 minutes"]
   hourly          --table PATH [--country CA] [--days 7] [--as-of now|latest|newest_partition]
   daily           --table PATH [--city NAME]
@@ -34,10 +34,12 @@ def _parser() -> argparse.ArgumentParser:
     sub = p.add_subparsers(dest="cmd", required=True)
     a = sub.add_parser("land-events"); a.add_argument("--exports", required=True); a.add_argument("--landing", required=True)
     a = sub.add_parser("compact-events"); a.add_argument("--landing", required=True); a.add_argument("--table", required=True)
-    a.add_argument("--days", nargs="*")
+    a.add_argument("--days", nargs="*"); a.add_argument("--layout", default="day", choices=["day", "snapshot"])
+    a.add_argument("--mode", default="latest", choices=["latest", "insert_only"])
     a = sub.add_parser("land-weather"); a.add_argument("--payloads", required=True); a.add_argument("--landing", required=True)
     a = sub.add_parser("compact-weather"); a.add_argument("--landing", required=True); a.add_argument("--table", required=True)
-    a.add_argument("--days", nargs="*")
+    a.add_argument("--days", nargs="*"); a.add_argument("--layout", default="day", choices=["day", "snapshot"])
+    a.add_argument("--mode", default="latest", choices=["latest", "insert_only"])
     a = sub.add_parser("stream-compact"); a.add_argument("--landing", required=True); a.add_argument("--table", required=True)
     a.add_argument("--checkpoint", required=True); a.add_argument("--feed", default="events", choices=["events", "weather"])
     a.add_argument("--every", default=None, help="processing-time trigger, e.g. '15 minutes'; default availableNow")
@@ -60,22 +62,24 @@ def main(argv=None, spark=None, out=sys.stdout) -> int:
     if args.cmd == "land-events":
         print(json.dumps(feeds.land_event_exports(spark, args.exports, args.landing)), file=out)
     elif args.cmd == "compact-events":
-        print(json.dumps(feeds.compact_events(spark, args.landing, args.table, args.days), default=str), file=out)
+        print(json.dumps(feeds.compact_events(spark, args.landing, args.table, args.days, args.layout, args.mode),
+                         default=str), file=out)
     elif args.cmd == "land-weather":
         print(json.dumps({"unmatched": feeds.land_weather_payloads(spark, args.payloads, args.landing).count()}), file=out)
     elif args.cmd == "compact-weather":
-        print(json.dumps(feeds.compact_weather(spark, args.landing, args.table, args.days), default=str), file=out)
+        print(json.dumps(feeds.compact_weather(spark, args.landing, args.table, args.days, args.layout, args.mode),
+                         default=str), file=out)
     elif args.cmd == "stream-compact":
         _stream_compact(spark, args)
     elif args.cmd == "hourly":
         from feedloom.plans.hourly import hourly
-        t = spark.read.parquet(args.table)
+        t = _table(spark, args.table)
         part = "ingest_day" if "ingest_day" in t.columns else None
         _emit("hourly", hourly(t, as_of=args.as_of, days=args.days, group=args.country, partition_col=part)
               .orderBy("h"), out)
     elif args.cmd == "daily":
         from feedloom.plans.series import daily_summary
-        _emit("daily", daily_summary(spark.read.parquet(args.table), city=args.city), out)
+        _emit("daily", daily_summary(_table(spark, args.table), city=args.city), out)
     elif args.cmd == "dashboard":
         from feedloom.plans.dashboard import dashboard
         d = dashboard(spark.read.parquet(args.table), days=args.days, top=args.top, tone=args.tone)
@@ -83,10 +87,16 @@ def main(argv=None, spark=None, out=sys.stdout) -> int:
             _emit(name, df, out)
     elif args.cmd == "sql":
         from feedloom.plans.adhoc import adhoc
-        _emit("rows", adhoc(spark, {args.view: spark.read.parquet(args.table)}, args.q), out)
+        _emit("rows", adhoc(spark, {args.view: _table(spark, args.table)}, args.q), out)
     return 0
 
 
+def _table(spark, path: str):
+    """A day table, or the current version of a snapshot root."""
+    from feedloom.operators.layout import current_version, read_snapshot
+    return read_snapshot(spark, path) if current_version(spark, path)[1] else spark.read.parquet(path)
+
+
 def _stream_compact(spark, args) -> None:
     from pyspark.sql import functions as F
     from pyspark.sql import types as T

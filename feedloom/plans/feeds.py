@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from feedloom.operators import normalize
 from feedloom.operators.layout import land_partitioned
-from feedloom.operators.merge import compact_days
+from feedloom.operators.merge import compact_days, merge_into_snapshot
 from feedloom.schemas import EVENT_FIELDS, WEATHER_FIELDS
 from feedloom.sources.csv import read_event_csv, read_weather_csv
 from feedloom.sources.files import day_of_stamp, stamp_of
@@ -50,14 +50,19 @@ def land_weather_payloads(spark: SparkSession, payload_paths, landing: str) -> D
     return rejects
 
 
-def compact_weather(spark: SparkSession, landing: str, table: str, ingest_days: Sequence | None = None) -> dict:
+def compact_weather(spark: SparkSession, landing: str, table: str, ingest_days: Sequence | None = None,
+                    layout: str = "day", mode: str = "latest") -> dict:
     """Landed weather pulls (optionally only some ingest days, e.g. today and yesterday) into
-    the reading-day table: one row per (city, time), the later pull winning."""
+    the reading-day table (``layout="day"``) or the whole-history snapshot (``"snapshot"``):
+    one row per (city, time), the later pull winning (``mode="latest"``) or the first kept."""
     raw = _day_filter(read_weather_csv(spark, landing, basePath=landing), ingest_days)
     typed, bad = normalize.weather(raw)
+    if layout == "snapshot":
+        return merge_into_snapshot(spark, table, typed.select(*WEATHER_FIELDS, "_pos"), ["city", "time"],
+                                   mode=mode, sort_by=["time", "city"], rejects=bad)
     typed = typed.withColumn("day", F.to_date("time")).select(*WEATHER_FIELDS, "day", "_pos")
     return compact_days(spark, table, typed, ["city", "time"], day_col="day", cluster_by=["time", "city"],
-                        rejects=bad)
+                        rejects=bad, mode=mode)
 
 
 # --------------------------------------------------------------------------- events
@@ -74,11 +79,17 @@ def land_event_exports(spark: SparkSession, pattern: str, landing: str) -> dict:
     return dict(obs.get)
 
 
-def compact_events(spark: SparkSession, landing: str, table: str, ingest_days: Sequence | None = None) -> dict:
-    """Landed event pulls of the given ingest days into the day table (C4): lenient types,
-    one row per (ingest_day, GlobalEventID), newest DATEADDED first, then the later pull."""
+def compact_events(spark: SparkSession, landing: str, table: str, ingest_days: Sequence | None = None,
+                   layout: str = "day", mode: str = "latest") -> dict:
+    """Landed event pulls of the given ingest days into the day table (C4, ``layout="day"``:
+    one row per (ingest_day, GlobalEventID)) or the whole-history snapshot (``"snapshot"``: one
+    row per GlobalEventID; ``mode="insert_only"`` keeps history rows and adds unseen ids).
+    Newest DATEADDED first, then the later pull."""
     raw = _day_filter(read_event_csv(spark, landing, basePath=landing), ingest_days)
     typed, bad = normalize.events(raw)
     typed = typed.drop("_corrupt_record", "stamp")
+    if layout == "snapshot":
+        return merge_into_snapshot(spark, table, typed.drop("ingest_day"), "GlobalEventID", order=[F.desc("ts")],
+                                   mode=mode, rejects=bad.drop("stamp"))
     return compact_days(spark, table, typed, "GlobalEventID", order=[F.desc("ts")],
-                        day_col="ingest_day", cluster_by=["GlobalEventID"], rejects=bad.drop("stamp"))
+                        day_col="ingest_day", cluster_by=["GlobalEventID"], rejects=bad.drop("stamp"), mode=mode)

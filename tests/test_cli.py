@@ -65,3 +65,25 @@ def test_event_jobs(spark, tmp_path):
     dash = {k: v for d in _run(spark, "dashboard", "--table", table, "--top", "1", "--tone", "1") for k, v in d.items()}
     assert dash["totals"] == [{"rows_scanned": 4, "days": 2}]
     assert dash["top_countries"] == [{"country": "CA", "events": 3}]
+
+
+def test_whole_history_snapshot_modes(spark, tmp_path):
+    pay = tmp_path / "payloads"
+    pay.mkdir()
+    (pay / "20260916191500.json").write_text(json.dumps(_payload("2026-09-16T19:15", 10.0)))
+    landing = str(tmp_path / "landing")
+    _run(spark, "land-weather", "--payloads", str(pay), "--landing", landing)
+    snap = str(tmp_path / "snap")
+    r1 = _run(spark, "compact-weather", "--landing", landing, "--table", snap, "--layout", "snapshot")[0]
+    assert r1["rows_after"] == 10 and r1["rows_before"] == 0
+    (pay / "20260916200000.json").write_text(json.dumps(_payload("2026-09-16T19:15", 50.0)))  # a correction
+    land2 = str(tmp_path / "landing2")
+    _run(spark, "land-weather", "--payloads", str(pay / "20260916200000.json"), "--landing", land2)
+    keep = _run(spark, "compact-weather", "--landing", land2, "--table", snap, "--layout", "snapshot",
+                "--mode", "insert_only")[0]
+    assert keep["rows_before"] == 10 and keep["rows_after"] == 10
+    rows = _run(spark, "sql", "--table", snap, "--q", "SELECT max(temperature_c) AS t FROM weather")[0]["rows"]
+    assert rows == [{"t": 19.0}]  # history won
+    _run(spark, "compact-weather", "--landing", land2, "--table", snap, "--layout", "snapshot")
+    rows = _run(spark, "sql", "--table", snap, "--q", "SELECT max(temperature_c) AS t FROM weather")[0]["rows"]
+    assert rows == [{"t": 59.0}]  # the batch won
