@@ -10,6 +10,7 @@ JSON rows: hourly and daily answers have one row per hour or day, SQL is capped
   stream-compact  --landing PATH --table PATH --checkpoint PATH [--feed events|weather] [--every "15 minutes"]
   hourly          --table PATH [--country CA] [--days 7] [--as-of now|latest|newest_partition]
   daily           --table PATH [--city NAME]
+  series          --table PATH --out PATH [--city NAME] [--days 7] [--as-of now|latest|newest_partition]
   dashboard       --table PATH [--days 7] [--top 15] [--tone 6]
   sql             --table PATH [--view weather] [--q "SELECT ..."]
 """
@@ -46,6 +47,8 @@ def _parser() -> argparse.ArgumentParser:
     a = sub.add_parser("hourly"); a.add_argument("--table", required=True); a.add_argument("--country")
     a.add_argument("--days", type=int, default=7); a.add_argument("--as-of", default="now")
     a = sub.add_parser("daily"); a.add_argument("--table", required=True); a.add_argument("--city")
+    a = sub.add_parser("series"); a.add_argument("--table", required=True); a.add_argument("--out", required=True)
+    a.add_argument("--city"); a.add_argument("--days", type=int, default=7); a.add_argument("--as-of", default="now")
     a = sub.add_parser("dashboard"); a.add_argument("--table", required=True); a.add_argument("--days", type=int, default=7)
     a.add_argument("--top", type=int, default=15); a.add_argument("--tone", type=int, default=6)
     a = sub.add_parser("sql"); a.add_argument("--table", required=True); a.add_argument("--view", default="weather")
@@ -80,6 +83,20 @@ def main(argv=None, spark=None, out=sys.stdout) -> int:
     elif args.cmd == "daily":
         from feedloom.plans.series import daily_summary
         _emit("daily", daily_summary(_table(spark, args.table), city=args.city), out)
+    elif args.cmd == "series":
+        # The pre-rendered series (K7): written as a sorted table rather than drawn.
+        from feedloom.operators.layout import materialise
+        from feedloom.plans.series import series_all, series_one
+        t = _table(spark, args.table)
+        part = "day" if "day" in t.columns else None
+        if args.city:
+            s = series_one(t, args.city, as_of=args.as_of, days=args.days, partition_col=part)
+            order = ["time"]
+        else:
+            s = series_all(t, as_of=args.as_of, days=args.days, partition_col=part)
+            order = ["city", "time"]
+        n = materialise(s, args.out, sort_by=order).count()
+        print(json.dumps({"written": args.out, "rows": n}), file=out)
     elif args.cmd == "dashboard":
         from feedloom.plans.dashboard import dashboard
         d = dashboard(spark.read.parquet(args.table), days=args.days, top=args.top, tone=args.tone)

@@ -35,6 +35,10 @@ def test_weather_jobs(spark, tmp_path):
     assert len(rows) == 10 and all(r["readings"] == 2 for r in rows)
     rep = _run(spark, "compact-weather", "--landing", landing, "--table", table)[0]
     assert rep["rows_after"] == 20
+    out = str(tmp_path / "series")
+    assert _run(spark, "series", "--table", table, "--out", out, "--as-of", "latest") == [{"written": out, "rows": 20}]
+    one = str(tmp_path / "bergen")
+    assert _run(spark, "series", "--table", table, "--out", one, "--city", "Bergen", "--as-of", "newest_partition")[0]["rows"] == 2
 
 
 def test_event_jobs(spark, tmp_path):
