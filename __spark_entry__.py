@@ -35,7 +35,9 @@ from feedloom.plans.series import (
     series_totals,
 )
 from feedloom.session import scratch_path
-from feedloom.sources.csv import read_text_csv
+from feedloom.operators import normalize
+from feedloom.schemas import EVENT_FIELDS
+from feedloom.sources.csv import read_event_tsv, read_text_csv
 from feedloom.streaming import stream as st
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -214,6 +216,37 @@ def q_layout_report(spark, sf):
     return audit.layout_report(spark, days)
 
 
+def _as_exports(ev: DataFrame) -> DataFrame:
+    """The table in the event export's 61-column text form, under its DATEADDED day."""
+    mapped = {
+        "GlobalEventID": F.col("event_id").cast("string"),
+        "Day": F.date_format("ts", "yyyyMMdd"),
+        "AvgTone": F.col("value").cast("string"),
+        "ActionGeo_CountryCode": F.upper(F.substring("event_type", 1, 2)),
+        "DATEADDED": F.date_format("ts", "yyyyMMddHHmmss"),
+        "SOURCEURL": F.col("props"),
+    }
+    return ev.select(*[mapped.get(c, F.lit(None).cast("string")).alias(c) for c in EVENT_FIELDS],
+                     F.to_date("ts").alias("ingest_day"))
+
+
+def q_event_feed_hourly(spark, sf):
+    """Events as tab-separated exports (the newest day delivered twice), read without quoting,
+    typed leniently, compacted by day, then the hourly answer over the feed table."""
+    ev = _events(spark, sf)
+    root, table = scratch_path(spark, "exports"), scratch_path(spark, "event-table")
+    newest = ev.select(F.max(F.to_date("ts"))).scalar()
+    exports = _as_exports(ev).unionByName(_as_exports(ev.filter(F.to_date("ts") == newest)))
+    (exports.write.partitionBy("ingest_day")
+            .options(sep="\t", header="false", quote="\u0000", escapeQuotes="false", nullValue="")
+            .csv(root))
+    typed, bad = normalize.events(read_event_tsv(spark, root, basePath=root))
+    compact_days(spark, table, typed.drop("_corrupt_record"), "GlobalEventID", order=[F.desc("ts")],
+                 rejects=bad, run_log=False)
+    h = hourly(spark.read.parquet(table), as_of="newest_partition", days=7, partition_col="ingest_day", digits=4)
+    return h.select(F.col("h").cast("timestamp_ntz").alias("h"), "n", "tone")
+
+
 # --------------------------------------------------------------------------- streams
 
 def q_stream_compaction(spark, sf):
@@ -385,6 +418,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "merge_insert_only": q_merge_insert_only,
         "day_compaction": q_day_compaction,
         "csv_landing_roundtrip": q_csv_landing_roundtrip,
+        "event_feed_hourly": q_event_feed_hourly,
         "layout_equivalence": q_layout_equivalence,
         "layout_report": q_layout_report,
         "stream_compaction": q_stream_compaction,
@@ -486,6 +520,10 @@ def oracle_sql() -> dict[str, str]:
             SELECT * FROM new n WHERE NOT EXISTS (SELECT 1 FROM old o WHERE o.event_id = n.event_id)""",
         "day_compaction": f"SELECT *, CAST(ts AS DATE) AS ingest_day FROM ({_MERGE_LATEST})",
         "csv_landing_roundtrip": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
+        "event_feed_hourly": """
+            WITH t AS (SELECT date_trunc('second', ts) AS ts, value FROM events)
+            SELECT date_trunc('hour', ts) AS h, count(*) AS n, round(avg(value), 4) AS tone
+            FROM t WHERE ts >= (SELECT max(ts) FROM t) - INTERVAL 7 DAY GROUP BY 1""",
         "layout_equivalence": " UNION ALL ".join(f"""
             SELECT '{name}' AS layout, date_trunc('hour', ts) AS h, count(*) AS n, round(avg(value), 4) AS tone
             FROM events WHERE {_WINDOW7} GROUP BY 2""" for name in ("parquet", "csv", "days")),

@@ -56,7 +56,7 @@ def read_event_csv(spark: SparkSession, paths, position: bool = True, landed: bo
     return read_text_csv(spark, paths, cols, position=position, corrupt=True, **options)
 
 
-def read_event_tsv(spark: SparkSession, paths, position: bool = True) -> DataFrame:
+def read_event_tsv(spark: SparkSession, paths, position: bool = True, **options) -> DataFrame:
     """Unzipped event exports (S10 plain): tab-separated, no header, no quoting.
 
     Quoting must be off, otherwise a field starting with ``"`` swallows the next tab. Rows
@@ -65,6 +65,7 @@ def read_event_tsv(spark: SparkSession, paths, position: bool = True) -> DataFra
     df = (spark.read.schema(text_schema(EVENT_FIELDS, corrupt=True))
           .options(sep="\t", header="false", quote="\u0000", escape="\u0000", mode="PERMISSIVE",
                    columnNameOfCorruptRecord=CORRUPT)
+          .options(**options)
           .csv(paths))
     return with_position(df) if position else df
 
