@@ -251,3 +251,15 @@ def test_wall_clock_hours_ignore_daylight_saving(spark):
         assert [r.time for r in s] == ["2024-03-10T02:30"]
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_row_groups_from_footers_and_adhoc_json(spark, day_table):
+    import json
+    from feedloom.operators.layout import list_files
+    from feedloom.plans.adhoc import adhoc_json
+    from feedloom.sources.footers import footers
+    f = footers(spark, list_files(spark, f"{day_table}/*/*.parquet", recursive=False))
+    rg = probes.row_groups(f).first()
+    assert rg.files == f.count() and rg.row_groups >= rg.files
+    out = adhoc_json(spark, {"t": spark.read.parquet(day_table)}, "SELECT count(*) AS n FROM t")
+    assert json.loads(out.first().json) == {"n": spark.read.parquet(day_table).count()}
