@@ -83,26 +83,41 @@ def _pointer(root: str) -> str:
     return f"{root.rstrip('/')}/_pointer"
 
 
-def current_version(spark: SparkSession, root: str) -> tuple[int, str | None]:
+def current_version(spark: SparkSession, root: str, with_rows: bool = False):
+    """``(version, path)`` of the current snapshot, ``(0, None)`` if none; with ``with_rows`` also
+    its row count as recorded by the writer (``None`` for versions written without it)."""
     from feedloom.operators.merge import table_exists
     if not table_exists(spark, _pointer(root)):
-        return 0, None
-    row = spark.read.parquet(_pointer(root)).agg(F.max(F.struct("version", "path")).alias("v")).first()
-    return (row.v.version, row.v.path) if row and row.v else (0, None)
-
-
-def write_snapshot(df: DataFrame, root: str, sort_by: Sequence[str]) -> str:
-    """Write ``df`` as the next version and flip the pointer after the write succeeded."""
+        return (0, None, 0) if with_rows else (0, None)
+    ptr = spark.read.parquet(_pointer(root))
+    rows = F.col("rows") if "rows" in ptr.columns else F.lit(None).cast("long")
+    row = ptr.agg(F.max(F.struct("version", "path", rows.alias("rows"))).alias("v")).first()
+    if not row or not row.v:
+        return (0, None, 0) if with_rows else (0, None)
+    return (row.v.version, row.v.path, row.v.rows) if with_rows else (row.v.version, row.v.path)
+
+
+def write_snapshot(df: DataFrame, root: str, sort_by: Sequence[str], version: int | None = None,
+                   return_rows: bool = False):
+    """Write ``df`` as the next version and flip the pointer after the write succeeded.
+
+    The row count is observed during the write (above the range exchange, whose sampler
+    re-runs the plan below it) and recorded in the pointer row."""
+    from pyspark.sql import Observation
     spark = df.sparkSession
-    version, _ = current_version(spark, root)
+    if version is None:
+        version, _ = current_version(spark, root)
     path = f"{root.rstrip('/')}/_v={version + 1:06d}"
+    written = Observation("snapshot_rows")
     # A folder of this version can only be left by a run that failed before the pointer moved;
     # nothing reads an unpointed version, so a retry may overwrite it.
-    df.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by).write.mode("overwrite").parquet(path)
-    ptr = spark.createDataFrame([(version + 1, path, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))],
-                                "version long, path string, committed_at timestamp_ntz")
-    ptr.write.mode("append").parquet(_pointer(root))
-    return path
+    (df.repartitionByRange(*sort_by).observe(written, F.count(F.lit(1)).alias("n"))
+       .sortWithinPartitions(*sort_by).write.mode("overwrite").parquet(path))
+    n = written.get.get("n", 0)
+    ptr = spark.createDataFrame([(version + 1, path, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None), n)],
+                                "version long, path string, committed_at timestamp_ntz, rows long")
+    ptr.write.mode("append").option("mergeSchema", "true").parquet(_pointer(root))
+    return (path, n) if return_rows else path
 
 
 def read_snapshot(spark: SparkSession, root: str, schema=None) -> DataFrame:

@@ -47,18 +47,20 @@ def dedup_batch(new: DataFrame, keys, order: Sequence[Column | str] = ()) -> tup
 
 def merge_latest(old: DataFrame, new: DataFrame, keys, order: Sequence[Column | str] = (),
                  history_unique: bool = True, broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                 with_rejects: bool = False):
+                 with_rejects: bool = False, broadcast: bool | None = None):
     """One row per key over ``old`` and ``new``; a key present in ``new`` takes the new row.
 
     ``history_unique`` (history written by this library is): history rows whose key is not in
     the batch pass through untouched, so only the batch's keys are shuffled or broadcast.
     Otherwise both sides go through one keyed ``row_number`` with the batch ranked first.
+    ``broadcast`` skips the size check when the caller has already proven (or ruled out) it.
     """
     ks = _cols(keys)
     new_d, rejects = dedup_batch(new, ks, order)
     if history_unique:
         # The batch's key set, pre-aggregated map-side (no second window over the batch).
-        nk, _ = bounded_broadcast(split_null_keys(new, ks)[0].select(*ks).distinct(), broadcast_rows)
+        nk = split_null_keys(new, ks)[0].select(*ks).distinct()
+        nk = (F.broadcast(nk) if broadcast else nk) if broadcast is not None else bounded_broadcast(nk, broadcast_rows)[0]
         out = union_by_name(old.join(nk, ks, "left_anti"), new_d)
     else:
         both = union_by_name(old.withColumn(SRC, F.lit(0)), new_d.withColumn(SRC, F.lit(1)))
@@ -68,7 +70,8 @@ def merge_latest(old: DataFrame, new: DataFrame, keys, order: Sequence[Column |
 
 
 def merge_insert_only(old: DataFrame, new: DataFrame, keys, order: Sequence[Column | str] = (),
-                      broadcast_rows: int = DEFAULT_BROADCAST_ROWS, with_rejects: bool = False):
+                      broadcast_rows: int = DEFAULT_BROADCAST_ROWS, with_rejects: bool = False,
+                      broadcast: bool | None = None):
     """History wins: keep every old row, add the batch rows whose key history lacks.
 
     Written as a left-anti join, never ``NOT IN``: a literal ``NOT IN`` plans a null-aware
@@ -76,7 +79,11 @@ def merge_insert_only(old: DataFrame, new: DataFrame, keys, order: Sequence[Colu
     """
     ks = _cols(keys)
     new_d, rejects = dedup_batch(new, ks, order)
-    nk, small = bounded_broadcast(split_null_keys(new, ks)[0].select(*ks).distinct(), broadcast_rows)
+    nk = split_null_keys(new, ks)[0].select(*ks).distinct()
+    if broadcast is None:
+        nk, small = bounded_broadcast(nk, broadcast_rows)
+    else:
+        nk, small = (F.broadcast(nk), True) if broadcast else (nk, False)
     if small:
         # Scan history keys against the broadcast batch keys: no history shuffle at all.
         seen = old.select(*ks).join(nk, ks, "left_semi").distinct()
@@ -184,16 +191,20 @@ def merge_into_snapshot(spark: SparkSession, root: str, new: DataFrame, keys, or
     """
     from feedloom.operators.layout import current_version, log_run, write_snapshot
     ks = _cols(keys)
-    version, path = current_version(spark, root)
+    version, path, rows_before = current_version(spark, root, with_rows=True)
     old = new.limit(0).drop(POS) if path is None else spark.read.parquet(path)
+    if path is not None and rows_before is None:  # a version written without a recorded count
+        rows_before = old.count()
+    # One pass over the batch: its rows bound its distinct keys (the broadcast check) and the
+    # rows without a key are the rejects.
+    has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in ks])
+    st = new.agg(F.count(F.lit(1)).alias("n"), F.count_if(~has_key).alias("no_key")).first()
+    small = st.n <= DEFAULT_BROADCAST_ROWS
     fn = merge_latest if mode == "latest" else merge_insert_only
-    merged, bad = fn(old, new, ks, order=order, with_rejects=True)
-    if rejects is not None:
-        bad = union_by_name(bad, rejects)
-    target = write_snapshot(merged, root, list(sort_by or ks))
-    # Row counts of Parquet versions come from the file footers; no column is read.
-    report = {"target": target, "rows_before": spark.read.parquet(path).count() if path else 0,
-              "rows_after": spark.read.parquet(target).count(), "rejects": bad.count(),
-              "partitions": None, "rows_in": None}
+    merged = fn(old, new, ks, order=order, broadcast=small)
+    target, rows_after = write_snapshot(merged, root, list(sort_by or ks), version=version, return_rows=True)
+    report = {"target": target, "rows_before": rows_before or 0, "rows_after": rows_after,
+              "rejects": st.no_key + (rejects.count() if rejects is not None else 0),
+              "partitions": None, "rows_in": st.n - st.no_key}
     log_run(spark, root, f"snapshot_{mode}", report)
     return report
