@@ -25,6 +25,7 @@ DEFAULT_CONF = {
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",  # staged batches are removed once unreferenced
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
