@@ -1,14 +1,23 @@
-"""Open a file by URI inside a task (local paths, file:, hdfs:, s3: through pyarrow)."""
+"""Open a file by URI inside a task (local paths, file:, hdfs:, s3: through pyarrow).
+
+Hadoop's ``s3a://`` / ``s3n://`` name the same objects as ``s3://`` for pyarrow; ``hdfs://``
+needs libhdfs on the executors.
+"""
 
 from __future__ import annotations
 
 from urllib.parse import urlparse
 
+_ALIASES = {"s3a": "s3", "s3n": "s3"}
+
 
 def open_input(uri: str):
     parsed = urlparse(uri)
     if parsed.scheme in ("", "file"):
         return open(parsed.path if parsed.scheme else uri, "rb")
     from pyarrow import fs as pafs
+    scheme = _ALIASES.get(parsed.scheme, parsed.scheme)
+    if scheme != parsed.scheme:
+        uri = scheme + uri[len(parsed.scheme):]
     filesystem, path = pafs.FileSystem.from_uri(uri)
     return filesystem.open_input_file(path)
