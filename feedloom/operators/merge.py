@@ -125,7 +125,7 @@ def compact_days(spark: SparkSession, table_path: str, new: DataFrame, keys,
 
     Jobs: the de-duplicated batch and its rejects are staged once in the checkpoint folder
     (the raw batch is read once, and a lost executor re-reads the staged copy, not the
-    landing); one small aggregate gives the touched days and the counts; then one range
+    landing), and the touched days and counts are observed in that same job; then one range
     shuffle on (day, keys) serves the merge window and lays the files out sorted by key.
     """
     if mode not in ("latest", "insert_only"):
