@@ -87,11 +87,13 @@ def file_headers(spark: SparkSession, files: DataFrame) -> DataFrame:
     return files.select("path").mapInPandas(_first_lines, "path string, header string")
 
 
-def read_csv_by_header(spark: SparkSession, pattern: str, sep: str = ",", position: bool = True) -> DataFrame:
+def read_csv_by_header(spark: SparkSession, pattern: str, sep: str = ",", position: bool = True,
+                       base_path: str | None = None) -> DataFrame:
     """Several CSV files whose header order or width differs, aligned by column name (S3).
 
     A single multi-file CSV read is positional in Spark, so files are grouped by header text
-    and each group is read with its own all-string schema, then unioned by name.
+    and each group is read with its own all-string schema, then unioned by name. With
+    ``base_path`` (e.g. the landing root) partition folders such as ``ingest_day=`` become columns.
     """
     from feedloom.operators.layout import list_files
     heads = file_headers(spark, list_files(spark, pattern, recursive=False))
@@ -101,7 +103,8 @@ def read_csv_by_header(spark: SparkSession, pattern: str, sep: str = ",", positi
     frames = []
     for header, paths in groups.items():
         cols = [c.strip().strip('"') for c in header.split(sep)]
-        frames.append(read_text_csv(spark, paths, cols, position=position, sep=sep))
+        extra = {"basePath": base_path} if base_path else {}
+        frames.append(read_text_csv(spark, paths, cols, position=position, sep=sep, **extra))
     if not frames:
         return spark.createDataFrame([], text_schema([]))
     return union_by_name(*frames)

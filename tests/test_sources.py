@@ -145,3 +145,13 @@ def test_no_source_files_means_no_write(spark, tmp_path):
     empty = spark.createDataFrame([], "id bigint, day date")
     rep = compact_days(spark, str(tmp_path / "t"), empty, "id", day_col="day")
     assert rep["rows_in"] == 0 and rep["partitions"] == 0 and not table_exists(spark, str(tmp_path / "t"))
+
+
+def test_header_aligned_read_keeps_partition_columns(spark, tmp_path):
+    for day, text in (("2026-09-16", "a,b\n1,2\n"), ("2026-09-17", "b,a\n3,4\n")):
+        d = tmp_path / f"ingest_day={day}"
+        d.mkdir()
+        (d / "x.csv").write_text(text)
+    df = read_csv_by_header(spark, str(tmp_path / "ingest_day=*" / "*.csv"), base_path=str(tmp_path))
+    got = sorted((str(r.ingest_day), r.a, r.b) for r in df.collect())
+    assert got == [("2026-09-16", "1", "2"), ("2026-09-17", "4", "3")]
