@@ -1,7 +1,7 @@
 """Strict and lenient casts.
 
-Strict casts raise on bad input (ANSI), as the weather pipeline does. Lenient casts turn
-bad input into NULL, as the event pipeline does; ``lost_in_cast`` says which values were lost
+Strict casts raise on bad input, as the weather feed does. Lenient casts turn
+bad input into NULL, as the event feed does; ``lost_in_cast`` says which values were lost
 so nothing disappears silently. Spark's rule applies: ``'1.5'`` and ``'1e3'`` are not
 integers and become NULL.
 """
