@@ -96,3 +96,20 @@ def test_dedup_stream_pre_reduces_a_hot_key(spark, tmp_path):
     st.run_until_done(st.append_to_table(st.dedup_stream(typed, ["id"], "ts", pre_reduce=True), out, ck))
     got = spark.read.parquet(out)
     assert got.count() == 60 and got.select("id").distinct().count() == 60
+
+
+def test_compaction_stream_restarts_from_its_checkpoint(spark, tmp_path):
+    root, table, ck = (str(tmp_path / n) for n in ("landing", "table", "ck"))
+    _pull(spark, root, "20260916120000", _recs(D1, 30))
+    run = lambda: st.run_until_done(st.compaction_query(
+        st.landed_stream(spark, root, TEXT), table, "id", ck, order=[F.desc("ts")], normalise=_typed))
+    run()
+    first = spark.read.parquet(f"{table}/_runs").count()
+    _pull(spark, root, "20260916180000", _recs(D1, 5, base=100.0))  # lands while the stream is down
+    run()                                                            # restart: only the new pull is read
+    runs = spark.read.parquet(f"{table}/_runs").orderBy("run_at").collect()
+    assert first == 1 and len(runs) == 2 and runs[-1].rows_in == 5
+    got = {r.id: r.v for r in spark.read.parquet(table).collect()}
+    assert len(got) == 30 and got[2] == 102.0 and got[20] == 20.0
+    run()                                                            # nothing new: no batch, same table
+    assert spark.read.parquet(f"{table}/_runs").count() == 2
