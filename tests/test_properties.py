@@ -13,7 +13,8 @@ from feedloom.operators.merge import compact_days, merge_insert_only, merge_late
 
 ids = st.one_of(st.none(), st.integers(0, 6))
 rows = st.lists(st.tuples(ids, st.integers(0, 3)), max_size=12)
-SETTINGS = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+SETTINGS = settings(max_examples=10, deadline=None, derandomize=True, database=None,
+                    suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 
 def _frame(spark, recs, start):
