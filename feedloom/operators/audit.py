@@ -74,15 +74,8 @@ def freshness(df: DataFrame, as_of="latest", ts: str = "ts", group: str | None =
 
     ``as_of`` is ``"latest"`` (newest row of the whole table), ``"now"``, a literal or a Column.
     """
-    from pyspark.sql import Column
-    if isinstance(as_of, Column):
-        anchor = as_of
-    elif as_of == "latest":
-        anchor = df.select(F.max(ts)).scalar()
-    elif as_of == "now":
-        anchor = F.current_timestamp()
-    else:
-        anchor = F.lit(as_of)
+    from feedloom.plans.lookback import resolve_as_of
+    anchor = resolve_as_of(df, ts, as_of)
     out = (df.groupBy(group) if group else df.groupBy()).agg(F.max(ts).alias("newest"))
     micros = F.unix_micros(anchor.cast("timestamp")) - F.unix_micros(F.col("newest").cast("timestamp"))
     return out.withColumn("age_seconds", (micros / 1_000_000).cast("double"))

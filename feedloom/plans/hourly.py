@@ -16,6 +16,14 @@ from feedloom.functions.time import hour_of
 from feedloom.plans.lookback import as_time, floor_time, resolve_as_of
 
 
+def _hour_start(df: DataFrame, ts: str, e):
+    """Start of the hour holding the time ``e``; a wall-clock (NTZ) time is floored zone-free."""
+    if df.schema[ts].dataType.simpleString() == "timestamp_ntz":
+        e = e.cast("timestamp_ntz")
+        return F.make_timestamp_ntz(F.year(e), F.month(e), F.dayofmonth(e), F.hour(e), F.lit(0), F.lit(0))
+    return as_time(df, ts, hour_of(e))
+
+
 def hourly(df: DataFrame, as_of="now", days: int = 7, group: str | None = None,
            group_col: str = "ActionGeo_CountryCode", ts: str = "ts", value: str = "AvgTone",
            normalise_group: bool = True, partition_col: str | None = None,
@@ -44,10 +52,11 @@ def hourly(df: DataFrame, as_of="now", days: int = 7, group: str | None = None,
                  .agg(F.count(F.lit(1)).alias("n"), tone.alias("tone")))
     if not fill:
         return counts
-    first_hour, last_hour = as_time(df, ts, hour_of(lower)), as_time(df, ts, hour_of(anchor))
+    first_hour, last_hour = _hour_start(df, ts, lower), _hour_start(df, ts, anchor)
     axis = (df.sparkSession.range(1)
               .select(F.explode(F.sequence(first_hour, last_hour, F.make_dt_interval(hours=F.lit(1)))).alias("h")))
-    # Both sides hold at most one row per hour of the window; the counts side is the one a
-    # left outer join can build on.
-    return (axis.join(F.broadcast(counts), "h", "left")
-                .select("h", F.coalesce("n", F.lit(0)).alias("n"), "tone"))
+    # Every counted hour stays (also any after ``as_of``); axis hours without a count are added
+    # with n = 0. Both sides hold at most one row per hour of the window.
+    empty = (axis.join(F.broadcast(counts.select("h")), "h", "left_anti")
+                 .select("h", F.lit(0).cast("bigint").alias("n"), F.lit(None).cast("double").alias("tone")))
+    return counts.unionByName(empty)

@@ -55,7 +55,10 @@ def resolve_as_of(df: DataFrame, ts: str, as_of="now", partition_col: str | None
         newest = df.select(F.max(partition_col)).scalar()
         return df.filter(F.col(partition_col) == newest).select(F.max(ts)).scalar()
     if isinstance(as_of, (_dt.datetime, _dt.date, str)):
-        return as_time(df, ts, F.lit(as_of))
+        # A naive literal is a wall-clock time (like SQL's TIMESTAMP '...'), cast to the column's
+        # type from text: a Python datetime literal would be an instant and shift with the zone.
+        text = as_of.isoformat(sep=" ") if isinstance(as_of, _dt.datetime) else str(as_of)
+        return F.lit(text).cast(ts_type(df, ts))
     raise ValueError(f"as_of must be 'now', 'latest', a literal or a Column, not {as_of!r}")
 
 

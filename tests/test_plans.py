@@ -247,6 +247,9 @@ def test_wall_clock_hours_ignore_daylight_saving(spark):
         df = spark.createDataFrame([(t, 1.0, "a")], "ts timestamp_ntz, AvgTone double, city string")
         h = hourly(df, as_of=dt.datetime(2024, 3, 10, 3), days=1).collect()
         assert [(r.h, r.n) for r in h] == [(dt.datetime(2024, 3, 10, 2), 1)]
+        filled = hourly(df, as_of=dt.datetime(2024, 3, 10, 3), days=1, fill=True).collect()
+        assert len(filled) == 25 and sum(r.n for r in filled) == 1
+        assert [r.h for r in filled if r.n] == [dt.datetime(2024, 3, 10, 2)]
         s = series_all(df, as_of=dt.datetime(2024, 3, 10, 3), days=1, ts="ts", value="AvgTone").collect()
         assert [r.time for r in s] == ["2024-03-10T02:30"]
     finally:
