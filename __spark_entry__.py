@@ -15,13 +15,20 @@ summation order does not decide the comparison.
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 
+# The package lives next to this file; make it importable however this file is loaded.
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedloom.operators import audit, normalize
+from feedloom.operators import audit, normalize  # noqa: E402
 from feedloom.operators.dedup import keep_latest
 from feedloom.operators.layout import land_partitioned
 from feedloom.operators.merge import compact_days, merge_insert_only, merge_latest

@@ -88,3 +88,32 @@ def path_exists(spark: SparkSession, path: str) -> bool | None:
         return None
     p = jvm.org.apache.hadoop.fs.Path(path)
     return bool(p.getFileSystem(conf).exists(p))
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``feedloom`` importable in Python workers (once per application).
+
+    ``mapInPandas`` functions are pickled by reference to their module, so executors must be
+    able to import the package. Spark distributes the zipped sources itself (``addPyFile``);
+    the zip holds code only, built on the driver.
+    """
+    import os
+    import zipfile
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    import feedloom
+    pkg = os.path.dirname(os.path.abspath(feedloom.__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="feedloom-code-"), "feedloom.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(target)
+    _SHIPPED.add(sc.applicationId)

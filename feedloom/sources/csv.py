@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from feedloom.operators.dedup import with_position
 from feedloom.operators.merge import union_by_name
 from feedloom.schemas import EVENT_FIELDS, WEATHER_FIELDS
+from feedloom.session import ship_package
 from feedloom.sources._fs import open_input
 
 CORRUPT = "_corrupt_record"
@@ -84,6 +85,7 @@ def _first_lines(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def file_headers(spark: SparkSession, files: DataFrame) -> DataFrame:
     """``path, header`` for each file of a listing; reads only each file's first line."""
+    ship_package(spark)
     return files.select("path").mapInPandas(_first_lines, "path string, header string")
 
 

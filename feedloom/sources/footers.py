@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
+from feedloom.session import ship_package
 from feedloom.sources._fs import open_input
 
 FOOTER_SCHEMA = "path string, row_groups int, rows long, bytes long"
@@ -25,4 +26,5 @@ def _footers(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def footers(spark: SparkSession, files: DataFrame) -> DataFrame:
     """``files`` is a listing (``path, length``) of Parquet files."""
+    ship_package(spark)
     return files.select("path", "length").mapInPandas(_footers, FOOTER_SCHEMA)

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from feedloom.schemas import EVENT_FIELDS
+from feedloom.session import ship_package
 from feedloom.sources.files import stamp_of
 
 N = len(EVENT_FIELDS)
@@ -59,6 +60,7 @@ def _unzip(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def read_event_zips(spark: SparkSession, pattern: str) -> DataFrame:
     """Rows of every archive matching ``pattern``; ``stamp`` comes from the archive name."""
+    ship_package(spark)
     archives = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(pattern)
     rows = archives.select("path", "content").mapInPandas(_unzip, ZIP_ROWS)
     return rows.withColumn("stamp", stamp_of("_file"))

@@ -26,6 +26,7 @@ from pyspark.sql.streaming import StreamingQuery
 from feedloom.operators.dedup import number_rows, with_position
 from feedloom.operators.layout import CSV_OPTIONS
 from feedloom.operators.merge import compact_days
+from feedloom.session import ship_package
 
 EVERY_QUARTER_HOUR = {"processingTime": "15 minutes"}
 AVAILABLE_NOW = {"availableNow": True}
@@ -68,6 +69,7 @@ def dedup_stream(df: DataFrame, keys: Sequence[str], ts: str, delay: str = "2 da
     """
     ks = list(keys)
     if pre_reduce:
+        ship_package(df.sparkSession)
         df = df.mapInPandas(_first_per_key(ks), df.schema)
     return (df.withColumn("_event_time", event_time(ts)).withWatermark("_event_time", delay)
               .dropDuplicatesWithinWatermark(ks).drop("_event_time"))
