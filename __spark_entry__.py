@@ -246,9 +246,9 @@ def q_event_feed_hourly(spark, sf):
     (exports.write.partitionBy("ingest_day")
             .options(sep="\t", header="false", quote="\u0000", escapeQuotes="false", nullValue="")
             .csv(root))
-    typed, bad = normalize.events(read_event_tsv(spark, root, basePath=root))
-    compact_days(spark, table, typed.drop("_corrupt_record"), "GlobalEventID", order=[F.desc("ts")],
-                 rejects=bad, run_log=False)
+    typed = normalize.events_flagged(read_event_tsv(spark, root, basePath=root)).drop("_corrupt_record")
+    compact_days(spark, table, typed, "GlobalEventID", order=[F.desc("ts")], reject_col=normalize.BAD,
+                 run_log=False)
     h = hourly(spark.read.parquet(table), as_of="newest_partition", days=7, partition_col="ingest_day", digits=4)
     return h.select(F.col("h").cast("timestamp_ntz").alias("h"), "n", "tone")
 

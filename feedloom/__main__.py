@@ -129,16 +129,16 @@ def _stream_compact(spark, args) -> None:
     trigger = {"processingTime": args.every} if args.every else st.AVAILABLE_NOW
     if args.feed == "events":
         def typed(b):
-            good, bad = normalize.events(b)
-            return good.drop("stamp", "_corrupt_record"), bad.drop("stamp")
+            return normalize.events_flagged(b).drop("stamp", "_corrupt_record")
         q = st.compaction_query(s, args.table, "GlobalEventID", args.checkpoint, order=[F.desc("ts")],
-                                normalise=typed, trigger=trigger, cluster_by=["GlobalEventID"])
+                                normalise=typed, trigger=trigger, cluster_by=["GlobalEventID"],
+                                reject_col=normalize.BAD)
     else:
         def typed(b):
-            good, bad = normalize.weather(b)
-            return good.withColumn("day", F.to_date("time")).drop("stamp", "ingest_day"), bad
+            return normalize.weather_flagged(b).withColumn("day", F.to_date("time")).drop("stamp", "ingest_day")
         q = st.compaction_query(s, args.table, ["city", "time"], args.checkpoint, day_col="day",
-                                normalise=typed, trigger=trigger, cluster_by=["time", "city"])
+                                normalise=typed, trigger=trigger, cluster_by=["time", "city"],
+                                reject_col=normalize.BAD)
     if args.every:
         q.awaitTermination()
     else:

@@ -114,13 +114,13 @@ def compact_days(spark: SparkSession, table_path: str, new: DataFrame, keys,
                  order: Sequence[Column | str] = (), day_col: str = "ingest_day",
                  cluster_by: Sequence[str] | None = None, mode: str = "latest",
                  run_log: bool = True, keep_rejects: bool = True,
-                 rejects: DataFrame | None = None, dry_run: bool = False):
+                 rejects: DataFrame | None = None, dry_run: bool = False, reject_col: str | None = None):
     """Merge ``new`` into the day partitions it touches and overwrite only those partitions.
 
     De-duplication is per day (key = ``day_col`` + ``keys``); ``mode`` is ``"latest"`` (the
     batch wins) or ``"insert_only"`` (history wins). Untouched days are neither read nor
-    written. Rows without a key or a day, and any upstream ``rejects`` (e.g. rows whose time
-    did not parse), go to ``<table>/_rejects``. Returns the run report; with ``dry_run`` it
+    written. Rows without a key or a day, rows flagged by ``reject_col`` and any upstream
+    ``rejects`` (e.g. rows whose time did not parse) go to ``<table>/_rejects``. Returns the run report; with ``dry_run`` it
     returns ``(report, merged DataFrame)`` and writes nothing (for inspecting the plan).
 
     Jobs: the de-duplicated batch and its rejects are staged once in the checkpoint folder
@@ -132,28 +132,34 @@ def compact_days(spark: SparkSession, table_path: str, new: DataFrame, keys,
         raise ValueError("mode must be 'latest' or 'insert_only'")
     ks = [day_col, *_cols(keys)]
     cluster = list(cluster_by or _cols(keys))
-    keyed, no_key = split_null_keys(new, ks)
-    bad = no_key if rejects is None else union_by_name(no_key, rejects)
-    # The batch de-dup: partial group limit before its shuffle, so a hot key cannot swamp a task.
-    # Counts and the touched days are observed while staging (one job); the day set is bounded
-    # by the calendar span of one batch.
+    # One pass over the batch: a row is rejected when a key is missing or ``reject_col`` says so
+    # (e.g. an unreadable time from the normaliser). Each reject gets its own group in the
+    # de-dup window, so it passes through untouched, while keyed rows keep one per key.
+    # (A separate filter per outcome would scan the landing once per outcome.)
+    bad_row = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in ks])
+    if reject_col:
+        bad_row = bad_row | F.coalesce(F.col(reject_col), F.lit(False))
+    tagged = new.withColumn(REJECT, bad_row)
+    tagged = tagged.withColumn("_uniq", F.when(F.col(REJECT), F.monotonically_increasing_id()))
+    parts_in = [keep_one(tagged, [REJECT, "_uniq", *ks], order).drop("_uniq")]
+    if rejects is not None:
+        parts_in.append(rejects.withColumn(REJECT, F.lit(True)))
     staging = Observation("staging")
     good = ~F.col(REJECT)
     staged = cut_lineage(
-        union_by_name(keep_one(keyed, ks, order).withColumn(REJECT, F.lit(False)),
-                      bad.withColumn(REJECT, F.lit(True)))
+        union_by_name(*parts_in)
         .observe(staging, F.count_if(good).alias("rows_in"), F.count_if(~good).alias("rejects"),
                  F.collect_set(F.when(good, F.col(day_col))).alias("days")))
     m = staging.get
     days = sorted(m["days"])
     report = {"target": table_path, "rows_in": m["rows_in"], "rejects": m["rejects"], "partitions": len(days),
               "rows_before": 0, "rows_after": 0}
+    data_cols = [c for c in new.columns if c != reject_col]
     if keep_rejects and report["rejects"] and not dry_run:
-        (staged.filter(F.col(REJECT)).select(*bad.columns)
-               .write.mode("append").parquet(f"{table_path.rstrip('/')}/_rejects"))
+        staged.filter(F.col(REJECT)).drop(REJECT).write.mode("append").parquet(f"{table_path.rstrip('/')}/_rejects")
     if not days:
         return (report, None) if dry_run else report
-    batch = staged.filter(~F.col(REJECT)).select(*keyed.columns)
+    batch = staged.filter(~F.col(REJECT)).select(*data_cols)
     before, after = Observation("before"), Observation("after")
     parts = [batch.withColumn(SRC, F.lit(1))]
     if table_exists(spark, table_path):

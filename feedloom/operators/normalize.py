@@ -29,8 +29,12 @@ def blanks_to_null(df: DataFrame, columns=None) -> DataFrame:
     return df.withColumns({c: blank_to_null(c) for c in cols})
 
 
-def weather(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Strict casts of the 7 weather columns, in table order (P1, P3). Extra columns kept."""
+BAD = "_bad"   # flag column of the ``*_flagged`` normalisers: the row cannot be merged
+
+
+def weather_flagged(raw: DataFrame) -> DataFrame:
+    """Strict casts of the 7 weather columns, in table order (P1, P3), with ``_bad`` set on rows
+    without a city or a time. One frame, so a consumer reads the landing once."""
     d = blanks_to_null(raw, [c for c in WEATHER_FIELDS if c in raw.columns])
     typed = d.select(
         F.col("city"),
@@ -39,16 +43,19 @@ def weather(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
         *[strict(c, t).alias(c) for c, t in WEATHER_TYPES.items()],
         *_extras(d, WEATHER_FIELDS),
     )
-    ok = F.col("city").isNotNull() & F.col("time").isNotNull()
-    return typed.filter(ok), typed.filter(~ok)
+    return typed.withColumn(BAD, ~(F.col("city").isNotNull() & F.col("time").isNotNull()))
 
 
-def events(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Lenient casts of the 15 typed event columns; ``ts`` from DATEADDED, ``event_day`` from Day.
+def weather(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(typed, rejects)`` (see ``weather_flagged``). Extra columns are kept."""
+    t = weather_flagged(raw)
+    return t.filter(~F.col(BAD)).drop(BAD), t.filter(F.col(BAD)).drop(BAD)
 
-    Returns ``(typed, rejects)``; a reject has no event id or an unreadable DATEADDED (A-11).
-    Raw columns missing from a file (an older header) come back as NULL.
-    """
+
+def events_flagged(raw: DataFrame) -> DataFrame:
+    """Lenient casts of the 15 typed event columns; ``ts`` from DATEADDED, ``event_day`` from Day;
+    ``_bad`` set on rows with no event id or an unreadable DATEADDED (A-11). Raw columns missing
+    from a file (an older header) come back as NULL."""
     d = raw
     for c in EVENT_FIELDS:
         if c not in d.columns:
@@ -60,5 +67,10 @@ def events(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
         parse_compact_day("Day").alias("event_day"),
         *_extras(d, EVENT_FIELDS),
     )
-    ok = F.col("GlobalEventID").isNotNull() & F.col("ts").isNotNull()
-    return typed.filter(ok), typed.filter(~ok)
+    return typed.withColumn(BAD, ~(F.col("GlobalEventID").isNotNull() & F.col("ts").isNotNull()))
+
+
+def events(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(typed, rejects)`` (see ``events_flagged``)."""
+    t = events_flagged(raw)
+    return t.filter(~F.col(BAD)).drop(BAD), t.filter(F.col(BAD)).drop(BAD)

@@ -56,13 +56,14 @@ def compact_weather(spark: SparkSession, landing: str, table: str, ingest_days:
     the reading-day table (``layout="day"``) or the whole-history snapshot (``"snapshot"``):
     one row per (city, time), the later pull winning (``mode="latest"``) or the first kept."""
     raw = _day_filter(read_weather_csv(spark, landing, basePath=landing), ingest_days)
-    typed, bad = normalize.weather(raw)
     if layout == "snapshot":
+        typed, bad = normalize.weather(raw)
         return merge_into_snapshot(spark, table, typed.select(*WEATHER_FIELDS, "_pos"), ["city", "time"],
                                    mode=mode, sort_by=["time", "city"], rejects=bad)
-    typed = typed.withColumn("day", F.to_date("time")).select(*WEATHER_FIELDS, "day", "_pos")
+    typed = normalize.weather_flagged(raw)
+    typed = typed.withColumn("day", F.to_date("time")).select(*WEATHER_FIELDS, "day", "_pos", normalize.BAD)
     return compact_days(spark, table, typed, ["city", "time"], day_col="day", cluster_by=["time", "city"],
-                        rejects=bad, mode=mode)
+                        reject_col=normalize.BAD, mode=mode)
 
 
 # --------------------------------------------------------------------------- events
@@ -86,10 +87,10 @@ def compact_events(spark: SparkSession, landing: str, table: str, ingest_days: S
     row per GlobalEventID; ``mode="insert_only"`` keeps history rows and adds unseen ids).
     Newest DATEADDED first, then the later pull."""
     raw = _day_filter(read_event_csv(spark, landing, basePath=landing), ingest_days)
-    typed, bad = normalize.events(raw)
-    typed = typed.drop("_corrupt_record", "stamp")
     if layout == "snapshot":
-        return merge_into_snapshot(spark, table, typed.drop("ingest_day"), "GlobalEventID", order=[F.desc("ts")],
-                                   mode=mode, rejects=bad.drop("stamp"))
-    return compact_days(spark, table, typed, "GlobalEventID", order=[F.desc("ts")],
-                        day_col="ingest_day", cluster_by=["GlobalEventID"], rejects=bad.drop("stamp"), mode=mode)
+        typed, bad = normalize.events(raw)
+        return merge_into_snapshot(spark, table, typed.drop("_corrupt_record", "stamp", "ingest_day"),
+                                   "GlobalEventID", order=[F.desc("ts")], mode=mode, rejects=bad.drop("stamp"))
+    typed = normalize.events_flagged(raw).drop("_corrupt_record", "stamp")
+    return compact_days(spark, table, typed, "GlobalEventID", order=[F.desc("ts")], day_col="ingest_day",
+                        cluster_by=["GlobalEventID"], reject_col=normalize.BAD, mode=mode)
