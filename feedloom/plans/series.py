@@ -45,7 +45,8 @@ def series_one(df: DataFrame, city: str, as_of="now", days: int = 7, city_col: s
     The copy kept for a minute is the latest reading time, then ``tie`` columns descending.
     """
     rows = _window(df, ts, as_of, days, partition_col).filter(F.col(city_col) == F.lit(city))
-    rows = rows.withColumn("_t", floor_time(df, ts, "minute"))
+    # Only the needed columns go on: the de-dup tie-break would otherwise reference (and read) all.
+    rows = rows.select(*dict.fromkeys([ts, value, *extra, *tie])).withColumn("_t", floor_time(df, ts, "minute"))
     one = keep_one(rows, ["_t"], [F.desc(ts), *[F.desc(c) for c in tie]])
     return one.select(_minute_text(one, "_t").alias("time"), value, *extra).orderBy("time")
 
@@ -53,7 +54,8 @@ def series_one(df: DataFrame, city: str, as_of="now", days: int = 7, city_col: s
 def series_all(df: DataFrame, as_of="now", days: int = 7, city_col: str = "city", ts: str = "time",
                value: str = "temperature_c", tie: Sequence[str] = (), partition_col: str | None = None) -> DataFrame:
     """Every city's readings over the look-back, one row per city and minute."""
-    rows = _window(df, ts, as_of, days, partition_col).withColumn("_t", floor_time(df, ts, "minute"))
+    rows = (_window(df, ts, as_of, days, partition_col).select(*dict.fromkeys([city_col, ts, value, *tie]))
+            .withColumn("_t", floor_time(df, ts, "minute")))
     one = keep_one(rows, [city_col, "_t"], [F.desc(ts), *[F.desc(c) for c in tie]])
     return (one.select(F.col(city_col).alias("city"), _minute_text(one, "_t").alias("time"), value)
                .orderBy("city", "time"))

@@ -266,3 +266,12 @@ def test_row_groups_from_footers_and_adhoc_json(spark, day_table):
     assert rg.files == f.count() and rg.row_groups >= rg.files
     out = adhoc_json(spark, {"t": spark.read.parquet(day_table)}, "SELECT count(*) AS n FROM t")
     assert json.loads(out.first().json) == {"n": spark.read.parquet(day_table).count()}
+
+
+def test_series_read_only_their_columns(spark):
+    from feedloom.plans.series import series_all, series_one
+    ev = spark.read.parquet(f"{SF001}/events.parquet")
+    for df in (series_all(ev, as_of="latest", city_col="event_type", ts="ts", value="value"),
+               series_one(ev, "view", as_of="latest", city_col="event_type", ts="ts", value="value", extra=())):
+        schemas = _plan(df).split("ReadSchema: ")[1:]
+        assert schemas and all("props" not in s.split("\n")[0] for s in schemas)
