@@ -196,3 +196,10 @@ def digests(df: DataFrame, keep=("doc_id",)) -> DataFrame:
 
 def op8_bpe(spark, sf_dir: str) -> DataFrame:
     return digests(table(spark, sf_dir, "documents"))
+
+
+def stage_encode(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' token ids, with ``n_tokens`` and whether decoding gives the text back."""
+    both = decode(encode(docs.select("doc_id", "source", "lang", "text")))
+    return both.select("doc_id", "source", "lang", "ids", F.size("ids").cast("long").alias("n_tokens"),
+                       F.col("decoded").eqNullSafe(F.coalesce("text", F.lit(""))).alias("round_trip"))

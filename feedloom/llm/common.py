@@ -44,6 +44,11 @@ def add_fields(df: DataFrame, struct: Column, fields) -> DataFrame:
     return wide.select(*others(df, fields), *[col(tmp)[f].alias(f) for f in fields])
 
 
+def packed(df: DataFrame, *names: str) -> DataFrame:
+    """The whole rows as struct ``row`` and some columns beside it, so that no name of a row can clash."""
+    return df.select(F.struct("*").alias("row"), *[col(n).alias(n) for n in names])
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared scratch folder and read again: lineage ends there, lost executors do no harm."""
     spark = df.sparkSession
@@ -87,3 +92,65 @@ def blocks(offsets: np.ndarray, limit: int = BLOCK_BYTES) -> Iterator[tuple[int,
         j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + limit, "right")) - 1)
         yield i, min(j, n)
         i = min(j, n)
+
+
+_BASE, _STEP = np.uint64(0x9E3779B97F4A7C15), 1 << 12
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.ones(n, np.uint64)
+    for k in range(1, n):
+        out[k] = out[k - 1] * np.uint64(base)
+    return out
+
+
+with np.errstate(over="ignore"):
+    _LOW = _powers(int(_BASE), _STEP)
+    _HIGH = _powers(int(_LOW[-1] * _BASE), _STEP)
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """Spread the bits of 64-bit numbers (one-to-one)."""
+    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xC4CEB9FE1A85EC53)
+    return x ^ (x >> np.uint64(32))
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """64-bit polynomial hashes of the spans of ``data`` that begin at ``starts`` (increasing) and end at the next
+    one, the last at the end. A span's hash depends on its bytes alone."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    data = data[starts[0]:]
+    starts = starts - starts[0]
+    k = np.arange(len(data)) - np.repeat(starts, np.diff(starts, append=len(data)))
+    power = _LOW[k % _STEP]
+    if len(k) and k.max() >= _STEP:
+        power = power * _HIGH[k // _STEP % _STEP]
+    return mixed(np.add.reduceat((data.astype(np.uint64) + np.uint64(1)) * power, starts))
+
+
+def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words (runs without space, tab, line and page breaks): their starts, ends, and the row of each."""
+    gap = (data == 32) | ((data >= 9) & (data <= 13))
+    inside = ~gap
+    first = inside.copy()
+    first[1:] &= gap[:-1]
+    last = inside.copy()
+    last[:-1] &= gap[1:]
+    edge = offsets[1:-1][(offsets[1:-1] > 0) & (offsets[1:-1] < len(data))]  # words end with their text
+    first[edge] = inside[edge]
+    last[edge - 1] = inside[edge - 1]
+    starts = np.flatnonzero(first)
+    return starts, np.flatnonzero(last) + 1, np.searchsorted(offsets, starts, "right") - 1
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of words given by their spans."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    keep = np.zeros(len(data) + 1, np.int8)
+    keep[starts] += 1
+    np.add.at(keep, ends, -1)
+    sizes = ends - starts
+    return span_hashes(data[np.cumsum(keep[:-1]) > 0], np.cumsum(sizes) - sizes)
