@@ -46,6 +46,13 @@ from feedloom.session import scratch_path
 from feedloom.sources.csv import read_event_tsv, read_text_csv
 from feedloom.streaming import stream as st
 
+try:  # the training-data operators come with their own queries; the rest works without them
+    from feedloom.llm import registry as _llm
+except ModuleNotFoundError as missing:
+    if not (missing.name or "").startswith(("feedloom.llm", "corpus_pipeline")):
+        raise
+    _llm = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 
@@ -449,6 +456,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dup_audit_events": q_dup_audit_events,
         "freshness": q_freshness,
         "adhoc_sql": q_adhoc_sql,
+        **(_llm.QUERIES if _llm else {}),
     }
 
 
@@ -613,4 +621,5 @@ def oracle_sql() -> dict[str, str]:
             FROM events GROUP BY 1""",
         "adhoc_sql": """
             SELECT event_type AS city, count(*) AS readings FROM events GROUP BY 1""",
+        **(_llm.ORACLES if _llm else {}),
     }
