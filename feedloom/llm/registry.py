@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from feedloom.llm import bpe, line_dedup, mixing, ngram_join, quality, token_count
+from feedloom.llm import bpe, chat, fingerprint, language, line_dedup, mixing, ngram_join, quality, rules, token_count
 
 QUERIES = {
+    "op1_fingerprints": fingerprint.op1_fingerprints,
     "op2_line_dedup": line_dedup.op2_line_dedup,
     "op3_token_counts": token_count.op3_token_counts,
     "op4_ngram_join": ngram_join.op4_ngram_join,
+    "op5_chat_format": chat.op5_chat_format,
+    "op6_quality_rules": rules.op6_quality_rules,
+    "op7_language": language.op7_language,
     "op8_bpe": bpe.op8_bpe,
     "op9_quality": quality.op9_quality,
     "op10_mixing": mixing.op10_mixing,
