@@ -1,0 +1,107 @@
+"""Ops 2 and 4 against plain versions."""
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from brute import jaccard, shingles
+from llm_cases import SF001, SF01, edges, empty  # noqa: F401 (fixtures)
+from feedloom.llm import line_dedup, ngram_join
+
+
+def test_bands_reach_the_recall():
+    for threshold, recall, most in ((0.8, 0.99999, 96), (0.8, 0.99, 64), (0.5, 0.9, 32)):
+        bands, rows = ngram_join.choose_bands(threshold, recall, most)
+        assert bands * rows <= most and 1 - (1 - threshold ** rows) ** bands >= recall
+    with pytest.raises(ValueError):
+        ngram_join.choose_bands(0.2, 0.99999, 3)
+
+
+def test_join_matches_brute_force_on_edges(spark, edges, empty):
+    rows = [(r["doc_id"], r["text"]) for r in edges.collect()]
+    got = sorted(map(tuple, ngram_join.jaccard_groups(edges.withColumn("class_id", F.lit("x")).withColumn("key", F.lit(1))).collect()), key=str)
+    expected = sorted([(i, *( (c if c is not None else i, p if p is not None else i, n))) for (i, _), (c, p, n) in zip(rows, jaccard(rows))], key=str)
+    assert got == expected
+    assert ngram_join.jaccard_groups(empty).count() == 0
+
+
+def test_keep_one_leaves_one_row_of_each_group(edges, empty):
+    wide = edges.withColumn("key", F.lit(1)).withColumn("row", F.lit(2)).withColumn("id", F.lit(3))
+    kept = ngram_join.keep_one(wide)
+    assert kept.columns == wide.columns
+    texts = sorted((str(r["doc_id"]), r["text"] or "") for r in kept.collect())
+    rows = [(r["doc_id"], r["text"]) for r in edges.collect()]
+    wordless = [(i, t) for i, t in rows if not shingles(t)]
+    groups = {}
+    for (i, t), (c, _, _) in zip(rows, jaccard(rows)):
+        if shingles(t):
+            groups.setdefault(frozenset([c]) if c is not None else t, []).append(i)
+    assert len(texts) == len(wordless) + len(groups)
+    assert [i for i, _ in texts].count("1") == 1 and "2" not in [i for i, _ in texts] and "3" not in [i for i, _ in texts]
+    assert ngram_join.keep_one(empty).count() == 0
+
+
+def test_group_larger_than_a_block(spark, monkeypatch):
+    """Blocks, several hubs and pairs that meet twice give each link once."""
+    monkeypatch.setattr(ngram_join, "BLOCK", 7)
+    rng = np.random.default_rng(1)
+    base = [f"t{k}" for k in range(120)]
+    rows = []
+    for i in range(60):
+        words = list(base)
+        for k in rng.integers(0, 120, rng.integers(0, 5)):
+            words[k] = f"n{i}x{k}"
+        rows.append((i, " ".join(words)))
+    rows += [(100 + i, f"single {i} " + " ".join(f"u{i}v{k}" for k in range(30))) for i in range(20)]
+    rows += [(200 + i, rows[3][1]) for i in range(9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: (r["class_id"], r["copy_id"], r["n_links"]) for r in ngram_join.jaccard_groups(df).collect()}
+    assert got == {i: x for (i, _), x in zip(rows, jaccard(rows))}
+
+
+def test_ties_at_the_threshold_count(spark):
+    a = " ".join(f"a{k}" for k in range(12))  # 8 shingles
+    b = " ".join(f"a{k}" for k in range(14))  # 10 shingles, 8 in common: exactly 0.8
+    c = " ".join(f"a{k}" for k in range(15))  # 8 of 11
+    df = spark.createDataFrame([(1, a), (2, b), (3, c)], "doc_id long, text string")
+    assert {r["doc_id"]: r["n_links"] for r in ngram_join.jaccard_groups(df).collect()} == {1: 1, 2: 2, 3: 1}
+
+
+def test_join_query(spark):
+    docs = [tuple(r) for r in spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "text").collect()]
+    got = {r["doc_id"]: (r["class_id"], r["copy_id"], r["n_links"]) for r in ngram_join.op4_ngram_join(spark, SF01).collect()}
+    assert got == {i: x for (i, _), x in zip(docs, jaccard(docs))}
+
+
+def test_components_of_a_long_chain(spark):
+    keys = [bytes([k]) for k in range(40)]
+    edges = spark.createDataFrame([(b, a) for a, b in zip(keys, keys[1:])] + [(b"\xf1", b"\xf0")], "key binary, root binary")
+    got = {bytes(r["key"]): bytes(r["label"]) for r in ngram_join.components(edges).collect()}
+    assert got == {**dict.fromkeys(keys, keys[0]), b"\xf0": b"\xf0", b"\xf1": b"\xf0"}
+
+
+def test_lines_match_sql(spark):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF01}/documents.parquet')")
+    expected = sorted(con.execute(line_dedup.ORACLE).fetchall())
+    assert sorted(map(tuple, line_dedup.op2_line_dedup(spark, SF01).collect())) == expected
+    assert any(n for _, _, n in expected)
+
+
+def test_lines_of_a_site(spark, empty):
+    rows = [(k, f"menu\nown {k}\n\n menu ", "h") for k in range(6)] + [(10, "menu\nown", "other"), (11, None, "h"), (12, "menu", "h"), (12, "menu", "h")]
+    rows += [(20 + k, "menu", None) for k in range(6)]
+    df = spark.createDataFrame([(*r, "t") for r in rows], "doc_id long, text string, source string, Dropped_Lines string")
+    got = {}
+    for r in line_dedup.drop_boilerplate(df).collect():
+        got.setdefault(r["doc_id"], []).append((r["text"], r["dropped_lines"]))
+    assert got[0] == [("own 0\n", 2)] and got[10] == [("menu\nown", 0)] and got[11] == [(None, 0)]
+    assert got[12] == [("", 1), ("", 1)] and got[20] == [("", 1)]
+    assert line_dedup.drop_boilerplate(empty).count() == 0
+    assert line_dedup.stage_line_dedup(spark, empty, SF001).columns == empty.columns
+
+
+def test_line_dedup_runs_no_python(spark):
+    plan = line_dedup.op2_line_dedup(spark, SF001)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
