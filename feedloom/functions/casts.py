@@ -2,8 +2,8 @@
 
 Strict casts raise on bad input, as the weather feed does. Lenient casts turn
 bad input into NULL, as the event feed does; ``lost_in_cast`` says which values were lost
-so nothing disappears silently. Spark's rule applies: ``'1.5'`` and ``'1e3'`` are not
-integers and become NULL.
+so nothing disappears silently. Text of a number that is no integer is rounded for an integer
+column (``'1.5'`` is 2, ``'1e3'`` is 1000).
 """
 
 from __future__ import annotations
@@ -26,9 +26,11 @@ def strict(c, to: str) -> Column:
 
 
 def lenient(c, to: str) -> Column:
-    """``try_cast``: NULL instead of an error. Text is trimmed first."""
-    col = _c(c)
-    return F.trim(col.cast("string")).try_cast(to)
+    """``try_cast``: NULL instead of an error. Text is trimmed first, and rounded for integer types."""
+    text = F.trim(_c(c).cast("string"))
+    if to not in ("bigint", "int", "smallint", "tinyint"):
+        return text.try_cast(to)
+    return F.coalesce(text.try_cast(to), F.round(text.try_cast("double")).try_cast(to))
 
 
 def lenient_number(c, to: str) -> Column:

@@ -11,10 +11,12 @@ def _c(c) -> Column:
 
 
 def country_code(value: str | None) -> Column | None:
-    """A user-given country as the feed's 2-letter upper-case code, as a literal (never spliced into SQL)."""
+    """A user-given 2-letter country code in upper case, as a literal (never spliced into SQL)."""
     if value is None:
         return None
-    return F.upper(F.substring(F.lit(value), 1, 2))
+    if len(value) != 2 or not value.isascii() or not value.isalpha():
+        raise ValueError(f"a country is given by its 2-letter code, not {value!r}")
+    return F.lit(value.upper())
 
 
 def non_blank(c) -> Column:

@@ -1,4 +1,4 @@
-"""CPU and layout probes (F10, G10-G13, S12) expressed over real tables."""
+"""CPU probes (F10, G10-G12) expressed over real tables."""
 
 from __future__ import annotations
 
@@ -12,13 +12,13 @@ HASH_MULTIPLIER = 2654435761
 HASH_MODULUS = 1000003
 
 
-_PLAIN = re.compile(r"^\(?([A-Za-z0-9 _-]+(?:\|[A-Za-z0-9 _-]+)*)\)?$")
+_PLAIN = re.compile(r"^(\()?([A-Za-z0-9 _-]+(?:\|[A-Za-z0-9 _-]+)*)(?(1)\))$")
 
 
 def literal_alternatives(pattern: str) -> list[str] | None:
     """``'(a|b|c)'`` -> ``['a', 'b', 'c']`` when the pattern is only literal alternatives."""
     m = _PLAIN.match(pattern)
-    return m.group(1).split("|") if m else None
+    return m.group(2).split("|") if m else None
 
 
 def matches(c, pattern: str):
@@ -39,9 +39,9 @@ def regex_count(df: DataFrame, col: str, pattern: str = "(news|press|times|post)
 
 
 def group_count(df: DataFrame, col: str, modulus: int = 7) -> DataFrame:
-    """Count of groups of ``col % modulus`` with their sums (G11): a nested aggregate."""
+    """Groups of ``col % modulus`` and the sum over their sums (G11): a nested aggregate."""
     inner = df.groupBy((F.col(col) % modulus).alias("k")).agg(F.sum(col).alias("s"))
-    return inner.agg(F.count(F.lit(1)).alias("groups"))
+    return inner.agg(F.count(F.lit(1)).alias("groups"), F.sum("s").alias("total"))
 
 
 def modular_sum(df: DataFrame, col: str) -> DataFrame:
@@ -54,20 +54,3 @@ def modular_sum(df: DataFrame, col: str) -> DataFrame:
     x = F.col(col)
     term = ((x % F.lit(HASH_MODULUS)) * F.lit(HASH_MULTIPLIER % HASH_MODULUS)) % F.lit(HASH_MODULUS)
     return df.agg(F.sum(term).alias("s"))
-
-
-def row_groups(footers: DataFrame) -> DataFrame:
-    """Total row groups over a footer listing (G13): how many splits a scan can use."""
-    return footers.agg(F.sum("row_groups").alias("row_groups"), F.count(F.lit(1)).alias("files"))
-
-
-def range_modular_sum(spark, n: int, partitions: int | None = None) -> DataFrame:
-    """The generated-range probe (S12, G12): ``sum((i * 2654435761) % 1000003)`` for i < n.
-
-    ``spark.range`` is split across tasks from the start, unlike a single-stream generator."""
-    return modular_sum(spark.range(0, n, 1, partitions).withColumnRenamed("id", "i"), "i")
-
-
-def range_group_count(spark, n: int, modulus: int = 7, partitions: int | None = None) -> DataFrame:
-    """``count(*) FROM (SELECT range % 7, sum(range) FROM range(n) GROUP BY 1)``."""
-    return group_count(spark.range(0, n, 1, partitions), "id", modulus)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from feedloom.functions.time import fmt_minute
 from feedloom.operators.dedup import keep_one
 from feedloom.operators.joins import dense_index
-from feedloom.plans.lookback import floor_time, resolve_as_of, since
+from feedloom.plans.lookback import resolve_as_of, since
 
 
 def exact_sum(c, digits: int) -> F.Column:
@@ -37,28 +37,29 @@ def _window(df: DataFrame, ts: str, as_of, days: int, partition_col: str | None)
     return rows
 
 
+def readings(df: DataFrame, keys: Sequence[str], ts: str, tie: Sequence[str] = ()) -> DataFrame:
+    """One row per ``keys`` and time (W1, W2); among copies the one with the largest ``tie`` columns."""
+    return keep_one(df, [*keys, ts], [F.desc(c) for c in tie])
+
+
 def series_one(df: DataFrame, city: str, as_of="now", days: int = 7, city_col: str = "city",
                ts: str = "time", value: str = "temperature_c", extra: Sequence[str] = ("precipitation_mm",),
                tie: Sequence[str] = (), partition_col: str | None = None) -> DataFrame:
-    """One city's readings over the look-back, one row per reading minute, in time order.
+    """One city's readings over the look-back, one row per reading time, in time order.
 
-    The copy kept for a minute is the latest reading time, then ``tie`` columns descending.
-    """
+    Times are shown to the minute; readings within one minute stay rows of their own."""
     rows = _window(df, ts, as_of, days, partition_col).filter(F.col(city_col) == F.lit(city))
     # Only the needed columns go on: the de-dup tie-break would otherwise reference (and read) all.
-    rows = rows.select(*dict.fromkeys([ts, value, *extra, *tie])).withColumn("_t", floor_time(df, ts, "minute"))
-    one = keep_one(rows, ["_t"], [F.desc(ts), *[F.desc(c) for c in tie]])
-    return one.select(_minute_text(one, "_t").alias("time"), value, *extra).orderBy("time")
+    one = readings(rows.select(*dict.fromkeys([ts, value, *extra, *tie])), [], ts, tie)
+    return one.orderBy(ts).select(_minute_text(one, ts).alias("time"), value, *extra)
 
 
 def series_all(df: DataFrame, as_of="now", days: int = 7, city_col: str = "city", ts: str = "time",
                value: str = "temperature_c", tie: Sequence[str] = (), partition_col: str | None = None) -> DataFrame:
-    """Every city's readings over the look-back, one row per city and minute."""
-    rows = (_window(df, ts, as_of, days, partition_col).select(*dict.fromkeys([city_col, ts, value, *tie]))
-            .withColumn("_t", floor_time(df, ts, "minute")))
-    one = keep_one(rows, [city_col, "_t"], [F.desc(ts), *[F.desc(c) for c in tie]])
-    return (one.select(F.col(city_col).alias("city"), _minute_text(one, "_t").alias("time"), value)
-               .orderBy("city", "time"))
+    """Every city's readings over the look-back, one row per city and reading time."""
+    rows = _window(df, ts, as_of, days, partition_col).select(*dict.fromkeys([city_col, ts, value, *tie]))
+    one = readings(rows, [city_col], ts, tie)
+    return one.orderBy(city_col, ts).select(F.col(city_col).alias("city"), _minute_text(one, ts).alias("time"), value)
 
 
 def daily_summary(df: DataFrame, city: str | None = None, city_col: str = "city", ts: str = "time",
@@ -84,11 +85,17 @@ def series_domain(series: DataFrame, value: str, rain: str | None = None) -> Dat
     return series.agg(*aggs)
 
 
+def daily_domain(daily: DataFrame) -> DataFrame:
+    """One row for a daily chart: ``lo`` below the lowest minimum, ``hi`` above the highest maximum."""
+    return daily.agg((F.min("min_c") - 1).alias("lo"), (F.max("max_c") + 1).alias("hi"))
+
+
 def series_totals(series: DataFrame, group: str, ts: str, value: str, rain: str | None = None,
                   digits: int = 1) -> DataFrame:
-    """Per series: readings, latest time, last value, wet readings and rain total."""
+    """Per series: readings, latest time, last value (of tied times the largest), wet readings and rain total
+    (G15, G16, F11)."""
     aggs = [F.count(F.lit(1)).alias("readings"), F.max(ts).alias("latest"),
-            F.max_by(value, ts).alias("last_value")]
+            F.max_by(value, F.struct(ts, value)).alias("last_value")]
     if rain:
         aggs += [F.count_if(F.col(rain) > 0).alias("wet_readings"), exact_sum(rain, digits).alias("rain_total")]
     return series.groupBy(group).agg(*aggs)

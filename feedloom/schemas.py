@@ -115,4 +115,5 @@ RUN_LOG = T.StructType([
     T.StructField("rows_after", T.LongType(), True),
     T.StructField("rejects", T.LongType(), True),
     T.StructField("partitions", T.LongType(), True),
+    T.StructField("bytes", T.LongType(), True),
 ])

@@ -58,7 +58,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:  # tests and laptops only: a cluster always names a shared folder
+    if not configured:
+        if not (sc.master or "").split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="feedloom-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -90,6 +92,27 @@ def path_exists(spark: SparkSession, path: str) -> bool | None:
     return bool(p.getFileSystem(conf).exists(p))
 
 
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this library has written."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def path_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Bytes under some folders (those that exist)."""
+    total = 0
+    for path in paths:
+        fs, p = _fs(spark, path)
+        if fs.exists(p):
+            total += fs.getContentSummary(p).getLength()
+    return total
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -6,22 +6,22 @@ normalise step, so a bad value is counted rather than guessed.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedloom.operators.dedup import with_position
+from feedloom.operators.dedup import POS, with_position
 from feedloom.operators.merge import union_by_name
 from feedloom.schemas import EVENT_FIELDS, WEATHER_FIELDS
-from feedloom.session import ship_package
-from feedloom.sources._fs import open_input
 
 CORRUPT = "_corrupt_record"
 
 # Dialect written by Python's csv module (the pulls): quotes doubled, header line.
-DAY_CSV = {"header": "true", "quote": '"', "escape": '"', "multiLine": "false", "mode": "PERMISSIVE"}
+# A header that names other columns, or in another order, is an error, never a silent swap.
+DAY_CSV = {"header": "true", "quote": '"', "escape": '"', "multiLine": "false", "mode": "PERMISSIVE",
+           "enforceSchema": "false"}
 
 
 def text_schema(columns: Iterable[str], corrupt: bool = False) -> T.StructType:
@@ -73,40 +73,42 @@ def read_event_tsv(spark: SparkSession, paths, position: bool = True, **options)
 
 # --------------------------------------------------------------------------- S3: align by header
 
-def _first_lines(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in it:
-        heads = []
-        for p in pdf["path"]:
-            with open_input(p) as fh:
-                line = fh.readline().decode("utf-8", errors="replace")
-            heads.append(line.rstrip("\r\n").lstrip("\ufeff"))
-        yield pd.DataFrame({"path": pdf["path"], "header": heads})
-
-
-def file_headers(spark: SparkSession, files: DataFrame) -> DataFrame:
-    """``path, header`` for each file of a listing; reads only each file's first line."""
-    ship_package(spark)
-    return files.select("path").mapInPandas(_first_lines, "path string, header string")
-
-
-def read_csv_by_header(spark: SparkSession, pattern: str, sep: str = ",", position: bool = True,
-                       base_path: str | None = None) -> DataFrame:
+def read_csv_by_header(spark: SparkSession, pattern, columns: Iterable[str] | None = None, sep: str = ",",
+                       position: bool = True, base_path: str | None = None) -> DataFrame:
     """Several CSV files whose header order or width differs, aligned by column name (S3).
 
-    A single multi-file CSV read is positional in Spark, so files are grouped by header text
-    and each group is read with its own all-string schema, then unioned by name. With
+    A multi-file CSV read is positional in Spark. Here files are read as lines; each file's header is its line
+    at the file's start, and lines are joined with the header of their file. Only the distinct headers (a few)
+    reach the driver; the lines of each are parsed by their own names, and the results are united by name.
+    A column that a file lacks is NULL there; ``columns`` picks and orders columns (default: all, by name). With
     ``base_path`` (e.g. the landing root) partition folders such as ``ingest_day=`` become columns.
     """
-    from feedloom.operators.layout import list_files
-    heads = file_headers(spark, list_files(spark, pattern, recursive=False))
-    groups: dict[str, list[str]] = {}
-    for r in heads.collect():  # one row per file: a listing, not data
-        groups.setdefault(r.header, []).append(r.path)
+    reader = spark.read.option("basePath", base_path) if base_path else spark.read
+    text = reader.text(pattern)
+    parts = [c for c in text.columns if c != "value"]
+    line = F.regexp_replace("value", "\r$", "")
+    lines = text.select(*parts, line.alias("_line"), F.col("_metadata.file_path").alias("_file"),
+                        F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_row"))
+    # The first row id of a file's first block: one row for each file.
+    first = lines.filter("_block = 0").groupBy("_file").agg(F.min(F.struct("_row", "_line")).alias("f")).select(
+        "_file", F.col("f._row").alias("_head_row"), F.regexp_replace("f._line", "^\ufeff", "").alias("_header"))
+    body = lines.join(first, "_file").filter(F.col("_row") != F.col("_head_row")).filter(F.col("_line") != "")
+    if position:
+        body = body.withColumn(POS, F.struct(F.lit(None).cast("string").alias("stamp"), F.col("_row").alias("row")))
+        parts = [*parts, POS]
+    wanted = list(columns) if columns is not None else None
     frames = []
-    for header, paths in groups.items():
-        cols = [c.strip().strip('"') for c in header.split(sep)]
-        extra = {"basePath": base_path} if base_path else {}
-        frames.append(read_text_csv(spark, paths, cols, position=position, sep=sep, **extra))
+    for (header,) in first.select("_header").distinct().collect():
+        names = [c.strip().strip('"') for c in header.split(sep)]
+        rows = F.from_csv("_line", ", ".join(f"`{c}` string" for c in names), {"sep": sep, "quote": '"', "escape": '"'})
+        frames.append(body.filter(F.col("_header") == header).select(*parts, rows.alias("r")).select("r.*", *parts))
     if not frames:
-        return spark.createDataFrame([], text_schema([]))
-    return union_by_name(*frames)
+        out = spark.createDataFrame([], text_schema([*(wanted or []), *parts]))
+    else:
+        out = union_by_name(*frames)
+    for c in wanted or []:
+        if c not in out.columns:
+            out = out.withColumn(c, F.lit(None).cast("string"))
+    if position and "stamp" in out.columns:
+        out = out.withColumn(POS, F.struct(F.col("stamp").alias("stamp"), F.col(f"{POS}.row").alias("row")))
+    return out.select(*wanted, *parts) if wanted is not None else out

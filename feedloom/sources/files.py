@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-STAMP_RE = r"(\d{14})"
+STAMP_RE = r"(\d{14})[^/]*$"  # of the file name, never of a folder
 
 
 def stamp_of(path_col: Column | str = "_metadata.file_path") -> Column:
-    """The 14-digit ``YYYYMMDDHHMMSS`` stamp in a file path (S15); NULL when absent."""
+    """The 14-digit ``YYYYMMDDHHMMSS`` stamp in a file's name (S15); NULL when absent."""
     c = F.col(path_col) if isinstance(path_col, str) else path_col
     s = F.regexp_extract(c, STAMP_RE, 1)
     return F.when(s == "", F.lit(None).cast("string")).otherwise(s)

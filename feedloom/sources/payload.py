@@ -2,8 +2,8 @@
 
 A landed payload file holds one JSON array with one object per city, in the order the
 cities were asked for. Entries are matched to the city dimension by position with an
-equi-join on the broadcast 10-row dimension; unlike a ``zip``, a count mismatch is reported
-as rejects rather than silently cut.
+equi-join on the broadcast 10-row dimension; an unreadable payload, an entry without a city and
+a city without an entry are reported as rejects rather than silently cut.
 """
 
 from __future__ import annotations
@@ -20,20 +20,29 @@ def city_dim(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(i, n, la, lo) for i, (n, la, lo) in enumerate(CITIES)], CITY_DIM)
 
 
-def payload_entries(payloads: DataFrame, text_col: str = "value", keep: tuple = ()) -> DataFrame:
-    """One row per payload entry: ``pos`` plus the entry's fields; keeps ``_pos`` and ``keep``."""
+def payload_entries(payloads: DataFrame, places: int, text_col: str = "value", keep: tuple = ()) -> DataFrame:
+    """One row per place of each payload: ``pos``, the entry ``p`` (NULL if absent), and whether the payload
+    could be read; an unreadable payload gives one row with its text in ``raw``."""
     kept = [c for c in ("_pos", *keep) if c in payloads.columns]
     arr = F.from_json(F.col(text_col), WEATHER_PAYLOAD)
-    return payloads.select(*kept, F.posexplode(arr).alias("pos", "p"))
+    read = payloads.select(*kept, F.col(text_col).alias("raw"), arr.alias("a"))
+    last = F.when(F.col("a").isNull(), 0).otherwise(F.greatest(F.size("a"), F.lit(places)) - 1)
+    return (read.withColumn("pos", F.explode(F.sequence(F.lit(0), last)))
+                .select(*kept, "pos", F.get("a", F.col("pos")).alias("p"), F.col("a").isNotNull().alias("readable"),
+                        F.when(F.col("a").isNull(), F.col("raw")).alias("raw")))
 
 
 def rows_from_payload(payloads: DataFrame, cities: DataFrame, text_col: str = "value",
                       keep: tuple = ()) -> tuple[DataFrame, DataFrame]:
-    """``(rows, rejects)``: weather rows in the day-file field order, and unmatched entries."""
-    e = payload_entries(payloads, text_col, keep)
+    """``(rows, rejects)``: weather rows in the day-file field order; and, with a ``reason``, payloads that cannot
+    be read, entries without a city and cities without an entry."""
+    e = payload_entries(payloads, len(CITIES), text_col, keep)
     joined = e.join(F.broadcast(cities), "pos", "left")  # 10 fixed rows: a proven bound
+    reason = (F.when(~F.col("readable"), "unreadable").when(F.col("name").isNull(), "no city")
+               .when(F.col("p").isNull(), "no entry"))
+    joined = joined.withColumn("reason", reason)
     cur = F.col("p.current")
-    rows = joined.filter(F.col("name").isNotNull()).select(
+    rows = joined.filter(F.col("reason").isNull()).select(
         *[c for c in ("_pos", *keep) if c in joined.columns],
         F.col("pos"),
         F.col("name").alias("city"),
@@ -44,13 +53,14 @@ def rows_from_payload(payloads: DataFrame, cities: DataFrame, text_col: str = "v
         cur["wind_speed_10m"].alias("wind_kmh"),
         cur["weather_code"].alias("weather_code"),
     )
-    rejects = joined.filter(F.col("name").isNull()).select(
-        *[c for c in keep if c in joined.columns], "pos", F.to_json("p").alias("entry"))
+    rejects = joined.filter(F.col("reason").isNotNull()).select(
+        *[c for c in keep if c in joined.columns], "pos", "reason",
+        F.coalesce(F.col("raw"), F.to_json("p")).alias("entry"))
     return rows, rejects
 
 
 def read_payloads(spark: SparkSession, paths, position: bool = True) -> DataFrame:
-    """Landed payload files, one row per file (``value`` = whole JSON text)."""
+    """Landed payload files, one row per file (``value`` = whole JSON text); Spark passes over files of no bytes."""
     df = spark.read.text(paths, wholetext=True)
     return with_position(df) if position else df
 

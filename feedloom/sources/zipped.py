@@ -1,9 +1,9 @@
 """Zipped event exports (S10): one archive per quarter hour, tab-separated, no header.
 
 ``binaryFile`` lists the archives; ``mapInPandas`` unzips each one inside a task, decodes
-UTF-8 with replacement and splits lines on ``\\n`` / ``\\r\\n`` only (A-13), then fields on tab.
-Rows are padded or cut to the 61 columns and the original field count is kept for the ragged
-audit (A4). Archives are independent, so the work spreads one archive per row.
+UTF-8 with replacement and splits lines on ``\\n`` / ``\\r\\n`` only (A-13); Spark splits the fields on tab.
+Rows are padded or cut to the 61 columns; the whole line (``_raw``) and its field count are kept beside them for
+the ragged audit (A4). Archives are independent, so the work spreads one archive per row.
 """
 
 from __future__ import annotations
@@ -14,19 +14,13 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
+from pyspark.sql import functions as F
 
 from feedloom.schemas import EVENT_FIELDS
 from feedloom.session import ship_package
 from feedloom.sources.files import stamp_of
 
-N = len(EVENT_FIELDS)
-
-ZIP_ROWS = T.StructType(
-    [T.StructField(c, T.StringType(), True) for c in EVENT_FIELDS]
-    + [T.StructField("_file", T.StringType(), True), T.StructField("_line", T.LongType(), True),
-       T.StructField("_nfields", T.IntegerType(), True)]
-)
+ZIP_LINES = "_file string, _line long, _raw string"
 
 
 def _split_lines(text: str) -> list[str]:
@@ -36,31 +30,18 @@ def _split_lines(text: str) -> list[str]:
 def _unzip(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in it:
         for path, content in zip(pdf["path"], pdf["content"]):
-            cols: list[list] = [[] for _ in range(N)]
-            files, lines, widths = [], [], []
             with zipfile.ZipFile(io.BytesIO(content)) as z:
                 for member in z.namelist():
-                    text = z.read(member).decode("utf-8", errors="replace")
-                    for i, line in enumerate(_split_lines(text)):
-                        if not line:
-                            continue  # blank lines carry no event
-                        fields = line.split("\t")
-                        widths.append(len(fields))
-                        fields = (fields + [None] * N)[:N]
-                        for j in range(N):
-                            cols[j].append(fields[j] if fields[j] != "" else None)
-                        files.append(path)
-                        lines.append(i)
-            if not files:
-                continue  # an empty archive (a quarter hour with no events)
-            data = {EVENT_FIELDS[j]: pd.Series(cols[j], dtype=object) for j in range(N)}
-            data.update({"_file": files, "_line": lines, "_nfields": widths})
-            yield pd.DataFrame(data).astype({"_line": "int64", "_nfields": "int32"})
+                    lines = pd.Series(_split_lines(z.read(member).decode("utf-8", errors="replace")), dtype=object)
+                    lines = lines[lines != ""]  # blank lines carry no event
+                    yield pd.DataFrame({"_file": path, "_line": lines.index.astype("int64"), "_raw": lines.to_numpy()})
 
 
 def read_event_zips(spark: SparkSession, pattern: str) -> DataFrame:
     """Rows of every archive matching ``pattern``; ``stamp`` comes from the archive name."""
     ship_package(spark)
     archives = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(pattern)
-    rows = archives.select("path", "content").mapInPandas(_unzip, ZIP_ROWS)
-    return rows.withColumn("stamp", stamp_of("_file"))
+    lines = archives.select("path", "content").mapInPandas(_unzip, ZIP_LINES)
+    cut = lines.withColumn("_f", F.split("_raw", "\t"))
+    fields = [F.nullif(F.get("_f", F.lit(k)), F.lit("")).alias(c) for k, c in enumerate(EVENT_FIELDS)]
+    return cut.select(*fields, "_file", "_line", F.size("_f").alias("_nfields"), "_raw").withColumn("stamp", stamp_of("_file"))
