@@ -1,4 +1,4 @@
-"""Join helpers: broadcast only behind a proven size bound; distributed row index."""
+"""Distributed row index."""
 
 from __future__ import annotations
 
@@ -8,21 +8,6 @@ from pyspark.sql import Window
 
 from feedloom.session import cut_lineage
 
-# A key-only frame under this many rows is broadcast (about 8-40 bytes a row).
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows. The job stops after ``max_rows + 1`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """``(broadcast(df), True)`` when ``df`` is proven small, else ``(df, False)`` for a shuffle join."""
-    if max_rows > 0 and fits(df, max_rows):
-        return F.broadcast(df), True
-    return df, False
-
 
 def dense_index(df: DataFrame, col: str, name: str = "pos") -> DataFrame:
     """Distinct values of ``col`` with their 0-based position in ascending order.

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.schemas import RUN_LOG
+from feedloom.session import delete_path
 
 # CSV dialect of the landing: quotes doubled (never backslash), full microseconds on times.
 CSV_OPTIONS = {
@@ -69,8 +70,8 @@ def backfill_day(df: DataFrame, root: str, day_col: str = "ingest_day", stamp_co
                  fmt: str = "csv") -> None:
     """Replace whole landing days with ``df``'s rows (K2): dynamic overwrite of those days only.
 
-    A stream reading the landing sees the new files as a new pull; the day compaction then
-    merges them (the backfill's later stamp wins)."""
+    Compact the day with ``mode="replace"`` afterwards, so that rows which the backfill no longer has leave
+    the table too."""
     w = (_landing_order(df, day_col, stamp_col).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy(day_col))
     _write(w, fmt, root)
@@ -120,6 +121,13 @@ def write_snapshot(df: DataFrame, root: str, sort_by: Sequence[str], version: in
     return (path, n) if return_rows else path
 
 
+def drop_versions(spark: SparkSession, root: str, keep: int = 2) -> None:
+    """Remove all but the newest ``keep`` versions (readers of those before have had a version's time to end)."""
+    ptr = spark.read.parquet(_pointer(root)).select("version", "path").distinct()
+    for r in ptr.orderBy(F.desc("version")).offset(keep).collect():  # one row per merge run
+        delete_path(spark, r.path)
+
+
 def read_snapshot(spark: SparkSession, root: str, schema=None) -> DataFrame:
     """The current version, or a typed empty frame when none exists."""
     _, path = current_version(spark, root)
@@ -132,11 +140,13 @@ def read_snapshot(spark: SparkSession, root: str, schema=None) -> DataFrame:
 
 # --------------------------------------------------------------------------- run log, JSON (K5, K6)
 
-def log_run(spark: SparkSession, table_path: str, job: str, report: dict) -> None:
+def log_run(spark: SparkSession, table_path: str, job: str, report: dict, batch_id: str) -> None:
+    """One row per batch, in a folder of its own: a replayed batch replaces its row."""
     row = (_dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None), job, report.get("target"),
            report.get("rows_before"), report.get("rows_in"), report.get("rows_after"),
-           report.get("rejects"), report.get("partitions"))
-    spark.createDataFrame([row], RUN_LOG).write.mode("append").parquet(f"{table_path.rstrip('/')}/_runs")
+           report.get("rejects"), report.get("partitions"), report.get("bytes"))
+    spark.createDataFrame([row], RUN_LOG).coalesce(1).write.mode("overwrite").parquet(
+        f"{table_path.rstrip('/')}/_runs/batch={batch_id}")
 
 
 def to_json_rows(df: DataFrame, name: str = "json") -> DataFrame:

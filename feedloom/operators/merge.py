@@ -2,16 +2,16 @@
 
 * ``merge_latest``      - one row per key, the new batch wins (C1; C2 folded in with a total order).
 * ``merge_insert_only`` - history wins, only unseen keys are added (C3).
-* ``compact_days``      - the core layout: merge only the touched day partitions and overwrite
-  just those (C4 / K4). Time for one day does not grow with history.
+* ``compact_days``      - the core layout: merge (or replace) only the touched day partitions (C4 / K4).
+  Time for one day does not grow with history: no other day is listed, read or written.
 
-The new batch is always de-duplicated first (A-8) and rows without a key are returned as
-rejects, never merged (A-5). When the new batch's key set is proven small it is broadcast and
-the history is only scanned, never shuffled; past the bound the plans fall back to shuffle joins.
+The new batch is always de-duplicated first (A-8); rows without a key never merge and are returned as
+rejects (A-5). Joins carry no hint: the planner knows the sizes at run time and picks the strategy.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
@@ -20,8 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from feedloom.operators.dedup import POS, SRC, keep_one, split_null_keys
-from feedloom.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast
-from feedloom.session import cut_lineage, path_exists
+from feedloom.session import delete_path, path_bytes, path_exists, scratch_path
 
 
 def _cols(keys) -> list[str]:
@@ -46,53 +45,42 @@ def dedup_batch(new: DataFrame, keys, order: Sequence[Column | str] = ()) -> tup
 
 
 def merge_latest(old: DataFrame, new: DataFrame, keys, order: Sequence[Column | str] = (),
-                 history_unique: bool = True, broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                 with_rejects: bool = False, broadcast: bool | None = None):
-    """One row per key over ``old`` and ``new``; a key present in ``new`` takes the new row.
-
-    ``history_unique`` (history written by this library is): history rows whose key is not in
-    the batch pass through untouched, so only the batch's keys are shuffled or broadcast.
-    Otherwise both sides go through one keyed ``row_number`` with the batch ranked first.
-    ``broadcast`` skips the size check when the caller has already proven (or ruled out) it.
+                 history_unique: bool = False) -> tuple[DataFrame, DataFrame]:
+    """``(merged, rejects)``: one row per key over both; a key present in ``new`` takes the new row.
+
+    Both sides go through one keyed ``row_number`` with the batch ranked first, so duplicates in
+    history go too; history rows without a key stay as they are. With ``history_unique`` (the
+    caller knows that history has one row per key) history rows whose key is not in the batch pass
+    through an anti join, and only keys are compared.
     """
     ks = _cols(keys)
     new_d, rejects = dedup_batch(new, ks, order)
     if history_unique:
-        # The batch's key set, pre-aggregated map-side (no second window over the batch).
-        nk = split_null_keys(new, ks)[0].select(*ks).distinct()
-        nk = (F.broadcast(nk) if broadcast else nk) if broadcast is not None else bounded_broadcast(nk, broadcast_rows)[0]
+        nk = split_null_keys(new, ks)[0].select(*ks).distinct()  # pre-aggregated before any shuffle
         out = union_by_name(old.join(nk, ks, "left_anti"), new_d)
     else:
-        both = union_by_name(old.withColumn(SRC, F.lit(0)), new_d.withColumn(SRC, F.lit(1)))
-        out = keep_one(both, ks, [F.desc(SRC), *order])
-    out = _ordered(out, old.columns)
-    return (out, rejects) if with_rejects else out
+        keyed, keyless = split_null_keys(old, ks)
+        both = union_by_name(keyed.withColumn(SRC, F.lit(0)), new_d.withColumn(SRC, F.lit(1)))
+        out = union_by_name(keep_one(both, ks, [F.desc(SRC), *order]), keyless)
+    return _ordered(out, old.columns), rejects
 
 
 def merge_insert_only(old: DataFrame, new: DataFrame, keys, order: Sequence[Column | str] = (),
-                      broadcast_rows: int = DEFAULT_BROADCAST_ROWS, with_rejects: bool = False,
-                      broadcast: bool | None = None):
-    """History wins: keep every old row, add the batch rows whose key history lacks.
+                      history_unique: bool = False) -> tuple[DataFrame, DataFrame]:
+    """``(merged, rejects)``, history wins: one row of each key of history, plus the batch rows whose key
+    history lacks (C3).
 
     Written as a left-anti join, never ``NOT IN``: a literal ``NOT IN`` plans a null-aware
     broadcast of the history and adds nothing once history holds one NULL key.
     """
     ks = _cols(keys)
     new_d, rejects = dedup_batch(new, ks, order)
-    nk = split_null_keys(new, ks)[0].select(*ks).distinct()
-    if broadcast is None:
-        nk, small = bounded_broadcast(nk, broadcast_rows)
-    else:
-        nk, small = (F.broadcast(nk), True) if broadcast else (nk, False)
-    if small:
-        # Scan history keys against the broadcast batch keys: no history shuffle at all.
-        seen = old.select(*ks).join(nk, ks, "left_semi").distinct()
-        added = new_d.join(seen, ks, "left_anti")
-    else:
-        # distinct() pre-aggregates history keys map-side and shares the join's partitioning.
-        added = new_d.join(old.select(*ks).distinct(), ks, "left_anti")
-    out = _ordered(union_by_name(old, added), old.columns)
-    return (out, rejects) if with_rejects else out
+    # distinct() pre-aggregates history keys map-side and shares the join's partitioning.
+    added = new_d.join(old.select(*ks).distinct(), ks, "left_anti")
+    if not history_unique:
+        keyed, keyless = split_null_keys(old, ks)
+        old = union_by_name(_ordered(keep_one(keyed, ks, order), old.columns), keyless)
+    return _ordered(union_by_name(old, added), old.columns), rejects
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -110,28 +98,50 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 REJECT = "_reject"
 
 
+def read_days_only(spark: SparkSession, table_path: str, day_col: str, days) -> DataFrame | None:
+    """Some day partitions of a table, opened by their own folders: no other day is listed."""
+    root = table_path.rstrip("/")
+    there = [p for p in (f"{root}/{day_col}={d}" for d in days) if path_exists(spark, p) is not False]
+    return spark.read.option("basePath", root).parquet(*there) if there else None
+
+
+def publish_days(spark: SparkSession, table_path: str, day_col: str) -> None:
+    """Put staged days in place of the table's, from a complete staged copy only.
+
+    The copy is removed after the swap. A run that fails in between leaves it, and the next one (of any
+    batch) swaps it in again first, whole days at a time; so no day is lost or half merged."""
+    staged = f"{table_path.rstrip('/')}/_staged/days"
+    if path_exists(spark, f"{staged}/_SUCCESS"):
+        (spark.read.parquet(staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+              .partitionBy(day_col).parquet(table_path))
+    delete_path(spark, staged)
+
+
 def compact_days(spark: SparkSession, table_path: str, new: DataFrame, keys,
                  order: Sequence[Column | str] = (), day_col: str = "ingest_day",
                  cluster_by: Sequence[str] | None = None, mode: str = "latest",
                  run_log: bool = True, keep_rejects: bool = True,
-                 rejects: DataFrame | None = None, dry_run: bool = False, reject_col: str | None = None):
+                 rejects: DataFrame | None = None, dry_run: bool = False, reject_col: str | None = None,
+                 batch_id: str | None = None, raw_col: str | None = None):
     """Merge ``new`` into the day partitions it touches and overwrite only those partitions.
 
     De-duplication is per day (key = ``day_col`` + ``keys``); ``mode`` is ``"latest"`` (the
-    batch wins) or ``"insert_only"`` (history wins). Untouched days are neither read nor
-    written. Rows without a key or a day, rows flagged by ``reject_col`` and any upstream
-    ``rejects`` (e.g. rows whose time did not parse) go to ``<table>/_rejects``. Returns the run report; with ``dry_run`` it
-    returns ``(report, merged DataFrame)`` and writes nothing (for inspecting the plan).
-
-    Jobs: the de-duplicated batch and its rejects are staged once in the checkpoint folder
-    (the raw batch is read once, and a lost executor re-reads the staged copy, not the
-    landing), and the touched days and counts are observed in that same job; then one range
-    shuffle on (day, keys) serves the merge window and lays the files out sorted by key.
+    batch wins), ``"insert_only"`` (history wins) or ``"replace"`` (the touched days become the batch's
+    rows; history is not read). Untouched days are neither listed, read nor written. Rows without a key or
+    a day, rows flagged by ``reject_col`` and any upstream ``rejects`` (e.g. rows whose time did not parse) go to
+    ``<table>/_rejects/batch=<batch_id>``, so a replayed batch writes the same place again. ``raw_col`` holds the
+    whole line of rows that did not fit the columns: these rows merge, and are kept there too. Returns the
+    run report; with ``dry_run`` it returns ``(report, merged DataFrame)`` and writes nothing to the table.
+
+    The de-duplicated batch and its rejects are staged once as Parquet in the shared scratch folder, where the
+    touched days and counts are observed; the merged days are staged inside the table and then swapped
+    in (see :func:`publish_days`). One batch at a time per table.
     """
-    if mode not in ("latest", "insert_only"):
-        raise ValueError("mode must be 'latest' or 'insert_only'")
+    if mode not in ("latest", "insert_only", "replace"):
+        raise ValueError("mode must be 'latest', 'insert_only' or 'replace'")
     ks = [day_col, *_cols(keys)]
     cluster = list(cluster_by or _cols(keys))
+    batch_id = batch_id or uuid.uuid4().hex[:12]
     # One pass over the batch: a row is rejected when a key is missing or ``reject_col`` says so
     # (e.g. an unreadable time from the normaliser). Each reject gets its own group in the
     # de-dup window, so it passes through untouched, while keyed rows keep one per key.
@@ -141,76 +151,89 @@ def compact_days(spark: SparkSession, table_path: str, new: DataFrame, keys,
         bad_row = bad_row | F.coalesce(F.col(reject_col), F.lit(False))
     tagged = new.withColumn(REJECT, bad_row)
     tagged = tagged.withColumn("_uniq", F.when(F.col(REJECT), F.monotonically_increasing_id()))
+    raw, staging = Observation("raw"), Observation("staging")
+    tagged = tagged.observe(raw, F.count(F.lit(1)).alias("n"))
     parts_in = [keep_one(tagged, [REJECT, "_uniq", *ks], order).drop("_uniq")]
     if rejects is not None:
         parts_in.append(rejects.withColumn(REJECT, F.lit(True)))
-    staging = Observation("staging")
     good = ~F.col(REJECT)
-    staged = cut_lineage(
-        union_by_name(*parts_in)
-        .observe(staging, F.count_if(good).alias("rows_in"), F.count_if(~good).alias("rejects"),
-                 F.collect_set(F.when(good, F.col(day_col))).alias("days")))
+    staged_path = scratch_path(spark, "batch")
+    staged = union_by_name(*parts_in)
+    ragged = good & F.col(raw_col).isNotNull() if raw_col else F.lit(False)
+    (staged.observe(staging, F.count_if(ragged).alias("ragged"), F.count_if(~good).alias("rejects"),
+                    F.collect_set(F.when(good, F.col(day_col))).alias("days")).write.parquet(staged_path))
+    staged = spark.read.schema(staged.schema).parquet(staged_path)
     m = staging.get
     days = sorted(m["days"])
-    report = {"target": table_path, "rows_in": m["rows_in"], "rejects": m["rejects"], "partitions": len(days),
-              "rows_before": 0, "rows_after": 0}
-    data_cols = [c for c in new.columns if c != reject_col]
-    if keep_rejects and report["rejects"] and not dry_run:
-        staged.filter(F.col(REJECT)).drop(REJECT).write.mode("append").parquet(f"{table_path.rstrip('/')}/_rejects")
+    report = {"target": table_path, "rows_in": raw.get["n"], "rejects": m["rejects"], "partitions": len(days),
+              "rows_before": 0, "rows_after": 0, "bytes": 0}
+    data_cols = [c for c in new.columns if c not in (reject_col, raw_col)]
+    if not dry_run:
+        publish_days(spark, table_path, day_col)  # what an interrupted run has left
+        if keep_rejects and report["rejects"] + m["ragged"]:
+            staged.filter(F.col(REJECT) | ragged).drop(REJECT).write.mode("overwrite").parquet(
+                f"{table_path.rstrip('/')}/_rejects/batch={batch_id}")
     if not days:
+        if not dry_run:
+            delete_path(spark, staged_path)
         return (report, None) if dry_run else report
     batch = staged.filter(~F.col(REJECT)).select(*data_cols)
     before, after = Observation("before"), Observation("after")
     parts = [batch.withColumn(SRC, F.lit(1))]
-    if table_exists(spark, table_path):
-        # A literal day list: static partition pruning, no other day is listed or read.
-        existing = spark.read.parquet(table_path).filter(F.col(day_col).isin(days))
+    existing = None if mode == "replace" else read_days_only(spark, table_path, day_col, days)
+    if existing is not None:
         parts.insert(0, existing.withColumn(SRC, F.lit(0)))
-    # Each key appears at most once per side here, so range partitioning cannot meet a hot key;
-    # the range exchange satisfies the window's clustering and gives each file a key range.
-    # Counts are observed above the exchange: the range sampler re-runs the plan below it.
-    both = (union_by_name(*parts).repartitionByRange(day_col, *cluster)
-            .observe(before, F.count_if(F.col(SRC) == 0).alias("n")))
-    rank_src = F.desc(SRC) if mode == "latest" else F.asc(SRC)
+    # Each key appears at most once per side here, so no partition can meet a hot key.
+    both = union_by_name(*parts).observe(before, F.count_if(F.col(SRC) == 0).alias("n"))
+    rank_src = F.asc(SRC) if mode == "insert_only" else F.desc(SRC)
     merged = keep_one(both, ks, [rank_src, *order]).drop(SRC, POS)
-    out = merged.sortWithinPartitions(day_col, *cluster).observe(after, F.count(F.lit(1)).alias("n"))
+    # Files of even size by day, each sorted by key.
+    out = (merged.observe(after, F.count(F.lit(1)).alias("n")).hint("rebalance", day_col)
+                 .sortWithinPartitions(day_col, *cluster))
     if dry_run:
         return report, out
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(day_col).parquet(table_path))
+    # Static mode: the whole folder is replaced, and its _SUCCESS marks a complete copy.
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(day_col)
+        .parquet(f"{table_path.rstrip('/')}/_staged/days"))
+    publish_days(spark, table_path, day_col)
+    delete_path(spark, staged_path)
     report["rows_after"] = after.get.get("n", 0)
     report["rows_before"] = before.get.get("n", 0)
+    report["bytes"] = path_bytes(spark, [f"{table_path.rstrip('/')}/{day_col}={d}" for d in days])
     if run_log:
         from feedloom.operators.layout import log_run
-        log_run(spark, table_path, "compact_days", report)
+        log_run(spark, table_path, "compact_days", report, batch_id)
     return report
 
 
 def merge_into_snapshot(spark: SparkSession, root: str, new: DataFrame, keys, order: Sequence[Column | str] = (),
                         mode: str = "latest", sort_by: Sequence[str] | None = None,
-                        rejects: DataFrame | None = None) -> dict:
+                        rejects: DataFrame | None = None, keep_versions: int = 2) -> dict:
     """Whole-history compaction into the snapshot layout (C1 / C3 + K3).
 
     Reads the current version, merges the batch (``"latest"``: the batch wins; ``"insert_only"``:
-    history wins) and writes the next version; the pointer moves only after the write. Every
+    history wins) and writes the next version; the pointer moves only after the write, and all but the
+    newest ``keep_versions`` versions are removed. Rejects go to ``<root>/_rejects/batch=<version>``. Every
     run rewrites the whole history, so prefer ``compact_days`` once history is large.
     """
-    from feedloom.operators.layout import current_version, log_run, write_snapshot
+    from feedloom.operators.layout import current_version, drop_versions, log_run, write_snapshot
     ks = _cols(keys)
     version, path, rows_before = current_version(spark, root, with_rows=True)
     old = new.limit(0).drop(POS) if path is None else spark.read.parquet(path)
     if path is not None and rows_before is None:  # a version written without a recorded count
         rows_before = old.count()
-    # One pass over the batch: its rows bound its distinct keys (the broadcast check) and the
-    # rows without a key are the rejects.
-    has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in ks])
-    st = new.agg(F.count(F.lit(1)).alias("n"), F.count_if(~has_key).alias("no_key")).first()
-    small = st.n <= DEFAULT_BROADCAST_ROWS
+    batch = Observation("batch")
+    new = new.observe(batch, F.count(F.lit(1)).alias("n"))
     fn = merge_latest if mode == "latest" else merge_insert_only
-    merged = fn(old, new, ks, order=order, broadcast=small)
+    merged, keyless = fn(old, new, ks, order=order)
+    bad = [keyless.drop(POS)] + ([rejects.drop(POS)] if rejects is not None else [])
+    bad_path = f"{root.rstrip('/')}/_rejects/batch={version + 1}"
+    kept = Observation("rejects")
+    union_by_name(*bad).observe(kept, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(bad_path)
     target, rows_after = write_snapshot(merged, root, list(sort_by or ks), version=version, return_rows=True)
+    drop_versions(spark, root, keep_versions)
     report = {"target": target, "rows_before": rows_before or 0, "rows_after": rows_after,
-              "rejects": st.no_key + (rejects.count() if rejects is not None else 0),
-              "partitions": None, "rows_in": st.n - st.no_key}
-    log_run(spark, root, f"snapshot_{mode}", report)
+              "rejects": kept.get.get("n", 0), "partitions": None, "rows_in": batch.get.get("n", 0),
+              "bytes": path_bytes(spark, [target])}
+    log_run(spark, root, f"snapshot_{mode}", report, str(version + 1))
     return report

@@ -1,13 +1,14 @@
 """Dashboard pack (C9): bounds, totals, per hour, top groups, tone of the leaders, class mix.
 
-All six answers share one look-back over the newest days (F5). On a day-partitioned table
-that bound becomes a partition filter, and each answer reads only its own columns, so the
-slice is not cached: re-reading two or three pruned columns is cheaper than holding 61.
+All answers share one look-back over the newest days (F5). The window is read once and reduced to one row
+per (hour, group, class); that small table is stored, and every answer is rolled up from it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import time
+
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from feedloom.functions.casts import lenient_in
@@ -53,63 +54,40 @@ def dashboard(df: DataFrame, days: int = 7, top: int = 15, tone: int = 6, day: s
 
     The window bounds are resolved first (one tiny aggregate; on a day-partitioned table it
     reads only the partition column) and applied as literals, so every later read is pruned
-    statically. One grouping-sets aggregate then yields the grand total, rows per day, per
-    hour, per group, per (day, class) and tone sums per (day, group); it is checkpointed (a
-    few thousand rows, bounded by days x groups + hours) and each answer reads that.
+    statically. One aggregate per (day, hour, group, class) combines rows before the shuffle; it is checkpointed
+    and each answer is a roll-up of it. ``cost`` has the rows read and the seconds taken, as measured.
     """
     from feedloom.session import cut_lineage
+    began = time.perf_counter()
     window, first, last = literal_day_window(df, day, days)
     spark = df.sparkSession
     bounds = spark.createDataFrame([(last, first)], "last_day date, first_day date")
     t = lenient_in(df, tone_col, "double")
+    read = Observation("dashboard_scan")
     slim = window.select(F.col(day).alias("day"), floor_time(df, ts, "hour").alias("hour"),
                          F.col(group).alias("country"), F.col(cls).alias(cls), t.alias("_tone"))
-    sets = [[], ["day"], ["hour"], ["country"], ["day", cls], ["day", "country"]]
-    cube = cut_lineage(
-        slim.groupingSets(sets, "day", "hour", "country", cls)
-            .agg(F.count(F.lit(1)).alias("events"), F.sum("_tone").alias("tone_sum"),
-                 F.count("_tone").alias("tone_n"), F.grouping_id().alias("gid")))
-    gid = {tuple(x): _gid(["day", "hour", "country", cls], x) for x in sets}
-
-    def part(key):
-        return cube.filter(F.col("gid") == gid[tuple(key)])
-
-    g0, gday = gid[()], gid[("day",)]
-    totals = (cube.filter(F.col("gid").isin(g0, gday))
-                  .agg(F.coalesce(F.sum(F.when(F.col("gid") == g0, F.col("events"))), F.lit(0)).alias("rows_scanned"),
-                       F.count_if(F.col("gid") == gday).alias("days")))
-    named = part(["country"]).filter(non_blank("country") if dict(slim.dtypes)["country"] == "string"
-                                     else F.col("country").isNotNull())
-    top_countries = named.select("country", "events").orderBy(F.desc("events"), F.asc("country")).limit(top)
+    slim = slim.observe(read, F.count(F.lit(1)).alias("rows"))
+    cells = cut_lineage(slim.groupBy("day", "hour", "country", cls).agg(
+        F.count(F.lit(1)).alias("events"), F.sum("_tone").alias("tone_sum"), F.count("_tone").alias("tone_n")))
+    totals = cells.agg(F.coalesce(F.sum("events"), F.lit(0)).alias("rows_scanned"), F.count_distinct("day").alias("days"))
+    named = cells.filter(non_blank("country") if dict(slim.dtypes)["country"] == "string" else F.col("country").isNotNull())
+    top_countries = (named.groupBy("country").agg(F.sum("events").alias("events"))
+                     .orderBy(F.desc("events"), F.asc("country")).limit(top))
     leaders = top_countries.limit(tone).select("country")
-    tone_df = (part(["day", "country"]).join(F.broadcast(leaders), "country", "left_semi")
-               .select("day", "country", (F.col("tone_sum") / F.col("tone_n")).alias("tone")))
-    quad = part(["day", cls]).select("day", cls, "events")
+    tone_df = (cells.join(F.broadcast(leaders), "country", "left_semi").groupBy("day", "country")
+               .agg((F.sum("tone_sum") / F.nullif(F.sum("tone_n"), F.lit(0))).alias("tone")))
+    quad = cells.groupBy("day", cls).agg(F.sum("events").alias("events"))
     quad = quad.withColumn("share", F.col("events") / F.sum("events").over(Window.partitionBy("day")))
     if label:
         quad = quad.withColumn("class", quad_label(cls))
+    cost = spark.createDataFrame([(read.get.get("rows", 0), time.perf_counter() - began)], "rows_read long, seconds double")
     return {
         "bounds": bounds,
         "totals": totals,
-        "per_hour": part(["hour"]).select("hour", "events"),
+        "per_hour": cells.groupBy("hour").agg(F.sum("events").alias("events")),
         "top_countries": top_countries,
         "top_countries_display": top_countries.orderBy("events", F.desc("country")),  # bars bottom-up (L5)
         "tone": tone_df,
         "quad": quad,
-        "cost": scan_cost(totals, scans=1),
+        "cost": cost,
     }
-
-
-def scan_cost(totals: DataFrame, scans: int) -> DataFrame:
-    """Row reads behind the answers (C11): rows in the window times the scans over it.
-
-    The reference ran one query per answer over the window; the grouping-sets plan scans it once.
-    """
-    return totals.select("rows_scanned", F.lit(scans).alias("scans"),
-                         (F.col("rows_scanned") * F.lit(scans)).alias("row_reads"))
-
-
-def _gid(cols: list[str], grouped: list[str]) -> int:
-    """Spark's grouping id: bit set for each column NOT grouped, first column most significant."""
-    n = len(cols)
-    return sum(1 << (n - 1 - i) for i, c in enumerate(cols) if c not in grouped)

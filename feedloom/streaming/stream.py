@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from feedloom.operators.dedup import number_rows, with_position
-from feedloom.operators.layout import CSV_OPTIONS
+from feedloom.operators.layout import CSV_OPTIONS, write_snapshot
 from feedloom.operators.merge import compact_days
 from feedloom.session import ship_package
 
@@ -66,6 +66,10 @@ def dedup_stream(df: DataFrame, keys: Sequence[str], ts: str, delay: str = "2 da
     Arrow batch (10k rows by default) first drops its own repeated keys in the map task, so a
     key delivered in a third of the rows reaches the shuffle as one row per batch. This costs
     a pass through Python for every row, so it is for feeds that do repeat keys heavily.
+
+    Rows later than ``delay`` are dropped by the watermark (the query's progress counts them in
+    ``numRowsDroppedByWatermark``). Where no row may be lost, however late, use ``compaction_query`` with
+    ``mode="insert_only"``: it keeps the first delivery of each key against the table itself.
     """
     ks = list(keys)
     if pre_reduce:
@@ -89,8 +93,8 @@ def hourly_stream(df: DataFrame, ts: str, value: str, delay: str | None = None)
 
 
 def latest_stream(df: DataFrame, group: str, value: str, ts: str) -> DataFrame:
-    """Newest value per group (``complete`` or ``update`` mode)."""
-    return df.groupBy(group).agg(F.max_by(value, ts).alias("last_value"), F.max(ts).alias("latest"))
+    """Newest value per group, of tied times the largest (``complete`` or ``update`` mode)."""
+    return df.groupBy(group).agg(F.max_by(value, F.struct(ts, value)).alias("last_value"), F.max(ts).alias("latest"))
 
 
 def distinct_stream(df: DataFrame, col: str, group: str | None = None) -> DataFrame:
@@ -113,7 +117,7 @@ def compaction_query(stream: DataFrame, table_path: str, keys, checkpoint: str,
         out = normalise(batch) if normalise else batch
         typed, rejects = out if isinstance(out, tuple) else (out, None)
         compact_days(batch.sparkSession, table_path, typed, keys, order=order, day_col=day_col, mode=mode,
-                     rejects=rejects, **compact_options)
+                     rejects=rejects, batch_id=f"stream-{epoch_id}", **compact_options)
 
     w = stream.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint)
     if name:
@@ -122,10 +126,11 @@ def compaction_query(stream: DataFrame, table_path: str, keys, checkpoint: str,
 
 
 def complete_to_table(agg: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Run an aggregate in ``complete`` mode, replacing ``path`` with the full answer each batch."""
+    """Run an aggregate in ``complete`` mode; each batch's full answer is a new version of the snapshot at
+    ``path`` (``layout.read_snapshot``), so a reader's files are not overwritten under it."""
 
     def write(batch: DataFrame, epoch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+        write_snapshot(batch, path, batch.columns[:1])
 
     return (agg.writeStream.outputMode("complete").foreachBatch(write)
                .option("checkpointLocation", checkpoint).trigger(**(trigger or AVAILABLE_NOW)).start())
@@ -137,11 +142,8 @@ def append_to_table(df: DataFrame, path: str, checkpoint: str, trigger: dict | N
               .option("checkpointLocation", checkpoint).trigger(**(trigger or AVAILABLE_NOW)).start())
 
 
-def run_until_done(q: StreamingQuery, timeout_s: int = 600) -> None:
-    """Wait for an ``availableNow`` query; raise its error if it failed."""
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError(f"stream {q.name or q.id} did not finish in {timeout_s}s")
+def run_until_done(q: StreamingQuery) -> None:
+    """Wait for an ``availableNow`` query to end, however long it takes; raise its error if it failed."""
+    q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
