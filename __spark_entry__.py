@@ -30,20 +30,21 @@ from pyspark.sql import types as T
 
 from feedloom.operators import audit, normalize  # noqa: E402
 from feedloom.operators.dedup import keep_latest
-from feedloom.operators.layout import land_partitioned
-from feedloom.operators.merge import compact_days, merge_insert_only, merge_latest
+from feedloom.operators.layout import CSV_OPTIONS, backfill_day, land_partitioned, read_snapshot, write_snapshot
+from feedloom.operators.merge import compact_days, merge_insert_only, merge_into_snapshot, merge_latest
 from feedloom.plans import probes
 from feedloom.plans.adhoc import DEFAULT_QUERY, adhoc
-from feedloom.plans.dashboard import class_mix, leaders_tone, top_groups
+from feedloom.plans.dashboard import class_mix, dashboard, leaders_tone, top_groups
 from feedloom.plans.hourly import hourly
 from feedloom.plans.lookback import day_window, since, window_bounds, window_totals
 from feedloom.plans.series import (
-    axis_positions, daily_summary, day_ticks, hourly_domain, series_all, series_domain, series_one,
-    series_totals,
+    axis_positions, daily_domain, daily_summary, day_ticks, hourly_domain, readings, series_all, series_domain,
+    series_one, series_totals,
 )
-from feedloom.schemas import EVENT_FIELDS
+from feedloom.schemas import CITIES, EVENT_FIELDS
 from feedloom.session import scratch_path
-from feedloom.sources.csv import read_event_tsv, read_text_csv
+from feedloom.sources.csv import read_csv_by_header, read_event_tsv, read_text_csv
+from feedloom.sources.payload import city_dim, rows_from_payload
 from feedloom.streaming import stream as st
 
 try:  # the training-data operators come with their own queries; the rest works without them
@@ -117,8 +118,12 @@ def q_all_series(spark, sf):
 # --------------------------------------------------------------------------- chart numbers
 
 def _chart_window(spark, sf):
-    ev = _events(spark, sf)
-    return since(ev, "ts", "latest", 7)
+    """The de-duplicated readings behind the charts: one row per city and time."""
+    return readings(since(_events(spark, sf), "ts", "latest", 7), ["event_type"], "ts", tie=["event_id"])
+
+
+def q_daily_domain(spark, sf):
+    return daily_domain(q_daily_summary(spark, sf))
 
 
 def q_chart_domain(spark, sf):
@@ -151,12 +156,70 @@ def q_latest_per_user(spark, sf):
 
 def q_merge_latest(spark, sf):
     old, new = _history_and_batch(_events(spark, sf))
-    return merge_latest(old, new, "event_id", order=[F.desc("ts")])
+    return merge_latest(old, new, "event_id", order=[F.desc("ts")])[0]
 
 
 def q_merge_insert_only(spark, sf):
     old, new = _history_and_batch(_events(spark, sf))
-    return merge_insert_only(old, new, "event_id", order=[F.desc("ts")])
+    return merge_insert_only(old, new, "event_id", order=[F.desc("ts")])[0]
+
+
+def _snapshot(spark, sf, mode):
+    """Whole-history compaction of the re-sent batch into a history that holds two days twice."""
+    ev = _events(spark, sf)
+    old, new = _history_and_batch(ev)
+    cut = F.date_sub(ev.select(F.max(F.to_date("ts"))).scalar(), 3)
+    root = scratch_path(spark, "snapshot")
+    write_snapshot(old.unionByName(old.filter(F.to_date("ts") >= cut)), root, ["event_id"])
+    merge_into_snapshot(spark, root, new, "event_id", order=[F.desc("ts")], mode=mode)
+    return read_snapshot(spark, root)
+
+
+def q_snapshot_latest(spark, sf):
+    return _snapshot(spark, sf, "latest")
+
+
+def q_snapshot_insert_only(spark, sf):
+    return _snapshot(spark, sf, "insert_only")
+
+
+def q_backfill_replace(spark, sf):
+    """The newest landing day is backfilled without its purchases; its table day becomes the backfill alone."""
+    ev = _events(spark, sf)
+    root, table = scratch_path(spark, "landing"), scratch_path(spark, "day-table")
+    newest = ev.agg(F.max(F.to_date("ts"))).first()[0]
+    day = F.to_date("ts")
+    _land(ev, root, "000000")
+    raw = read_text_csv(spark, root, EVENT_COLS + ["stamp"], basePath=root)
+    compact_days(spark, table, _typed_from_text(raw).drop("stamp"), "event_id", order=[F.desc("ts")])
+    again = ev.filter((day == F.lit(newest)) & (F.col("event_type") != "purchase"))
+    backfill_day(again.withColumn("ingest_day", day).withColumn("stamp", F.concat(F.date_format(day, "yyyyMMdd"), F.lit("235959"))), root)
+    raw = read_text_csv(spark, f"{root}/ingest_day={newest}", EVENT_COLS + ["stamp"], basePath=root)
+    compact_days(spark, table, _typed_from_text(raw).drop("stamp"), "event_id", order=[F.desc("ts")], mode="replace")
+    return spark.read.parquet(table).select(*EVENT_COLS, "ingest_day")
+
+
+def q_csv_by_header(spark, sf):
+    """The table landed as CSV in two column orders (odd and even ids) and read back by the files' headers."""
+    ev = _events(spark, sf)
+    root = scratch_path(spark, "by-header")
+    for k, order in enumerate((EVENT_COLS, EVENT_COLS[::-1])):
+        part = ev.filter(F.pmod("event_id", F.lit(2)) == k).select(*order)
+        part.write.options(**CSV_OPTIONS).csv(f"{root}/order={k}")
+    return _typed_from_text(read_csv_by_header(spark, f"{root}/order=*", EVENT_COLS, position=False))
+
+
+def q_payload_rows(spark, sf):
+    """Each user's events as one payload of up to ten entries in event order, matched to the cities by place;
+    users without entries for all ten cities, one city too many, or unreadable text show among the rejects."""
+    ev = _events(spark, sf)
+    entry = F.struct(F.col("value").alias("latitude"), F.col("value").alias("longitude"), F.struct(
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm").alias("time"), F.col("value").alias("temperature_2m")).alias("current"))
+    sent = ev.groupBy("user_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("event_id", entry.alias("e")))), lambda x: x["e"]).alias("a"))
+    text = F.when(F.pmod("user_id", F.lit(10)) == 0, F.lit("no json [")).otherwise(F.to_json("a"))
+    rows, rejects = rows_from_payload(sent.select("user_id", text.alias("value")), city_dim(spark), keep=("user_id",))
+    good = rows.select("user_id", "pos", F.col("city").alias("what"), "temperature_c")
+    return good.unionByName(rejects.select("user_id", "pos", F.col("reason").alias("what"), F.lit(None).cast("double").alias("temperature_c")))
 
 
 def q_day_compaction(spark, sf):
@@ -222,11 +285,11 @@ def q_layout_equivalence(spark, sf):
 
 
 def q_layout_report(spark, sf):
-    """Files, row groups, rows and bytes per day of the day table built from events."""
+    """Rows per day of the day table built from events (files and bytes depend on the cluster)."""
     days = scratch_path(spark, "day-table")
     compact_days(spark, days, _events(spark, sf).withColumn("ingest_day", F.to_date("ts")), "event_id",
                  run_log=False)
-    return audit.layout_report(spark, days)
+    return audit.layout_report(spark, days).select("ingest_day", "rows")
 
 
 def _as_exports(ev: DataFrame) -> DataFrame:
@@ -277,15 +340,17 @@ def q_stream_compaction(spark, sf):
 
 
 def q_stream_dedup(spark, sf):
-    """The newest two days are delivered twice; the stream keeps one copy per event id."""
+    """Six deliveries, the newest days first and the first one twice, a micro-batch each: one copy per event id
+    stays, however late its day comes."""
     ev = _events(spark, sf)
-    root, out, ck = (scratch_path(spark, n) for n in ("landing", "dedup", "ckpt"))
-    cut = F.date_sub(ev.select(F.max(F.to_date("ts"))).scalar(), 1)
-    _land(ev, root, "000000")
-    _land(ev.filter(F.to_date("ts") >= cut), root, "235959")
-    typed = _typed_from_text(st.landed_stream(spark, root, _LANDED_TEXT, position=False))
-    st.run_until_done(st.append_to_table(st.dedup_stream(typed, ["event_id"], "ts"), out, ck))
-    return spark.read.parquet(out).select(*EVENT_COLS)
+    root, table, ck = (scratch_path(spark, n) for n in ("landing", "day-table", "ckpt"))
+    fifth = F.pmod(F.dayofyear("ts"), F.lit(5))
+    for k in (4, 3, 2, 1, 0, 4):  # a file source takes files in order of their time
+        _land(ev.filter(fifth == k).coalesce(1), root, f"00000{k}")
+    stream = st.landed_stream(spark, root, _LANDED_TEXT, max_files=max(1, ev.select(F.to_date("ts")).distinct().count() // 5))
+    q = st.compaction_query(stream, table, "event_id", ck, normalise=_typed_from_text, mode="insert_only")
+    st.run_until_done(q)
+    return spark.read.parquet(table).select(*EVENT_COLS)
 
 
 def q_stream_hourly(spark, sf):
@@ -293,7 +358,7 @@ def q_stream_hourly(spark, sf):
     _land(_events(spark, sf), root, "000000")
     typed = _typed_from_text(st.landed_stream(spark, root, _LANDED_TEXT, position=False))
     st.run_until_done(st.complete_to_table(st.hourly_stream(typed, "ts", "value"), out, ck))
-    return spark.read.parquet(out).select("h", "n", F.round("tone", 4).alias("tone"))
+    return read_snapshot(spark, out).select("h", "n", F.round("tone", 4).alias("tone"))
 
 
 def q_stream_latest(spark, sf):
@@ -301,7 +366,7 @@ def q_stream_latest(spark, sf):
     _land(_events(spark, sf), root, "000000")
     typed = _typed_from_text(st.landed_stream(spark, root, _LANDED_TEXT, position=False))
     st.run_until_done(st.complete_to_table(st.latest_stream(typed, "event_type", "value", "ts"), out, ck))
-    return spark.read.parquet(out)
+    return read_snapshot(spark, out)
 
 
 # --------------------------------------------------------------------------- window, dashboard
@@ -339,6 +404,34 @@ def q_leaders_by_day(spark, sf):
     return leaders_tone(w, leaders, "day", "user_id", "value", alias="user_id", digits=4)
 
 
+def _dashboard(spark, sf):
+    """The pack over events: types as countries, a class of 1 to 4 from the user."""
+    ev = _day_events(spark, sf).withColumn("QuadClass", F.pmod("user_id", F.lit(4)) + 1)
+    return dashboard(ev, days=7, top=3, tone=2, day="day", group="event_type", tone_col="value")
+
+
+def q_dashboard_totals(spark, sf):
+    return _dashboard(spark, sf)["totals"]
+
+
+def q_dashboard_hours(spark, sf):
+    return _dashboard(spark, sf)["per_hour"]
+
+
+def q_dashboard_quad_labels(spark, sf):
+    return _dashboard(spark, sf)["quad"].withColumn("share", F.round("share", 6))
+
+
+def q_dashboard_tone(spark, sf):
+    return _dashboard(spark, sf)["tone"].withColumn("tone", F.round("tone", 4))
+
+
+def q_country_hours(spark, sf):
+    """The hourly answer for a country given by its code, in lower case."""
+    ev = _events(spark, sf).withColumn("country", F.upper(F.substring("event_type", 1, 2)))
+    return hourly(ev, as_of="latest", days=7, group="vi", group_col="country", ts="ts", value="value", digits=4)
+
+
 def q_class_mix(spark, sf):
     w = day_window(_day_events(spark, sf), "day", 7)
     return class_mix(w, "day", "event_type", label=False, digits=4)
@@ -347,7 +440,12 @@ def q_class_mix(spark, sf):
 # --------------------------------------------------------------------------- casts, probes, audits
 
 def _props_k(ev: DataFrame) -> DataFrame:
-    return ev.select("event_id", F.get_json_object("props", "$.k").alias("k_raw"))
+    """Number texts of many forms, by the event id: plain, padded, with a fraction, an exponent, none at all."""
+    k = F.get_json_object("props", "$.k")
+    forms = [k, F.concat(F.lit(" "), k, F.lit(" ")), F.concat(k, F.lit(".5")), F.concat(F.lit("-"), k, F.lit(".25")),
+             F.concat(k, F.lit("e1")), F.lit("nan"), F.lit(""), F.lit("abc")]
+    form = F.pmod("event_id", F.lit(len(forms)))
+    return ev.select("event_id", F.element_at(F.array(*forms), (form + 1).cast("int")).alias("k_raw"))
 
 
 def q_lenient_cast(spark, sf):
@@ -358,7 +456,7 @@ def q_lenient_cast(spark, sf):
 def q_cast_loss(spark, sf):
     from feedloom.functions.casts import lenient
     ev = _events(spark, sf)
-    d = ev.select(F.get_json_object("props", "$.k").alias("k_raw"), F.col("event_type").alias("type_raw"))
+    d = _props_k(ev).join(ev.select("event_id", F.col("event_type").alias("type_raw")), "event_id")
     d = d.withColumns({"k": lenient("k_raw", "bigint"), "event_type_code": lenient("type_raw", "bigint")})
     return audit.cast_loss(d, {"k": "k_raw", "event_type_code": "type_raw"})
 
@@ -421,6 +519,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "daily_summary_city": q_daily_summary_city,
         "one_series": q_one_series,
         "all_series": q_all_series,
+        "daily_domain": q_daily_domain,
         "chart_domain": q_chart_domain,
         "chart_totals": q_chart_totals,
         "chart_day_ticks": q_chart_day_ticks,
@@ -445,6 +544,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "top_hosts": q_top_hosts,
         "leaders_by_day": q_leaders_by_day,
         "class_mix": q_class_mix,
+        "dashboard_totals": q_dashboard_totals,
+        "dashboard_hours": q_dashboard_hours,
+        "dashboard_quad_labels": q_dashboard_quad_labels,
+        "dashboard_tone": q_dashboard_tone,
+        "country_hours": q_country_hours,
+        "snapshot_latest": q_snapshot_latest,
+        "snapshot_insert_only": q_snapshot_insert_only,
+        "backfill_replace": q_backfill_replace,
+        "csv_by_header": q_csv_by_header,
+        "payload_rows": q_payload_rows,
         "lenient_cast": q_lenient_cast,
         "cast_loss": q_cast_loss,
         "regex_count_urls": q_regex_count_urls,
@@ -461,6 +570,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 _WINDOW7 = "ts >= (SELECT max(ts) FROM events) - INTERVAL 7 DAY"
+_READINGS = (f"(SELECT * FROM events WHERE {_WINDOW7} QUALIFY row_number() OVER "
+             "(PARTITION BY event_type, ts ORDER BY event_id DESC) = 1)")
 _DAY7 = ("CAST(ts AS DATE) BETWEEN (SELECT max(CAST(ts AS DATE)) - 6 FROM events) "
          "AND (SELECT max(CAST(ts AS DATE)) FROM events)")
 _SPLIT = """
@@ -468,6 +579,11 @@ _SPLIT = """
     old AS (SELECT * FROM events WHERE CAST(ts AS DATE) <= (SELECT c FROM cut)),
     new AS (SELECT event_id, ts, user_id, event_type, value + 1 AS value, props
             FROM events WHERE CAST(ts AS DATE) >= (SELECT c FROM cut))"""
+_NUMBER_TEXTS = """
+    SELECT event_id, CASE event_id % 8 WHEN 0 THEN k WHEN 1 THEN ' ' || k || ' ' WHEN 2 THEN k || '.5' WHEN 3 THEN '-' || k || '.25'
+                     WHEN 4 THEN k || 'e1' WHEN 5 THEN 'nan' WHEN 6 THEN '' ELSE 'abc' END AS k_raw
+    FROM (SELECT event_id, json_extract_string(props, '$.k') AS k FROM events)"""
+_DASH = f"(SELECT *, CAST(ts AS DATE) AS day, user_id % 4 + 1 AS QuadClass FROM events WHERE {_DAY7})"
 _MERGE_LATEST = f"""
     WITH {_SPLIT}
     SELECT * FROM old o WHERE NOT EXISTS (SELECT 1 FROM new n WHERE n.event_id = o.event_id)
@@ -498,25 +614,27 @@ def oracle_sql() -> dict[str, str]:
                    count(*) AS readings
             FROM events WHERE event_type = 'click' GROUP BY 1, 2""",
         "one_series": f"""
-            SELECT strftime(date_trunc('minute', ts), '%Y-%m-%dT%H:%M') AS time, value, user_id
+            SELECT strftime(ts, '%Y-%m-%dT%H:%M') AS time, value, user_id
             FROM events WHERE event_type = 'view' AND {_WINDOW7}
-            QUALIFY row_number() OVER (PARTITION BY date_trunc('minute', ts) ORDER BY ts DESC, event_id DESC) = 1""",
+            QUALIFY row_number() OVER (PARTITION BY ts ORDER BY event_id DESC) = 1""",
         "all_series": f"""
-            SELECT event_type AS city, strftime(date_trunc('minute', ts), '%Y-%m-%dT%H:%M') AS time, value
+            SELECT event_type AS city, strftime(ts, '%Y-%m-%dT%H:%M') AS time, value
             FROM events WHERE {_WINDOW7}
-            QUALIFY row_number() OVER (PARTITION BY event_type, date_trunc('minute', ts)
-                                       ORDER BY ts DESC, event_id DESC) = 1""",
+            QUALIFY row_number() OVER (PARTITION BY event_type, ts ORDER BY event_id DESC) = 1""",
+        "daily_domain": """
+            SELECT min(round(lo, 1)) - 1 AS lo, max(round(hi, 1)) + 1 AS hi FROM (
+              SELECT min(value) AS lo, max(value) AS hi FROM events GROUP BY event_type, CAST(ts AS DATE))""",
         "chart_domain": f"""
             SELECT min(value) - 1 AS lo, max(value) + 1 AS hi, greatest(max(value), 1.0) AS rmax
-            FROM events WHERE {_WINDOW7}""",
+            FROM {_READINGS}""",
         "chart_totals": f"""
             SELECT event_type, count(*) AS readings, max(ts) AS latest, arg_max(value, ts) AS last_value,
                    count(*) FILTER (WHERE value > 0) AS wet_readings,
                    CAST(round(sum(CAST(value AS DECIMAL(38, 6))), 1) AS DOUBLE) AS rain_total
-            FROM events WHERE {_WINDOW7} GROUP BY 1""",
+            FROM {_READINGS} GROUP BY 1""",
         "chart_day_ticks": f"""
             SELECT event_type, CAST(ts AS DATE) AS day, min(ts) AS first_time
-            FROM events WHERE {_WINDOW7} GROUP BY 1, 2""",
+            FROM {_READINGS} GROUP BY 1, 2""",
         "chart_axis": f"""
             SELECT ts, row_number() OVER (ORDER BY ts) - 1 AS pos
             FROM (SELECT DISTINCT ts FROM events WHERE {_WINDOW7} AND ts IS NOT NULL)""",
@@ -532,6 +650,40 @@ def oracle_sql() -> dict[str, str]:
             SELECT * FROM old
             UNION ALL
             SELECT * FROM new n WHERE NOT EXISTS (SELECT 1 FROM old o WHERE o.event_id = n.event_id)""",
+        "snapshot_latest": _MERGE_LATEST,
+        "snapshot_insert_only": f"""
+            WITH {_SPLIT}
+            SELECT * FROM old
+            UNION ALL
+            SELECT * FROM new n WHERE NOT EXISTS (SELECT 1 FROM old o WHERE o.event_id = n.event_id)""",
+        "backfill_replace": """
+            SELECT *, CAST(ts AS DATE) AS ingest_day FROM events
+            WHERE event_type <> 'purchase' OR CAST(ts AS DATE) < (SELECT max(CAST(ts AS DATE)) FROM events)""",
+        "csv_by_header": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
+        "payload_rows": f"""
+            WITH city(pos, name) AS (VALUES {", ".join(f"({k}, '{c[0]}')" for k, c in enumerate(CITIES))}),
+            sent AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS pos, value FROM events),
+            size AS (SELECT user_id, count(*) AS n FROM sent GROUP BY 1),
+            place AS (SELECT user_id, unnest(range(greatest(n, {len(CITIES)}))) AS pos FROM size WHERE user_id % 10 <> 0)
+            SELECT user_id, 0 AS pos, 'unreadable' AS what, NULL::DOUBLE AS temperature_c FROM size WHERE user_id % 10 = 0
+            UNION ALL
+            SELECT place.user_id, place.pos, CASE WHEN name IS NULL THEN 'no city' WHEN sent.user_id IS NULL THEN 'no entry'
+                   ELSE name END, CASE WHEN name IS NOT NULL THEN value END
+            FROM place LEFT JOIN city USING (pos) LEFT JOIN sent ON sent.user_id = place.user_id AND sent.pos = place.pos""",
+        "layout_report": "SELECT CAST(ts AS DATE) AS ingest_day, count(*) AS rows FROM events GROUP BY 1",
+        "dashboard_totals": f"SELECT count(*) AS rows_scanned, count(DISTINCT day) AS days FROM {_DASH}",
+        "dashboard_hours": f"SELECT date_trunc('hour', ts) AS hour, count(*) AS events FROM {_DASH} GROUP BY 1",
+        "dashboard_quad_labels": f"""
+            SELECT day, QuadClass, events, round(events / sum(events) OVER (PARTITION BY day), 6) AS share,
+                   CASE QuadClass WHEN 1 THEN 'verbal coop' WHEN 2 THEN 'material coop' WHEN 3 THEN 'verbal conflict'
+                        WHEN 4 THEN 'material conflict' END AS class
+            FROM (SELECT day, QuadClass, count(*) AS events FROM {_DASH} GROUP BY 1, 2)""",
+        "dashboard_tone": f"""
+            SELECT day, event_type AS country, round(avg(value), 4) AS tone FROM {_DASH}
+            WHERE event_type IN (SELECT event_type FROM {_DASH} GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 2) GROUP BY 1, 2""",
+        "country_hours": f"""
+            SELECT date_trunc('hour', ts) AS h, count(*) AS n, round(avg(value), 4) AS tone
+            FROM events WHERE upper(event_type[1:2]) = 'VI' AND {_WINDOW7} GROUP BY 1""",
         "day_compaction": f"SELECT *, CAST(ts AS DATE) AS ingest_day FROM ({_MERGE_LATEST})",
         "csv_landing_roundtrip": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
         "event_feed_hourly": """
@@ -577,20 +729,12 @@ def oracle_sql() -> dict[str, str]:
             FROM (SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS events
                   FROM events WHERE {_DAY7} GROUP BY 1, 2)""",
         "lenient_cast": r"""
-            SELECT event_id,
-                   CASE WHEN regexp_matches(json_extract_string(props, '$.k'), '^\s*-?\d+\s*$')
-                        THEN TRY_CAST(trim(json_extract_string(props, '$.k')) AS BIGINT) END AS k
-            FROM events""",
+            SELECT event_id, TRY_CAST(trim(k_raw) AS BIGINT) AS k FROM (""" + _NUMBER_TEXTS + """)""",
         "cast_loss": r"""
-            SELECT 'k' AS "column",
-                   count(*) FILTER (WHERE json_extract_string(props, '$.k') IS NOT NULL
-                                    AND trim(json_extract_string(props, '$.k')) <> ''
-                                    AND NOT regexp_matches(json_extract_string(props, '$.k'), '^\s*-?\d+\s*$')) AS lost
-            FROM events
+            SELECT 'k' AS "column", count(*) FILTER (WHERE trim(k_raw) <> '' AND TRY_CAST(trim(k_raw) AS BIGINT) IS NULL) AS lost
+            FROM (""" + _NUMBER_TEXTS + """)
             UNION ALL
-            SELECT 'event_type_code',
-                   count(*) FILTER (WHERE event_type IS NOT NULL AND trim(event_type) <> ''
-                                    AND NOT regexp_matches(event_type, '^\s*-?\d+\s*$'))
+            SELECT 'event_type_code', count(*) FILTER (WHERE trim(event_type) <> '' AND TRY_CAST(event_type AS BIGINT) IS NULL)
             FROM events""",
         "regex_count_urls": """
             SELECT count(*) FILTER (WHERE regexp_matches(url, '(news|press|times|post)')) AS n FROM pages""",
@@ -599,7 +743,7 @@ def oracle_sql() -> dict[str, str]:
         "probe_modsum": """
             SELECT CAST(sum((l_orderkey * 2654435761) % 1000003) AS BIGINT) AS s FROM lineitem""",
         "probe_groups": """
-            SELECT count(*) AS groups FROM (SELECT l_orderkey % 7 AS k, sum(l_orderkey) FROM lineitem GROUP BY 1)""",
+            SELECT count(*) AS groups, CAST(sum(s) AS BIGINT) AS total FROM (SELECT l_orderkey % 7 AS k, sum(l_orderkey) AS s FROM lineitem GROUP BY 1)""",
         "gap_audit": """
             WITH b AS (SELECT min(CAST(ts AS DATE)) AS a, max(CAST(ts AS DATE)) AS z FROM events),
             slots AS (SELECT unnest(generate_series(CAST(a AS TIMESTAMP), CAST(z AS TIMESTAMP) + INTERVAL 1425 MINUTE,

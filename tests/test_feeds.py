@@ -4,20 +4,21 @@ import io
 import json
 import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from feedloom.operators.layout import backfill_day, land, to_json_rows
 from feedloom.plans.feeds import compact_events, compact_weather, land_event_exports, land_weather_payloads
 from feedloom.plans.series import daily_summary
-from feedloom.schemas import CITIES, EVENT_FIELDS
+from feedloom.schemas import CITIES, EVENT_FIELDS, WEATHER_FIELDS
 from feedloom.sources.csv import read_text_csv
 
 
 def _payload(time, base):
-    return [{"latitude": la, "longitude": lo,
-             "current": {"time": time, "interval": 900, "temperature_2m": base + i, "relative_humidity_2m": 60,
-                         "precipitation": 0.2 * i, "wind_speed_10m": 7.8, "weather_code": 0}}
-            for i, (_, la, lo) in enumerate(CITIES)]
+    return [{"latitude": 0.25 * i, "longitude": 0.75 * i,
+             "current": {"time": time, "interval": 300, "temperature_2m": base + i, "relative_humidity_2m": 52,
+                         "precipitation": 0.2 * i, "wind_speed_10m": 1.5, "weather_code": 45}}
+            for i in range(len(CITIES))]
 
 
 def test_weather_feed_end_to_end(spark, tmp_path):
@@ -97,6 +98,46 @@ def test_backfill_replaces_one_landing_day_only(spark, tmp_path):
     assert got == [("2026-09-16", "9"), ("2026-09-17", "1"), ("2026-09-17", "2")]
 
 
+def test_a_row_that_the_backfill_lacks_leaves_the_table(spark, tmp_path):
+    z = tmp_path / "zips"
+    z.mkdir()
+    (z / "20310203000000.export.CSV.zip").write_bytes(_export([_event(k, "20310203000000", "1") for k in (1, 2, 3)]))
+    landing, table = str(tmp_path / "landing"), str(tmp_path / "table")
+    land_event_exports(spark, str(z), landing)
+    compact_events(spark, landing, table)
+    fields = [F.lit(v).alias(c) for c, v in zip(EVENT_FIELDS, _event(2, "20310203000000", "5"))]
+    backfill_day(spark.range(1).select(*fields, F.lit("20310203120000").alias("stamp"), F.lit("2031-02-03").cast("date").alias("ingest_day")), landing)
+    compact_events(spark, landing, table, ingest_days=["2031-02-03"], mode="replace")
+    assert [(r.GlobalEventID, r.AvgTone) for r in spark.read.parquet(table).collect()] == [(2, 5.0)]
+
+
+def test_ragged_lines_are_kept_whole(spark, tmp_path):
+    z = tmp_path / "zips"
+    z.mkdir()
+    wide = [*_event(1, "20310203000000", "1"), "one field", "too many"]
+    (z / "20310203000000.export.CSV.zip").write_bytes(_export([wide, _event(2, "20310203000000", "1")]))
+    landing = str(tmp_path / "landing")
+    assert land_event_exports(spark, str(z), landing) == {"rows": 2, "ragged": 1}
+    kept = spark.read.json(f"{landing}/_ragged").first()
+    assert kept["_raw"] == "\t".join(wide) and kept["_nfields"] == 63
+
+
+def test_landed_files_of_another_header_order(spark, tmp_path):
+    """By position they are refused, by name read right."""
+    day = tmp_path / "landing" / "ingest_day=2031-02-03"
+    day.mkdir(parents=True)
+    cols = ["stamp", *reversed(WEATHER_FIELDS)]
+    row = {"city": "Bergen", "time": "2031-02-03T04:15", "temperature_c": "1.5", "humidity_pct": "50", "precipitation_mm": "0",
+           "wind_kmh": "2", "weather_code": "3", "stamp": "20310203041500"}
+    (day / "a.csv").write_text(",".join(cols) + "\n" + ",".join(row[c] for c in cols) + "\n")
+    (day / "b.csv").write_text(",".join(row) + "\n" + ",".join({**row, "stamp": "20310203050000", "temperature_c": "9"}.values()) + "\n")
+    landing, table = str(tmp_path / "landing"), str(tmp_path / "table")
+    with pytest.raises(Exception, match="header"):
+        compact_weather(spark, landing, table)
+    compact_weather(spark, landing, table, by_name=True)
+    assert [(r.city, r.temperature_c, r.wind_kmh) for r in spark.read.parquet(table).collect()] == [("Bergen", 9.0, 2.0)]
+
+
 def test_rows_as_json(spark):
     df = spark.createDataFrame([("Bergen", 11.5)], "city string, t double")
     assert json.loads(to_json_rows(df).first().json) == {"city": "Bergen", "t": 11.5}

@@ -89,13 +89,18 @@ def test_class_mix_labels_unknown_codes_as_null(spark):
     assert got == {1: ("verbal coop", 0.5), 9: (None, 0.5)}
 
 
-def test_adhoc_guard_and_cap(spark):
+def test_adhoc_takes_queries_only_and_cuts_nothing_unasked(spark, tmp_path):
     v = {"weather": spark.range(1000).select(F.col("id").alias("x"))}
-    assert adhoc(spark, v, "SELECT x FROM weather").count() == 500
-    assert adhoc(spark, v, "WITH t AS (SELECT x FROM weather) SELECT x FROM t LIMIT 10").count() == 10
-    for bad in ("DROP TABLE weather", "SELECT 1; SELECT 2"):
-        with pytest.raises(ValueError):
+    assert adhoc(spark, v, "SELECT x FROM weather").count() == 1000
+    assert adhoc(spark, v, "SELECT x FROM weather", limit=7).count() == 7
+    assert adhoc(spark, v, "WITH t AS (SELECT x FROM weather) SELECT x FROM t LIMIT 10 -- last").count() == 10
+    out = tmp_path / "out"
+    write = f"INSERT OVERWRITE DIRECTORY '{out}' USING parquet SELECT x FROM weather"
+    for bad in ("DROP TABLE weather", "SELECT 1; SELECT 2", write, f"WITH t AS (SELECT 1) {write}", "SHOW TABLES", "SELECT 1) t, (SELECT 2",
+                f"FROM weather {write}", "CREATE TABLE y USING parquet AS SELECT 1 AS a", "EXPLAIN SELECT 1", "SET spark.x=1"):
+        with pytest.raises(Exception):  # noqa: B017, PT011 (refused here, or no statement at all)
             adhoc(spark, v, bad)
+    assert not out.exists()
 
 
 def test_dense_index_matches_a_sorted_enumeration(spark):
@@ -143,11 +148,11 @@ def test_freshness_per_group(spark):
     assert got == {"a": 7200.0, "b": 0.0}
 
 
-def test_layout_report_counts_files_and_row_groups(spark, day_table):
+def test_layout_report_counts_files_rows_and_bytes(spark, day_table):
     rep = audit.layout_report(spark, day_table).collect()
     assert len(rep) == spark.read.parquet(day_table).select("ingest_day").distinct().count()
     assert sum(r.rows for r in rep) == spark.read.parquet(day_table).count()
-    assert all(r.files >= 1 and r.row_groups >= r.files and r.bytes > 0 for r in rep)
+    assert sum(r.files for r in rep) == len(spark.read.parquet(day_table).inputFiles()) and all(r.bytes > 0 for r in rep)
 
 
 def test_modular_sum_has_no_overflow_and_matches_python(spark):
@@ -192,23 +197,17 @@ def test_literal_alternation_fast_path_equals_rlike(spark):
         assert fast == slow, pat
     assert probes.literal_alternatives("(news|press)") == ["news", "press"]
     assert probes.literal_alternatives("th[ae]") is None
+    assert probes.literal_alternatives("(news") is None and probes.literal_alternatives("news)") is None
 
 
 def test_dashboard_cost_and_display_order(spark, day_table):
     d = dashboard(spark.read.parquet(day_table), days=7, top=5, tone=2)
     c = d["cost"].first()
-    assert c.scans == 1 and c.row_reads == d["totals"].first().rows_scanned
+    assert c.rows_read == d["totals"].first().rows_scanned and c.seconds > 0
     shown = [r.events for r in d["top_countries_display"].collect()]
     assert shown == sorted(shown)
 
 
-def test_range_probes(spark):
-    n = 10_000
-    want = sum((i * 2654435761) % 1000003 for i in range(n))
-    assert probes.range_modular_sum(spark, n, 4).first().s == want
-    assert probes.range_group_count(spark, n).first().groups == 7
-
-
 def test_newest_partition_anchor_reads_one_day(spark, day_table):
     t = spark.read.parquet(day_table)
     fast = hourly(t, as_of="newest_partition", days=7, partition_col="ingest_day")
@@ -256,18 +255,42 @@ def test_wall_clock_hours_ignore_daylight_saving(spark):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-def test_row_groups_from_footers_and_adhoc_json(spark, day_table):
+def test_adhoc_rows_as_json(spark, day_table):
     import json
-    from feedloom.operators.layout import list_files
     from feedloom.plans.adhoc import adhoc_json
-    from feedloom.sources.footers import footers
-    f = footers(spark, list_files(spark, f"{day_table}/*/*.parquet", recursive=False))
-    rg = probes.row_groups(f).first()
-    assert rg.files == f.count() and rg.row_groups >= rg.files
     out = adhoc_json(spark, {"t": spark.read.parquet(day_table)}, "SELECT count(*) AS n FROM t")
     assert json.loads(out.first().json) == {"n": spark.read.parquet(day_table).count()}
 
 
+def test_a_country_is_a_two_letter_code():
+    from feedloom.functions.text import country_code
+    for bad in ("Canada", "C", "", "1A", "ÇA"):
+        with pytest.raises(ValueError):
+            country_code(bad)
+    assert country_code(None) is None
+
+
+def test_lenient_casts_round_number_texts(spark):
+    from feedloom.functions.casts import lenient
+    texts = ["7", " 12 ", "1.5", "-2.5", "1e3", "nan", "inf", "", "abc", "9223372036854775807", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(lenient("t", "bigint")).collect()] == [7, 12, 2, -3, 1000, None, None, None, None, 2**63 - 1, None]
+
+
+def test_intermediate_tables_need_a_shared_folder(spark, monkeypatch):
+    from feedloom import session
+    class Context:
+        master = "spark://host:7077"
+        def getCheckpointDir(self): return None  # noqa: E704
+        def getConf(self): return self  # noqa: E704
+        def get(self, key, default=None): return default  # noqa: E704
+    class Session:
+        sparkContext = Context()
+        conf = Context()
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session())
+
+
 def test_series_read_only_their_columns(spark):
     from feedloom.plans.series import series_all, series_one
     ev = spark.read.parquet(f"{SF001}/events.parquet")

@@ -60,9 +60,9 @@ def _got(df):
 def test_merge_latest_matches_the_model(spark, old, new):
     hist = _unique_history(old)
     o, n = _frame(spark, hist, 0), _frame(spark, new, 1000)
-    got = merge_latest(o, n, "id", order=[F.desc("pos")])
+    got, _ = merge_latest(o, n, "id", order=[F.desc("pos")])
     assert _got(got) == [(k, float(v)) for k, v in _latest_model(hist, new)]
-    again = merge_latest(got, n, "id", order=[F.desc("pos")])  # idempotent
+    again, _ = merge_latest(got, n, "id", order=[F.desc("pos")])  # idempotent
     assert _got(again) == _got(got)
 
 
@@ -71,7 +71,7 @@ def test_merge_latest_matches_the_model(spark, old, new):
 def test_merge_insert_only_matches_the_model(spark, old, new):
     hist = _unique_history(old)
     o, n = _frame(spark, hist, 0), _frame(spark, new, 1000)
-    got = merge_insert_only(o, n, "id", order=[F.desc("pos")], broadcast_rows=0 if len(new) % 2 else 10)
+    got, _ = merge_insert_only(o, n, "id", order=[F.desc("pos")])
     assert _got(got) == [(k, float(v)) for k, v in _insert_only_model(hist, new)]
 
 

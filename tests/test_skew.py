@@ -52,7 +52,7 @@ def test_hourly_and_top_groups_with_a_hot_group(spark, skewed):
 def test_merges_with_a_hot_key_in_the_batch(spark, skewed, tmp_path):
     old = spark.range(0, 100).select(F.col("id").alias("k"), F.timestamp_seconds(F.lit(0)).alias("ts"),
                                      F.lit("old").alias("g"), F.lit(-1.0).alias("v"))
-    m = merge_latest(old, skewed, "k", order=[F.desc("ts"), F.desc("v")])
+    m, _ = merge_latest(old, skewed, "k", order=[F.desc("ts"), F.desc("v")])
     assert m.count() == (N - N // 3 + 1) + (100 - old.join(skewed.select("k").distinct(), "k", "left_semi").count())
     table = str(tmp_path / "t")
     rep = compact_days(spark, table, skewed.withColumn("day", F.to_date("ts")), "k",

@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedloom.operators.layout import land
+from feedloom.operators.layout import land, read_snapshot
 from feedloom.streaming import stream as st
 
 TEXT = T.StructType([T.StructField(c, T.StringType()) for c in ("id", "ts", "v", "stamp")]
@@ -66,7 +66,7 @@ def test_hourly_stream_complete_equals_batch_and_append_holds_open_hours(spark,
     st.run_until_done(st.complete_to_table(st.hourly_stream(typed, "ts", "v"), out, ck))
     batch = (spark.createDataFrame(recs, "id bigint, ts timestamp, v double")
              .groupBy(F.date_trunc("hour", "ts").alias("h")).agg(F.count(F.lit(1)).alias("n"), F.avg("v").alias("tone")))
-    got = spark.read.parquet(out)
+    got = read_snapshot(spark, out)
     assert got.count() == batch.count() and got.exceptAll(batch.select(*got.columns)).count() == 0
     out2, ck2 = str(tmp_path / "h2"), str(tmp_path / "ck2")
     st.run_until_done(st.append_to_table(st.hourly_stream(typed, "ts", "v", delay="1 hour"), out2, ck2))
@@ -79,10 +79,10 @@ def test_latest_and_distinct_streams(spark, tmp_path):
     typed = _typed(st.landed_stream(spark, root, TEXT, position=False)).withColumn("g", F.col("id") % 3)
     out, ck = str(tmp_path / "l"), str(tmp_path / "ck")
     st.run_until_done(st.complete_to_table(st.latest_stream(typed, "g", "v", "ts"), out, ck))
-    assert {r.g: r.last_value for r in spark.read.parquet(out).collect()} == {0: 27.0, 1: 28.0, 2: 29.0}
+    assert {r.g: r.last_value for r in read_snapshot(spark, out).collect()} == {0: 27.0, 1: 28.0, 2: 29.0}
     out2, ck2 = str(tmp_path / "d"), str(tmp_path / "ck2")
     st.run_until_done(st.complete_to_table(st.distinct_stream(typed, "id"), out2, ck2))
-    r = spark.read.parquet(out2).first()
+    r = read_snapshot(spark, out2).first()
     assert r.rows == 30 and abs(r.distinct_approx - 30) <= 2
 
 
@@ -113,3 +113,23 @@ def test_compaction_stream_restarts_from_its_checkpoint(spark, tmp_path):
     assert len(got) == 30 and got[2] == 102.0 and got[20] == 20.0
     run()                                                            # nothing new: no batch, same table
     assert spark.read.parquet(f"{table}/_runs").count() == 2
+
+
+def test_no_late_row_is_lost_by_the_insert_only_stream(spark, tmp_path):
+    """Six micro-batches, newest day first: later than any watermark, and one pull twice."""
+    root, table, ck = (str(tmp_path / n) for n in ("landing", "table", "ck"))
+    days = [D1 + dt.timedelta(days=30 - 5 * k) for k in range(5)]
+    for k, day in enumerate([*days, days[0]]):
+        _pull(spark, root, f"2026100{k + 1}000000", [(r[0] + 100 * days.index(day), *r[1:]) for r in _recs(day, 10)])
+    s = st.landed_stream(spark, root, TEXT, max_files=1)
+    st.run_until_done(st.compaction_query(s, table, "id", ck, normalise=lambda b: _typed(b).withColumn("day", F.to_date("ts")),
+                                          day_col="day", mode="insert_only"))
+    t = spark.read.parquet(table)
+    assert t.count() == 50 and t.select("id").distinct().count() == 50
+    assert spark.read.parquet(f"{table}/_runs").count() == 6
+
+
+def test_latest_stream_settles_tied_times(spark, tmp_path):
+    at = dt.datetime(2026, 9, 16, 1)
+    batch = spark.createDataFrame([("a", at, 1.0), ("a", at, 3.0), ("a", at, 2.0)], "g string, ts timestamp, v double")
+    assert st.latest_stream(batch.repartition(3), "g", "v", "ts").first().last_value == 3.0
