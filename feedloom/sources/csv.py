@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from feedloom.operators.dedup import POS, with_position
 from feedloom.operators.merge import union_by_name
 from feedloom.schemas import EVENT_FIELDS, WEATHER_FIELDS
+from feedloom.session import scratch_path
 
 CORRUPT = "_corrupt_record"
 
@@ -77,9 +78,11 @@ def read_csv_by_header(spark: SparkSession, pattern, columns: Iterable[str] | No
                        position: bool = True, base_path: str | None = None) -> DataFrame:
     """Several CSV files whose header order or width differs, aligned by column name (S3).
 
-    A multi-file CSV read is positional in Spark. Here files are read as lines; each file's header is its line
-    at the file's start, and lines are joined with the header of their file. Only the distinct headers (a few)
-    reach the driver; the lines of each are parsed by their own names, and the results are united by name.
+    A multi-file CSV read is positional in Spark. Here files are read as lines; each file's header is its first
+    line (a later line of its first block that repeats it is taken for a header too). The headers, one row per
+    file, are written to the scratch folder, so the join with the lines is planned by their size. Only the
+    distinct headers (a few) reach the driver; the lines of each are parsed by their own names, and the results
+    are united by name.
     A column that a file lacks is NULL there; ``columns`` picks and orders columns (default: all, by name). With
     ``base_path`` (e.g. the landing root) partition folders such as ``ingest_day=`` become columns.
     """
@@ -89,10 +92,12 @@ def read_csv_by_header(spark: SparkSession, pattern, columns: Iterable[str] | No
     line = F.regexp_replace("value", "\r$", "")
     lines = text.select(*parts, line.alias("_line"), F.col("_metadata.file_path").alias("_file"),
                         F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_row"))
-    # The first row id of a file's first block: one row for each file.
     first = lines.filter("_block = 0").groupBy("_file").agg(F.min(F.struct("_row", "_line")).alias("f")).select(
-        "_file", F.col("f._row").alias("_head_row"), F.regexp_replace("f._line", "^\ufeff", "").alias("_header"))
-    body = lines.join(first, "_file").filter(F.col("_row") != F.col("_head_row")).filter(F.col("_line") != "")
+        "_file", F.col("f._line").alias("_first"), F.regexp_replace("f._line", "^\ufeff", "").alias("_header"))
+    path = scratch_path(spark, "headers")
+    first.write.parquet(path)
+    first = spark.read.schema(first.schema).parquet(path)
+    body = lines.join(first, "_file").filter((F.col("_block") != 0) | (F.col("_line") != F.col("_first"))).filter("_line != ''")
     if position:
         body = body.withColumn(POS, F.struct(F.lit(None).cast("string").alias("stamp"), F.col("_row").alias("row")))
         parts = [*parts, POS]
