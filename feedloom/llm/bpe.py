@@ -147,24 +147,32 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-def encode(df: DataFrame, text: str = "text", ids: str = "ids", tokenizer: str | None = None) -> DataFrame:
-    """Add column ``ids``, array<int>: the token ids of each whole text. ``tokenizer``: path of the file."""
+def encode(df: DataFrame, text: str = "text", ids: str = "ids", tokenizer: str | None = None,
+           decoded: str | None = None) -> DataFrame:
+    """Add column ``ids``, array<int>: the token ids of each whole text; and, if named, column ``decoded``: the text
+    that these ids decode to, made in the same pass. ``tokenizer``: path of the file."""
     path = tokenizer or public_tokenizers.path(DEFAULT)
     ship(df)
+    names = [ids, decoded] if decoded else [ids]
+    kinds = [T.ArrayType(T.IntegerType()), T.StringType()]
 
-    @F.arrow_udf(T.StructType([T.StructField(ids, T.ArrayType(T.IntegerType()))]))
+    @F.arrow_udf(T.StructType([T.StructField(n, k) for n, k in zip(names, kinds)]))
     def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         vocab = vocabulary(path)
         for arr in texts:
-            lengths, flat = [0], []
+            lengths, flat, back = [0], [], []
             for found in vocab.encode_texts(arr):
                 flat.append(np.array(found, np.int32))
                 lengths.append(len(found))
+                if decoded:
+                    back.append(vocab.decode(found))
             values = pa.array(np.concatenate(flat) if flat else np.zeros(0, np.int32), pa.int32())
-            lists = pa.ListArray.from_arrays(pa.array(np.cumsum(lengths), pa.int32()), values)
-            yield pa.StructArray.from_arrays([lists], [ids])
+            columns = [pa.ListArray.from_arrays(pa.array(np.cumsum(lengths), pa.int32()), values)]
+            if decoded:
+                columns.append(pa.array(back, pa.string()))
+            yield pa.StructArray.from_arrays(columns, names)
 
-    return add_fields(df, run(col(text)), [ids])
+    return add_fields(df, run(col(text)), names)
 
 
 def decode(df: DataFrame, ids: str = "ids", text: str = "decoded", tokenizer: str | None = None) -> DataFrame:
@@ -188,7 +196,7 @@ def decode(df: DataFrame, ids: str = "ids", text: str = "decoded", tokenizer: st
 
 def digests(df: DataFrame, keep=("doc_id",)) -> DataFrame:
     """Encode and decode, and give the count and digests of both instead of the values."""
-    both = decode(encode(df.select(*map(col, keep), "text")))
+    both = encode(df.select(*map(col, keep), "text"), decoded="decoded")
     joined = F.concat_ws(",", F.col("ids").cast("array<string>"))
     return both.select(*map(col, keep), F.size("ids").cast("long").alias("n_tokens"), F.sha2(joined, 256).alias("ids_sha256"),
                        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
@@ -200,6 +208,6 @@ def op8_bpe(spark, sf_dir: str) -> DataFrame:
 
 def stage_encode(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' token ids, with ``n_tokens`` and whether decoding gives the text back."""
-    both = decode(encode(docs.select("doc_id", "source", "lang", "text")))
+    both = encode(docs.select("doc_id", "source", "lang", "text"), decoded="decoded")
     return both.select("doc_id", "source", "lang", "ids", F.size("ids").cast("long").alias("n_tokens"),
                        F.col("decoded").eqNullSafe(F.coalesce("text", F.lit(""))).alias("round_trip"))

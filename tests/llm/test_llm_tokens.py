@@ -87,6 +87,8 @@ def test_edges_and_clashing_names(edges, empty):
         assert (r["n_bytes"], r["n_tokens"], r["over_limit"]) == (len((r["text"] or "").encode()), n, n > 512)
     both = bpe.decode(bpe.encode(df)).collect()
     assert all(r["ids"] == lib_ids(r["text"]) and r["decoded"] == (r["text"] or "") for r in both)
+    one_pass = bpe.encode(df, decoded="back").collect()
+    assert [(r["ids"], r["back"]) for r in one_pass] == [(r["ids"], r["decoded"]) for r in both]
     assert token_count.count_tokens(empty).count() == 0 and bpe.decode(bpe.encode(empty)).count() == 0
 
 
