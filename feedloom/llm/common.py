@@ -63,9 +63,16 @@ def hash_share(key: Column) -> Column:
     return F.conv(head, 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def ship(df: DataFrame) -> None:
-    """Let Python workers import this package."""
-    ship_package(df.sparkSession)
+    """Let Python workers import this package, and keep Arrow batches small: where the session has Spark's default
+    of 10,000 rows, which is much memory for rows of whole texts, it is set to 2,000."""
+    spark = df.sparkSession
+    ship_package(spark)
+    if spark.conf.get(BATCH_ROWS) == "10000":
+        spark.conf.set(BATCH_ROWS, "2000")
 
 
 def utf8(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
