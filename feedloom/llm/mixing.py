@@ -3,12 +3,17 @@
 Documents fall into cells (source, language, topic). Each marginal has target shares of all tokens; raking
 scales the cells' token weights to one marginal after the other until all fit. The scale of a cell is the
 product of one factor per marginal, so only the three factor tables change: every step is one aggregation of
-the cells joined with two factor tables. The probability of a document is its cell's factor product over
-the largest one (all tokens of the scarcest cell stay, none is repeated), and a document is sampled if a
-fixed hash of its id is below. With ``budget`` tokens, probabilities are lowered to that expected total.
+the cells joined with two factor tables.
+
+A document's probability is min(1, c * its cell's factor); none is repeated. Without ``budget``, c is one over the
+largest factor among cells that hold at least ``TRACE`` of all tokens (all tokens of the scarcest such cell
+stay; scarcer traces saturate at 1 and lower nobody else), raised where needed until ``least_share`` of all
+tokens is expected to stay. With ``budget`` tokens, c is solved for that expected total (all tokens at most).
+Where cells saturate, the marginals kept are as near to the targets as documents that are not repeated allow.
+A document is sampled if a fixed hash of its id is below its probability.
 
 Default targets are token totals to the power ``flatten``. Cells are combined before the shuffle, so a
-hot source is one row per language and topic; tables are written to the shared folder after each step and
+hot source is one row per language and topic; tables are written to the shared folder and
 broadcast only if Spark sees there that they are under its threshold.
 
 Null and empty marginal values are one value; documents without words (null text too) have probability 0.
@@ -25,6 +30,7 @@ from pyspark.sql import functions as F
 from feedloom.llm.common import col, free_name, hash_share, others, packed, stored, table
 
 ROUNDS, FLATTEN = 6, 0.7
+TRACE, LEAST_SHARE = 1e-4, 0.4  # of all tokens
 MARGINALS = ("source", "lang", "topic")
 SHORT, LONG = 250, 1000  # words
 
@@ -57,9 +63,29 @@ def rake(cells: DataFrame, marginals, targets: dict[str, DataFrame], flatten: fl
     return out.withColumn("factor", product).select(*marginals, "tokens", "factor")
 
 
+def scale_for(raked: DataFrame, goal: float) -> float:
+    """c so that the sum of tokens * min(1, c * factor) is ``goal`` (all tokens at most): one aggregation a step.
+
+    Cells that saturate stay saturated as c grows, so the steps end."""
+    scale = 0.0
+    while True:
+        full = F.col("factor") * scale >= 1
+        x = raked.filter("factor > 0").agg(
+            F.coalesce(F.sum(F.when(full, F.col("tokens"))), F.lit(0)).alias("whole"), F.min("factor").alias("least"),
+            F.sum(F.when(~full, F.col("tokens") * F.col("factor"))).alias("open")).first()
+        if x["least"] is None:
+            return 0.0
+        if not x["open"] or goal <= x["whole"]:
+            return 1.0 / x["least"] if not x["open"] else scale
+        new = (goal - x["whole"]) / x["open"]
+        if new <= scale * (1 + 1e-12):
+            return scale
+        scale = new
+
+
 def mix(df: DataFrame, n_tokens: str = "n_tokens", key: str = "doc_id", marginals=MARGINALS,
         targets: dict[str, DataFrame] | None = None, flatten: float = FLATTEN, rounds: int = ROUNDS,
-        budget: float | None = None) -> DataFrame:
+        budget: float | None = None, least_share: float = 0.0) -> DataFrame:
     """Add ``probability`` and ``sampled``. ``targets``: for some marginals, rows (marginal, share)."""
     keys = {m: F.coalesce(col(m).cast("string"), F.lit("")) for m in marginals}
     cells = stored(df.select(*[e.alias(m) for m, e in keys.items()], col(n_tokens).alias("n")).filter("n > 0")
@@ -67,12 +93,18 @@ def mix(df: DataFrame, n_tokens: str = "n_tokens", key: str = "doc_id", marginal
     want = {m: t.groupBy(F.coalesce(F.col(m).cast("string"), F.lit("")).alias(m)).agg(F.sum("share").alias("share"))
             for m, t in (targets or {}).items()}
     raked = stored(rake(cells, marginals, want, flatten, rounds), "raked")
-    top = raked.agg(F.max("factor").alias("top"), F.sum(F.col("factor") * F.col("tokens")).alias("mass")).first()
-    scale = 1.0 / top["top"] if top["top"] else 0.0
-    if budget is not None and top["mass"]:
-        scale = min(scale, budget / top["mass"])
+    if budget is not None:
+        scale = scale_for(raked, budget)
+    else:
+        total = raked.agg(F.sum("tokens").alias("n")).first()["n"] or 0
+        seen = raked.agg(F.max(F.when(F.col("tokens") >= TRACE * total, F.col("factor"))).alias("top"), F.max("factor").alias("any")).first()
+        top = seen["top"] or seen["any"]  # any: all cells are traces
+        scale = 1.0 / top if top else 0.0
+        kept = raked.agg(F.sum(F.col("tokens") * F.least(F.lit(1.0), F.col("factor") * scale)).alias("n")).first()["n"] or 0.0
+        if kept < least_share * total:
+            scale = max(scale, scale_for(raked, least_share * total))
     chance = free_name(df, "_chance")
-    rates = raked.select(*[F.col(m).alias(f"_of_{m}") for m in marginals], (F.col("factor") * scale).alias(chance))
+    rates = raked.select(*[F.col(m).alias(f"_of_{m}") for m in marginals], F.least(F.lit(1.0), F.col("factor") * scale).alias(chance))
     match = [keys[m] == F.col(f"_of_{m}") for m in marginals]
     p = F.round(F.when(col(n_tokens) > 0, F.col(chance)).otherwise(0.0), 9)
     out = df.join(rates, match, "left").withColumn(chance, F.coalesce(p, F.lit(0.0)))
@@ -86,7 +118,7 @@ def with_size(df: DataFrame) -> DataFrame:
 
 def op10_mixing(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
-    return mix(with_size(docs)).select("doc_id", "topic", "n_tokens", "probability", "sampled")
+    return mix(with_size(docs), least_share=LEAST_SHARE).select("doc_id", "topic", "n_tokens", "probability", "sampled")
 
 
 def oracle(rounds: int = ROUNDS, flatten: float = FLATTEN) -> str:
@@ -117,4 +149,4 @@ def oracle(rounds: int = ROUNDS, flatten: float = FLATTEN) -> str:
 def stage_mixing(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The sampled documents."""
     rows = with_size(packed(docs, *dict.fromkeys(("doc_id", "source", "lang", "text"))))
-    return mix(rows).filter("sampled").select("row.*")
+    return mix(rows, least_share=LEAST_SHARE).filter("sampled").select("row.*")

@@ -322,6 +322,21 @@ def test_raked_marginals_fit(spark):
     assert small.agg(F.sum(F.col("probability") * F.col("n_tokens"))).first()[0] == pytest.approx(100, abs=1e-3)
 
 
+def test_a_rare_cell_lowers_nobody_else(spark):
+    rows = [(k, f"s{k % 5}", "xyz"[k * k % 3], "t", 100 + k % 7 * (k % 5)) for k in range(3000)]
+    schema = "doc_id long, source string, lang string, topic string, n_tokens long"
+    before = {r["doc_id"]: r["probability"] for r in mixing.mix(spark.createDataFrame(rows, schema)).collect()}
+    stray = spark.createDataFrame([*rows, (9000, "new", "new", "t", 10)], schema)
+    after = {r["doc_id"]: r["probability"] for r in mixing.mix(stray).collect()}
+    assert after.pop(9000) == 1 and after == pytest.approx(before, rel=0.02)
+    many = [(9000 + k, f"new{k}", "x", "t", 60) for k in range(300)]  # no traces any more
+    tokens = {r[0]: r[4] for r in rows + many}
+    for args, goal in (({"least_share": 0.9}, 0.9), ({"budget": 0.95 * sum(tokens.values())}, 0.95), ({"budget": 1e12}, 1.0)):
+        got = {r["doc_id"]: r["probability"] for r in mixing.mix(spark.createDataFrame(rows + many, schema), **args).collect()}
+        assert sum(p * tokens[i] for i, p in got.items()) / sum(tokens.values()) == pytest.approx(goal, abs=1e-6)
+        assert max(got.values()) == 1
+
+
 def test_mixing_on_edges(edges, empty):  # noqa: F811
     df = mixing.with_size(edges.withColumn("probability", F.lit("x"))).withColumn("Sampled", F.lit(0)).withColumn("factor", F.lit(1))
     rows = mixing.mix(df).collect()
