@@ -1,9 +1,15 @@
 """Op 10: mixing sources to target weights by iterative proportional fitting.
 
 Documents fall into cells (source, language, topic). Each marginal has target shares of all tokens; raking
-scales the cells' token weights to one marginal after the other until all fit. The scale of a cell is the
-product of one factor per marginal, so only the three factor tables change: every step is one aggregation of
-the cells joined with two factor tables.
+scales the cells' token weights to one marginal after the other until all fit: at least ``rounds`` rounds are
+made, then more until the largest relative misfit of a marginal value's share is under ``TOLERANCE``. Targets
+that cannot all be met (a source in one language only, whose two targets differ) show by misfits that no longer
+change: then the last marginal is met exactly, the others as nearly as the last round leaves them, and the misfit
+is logged as a warning, as it is after ``MAX_ROUNDS``.
+
+Up to ``DRIVER_CELLS`` cells are raked on the driver, which rounds without end would otherwise cost a job each.
+More cells are raked by factor tables: the scale of a cell is the product of one factor per marginal, and every
+step is one aggregation of the cells joined with two factor tables.
 
 A document's probability is min(1, c * its cell's factor); none is repeated. Without ``budget``, c is one over the
 largest factor among cells that hold at least ``TRACE`` of all tokens (all tokens of the scarcest such cell
@@ -24,16 +30,24 @@ tables give empty results.
 
 from __future__ import annotations
 
+import logging
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.llm.common import col, free_name, hash_share, others, packed, stored, table
 
 ROUNDS, FLATTEN = 6, 0.7
+TOLERANCE, SETTLED, MAX_ROUNDS = 1e-6, 1e-9, 2000
 TRACE, LEAST_SHARE = 1e-4, 0.4  # of all tokens
+DRIVER_CELLS = 200_000
 MARGINALS = ("source", "lang", "topic")
 SHORT, LONG = 250, 1000  # words
 
+log = logging.getLogger(__name__)
+
 
 def words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^ \t\r\n]+")), F.lit(0)).cast("long")
@@ -44,23 +58,85 @@ def size_topic(n_tokens: Column) -> Column:
     return F.when(n_tokens < SHORT, "short").when(n_tokens < LONG, "medium").otherwise("long")
 
 
+def fitted(done: int, rounds: int, misfit: float, change: float) -> bool:
+    """Whether raking ends after ``done`` rounds; a misfit that stays is logged."""
+    if done < rounds or misfit >= TOLERANCE and change >= SETTLED and done < max(rounds, MAX_ROUNDS):
+        return False
+    if misfit >= TOLERANCE:
+        log.warning("raking: after %d rounds a share is off its target by %.3g of it (%s)", done, misfit,
+                    "the targets cannot all be met" if change < SETTLED else "it was still falling")
+    return True
+
+
+def rake_here(cells: DataFrame, marginals, targets: dict[str, DataFrame], flatten: float, rounds: int) -> DataFrame:
+    """:func:`rake` on the driver, for a bounded number of cells."""
+    for m in targets:
+        cells = cells.join(targets[m].select(m), m, "left_semi")
+    got = cells.select(*marginals, "tokens").toArrow()  # DRIVER_CELLS rows at most
+    tokens = got["tokens"].to_numpy().astype(float)
+    weight, codes, shares = tokens.copy(), [], []
+    for m in marginals:
+        coded = got[m].combine_chunks().dictionary_encode()
+        codes.append(coded.indices.to_numpy())
+        if m in targets:
+            values = cells.select(m).distinct().join(targets[m], m).select(m, "share").toArrow()
+            share = dict(zip(values[m].to_pylist(), values["share"].to_pylist()))
+            shares.append(np.array([share[v] for v in coded.dictionary.to_pylist()], float))
+        else:
+            shares.append(np.bincount(codes[-1], tokens) ** flatten)
+    done, last = 0, [np.zeros(len(x)) for x in shares]
+    while len(tokens):
+        for code, share in zip(codes, shares):
+            now = np.bincount(code, weight)
+            weight *= np.divide(share, now, out=np.zeros_like(now), where=now > 0)[code]
+        done, off = done + 1, []
+        for code, share in zip(codes, shares):
+            now, goal = np.bincount(code, weight), share / (share.sum() or 1.0)
+            off.append(np.divide(now / (now.sum() or 1.0), goal, out=np.ones_like(now), where=goal > 0) - 1)
+        change = max(np.abs(x - y).max() for x, y in zip(off, last))
+        last = off
+        if fitted(done, rounds, max(np.abs(x).max() for x in off), change):
+            break
+    out = got.append_column("factor", pa.array(weight / np.maximum(tokens, 1.0), pa.float64()))
+    return cells.sparkSession.createDataFrame(out, schema=f"{', '.join(f'`{m}` string' for m in marginals)}, tokens long, factor double")
+
+
 def rake(cells: DataFrame, marginals, targets: dict[str, DataFrame], flatten: float, rounds: int) -> DataFrame:
-    """The cells with ``factor``: raked weight per token, up to a common scale (targets need not add up to 1)."""
+    """The cells with ``factor``: raked weight per token, up to a common scale (targets need not add up to 1).
+
+    What a step multiplies a value's factor by (``moved``) is alike for all values of a marginal that fits."""
     factors: dict[str, DataFrame] = {}
-    for _ in range(rounds):
+    done = 0
+    while True:
+        misfit = change = 0.0
         for m in marginals:
             weighed, w = cells, F.col("tokens").cast("double")
             for other in marginals:
                 if other != m and other in factors:
-                    weighed, w = weighed.join(factors[other], other), w * F.col(f"f_{other}")
+                    weighed, w = weighed.join(factors[other].drop("moved"), other), w * F.col(f"f_{other}")
             sums = weighed.groupBy(m).agg(F.sum(w).alias("now"), F.pow(F.sum("tokens").cast("double"), F.lit(flatten)).alias("share"))
             if m in targets:
                 sums = sums.drop("share").join(targets[m], m)
-            factors[m] = stored(sums.select(m, (F.col("share") / F.col("now")).alias(f"f_{m}")), f"factor-{m}")
+            new = sums.select(m, F.try_divide("share", "now").alias(f"f_{m}"))
+            if m in factors:
+                old = factors[m].select(m, F.col(f"f_{m}").alias("was"), F.col("moved").alias("before"))
+                new = new.join(old, m).withColumn("moved", F.try_divide(f"f_{m}", "was"))
+                new = stored(new, f"factor-{m}")
+                seen = new.agg(F.max("moved").alias("most"), F.min("moved").alias("least"),
+                               F.max(F.abs(F.try_divide("moved", "before") - 1)).alias("change")).first()
+                misfit = max(misfit, seen["most"] / seen["least"] - 1 if seen["least"] else 0.0)
+                change = max(change, seen["change"] if seen["change"] is not None else 1.0)
+                factors[m] = new.select(m, f"f_{m}", "moved")
+            else:
+                factors[m] = stored(new.withColumn("moved", F.lit(None).cast("double")), f"factor-{m}")
+                misfit = change = 1.0
+        done += 1
+        if fitted(done, rounds, misfit, change):
+            break
     out, product = cells, F.lit(1.0)
     for m in marginals:
-        out, product = out.join(factors[m], m), product * F.col(f"f_{m}")
-    return out.withColumn("factor", product).select(*marginals, "tokens", "factor")
+        out, product = out.join(factors[m].drop("moved"), m), product * F.col(f"f_{m}")
+    return out.withColumn("factor", F.coalesce(product, F.lit(0.0))).select(*marginals, "tokens", "factor")
 
 
 def scale_for(raked: DataFrame, goal: float) -> float:
@@ -92,7 +168,8 @@ def mix(df: DataFrame, n_tokens: str = "n_tokens", key: str = "doc_id", marginal
                    .groupBy(*marginals).agg(F.sum("n").alias("tokens")), "cells")
     want = {m: t.groupBy(F.coalesce(F.col(m).cast("string"), F.lit("")).alias(m)).agg(F.sum("share").alias("share"))
             for m, t in (targets or {}).items()}
-    raked = stored(rake(cells, marginals, want, flatten, rounds), "raked")
+    way = rake_here if cells.limit(DRIVER_CELLS + 1).count() <= DRIVER_CELLS else rake
+    raked = stored(way(cells, marginals, want, flatten, rounds), "raked")
     if budget is not None:
         scale = scale_for(raked, budget)
     else:

@@ -337,6 +337,33 @@ def test_a_rare_cell_lowers_nobody_else(spark):
         assert max(got.values()) == 1
 
 
+def test_raking_goes_on_until_the_marginals_fit(spark, monkeypatch, caplog):
+    schema = "doc_id long, source string, lang string, n_tokens long"
+    rows = [(100 * k + j, f"s{k}", f"l{(k + (j == 1)) % 4}", 997 if j == 0 else 3) for k in range(20) for j in (0, 1)]
+    rows += [(5000 + j, "hot", f"l{j}", 40_000 * (j + 1)) for j in range(3)]
+
+    def shares(rows, **args):
+        mixed = mixing.mix(spark.createDataFrame(rows, schema), marginals=("source", "lang"), budget=200.0, **args).collect()
+        for m in ("source", "lang"):
+            kept, goal = collections.Counter(), collections.Counter()
+            for r in mixed:
+                kept[r[m]] += r["probability"] * r["n_tokens"]
+                goal[r[m]] += r["n_tokens"]
+            goal = {v: n ** mixing.FLATTEN for v, n in goal.items()}
+            yield {v: kept[v] / sum(kept.values()) / (goal[v] / sum(goal.values())) for v in goal}
+
+    for got in shares(rows):
+        assert got == pytest.approx(dict.fromkeys(got, 1.0), rel=1e-5)
+    assert not caplog.records
+    list(shares([*rows, (9000, "new", "new", 50_000)]))  # a source and a language in one cell only: two targets
+    assert "cannot all be met" in caplog.text
+    few = [(k, "ab"[k % 2], "xyz"[k % 3 if k % 4 else 0], 1 + k % 7 + 50 * (k % 6 == 5)) for k in range(400)]
+    here = list(shares(few))
+    monkeypatch.setattr(mixing, "DRIVER_CELLS", 0)
+    for x, y in zip(here, shares(few)):
+        assert x == pytest.approx(y, rel=1e-5)
+
+
 def test_mixing_on_edges(edges, empty):  # noqa: F811
     df = mixing.with_size(edges.withColumn("probability", F.lit("x"))).withColumn("Sampled", F.lit(0)).withColumn("factor", F.lit(1))
     rows = mixing.mix(df).collect()
