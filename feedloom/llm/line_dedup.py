@@ -1,18 +1,21 @@
 """Op 2: site-relative line de-duplication, in DataFrame functions only.
 
-A page is a row, its host a column. For each (host, line) the pages that contain the line are counted once
+A page is a row, its host a column; with ``copies_once`` (as in the pipeline) rows of a host with equal texts are one
+page, so that a group of exact copies makes none of its own lines boilerplate and the one that is kept later keeps its
+text. Near copies remain pages of their own either way. For each (host, line) the pages that contain the line are counted once
 each; the count over the host's pages is the line's ratio, and lines above ``ratio`` on at least
 ``least_pages`` pages are boilerplate of that host and dropped from its pages. Lines are compared without
 the blanks around them (as 128-bit digests); blank lines are never dropped.
 
-Scale: each page's lines are made distinct in its own row, and counts are combined before the shuffle, so
-a host with a third of all pages is spread over its lines. A host has at most (mean distinct lines of its
+Scale: each page's lines are made distinct in its own row, copies are combined by 128-bit text digest (only line
+digests move with it, never the text), and counts are combined before the shuffle, so a host with a third of all pages is spread over its lines. A host has at most (mean distinct lines of its
 pages / ratio) boilerplate lines, so each host's set is small whatever its size. The sets are written to
 the shared folder; Spark sees their size there and broadcasts them only under its threshold, else it joins by
 host and splits a skewed host at run time (pages are the streamed side).
 
 Null text stays null (the page still counts for its host); null hosts are one host; a page that loses all
-lines keeps an empty text. Repeated rows are pages of their own. Empty tables give empty results.
+lines keeps an empty text. Repeated rows are pages of their own without ``copies_once``; with it the host's null texts
+count as one page. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -30,20 +33,24 @@ def line_key(line: Column) -> Column:
     return F.unhex(F.md5(F.btrim(line, F.lit(" \t\r")).cast("binary")))
 
 
-def boilerplate(pages: DataFrame, ratio: float, least_pages: int) -> DataFrame:
+def boilerplate(pages: DataFrame, ratio: float, least_pages: int, copies_once: bool = False) -> DataFrame:
     """Rows (host, lines): the digests of each host's boilerplate lines. ``pages`` has host and text."""
-    per_host = pages.groupBy("host").agg(F.count("*").alias("total"))
-    lines = pages.select("host", F.explode(F.array_distinct(F.transform(
-        F.filter(F.split("text", "\n"), lambda x: F.btrim(x, F.lit(" \t\r")) != ""), line_key))).alias("line"))
+    keys = F.array_distinct(F.transform(F.filter(F.split("text", "\n"), lambda x: F.btrim(x, F.lit(" \t\r")) != ""), line_key))
+    counted, pages = pages, pages.select("host", keys.alias("keys"), *([F.unhex(F.md5(F.col("text").cast("binary"))).alias("page")] * copies_once))
+    if copies_once:
+        counted = pages.select("host", "page").distinct()
+        pages = pages.groupBy("host", "page").agg(F.first("keys").alias("keys"))
+    per_host = counted.groupBy("host").agg(F.count("*").alias("total"))
+    lines = pages.select("host", F.explode("keys").alias("line"))
     counts = lines.groupBy("host", "line").agg(F.count("*").alias("n")).filter(F.col("n") >= least_pages)
     found = counts.join(per_host, counts["host"].eqNullSafe(per_host["host"])).filter(F.col("n") > ratio * F.col("total"))
     return found.groupBy(counts["host"]).agg(F.collect_list("line").alias("lines"))
 
 
 def drop_boilerplate(df: DataFrame, host: str = "source", text: str = "text", ratio: float = RATIO,
-                     least_pages: int = LEAST_PAGES) -> DataFrame:
+                     least_pages: int = LEAST_PAGES, copies_once: bool = False) -> DataFrame:
     """Replace ``text`` by the text without its host's boilerplate lines; add ``dropped_lines``."""
-    sets = stored(boilerplate(df.select(col(host).alias("host"), col(text).alias("text")), ratio, least_pages), "boilerplate")
+    sets = stored(boilerplate(df.select(col(host).alias("host"), col(text).alias("text")), ratio, least_pages, copies_once), "boilerplate")
     sets = sets.select(F.col("host").alias("of_host"), "lines")
     rows = df.select(F.struct("*").alias("row"), col(host).alias("host"), col(text).alias("text"))
     joined = rows.join(sets, F.col("host").eqNullSafe(F.col("of_host")), "left")
@@ -79,7 +86,7 @@ ORACLE = f"""
 
 def stage_line_dedup(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents without their source's boilerplate lines; ``n_chars`` follows the text."""
-    out = drop_boilerplate(docs.drop("dropped_lines")).drop("dropped_lines")
+    out = drop_boilerplate(docs.drop("dropped_lines"), copies_once=True).drop("dropped_lines")
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.coalesce(F.char_length("text"), F.lit(0)).cast("long"))
     return out.select(*others(docs, []))

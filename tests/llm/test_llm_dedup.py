@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from brute import jaccard, shingles
 from llm_cases import SF001, SF01, edges, empty  # noqa: F401 (fixtures)
-from feedloom.llm import line_dedup, ngram_join
+from feedloom.llm import line_dedup, mixing, ngram_join
 
 
 def test_bands_reach_the_recall():
@@ -102,6 +102,22 @@ def test_lines_of_a_site(spark, empty):
     assert line_dedup.stage_line_dedup(spark, empty, SF001).columns == empty.columns
 
 
+def test_copies_on_a_host_do_not_drop_their_own_lines(spark):
+    """A third of all rows is one text on one host; line de-duplication, join and mixing leave one whole copy or none
+    by its draw, and the host's menu goes."""
+    own = [(k, f"menu\nown words of page number {k}\nand {k * 7} more {k * k}", "en", f"h{k % 3}") for k in range(200)]
+    text = "one clean document\nthat was copied\nagain and again"
+    docs = spark.createDataFrame([(*r, len(r[1])) for r in own + [(1000 + k, text, "en", "h1") for k in range(100)]],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    cut = line_dedup.stage_line_dedup(spark, docs, SF001)
+    got = {r["doc_id"]: r["text"] for r in cut.collect()}
+    assert {got[1000 + k] for k in range(100)} == {text} and not any("menu" in got[k] for k in range(200))
+    left = ngram_join.stage_ngram_join(spark, cut, SF001)
+    assert [r["text"] for r in left.filter("doc_id >= 1000").collect()] == [text]
+    chance = mixing.mix(mixing.with_size(left), least_share=mixing.LEAST_SHARE).filter("doc_id >= 1000").collect()
+    assert [r["n_tokens"] for r in chance] == [9] and chance[0]["probability"] > 0.1
+
+
 def test_line_dedup_runs_no_python(spark):
     plan = line_dedup.op2_line_dedup(spark, SF001)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
