@@ -26,6 +26,14 @@ def test_join_matches_brute_force_on_edges(spark, edges, empty):
     assert ngram_join.jaccard_groups(empty).count() == 0
 
 
+def test_wordless_copies_are_copies(spark):
+    texts = ["***", "***", "---\n***", " ", " ", "", "", None, None, "a ***"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in ngram_join.jaccard_groups(docs).collect()}
+    assert got == {0: (0, 1), 1: (0, 1), 2: (2, 0), 3: (3, 1), 4: (3, 1), **{k: (k, 0) for k in range(5, 10)}}
+    assert sorted(r["doc_id"] for r in ngram_join.keep_one(docs).collect()) == [0, 2, 3, 5, 6, 7, 8, 9]
+
+
 def test_keep_one_leaves_one_row_of_each_group(edges, empty):
     wide = edges.withColumn("key", F.lit(1)).withColumn("row", F.lit(2)).withColumn("id", F.lit(3))
     kept = ngram_join.keep_one(wide)
