@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 
 from feedloom.operators import audit, normalize  # noqa: E402
 from feedloom.operators.dedup import keep_latest
+from feedloom.operators.joins import numbered
 from feedloom.operators.layout import CSV_OPTIONS, backfill_day, land_partitioned, read_snapshot, write_snapshot
 from feedloom.operators.merge import compact_days, merge_insert_only, merge_into_snapshot, merge_latest
 from feedloom.plans import probes
@@ -210,18 +211,26 @@ def q_csv_by_header(spark, sf):
 
 
 def q_payload_rows(spark, sf):
-    """Each user's events as one payload of up to ten entries in event order, matched to the cities by place;
-    users without entries for all ten cities, one city too many, or unreadable text show among the rejects."""
-    ev = _events(spark, sf)
-    entry = F.struct(F.col("value").alias("latitude"), F.col("value").alias("longitude"), F.struct(
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm").alias("time"), F.col("value").alias("temperature_2m")).alias("current"))
-    sent = ev.groupBy("user_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("event_id", entry.alias("e")))), lambda x: x["e"]).alias("a"))
-    text = F.when(F.pmod("user_id", F.lit(10)) == 0, F.lit("no json [")).otherwise(F.to_json("a"))
-    rows, rejects = rows_from_payload(sent.select("user_id", text.alias("value")), city_dim(spark), keep=("user_id",))
+    """Each user's events in event order as payloads of up to ten entries, matched to the cities by place; users
+    without entries for all ten cities, cities too many (every payload after a user's first), or unreadable text show
+    among the rejects."""
+    rows, rejects = rows_from_payload(_payloads(_events(spark, sf)), city_dim(spark), keep=("user_id",), start="start")
     good = rows.select("user_id", "pos", F.col("city").alias("what"), "temperature_c")
     return good.unionByName(rejects.select("user_id", "pos", F.col("reason").alias("what"), F.lit(None).cast("double").alias("temperature_c")))
 
 
+def _payloads(ev, entries=len(CITIES)):
+    """A payload per ``entries`` events of a user, ``start`` the place of its first; one unreadable text for some users."""
+    broken = F.coalesce(F.pmod("user_id", F.lit(10)) == 0, F.lit(False))
+    entry = F.struct(F.col("value").alias("latitude"), F.col("value").alias("longitude"), F.struct(
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm").alias("time"), F.col("value").alias("temperature_2m")).alias("current"))
+    placed = numbered(ev.filter(~broken).select("user_id", "event_id", entry.alias("e")), "user_id", "event_id")
+    sent = placed.groupBy("user_id", (F.col("pos") - F.pmod("pos", F.lit(entries))).alias("start")).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("pos", "e"))), lambda x: x["e"]).alias("a"))
+    no_json = ev.filter(broken).select("user_id").distinct().select("user_id", F.lit(0).cast("long").alias("start"), F.lit("no json [").alias("value"))
+    return sent.select("user_id", "start", F.to_json("a").alias("value")).unionByName(no_json)
+
+
 def q_day_compaction(spark, sf):
     """Build a day table from the history, then compact the re-sent batch into its two days."""
     ev = _events(spark, sf)

@@ -1,4 +1,4 @@
-"""Distributed row index."""
+"""Distributed row indexes."""
 
 from __future__ import annotations
 
@@ -26,3 +26,19 @@ def dense_index(df: DataFrame, col: str, name: str = "pos") -> DataFrame:
     offsets = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_off"))
     return (local.join(F.broadcast(offsets), "_part")
                  .select(col, (F.col("_off") + F.col("_idx")).alias(name)))
+
+
+def numbered(df: DataFrame, group: str, order: str, name: str = "pos") -> DataFrame:
+    """The rows with their 0-based position by ``order`` within ``group``; ties get either order.
+
+    A group of any size is spread: rows are range-partitioned by group and order and checkpointed, numbered inside
+    their range (a window holds one range's rows of a group at most), and raised by the group's rows in the ranges before
+    (a group has at most one row per range there)."""
+    ranged = cut_lineage(df.repartitionByRange(group, order).sortWithinPartitions(group, order))
+    local = ranged.withColumn("_part", F.shiftright(F.monotonically_increasing_id(), 33))
+    local = local.withColumn("_idx", F.row_number().over(Window.partitionBy(group, "_part").orderBy(order)) - 1)
+    sizes = ranged.select(F.col(group).alias("_group"), F.shiftright(F.monotonically_increasing_id(), 33).alias("_range"))
+    sizes = sizes.groupBy("_group", "_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = sizes.withColumn("_off", F.sum("_n").over(Window.partitionBy("_group").orderBy("_range")) - F.col("_n")).drop("_n")
+    same = F.col(group).eqNullSafe(F.col("_group")) & (F.col("_part") == F.col("_range"))
+    return local.join(before, same).select(*df.columns, (F.col("_off") + F.col("_idx")).alias(name))

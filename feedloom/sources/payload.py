@@ -20,23 +20,25 @@ def city_dim(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(i, n, la, lo) for i, (n, la, lo) in enumerate(CITIES)], CITY_DIM)
 
 
-def payload_entries(payloads: DataFrame, places: int, text_col: str = "value", keep: tuple = ()) -> DataFrame:
+def payload_entries(payloads: DataFrame, places: int, text_col: str = "value", keep: tuple = (), start: str | None = None) -> DataFrame:
     """One row per place of each payload: ``pos``, the entry ``p`` (NULL if absent), and whether the payload
-    could be read; an unreadable payload gives one row with its text in ``raw``."""
+    could be read; an unreadable payload gives one row with its text in ``raw``. A long payload can come in parts of
+    at least ``places`` entries (the last may have fewer); ``start`` is the column with the place of a part's first."""
     kept = [c for c in ("_pos", *keep) if c in payloads.columns]
     arr = F.from_json(F.col(text_col), WEATHER_PAYLOAD)
-    read = payloads.select(*kept, F.col(text_col).alias("raw"), arr.alias("a"))
-    last = F.when(F.col("a").isNull(), 0).otherwise(F.greatest(F.size("a"), F.lit(places)) - 1)
-    return (read.withColumn("pos", F.explode(F.sequence(F.lit(0), last)))
-                .select(*kept, "pos", F.get("a", F.col("pos")).alias("p"), F.col("a").isNotNull().alias("readable"),
+    first = F.lit(0) if start is None else F.col(start).cast("int")
+    read = payloads.select(*kept, F.col(text_col).alias("raw"), arr.alias("a"), first.alias("_first"))
+    last = F.when(F.col("a").isNull(), 0).otherwise(F.greatest(F.size("a"), F.lit(places) - F.col("_first")) - 1)
+    return (read.withColumn("_at", F.explode(F.sequence(F.lit(0), last))).withColumn("pos", F.col("_first") + F.col("_at"))
+                .select(*kept, "pos", F.get("a", F.col("_at")).alias("p"), F.col("a").isNotNull().alias("readable"),
                         F.when(F.col("a").isNull(), F.col("raw")).alias("raw")))
 
 
 def rows_from_payload(payloads: DataFrame, cities: DataFrame, text_col: str = "value",
-                      keep: tuple = ()) -> tuple[DataFrame, DataFrame]:
+                      keep: tuple = (), start: str | None = None) -> tuple[DataFrame, DataFrame]:
     """``(rows, rejects)``: weather rows in the day-file field order; and, with a ``reason``, payloads that cannot
-    be read, entries without a city and cities without an entry."""
-    e = payload_entries(payloads, len(CITIES), text_col, keep)
+    be read, entries without a city and cities without an entry. ``start``: see :func:`payload_entries`."""
+    e = payload_entries(payloads, len(CITIES), text_col, keep, start)
     joined = e.join(F.broadcast(cities), "pos", "left")  # 10 fixed rows: a proven bound
     reason = (F.when(~F.col("readable"), "unreadable").when(F.col("name").isNull(), "no city")
                .when(F.col("p").isNull(), "no entry"))

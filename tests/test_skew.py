@@ -4,6 +4,7 @@ before any shuffle (partial group limits, partial aggregates, two-level distinct
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as E
 from feedloom.operators import audit
 from feedloom.operators.dedup import keep_latest
 from feedloom.operators.merge import compact_days, merge_latest
@@ -59,3 +60,19 @@ def test_merges_with_a_hot_key_in_the_batch(spark, skewed, tmp_path):
                        order=[F.desc("ts"), F.desc("v")], day_col="day", run_log=False)
     assert rep["rows_after"] == spark.read.parquet(table).count() == \
         skewed.select(F.to_date("ts").alias("d"), "k").distinct().count()
+
+
+def test_payloads_of_a_hot_user_are_bounded(spark):
+    ev = spark.range(6000).select(F.col("id").alias("event_id"), F.expr("CASE WHEN id % 3 = 0 THEN 7 WHEN id = 1 THEN NULL ELSE id % 400 END").alias("user_id"),
+                                  F.expr("timestamp_ntz'2026-01-01 00:00:00'").alias("ts"), F.col("id").cast("double").alias("value"))
+    sent = E._payloads(ev)
+    read = sent.select("user_id", "start", F.from_json("value", "array<struct<latitude: double>>").alias("a")).filter("a IS NOT NULL")
+    got = {}
+    for r in read.collect():
+        assert 0 < len(r["a"]) <= 10 and r["start"] % 10 == 0
+        got.setdefault(r["user_id"], {})[r["start"]] = [x["latitude"] for x in r["a"]]
+    want = {}
+    for r in ev.orderBy("event_id").collect():
+        if r["user_id"] is None or r["user_id"] % 10:
+            want.setdefault(r["user_id"], []).append(r["value"])
+    assert {u: sum((x[k] for k in sorted(x)), []) for u, x in got.items()} == want and len(got[7]) == -(-len(want[7]) // 10)
