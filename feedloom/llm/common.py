@@ -161,3 +161,24 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     np.add.at(keep, ends, -1)
     sizes = ends - starts
     return span_hashes(data[np.cumsum(keep[:-1]) > 0], np.cumsum(sizes) - sizes)
+
+
+def pieces(data: np.ndarray, offsets: np.ndarray, gap: np.ndarray, limit: int = BLOCK_BYTES) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Blocks (bytes, offsets, rows) of about ``limit`` bytes: whole texts, and parts of longer ones, each cut behind a
+    byte that ``gap`` (by byte value) marks. ``rows`` names the text of each piece; pieces come in the order of the texts."""
+    for i, j in blocks(offsets, limit):
+        if offsets[j] - offsets[i] <= limit:
+            yield data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], np.arange(i, j)
+            continue
+        at, end = int(offsets[i]), int(offsets[j])  # one long text
+        while at < end:
+            cut = at + limit
+            while cut < end:
+                here = np.flatnonzero(gap[data[cut - 1:cut + 4095]])
+                if len(here):
+                    cut += int(here[0])
+                    break
+                cut += 4096
+            cut = min(cut, end)
+            yield data[at:cut], np.array([0, cut - at]), np.array([i])
+            at = cut

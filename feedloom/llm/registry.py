@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from feedloom.llm import bpe, chat, fingerprint, language, line_dedup, mixing, ngram_join, quality, rules, token_count
+from feedloom.llm import (
+    bpe, chat, fingerprint, importance, language, line_dedup, mixing, negatives, ngram_join, quality, rules, substring_dedup, token_count,
+)
 
 QUERIES = {
     "op1_fingerprints": fingerprint.op1_fingerprints,
@@ -16,9 +18,15 @@ QUERIES = {
     "op8_bpe": bpe.op8_bpe,
     "op9_quality": quality.op9_quality,
     "op10_mixing": mixing.op10_mixing,
+    "op11_hard_negatives": negatives.op11_hard_negatives,
+    "op12_substring_dedup": substring_dedup.op12_substring_dedup,
+    "op13_importance": importance.op13_importance,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES = {
     "op2_line_dedup": line_dedup.ORACLE,
     "op10_mixing": mixing.oracle(),
+    "op11_hard_negatives": negatives.ORACLE,
+    "op12_substring_dedup": substring_dedup.ORACLE,
+    "op13_importance": importance.ORACLE,
 }
