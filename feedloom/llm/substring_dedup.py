@@ -5,18 +5,22 @@ every word under a window whose words also start anywhere else (in the same text
 
 1. Equal texts are one text with a count. Copies of a text of at least one window lose all words, so only one of them is
    searched, and a group of copies of any size is one row from here on.
-2. Level 1, a quarter of the window's length: of the short windows in a whole window, the one with the smallest hash is its
-   guard. Equal windows have equal guards, so only guards (a few in a hundred positions) are compared; a window whose guard
-   occurs once is out. Level 2, half: the windows left are compared by their first half. Level 3, the whole length: those still
-   left by all words (the hash was taken with level 2's, so texts are not read again). A level without survivors ends the search.
-3. Windows left at the whole length are joined to runs of words per text, and the runs are cut out.
+2. A level looks at the short windows of one length, a quarter of the window's at first. Of the short windows inside a whole
+   window the one with the smallest hash is its guard. Equal windows have equal guards, so only guards (a few in a hundred
+   places) are compared; a window whose guard occurs once is out. The next level does the same with twice the length for the
+   windows left, and the last one compares the windows still left by all their words. A level that nothing survives leaves
+   the next ones without work.
+3. Windows left at the whole length are brought together per text, and the words under them are cut out.
+
+Texts move once, to be made distinct by a 64-bit hash; all levels and the cut read that one exchange again (its plan is alike, so
+Spark uses it again), and places of repeated windows come to it by the same hash.
 
 A level compares hashes by one shuffle on the hash, sorted, each row beside its equals. Within a batch of a task equal
 hashes send one row as evidence; the others are known to repeat and travel by place, so a passage that stands in a third of all
 texts costs its reducer one row per batch, not per text. Counting uses all rows of all texts: no caps, no samples.
 
-Hashes have 64 bits, made of the words' own 64-bit hashes. Two different windows meet by chance with probability 2^-64; at
-10^12 windows left at the last level some 10^4 of them may be taken for repeated, at 10^9 practically none.
+Hashes have 64 bits. Two different windows or texts meet by chance with probability 2^-64: among 10^9 windows left at the last
+level, or as many texts, about one pair in 37 runs; among 10^12 some 10^4 windows may be taken for repeated.
 
 Null texts stay null and have no words. Texts of under one window keep all words. Texts of any length are cut into pieces
 between words, windows go on across them. Repeated rows are copies. Empty tables give empty results; other columns pass
@@ -33,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import col, mixed, pieces, ship, stored, table, utf8, word_hashes, word_spans
+from feedloom.llm.common import col, mixed, pieces, ship, table, utf8, word_hashes, word_spans
 
 WINDOW = 35
 FIELDS = ["n_words", "n_removed", "kept_text"]
@@ -100,39 +104,35 @@ def whole(row: np.ndarray, n: int) -> np.ndarray:
     return row[:max(len(row) - n + 1, 0)] == row[n - 1:] if len(row) >= n else np.zeros(0, bool)
 
 
-def guards(row: np.ndarray, hashes: np.ndarray, short: int, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of all short windows, the smallest one in each whole window, and which short windows are such a smallest one."""
-    h = spans(hashes, short)
-    many = window - short + 1
-    if len(h) < many:
-        return h, np.zeros(0, np.uint64), np.zeros(len(h), bool)
-    low = least(h, many)
-    real = whole(row, window)
-    sure = np.where(real, low, 0)  # 0: no window starts here
+def guards(h: np.ndarray, alive: np.ndarray, many: int) -> np.ndarray:
+    """Which short windows (hashes ``h``) are the smallest of the ``many`` ones inside some window that is ``alive``."""
+    if not alive.any():
+        return np.zeros(len(h), bool)
+    sure = np.where(alive, least(h, many), 0)  # 0: no window starts here
     edge = np.zeros(many - 1, np.uint64)
-    reach = least(np.concatenate([edge, sure, edge]), many, np.maximum)  # the largest of the smallest around a place
-    # A short window is a guard if it equals the smallest of some whole window over it; all of those are at most its hash.
-    return h, low, (reach == h) & (reach > 0)
+    reach = least(np.concatenate([edge, sure, edge]), many, np.maximum)
+    # ``reach`` is the largest of the smallest hashes of all live windows around a place; each is at most the place's own.
+    return (reach == h) & (reach > 0)
 
 
-ASK = "spread long, known boolean, h long, text long, place int"
+ASK = "h long, text long, place int"
 
 
-def asked(h: np.ndarray, text: np.ndarray, place: np.ndarray, more: list[np.ndarray]) -> list[np.ndarray]:
-    """Rows to compare: a hash that comes once asks; of one that comes again all rows are known, and one more is evidence."""
+def asked(h: np.ndarray, text: np.ndarray, place: np.ndarray) -> list[np.ndarray]:
+    """Rows to compare. A hash that comes once asks; of one that comes again all rows are known to repeat (their hash is left out
+    as 0, so that they travel by place), and one more row without a text is evidence."""
+    h = np.maximum(h, np.uint64(1))
     order = np.argsort(h, kind="stable")
     s = h[order]
     twin = np.zeros(len(s), bool)
     twin[1:] = s[1:] == s[:-1]
     head = ~twin
     twin[:-1] |= s[1:] == s[:-1]
-    known = np.zeros(len(h), bool)
-    known[order] = twin
     proof = order[twin & head]  # the first of each that comes again
-    spread = np.where(known, mixed(text.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + place.astype(np.uint64)), h)
+    known = h.copy()
+    known[order[twin]] = 0
     none = np.full(len(proof), -1)
-    return [np.concatenate([spread, h[proof]]).view(np.int64), np.concatenate([known, np.zeros(len(proof), bool)]), np.concatenate([h, h[proof]]).view(np.int64),
-            np.concatenate([text, none]).astype(np.int64), np.concatenate([place, none]).astype(np.int32), *[np.concatenate([m, m[proof]]).view(np.int64) for m in more]]
+    return [np.concatenate([known, h[proof]]).view(np.int64), np.concatenate([text, none]).astype(np.int64), np.concatenate([place, none]).astype(np.int32)]
 
 
 def record(arrays: list[np.ndarray], names: list[str]) -> pa.RecordBatch:
@@ -157,29 +157,27 @@ def gathered(batches: Iterator[pa.RecordBatch], rows: int = 1 << 16) -> Iterator
         yield out()
 
 
-def repeated(rows: DataFrame, more: str = "") -> DataFrame:
-    """The rows (text, place, ...) whose hash occurs in another row as well."""
-    names = ["text", "place", *([more] if more else [])]
-
+def repeated(rows: DataFrame) -> DataFrame:
+    """The rows (text, place) whose hash occurs in another row as well."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, done = None, False  # the row before this batch, and whether it has gone out already
         for cols in gathered(batches):
             if last is not None:
                 cols = [np.concatenate([a, b]) for a, b in zip(last, cols)]
-            known, h, text = cols[0], cols[1], cols[2]
-            equal = (h[1:] == h[:-1]) & ~known[1:] & ~known[:-1]
-            keep = known.astype(bool).copy()
+            h, text, place = cols
+            equal = (h[1:] == h[:-1]) & (h[1:] != 0)
+            keep = h == 0
             keep[1:] |= equal
             keep[:-1] |= equal
-            out = keep & (text >= 0)
+            out = keep & (place >= 0)
             if done:
                 out[0] = False
             done = bool(keep[-1])
             last = [c[-1:] for c in cols]
-            yield record([c[out] for c in cols[2:]], names)
+            yield record([text[out], place[out]], ["text", "place"])
 
-    dealt = rows.repartition("spread").drop("spread").sortWithinPartitions("known", "h")
-    return dealt.mapInArrow(run, "text long, place int" + (f", {more} long" if more else ""))
+    dealt = rows.repartition(F.when(F.col("h") == 0, F.xxhash64("text", "place")).otherwise(F.col("h"))).sortWithinPartitions("h")
+    return dealt.mapInArrow(run, "text long, place int")
 
 
 def by_text(rows: DataFrame) -> DataFrame:
@@ -205,66 +203,36 @@ def by_text(rows: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "text long, places binary")
 
 
-def first_level(texts: DataFrame, window: int) -> DataFrame:
-    """Guards of all texts (id, text)."""
-    short = levels(window)[0]
-
+def level(texts: DataFrame, before: int, length: int, window: int) -> DataFrame:
+    """What a level compares, of texts (id, text, copies, and beyond the first level ``places``: the repeated guards of length
+    ``before``): guards of ``length``, or at the whole length all windows left."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = utf8(batch.column("text"))
             ids = batch.column("id").to_numpy()
+            places = [np.frombuffer(p.as_buffer(), np.int32) for p in batch.column("places")] if before else []
             found = [[np.zeros(0, t)] for t in (np.uint64, np.int64, np.int64)]
             for row, place, hashes in texts_words(data, offsets, window - 1):
-                h, _, guard = guards(row, hashes, short, window)
-                at = np.flatnonzero(guard)
+                alive = whole(row, window)
+                if before and alive.any():
+                    h = spans(hashes, before)
+                    hit = np.zeros(len(row), bool)
+                    start = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
+                    for a, n in zip(start.tolist(), np.diff(start, append=len(row)).tolist()):
+                        mine = places[row[a]].astype(np.int64) - place[a]
+                        hit[a + mine[(mine >= 0) & (mine < n)]] = True
+                    # A window goes on if a short window that equals its guard is repeated.
+                    alive &= np.isin(least(h, window - before + 1), np.unique(h[hit[:len(h)]]))
+                if not alive.any():
+                    continue
+                h = spans(hashes, length)
+                at = np.flatnonzero(alive if length == window else guards(h, alive, window - length + 1))
                 for have, new in zip(found, (h[at], ids[row[at]], place[at])):
                     have.append(new)
-            h, text, place = (np.concatenate(x) for x in found)
             # A guard near the edge of a piece of a long text may come with both pieces; the next level drops what that lets through.
-            yield record(asked(h, text, place, []), ["spread", "known", "h", "text", "place"])
-
-    return texts.select("id", "text").mapInArrow(run, ASK)
-
-
-def second_level(texts: DataFrame, window: int) -> DataFrame:
-    """Windows of texts (id, text, places of repeated guards) with a repeated guard: the hash of the first half, the whole one beside it."""
-    short, half, _ = levels(window)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offsets = utf8(batch.column("text"))
-            ids = batch.column("id").to_numpy()
-            places = [np.frombuffer(p.as_buffer(), np.int32) for p in batch.column("places")]
-            found = [[np.zeros(0, t)] for t in (np.uint64, np.int64, np.int64, np.uint64)]
-            for row, place, hashes in texts_words(data, offsets, window - 1):
-                h, low, _ = guards(row, hashes, short, window)
-                if not len(low):
-                    continue
-                hit = np.zeros(len(row), bool)
-                start = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
-                for a, n in zip(start.tolist(), np.diff(start, append=len(row)).tolist()):
-                    mine = places[row[a]].astype(np.int64) - place[a]
-                    hit[a + mine[(mine >= 0) & (mine < n)]] = True
-                hit = hit[:len(h)]
-                # A window goes on if one of the short windows that equal its guard is repeated.
-                again = np.where(hit, h, np.uint64(0))
-                good = np.unique(again[again > 0])
-                at = np.flatnonzero(whole(row, window) & np.isin(low, good))
-                for have, new in zip(found, (spans(hashes, half)[at], ids[row[at]], place[at], spans(hashes, window)[at])):
-                    have.append(new)
-            h, text, place, full = (np.concatenate(x) for x in found)
-            yield record(asked(h, text, place, [full]), ["spread", "known", "h", "text", "place", "full"])
+            yield record(asked(*(np.concatenate(x) for x in found)), ["h", "text", "place"])
 
-    return texts.select("id", "text", "places").mapInArrow(run, ASK + ", full long")
-
-
-def third_level(rows: DataFrame) -> DataFrame:
-    """The rows left (text, place, full), to be compared by the whole hash."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for text, place, full in gathered(batches):
-            yield record(asked(full.view(np.uint64), text, place.astype(np.int64), []), ["spread", "known", "h", "text", "place"])
-
-    return rows.mapInArrow(run, ASK)
+    return texts.mapInArrow(run, ASK)
 
 
 def cut(text: Column, places: Column, copies: Column, window: int) -> Column:
@@ -298,32 +266,47 @@ def cut(text: Column, places: Column, copies: Column, window: int) -> Column:
     return run(text, places, copies)
 
 
-def drop_repeated(df: DataFrame, text: str = "text", window: int = WINDOW) -> DataFrame:
-    """The rows of ``df`` with ``n_words``, ``n_removed`` and ``kept_text`` (the words left, joined by one space; null for null)."""
+def text_id(text: str) -> Column:
+    return F.when(col(text).isNotNull(), F.xxhash64(col(text)))
+
+
+def cuts(df: DataFrame, text: str = "text", window: int = WINDOW) -> DataFrame:
+    """Rows (id, n_words, n_removed, kept_text): one for each different text, named by :func:`text_id`."""
     if window < 4:
         raise ValueError("a window has four words at least")
     ship(df)
-    key = F.unhex(F.md5(col(text).cast("binary")))
-    one = df.select(key.alias("key"), col(text).alias("text")).filter("text IS NOT NULL").groupBy("key").agg(
+    texts = df.select(text_id(text).alias("id"), col(text).alias("text")).filter("text IS NOT NULL").groupBy("id").agg(
         F.first("text").alias("text"), F.count("*").alias("copies"))
-    texts = stored(one.withColumn("id", F.monotonically_increasing_id()), "texts")
-    left = by_text(repeated(first_level(texts, window)))
-    left = texts.join(left.withColumnRenamed("text", "of"), F.col("id") == F.col("of"))
-    left = repeated(second_level(left, window), "full")
-    runs = by_text(repeated(third_level(left)))
-    done = texts.join(runs.withColumnRenamed("text", "of"), F.col("id") == F.col("of"), "left")
-    done = done.select("key", cut(F.col("text"), F.col("places"), F.col("copies"), window).alias("r"))
-    rows = df.select(F.struct(*[col(c) for c in df.columns]).alias("row"), key.alias("of"))
-    both = rows.join(done, F.col("of") == F.col("key"), "left")
+
+    def with_places(places: DataFrame, how: str) -> DataFrame:
+        return texts.join(places.withColumnRenamed("text", "of"), F.col("id") == F.col("of"), how).select("id", "text", "copies", "places")
+
+    asked_of, before = texts, 0
+    for length in levels(window):
+        places = by_text(repeated(level(asked_of, before, length, window)))
+        asked_of, before = with_places(places, "inner"), length
+    done = with_places(places, "left").select("id", cut(F.col("text"), F.col("places"), F.col("copies"), window).alias("r"))
+    return done.select("id", *[F.col("r")[f].alias(f) for f in FIELDS])
+
+
+def drop_repeated(df: DataFrame, text: str = "text", window: int = WINDOW) -> DataFrame:
+    """The rows of ``df`` with ``n_words``, ``n_removed`` and ``kept_text`` (the words left, joined by one space; null for null)."""
+    done = cuts(df, text, window).select(F.col("id").alias("of"), F.struct(*FIELDS).alias("r"))
+    rows = df.select(F.struct(*[col(c) for c in df.columns]).alias("row"), text_id(text).alias("id"))
     keep = [c for c in df.columns if c.lower() not in FIELDS]
     zero = lambda f: F.coalesce(F.col("r")[f], F.lit(0)).cast("long").alias(f)
-    return both.select(*[F.col("row")[c].alias(c) for c in keep], zero("n_words"), zero("n_removed"), F.col("r")["kept_text"].alias("kept_text"))
+    return rows.join(done, F.col("id") == F.col("of"), "left").select(
+        *[F.col("row")[c].alias(c) for c in keep], zero("n_words"), zero("n_removed"), F.col("r")["kept_text"].alias("kept_text"))
 
 
 def op12_substring_dedup(spark, sf_dir: str) -> DataFrame:
+    """The digests come from the different texts; only they move to the rows."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = drop_repeated(docs)
-    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.coalesce("kept_text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+    digest = lambda t: F.sha2(F.coalesce(t, F.lit("")).cast("binary"), 256)
+    done = cuts(docs).select(F.col("id").alias("of"), "n_words", "n_removed", digest(F.col("kept_text")).alias("kept"))
+    rows = docs.select("doc_id", text_id("text").alias("id")).join(done, F.col("id") == F.col("of"), "left")
+    zero = lambda f: F.coalesce(f, F.lit(0)).cast("long").alias(f)
+    return rows.select("doc_id", zero("n_words"), zero("n_removed"), F.coalesce("kept", digest(F.lit(""))).alias("kept_sha256"))
 
 
 ORACLE = rf"""
