@@ -98,10 +98,12 @@ def judge(data: np.ndarray, offsets: np.ndarray) -> tuple[dict[str, np.ndarray],
     for phrase in PHRASES:
         found = lower.find(phrase)
         while found >= 0:
-            k = np.searchsorted(lines, np.searchsorted(line_start, found, "right") - 1)
-            if k < len(lines) and line_words[k] <= PHRASE_WORDS:
+            # Texts lie side by side here: a hit counts only where one line holds all of it.
+            here, there = np.searchsorted(line_start, [found, found + len(phrase) - 1], "right") - 1
+            k = np.searchsorted(lines, here)
+            if here == there and k < len(lines) and line_words[k] <= PHRASE_WORDS:
                 bad[k] = True
-            found = lower.find(phrase, found + len(phrase))
+            found = lower.find(phrase, found + 1)
     lost = np.bincount(rows, chars * bad[at], n)
     out["n_bad_lines"] = np.bincount(row[bad], minlength=n)
     out["base_failed"] = (words < LEAST_WORDS) | (100 * out["n_repeat_words"] > MOST_REPEATED * words)

@@ -188,6 +188,50 @@ def test_lines_that_fail_are_removed():
     assert rules.clean(data, offsets, starts, fails) == ["\n".join([good] * (len(bad) + 1)), "", good]
 
 
+def plain_verdict(text):
+    """The whole verdict of one text, by itself: failing lines, and whether it is kept."""
+    ws = lambda t: re.findall(r"[^\x20\x09-\x0D]+", t)
+    whole, lost, fails, chars = ws(text), 0, [], 0
+    for line in text.split("\n"):
+        w = ws(line)
+        if not w:
+            continue
+        closed = w[-1].encode()[-1:] in [bytes([c]) for c in b".!?\"')]:;"] or ord(w[-1][-1]) > 127
+        share = lambda n: n / len(w)
+        bad = not closed and len(w) < rules.SHORT_LINE
+        bad |= share(sum(any(c in "#*$%&|<>" for c in x) for x in w)) > rules.SYMBOL_WORDS
+        bad |= share(sum(x.endswith("!!") for x in w)) > rules.BANG_WORDS
+        bad |= share(sum(x in "|>/-*<" for x in w if len(x) == 1)) > rules.SEPARATORS
+        bad |= len(w) >= rules.LONG_LINE and share(max(collections.Counter(w).values())) > rules.ONE_WORD
+        low = line.encode().lower()
+        bad |= len(w) <= rules.PHRASE_WORDS and any(p in low for p in rules.PHRASES)
+        fails.append(bool(bad))
+        chars += sum(map(len, w))
+        lost += bad * sum(map(len, w))
+    triples = collections.Counter(zip(whole, whole[1:], whole[2:]))
+    again = {i + k for i, t in enumerate(zip(whole, whole[1:], whole[2:])) if triples[t] > 1 for k in range(3)}
+    base = len(whole) < rules.LEAST_WORDS or 100 * len(again) > rules.MOST_REPEATED * len(whole)
+    return sum(fails), not base and lost <= rules.MOST_LOST * chars
+
+
+def test_rules_do_not_see_the_next_text(spark):
+    """Verdicts in one batch are those of each text alone; phrases, lines and words never cross a border."""
+    rng = random.Random(7)
+    bits = [p.decode()[:k] for p in rules.PHRASES for k in (3, len(p) // 2, len(p))] + [p.decode()[len(p) // 2:] for p in rules.PHRASES]
+    bits += ["Log in", " in the morning", "a b", "|", "#", "wow!!", "é", "说。", "end.", "\n", "\n", " ", "word " * 9, " ".join(f"w{k}" for k in range(30)) + "."]
+    texts = ["".join(rng.choice(bits) + rng.choice(["", " ", ". "]) for _ in range(rng.randint(0, 25))) for _ in range(400)]
+    good = " ".join(f"word{k} is here" for k in range(40)) + "."
+    texts += [f"{good} then log", " in the morning " + good, "", good + "\nnot all rights", "reserved " + good]
+    expected = [plain_verdict(t) for t in texts]
+    together, _, _ = rules.judge(*as_bytes(texts))
+    alone = [rules.judge(*as_bytes([t]))[0] for t in texts]
+    for f in ("n_bad_lines", "kept", "base_failed", "n_dup_lines", "n_repeat_words"):
+        assert together[f].tolist() == [a[f].tolist()[0] for a in alone], f
+    assert list(zip(together["n_bad_lines"].tolist(), together["kept"].tolist())) == expected
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, text string").coalesce(1)
+    assert [(r.n_bad_lines, r.kept) for r in sorted(rules.line_first(df).collect())] == expected
+
+
 def test_rules_on_edges_and_labels(spark, edges, empty):  # noqa: F811
     for r in rules.line_first(edges.withColumn("KEPT", F.lit(0)).withColumn("clean_text", F.lit(0))).collect():
         assert tuple(r[f] for f in BASE_FIELDS) == base_counts(r["text"])
