@@ -117,6 +117,64 @@ def publish_days(spark: SparkSession, table_path: str, day_col: str) -> None:
     delete_path(spark, staged)
 
 
+class Staged:
+    """A batch written to the shared scratch folder: its good rows (one per key), their days, and counts."""
+
+    def __init__(self, path: str, rows: DataFrame, days: list, report: dict):
+        self.path, self.rows, self.days, self.report = path, rows, days, report
+
+
+def stage_batch(spark: SparkSession, table_path: str, new: DataFrame, keys: Sequence[str], order: Sequence[Column | str] = (),
+                day_col: str = "ingest_day", keep_rejects: bool = True, rejects: DataFrame | None = None,
+                reject_col: str | None = None, batch_id: str = "", raw_col: str | None = None) -> Staged:
+    """De-duplicate ``new`` by ``keys`` and stage it once; rejects go to ``<table>/_rejects/batch=<batch_id>``.
+
+    One pass over the batch: a row is rejected when a key or the day is missing or ``reject_col`` says so
+    (e.g. an unreadable time from the normaliser). Each reject gets its own group in the
+    de-dup window, so it passes through untouched, while keyed rows keep one per key.
+    (A separate filter per outcome would scan the landing once per outcome.)
+    """
+    bad_row = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in dict.fromkeys([day_col, *keys])])
+    if reject_col:
+        bad_row = bad_row | F.coalesce(F.col(reject_col), F.lit(False))
+    tagged = new.withColumn(REJECT, bad_row)
+    tagged = tagged.withColumn("_uniq", F.when(F.col(REJECT), F.monotonically_increasing_id()))
+    raw, staging = Observation("raw"), Observation("staging")
+    tagged = tagged.observe(raw, F.count(F.lit(1)).alias("n"))
+    parts_in = [keep_one(tagged, [REJECT, "_uniq", *keys], order).drop("_uniq")]
+    if rejects is not None:
+        parts_in.append(rejects.withColumn(REJECT, F.lit(True)))
+    good = ~F.col(REJECT)
+    path = scratch_path(spark, "batch")
+    staged = union_by_name(*parts_in)
+    ragged = good & F.col(raw_col).isNotNull() if raw_col else F.lit(False)
+    (staged.observe(staging, F.count_if(ragged).alias("ragged"), F.count_if(~good).alias("rejects"),
+                    F.collect_set(F.when(good, F.col(day_col))).alias("days")).write.parquet(path))
+    staged = spark.read.schema(staged.schema).parquet(path)
+    m = staging.get
+    days = sorted(m["days"])
+    report = {"target": table_path, "rows_in": raw.get["n"], "rejects": m["rejects"], "partitions": len(days),
+              "rows_before": 0, "rows_after": 0, "bytes": 0, "days": days}
+    if keep_rejects and report["rejects"] + m["ragged"]:
+        staged.filter(F.col(REJECT) | ragged).drop(REJECT).write.mode("overwrite").parquet(
+            f"{table_path.rstrip('/')}/_rejects/batch={batch_id}")
+    data_cols = [c for c in new.columns if c not in (reject_col, raw_col)]
+    return Staged(path, staged.filter(~F.col(REJECT)).select(*data_cols), days, report)
+
+
+def day_files(merged: DataFrame, day_col: str, cluster: Sequence[str]) -> DataFrame:
+    """Files of even size by day, each sorted by key."""
+    return merged.hint("rebalance", day_col).sortWithinPartitions(day_col, *cluster)
+
+
+def swap_in(spark: SparkSession, table_path: str, out: DataFrame, day_col: str) -> None:
+    """Stage whole days inside the table, complete, then put them in place (see :func:`publish_days`)."""
+    # Static mode: the whole folder is replaced, and its _SUCCESS marks a complete copy.
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(day_col)
+        .parquet(f"{table_path.rstrip('/')}/_staged/days"))
+    publish_days(spark, table_path, day_col)
+
+
 def compact_days(spark: SparkSession, table_path: str, new: DataFrame, keys,
                  order: Sequence[Column | str] = (), day_col: str = "ingest_day",
                  cluster_by: Sequence[str] | None = None, mode: str = "latest",
@@ -125,78 +183,56 @@ def compact_days(spark: SparkSession, table_path: str, new: DataFrame, keys,
                  batch_id: str | None = None, raw_col: str | None = None):
     """Merge ``new`` into the day partitions it touches and overwrite only those partitions.
 
-    De-duplication is per day (key = ``day_col`` + ``keys``); ``mode`` is ``"latest"`` (the
-    batch wins), ``"insert_only"`` (history wins) or ``"replace"`` (the touched days become the batch's
+    De-duplication is per day (key = ``day_col`` + ``keys``; ``operators.crossday`` does it over all days); ``mode`` is
+    ``"latest"`` (the batch wins), ``"insert_only"`` (history wins) or ``"replace"`` (the touched days become the batch's
     rows; history is not read). Untouched days are neither listed, read nor written. Rows without a key or
     a day, rows flagged by ``reject_col`` and any upstream ``rejects`` (e.g. rows whose time did not parse) go to
     ``<table>/_rejects/batch=<batch_id>``, so a replayed batch writes the same place again. ``raw_col`` holds the
-    whole line of rows that did not fit the columns: these rows merge, and are kept there too. Returns the
-    run report; with ``dry_run`` it returns ``(report, merged DataFrame)`` and writes nothing to the table.
+    whole line of rows that did not fit the columns: these rows merge, and are kept there too. Deltas of the touched days
+    (``operators.deltas``) are folded in on the way. Returns the run report, whose ``days`` names the touched days; with
+    ``dry_run`` it returns ``(report, merged DataFrame)`` and writes nothing to the table.
 
     The de-duplicated batch and its rejects are staged once as Parquet in the shared scratch folder, where the
     touched days and counts are observed; the merged days are staged inside the table and then swapped
     in (see :func:`publish_days`). One batch at a time per table.
     """
+    from feedloom.operators.deltas import delta_days, drop_deltas, read_merged
     if mode not in ("latest", "insert_only", "replace"):
         raise ValueError("mode must be 'latest', 'insert_only' or 'replace'")
     ks = [day_col, *_cols(keys)]
     cluster = list(cluster_by or _cols(keys))
     batch_id = batch_id or uuid.uuid4().hex[:12]
-    # One pass over the batch: a row is rejected when a key is missing or ``reject_col`` says so
-    # (e.g. an unreadable time from the normaliser). Each reject gets its own group in the
-    # de-dup window, so it passes through untouched, while keyed rows keep one per key.
-    # (A separate filter per outcome would scan the landing once per outcome.)
-    bad_row = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in ks])
-    if reject_col:
-        bad_row = bad_row | F.coalesce(F.col(reject_col), F.lit(False))
-    tagged = new.withColumn(REJECT, bad_row)
-    tagged = tagged.withColumn("_uniq", F.when(F.col(REJECT), F.monotonically_increasing_id()))
-    raw, staging = Observation("raw"), Observation("staging")
-    tagged = tagged.observe(raw, F.count(F.lit(1)).alias("n"))
-    parts_in = [keep_one(tagged, [REJECT, "_uniq", *ks], order).drop("_uniq")]
-    if rejects is not None:
-        parts_in.append(rejects.withColumn(REJECT, F.lit(True)))
-    good = ~F.col(REJECT)
-    staged_path = scratch_path(spark, "batch")
-    staged = union_by_name(*parts_in)
-    ragged = good & F.col(raw_col).isNotNull() if raw_col else F.lit(False)
-    (staged.observe(staging, F.count_if(ragged).alias("ragged"), F.count_if(~good).alias("rejects"),
-                    F.collect_set(F.when(good, F.col(day_col))).alias("days")).write.parquet(staged_path))
-    staged = spark.read.schema(staged.schema).parquet(staged_path)
-    m = staging.get
-    days = sorted(m["days"])
-    report = {"target": table_path, "rows_in": raw.get["n"], "rejects": m["rejects"], "partitions": len(days),
-              "rows_before": 0, "rows_after": 0, "bytes": 0}
-    data_cols = [c for c in new.columns if c not in (reject_col, raw_col)]
+    batch = stage_batch(spark, table_path, new, ks, order, day_col, keep_rejects and not dry_run, rejects, reject_col,
+                        batch_id, raw_col)
+    report, days = batch.report, batch.days
     if not dry_run:
         publish_days(spark, table_path, day_col)  # what an interrupted run has left
-        if keep_rejects and report["rejects"] + m["ragged"]:
-            staged.filter(F.col(REJECT) | ragged).drop(REJECT).write.mode("overwrite").parquet(
-                f"{table_path.rstrip('/')}/_rejects/batch={batch_id}")
     if not days:
         if not dry_run:
-            delete_path(spark, staged_path)
+            delete_path(spark, batch.path)
         return (report, None) if dry_run else report
-    batch = staged.filter(~F.col(REJECT)).select(*data_cols)
     before, after = Observation("before"), Observation("after")
-    parts = [batch.withColumn(SRC, F.lit(1))]
-    existing = None if mode == "replace" else read_days_only(spark, table_path, day_col, days)
+    parts = [batch.rows.withColumn(SRC, F.lit(1))]
+    folded = bool(set(map(str, days)) & delta_days(spark, table_path, day_col))
+    if mode == "replace":
+        existing = None
+    elif folded:
+        existing = read_merged(spark, table_path, keys, order, mode, day_col, days)
+    else:
+        existing = read_days_only(spark, table_path, day_col, days)
     if existing is not None:
         parts.insert(0, existing.withColumn(SRC, F.lit(0)))
     # Each key appears at most once per side here, so no partition can meet a hot key.
     both = union_by_name(*parts).observe(before, F.count_if(F.col(SRC) == 0).alias("n"))
     rank_src = F.asc(SRC) if mode == "insert_only" else F.desc(SRC)
     merged = keep_one(both, ks, [rank_src, *order]).drop(SRC, POS)
-    # Files of even size by day, each sorted by key.
-    out = (merged.observe(after, F.count(F.lit(1)).alias("n")).hint("rebalance", day_col)
-                 .sortWithinPartitions(day_col, *cluster))
+    out = day_files(merged.observe(after, F.count(F.lit(1)).alias("n")), day_col, cluster)
     if dry_run:
         return report, out
-    # Static mode: the whole folder is replaced, and its _SUCCESS marks a complete copy.
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(day_col)
-        .parquet(f"{table_path.rstrip('/')}/_staged/days"))
-    publish_days(spark, table_path, day_col)
-    delete_path(spark, staged_path)
+    swap_in(spark, table_path, out, day_col)
+    if folded:
+        drop_deltas(spark, table_path, day_col, days)
+    delete_path(spark, batch.path)
     report["rows_after"] = after.get.get("n", 0)
     report["rows_before"] = before.get.get("n", 0)
     report["bytes"] = path_bytes(spark, [f"{table_path.rstrip('/')}/{day_col}={d}" for d in days])

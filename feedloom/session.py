@@ -113,6 +113,14 @@ def path_bytes(spark: SparkSession, paths: list[str]) -> int:
     return total
 
 
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly under ``path`` (none if it does not exist)."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
+
+
 _SHIPPED: set[str] = set()
 
 
