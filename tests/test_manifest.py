@@ -1,0 +1,98 @@
+"""Snapshots by manifest: only files that a batch meets are rewritten."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from feedloom.operators import manifest
+from feedloom.operators.merge import merge_insert_only, merge_latest
+
+SCHEMA = "id bigint, v double, ts string"
+
+
+def _df(spark, recs):
+    return spark.createDataFrame(recs, SCHEMA)
+
+
+def _rows(df):
+    return sorted(tuple(r) for r in df.select("id", "v", "ts").collect())
+
+
+def _listed(spark, root):
+    return {r.path: (r.low, r.high, r.rows) for r in manifest.files(spark, root).collect()}
+
+
+def _times(root):
+    return {os.path.join(r, f): os.stat(os.path.join(r, f)).st_mtime_ns for r, _, fs in os.walk(os.path.join(root, "data")) for f in fs}
+
+
+@pytest.mark.parametrize("mode", ["latest", "insert_only"])
+def test_merges_equal_whole_merges(spark, tmp_path, mode):
+    root, fn = str(tmp_path / "s"), merge_latest if mode == "latest" else merge_insert_only
+    history = [(3 * k, float(k), "a") for k in range(400)]
+    whole = _df(spark, history)
+    manifest.merge(spark, root, whole, "id", file_rows=40, mode=mode)
+    assert len(_listed(spark, root)) >= 8
+    batches = [[(3 * k, -1.0, "b") for k in range(200, 230)] + [(601, 5.0, "b"), (601, 6.0, "c"), (None, 1.0, "b")],
+               [(-50, 1.0, "d"), (10_000, 1.0, "d"), (10_001, 2.0, "d"), (0, 9.0, "d")],
+               [(10_000, 3.0, "e"), (599, 1.0, "e")], []]
+    for k, b in enumerate(batches):
+        before, times = _listed(spark, root), _times(root)
+        report = manifest.merge(spark, root, _df(spark, b), "id", order=[F.desc("ts")], mode=mode, file_rows=40)
+        whole = spark.createDataFrame(fn(whole, _df(spark, b), "id", order=[F.desc("ts")])[0].collect(), SCHEMA)
+        assert _rows(manifest.read(spark, root)) == _rows(whole)
+        now = _listed(spark, root)
+        assert report["rows_after"] == whole.count() and report["files_kept"] + report["files_rewritten"] == len(before)
+        kept = set(before) & set(now)
+        assert len(kept) == report["files_kept"] and (report["files_kept"] >= 4 or not b)
+        for p in kept:  # carried over by reference: same path, not written again
+            f = os.path.join(root, p)
+            assert os.stat(f).st_mtime_ns == times[f] and before[p] == now[p]
+        spans = sorted((low, high) for low, high, _ in now.values())
+        assert all(a[1] < b[0] for a, b in zip(spans, spans[1:])), "ranges do not overlap"
+        assert report["rejects"] == (1 if k == 0 else 0)
+
+
+def test_old_files_go_at_a_constant_pace(spark, tmp_path):
+    root = str(tmp_path / "s")
+    manifest.merge(spark, root, _df(spark, [(k, 0.0, "a") for k in range(100)]), "id", file_rows=20)
+    for k in range(5):
+        manifest.merge(spark, root, _df(spark, [(k * 20, float(k), "b")]), "id", file_rows=20, keep=2)
+        have = {p for v in manifest.versions(spark, root) for p in
+                (r.path for r in spark.read.parquet(manifest._folder(root, v)).filter("NOT dropped").collect())}
+        on_disk = {os.path.relpath(f, root) for f in _times(root) if f.endswith(".parquet")}
+        assert on_disk == have and len(manifest.versions(spark, root)) <= 2
+    assert manifest.read(spark, root).filter("ts = 'b'").count() == 5
+    assert manifest.read(spark, root, version=manifest.versions(spark, root)[0]).filter("ts = 'b'").count() == 4
+
+
+def test_unfinished_merge_is_not_seen(spark, tmp_path):
+    root = str(tmp_path / "s")
+    manifest.merge(spark, root, _df(spark, [(k, 0.0, "a") for k in range(50)]), "id", file_rows=10)
+    want = _rows(manifest.read(spark, root))
+    manifest.merge(spark, root, _df(spark, [(7, 1.0, "b")]), "id", file_rows=10)
+    os.remove(os.path.join(manifest._folder(root, 2), "_SUCCESS"))
+    assert _rows(manifest.read(spark, root)) == want
+    manifest.merge(spark, root, _df(spark, [(7, 1.0, "b")]), "id", file_rows=10)
+    assert manifest.versions(spark, root) == [1, 2] and manifest.read(spark, root).filter("v = 1").count() == 1
+
+
+def test_composite_keys_range_by_time(spark, tmp_path):
+    root = str(tmp_path / "s")
+    readings = [(f"c{k % 5}", f"2026-01-{1 + k // 20:02d}T{k % 20:02d}", float(k)) for k in range(300)]
+    schema = "city string, time string, v double"
+    manifest.merge(spark, root, spark.createDataFrame(readings, schema), ["city", "time"], range_by="time", file_rows=30)
+    late = [(c, t, -1.0) for c, t, _ in readings[-25:]]
+    report = manifest.merge(spark, root, spark.createDataFrame(late, schema), ["city", "time"], range_by="time", file_rows=30)
+    assert report["files_rewritten"] <= 3 < report["files_kept"]
+    assert manifest.read(spark, root).filter("v < 0").count() == 25 and manifest.read(spark, root).count() == 300
+    assert manifest.read(spark, root, low="2026-01-14").filter("v >= 0 OR v < 0").inputFiles().__len__() < len(_listed(spark, root))
+
+
+def test_null_only_batch_and_missing_snapshot(spark, tmp_path):
+    root = str(tmp_path / "s")
+    with pytest.raises(FileNotFoundError):
+        manifest.read(spark, root)
+    report = manifest.merge(spark, root, _df(spark, [(None, 1.0, "a")]), "id")
+    assert report["rejects"] == 1 and manifest.versions(spark, root) == []
