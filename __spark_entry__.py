@@ -28,12 +28,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedloom.operators import audit, normalize  # noqa: E402
+from feedloom.operators import audit, manifest, normalize  # noqa: E402
+from feedloom.operators.crossday import compact_days_across
 from feedloom.operators.dedup import keep_latest
+from feedloom.operators.deltas import append_delta, fold_deltas, read_merged
 from feedloom.operators.joins import numbered
 from feedloom.operators.layout import CSV_OPTIONS, backfill_day, land_partitioned, read_snapshot, write_snapshot
 from feedloom.operators.merge import compact_days, merge_insert_only, merge_into_snapshot, merge_latest
-from feedloom.plans import probes
+from feedloom.plans import probes, rollup
 from feedloom.plans.adhoc import DEFAULT_QUERY, adhoc
 from feedloom.plans.dashboard import class_mix, dashboard, leaders_tone, top_groups
 from feedloom.plans.hourly import hourly
@@ -242,6 +244,96 @@ def q_day_compaction(spark, sf):
     return spark.read.parquet(table).select(*EVENT_COLS, "ingest_day")
 
 
+def _three_deltas(spark, sf):
+    """A day table of the history and, beside it, the re-sent days as three deltas; the last two correct half of the first."""
+    old, new = _history_and_batch(_events(spark, sf))
+    table, day = scratch_path(spark, "day-table"), F.to_date("ts")
+    compact_days(spark, table, old.withColumn("ingest_day", day), "event_id", order=[F.desc("ts")])
+    third = F.pmod("event_id", F.lit(3)) == 0
+    stale = new.filter(F.pmod("event_id", F.lit(2)) == 0).withColumn("value", F.col("value") + 100)
+    for part in (stale, new.filter(third), new.filter(~third)):
+        append_delta(spark, table, part.withColumn("ingest_day", day), "event_id", order=[F.desc("ts")])
+    return table
+
+
+def q_delta_read(spark, sf):
+    """Base and unfolded deltas, merged on read."""
+    table = _three_deltas(spark, sf)
+    return read_merged(spark, table, "event_id", [F.desc("ts")]).select(*EVENT_COLS, "ingest_day")
+
+
+def q_delta_folded(spark, sf):
+    table = _three_deltas(spark, sf)
+    fold_deltas(spark, table, "event_id", [F.desc("ts")], share=0.0)
+    return spark.read.parquet(table).select(*EVENT_COLS, "ingest_day")
+
+
+def _incremental(spark, sf, mode):
+    """The history in about twenty files, then the re-sent days merged into those that they meet."""
+    old, new = _history_and_batch(_events(spark, sf))
+    root, size = scratch_path(spark, "manifest"), max(1, -(-_events(spark, sf).count() // 20))
+    for part in (old, new):
+        manifest.merge(spark, root, part, "event_id", order=[F.desc("ts")], mode=mode, file_rows=size)
+    return manifest.read(spark, root)
+
+
+def q_snapshot_incremental(spark, sf):
+    return _incremental(spark, sf, "latest")
+
+
+def q_snapshot_incremental_insert_only(spark, sf):
+    return _incremental(spark, sf, "insert_only")
+
+
+def q_cross_day_dedup(spark, sf):
+    """The newest days are sent again under the next day: each event moves there and leaves its old day."""
+    old, new = _history_and_batch(_events(spark, sf))
+    table, day = scratch_path(spark, "day-table"), F.to_date("ts")
+    for part, d in ((old, day), (new, F.date_add(day, 1))):
+        compact_days_across(spark, table, part.withColumn("ingest_day", d), "event_id", order=[F.desc("ts")])
+    return spark.read.parquet(table).select(*EVENT_COLS, "ingest_day")
+
+
+def q_cross_day_insert_only(spark, sf):
+    old, new = _history_and_batch(_events(spark, sf))
+    table, day = scratch_path(spark, "day-table"), F.to_date("ts")
+    for part, d in ((old, day), (new, F.date_add(day, 1))):
+        compact_days_across(spark, table, part.withColumn("ingest_day", d), "event_id", order=[F.desc("ts")], mode="insert_only")
+    return spark.read.parquet(table).select(*EVENT_COLS, "ingest_day")
+
+
+def _kept_up(spark, sf, refresh):
+    """A day table compacted twice; ``refresh(table, days)`` follows each run's report."""
+    old, new = _history_and_batch(_events(spark, sf))
+    table = scratch_path(spark, "day-table")
+    for part in (old, new):
+        report = compact_days(spark, table, part.withColumn("ingest_day", F.to_date("ts")), "event_id", order=[F.desc("ts")])
+        refresh(table, report["days"])
+
+
+def q_hourly_rollup(spark, sf):
+    """Hours and types from maintained partials."""
+    path = scratch_path(spark, "rollup")
+    _kept_up(spark, sf, lambda table, days: rollup.refresh(spark, table, path, days, value="value", group="event_type"))
+    got = rollup.combined(spark.read.parquet(path), ["h", F.col("group").alias("event_type")])
+    return got.select("h", "event_type", "n", "low", "high", F.col("total").cast("double").alias("total"), F.col("mean").alias("tone"))
+
+
+def q_distinct_users(spark, sf):
+    """Distinct users of each day: exact, and whether the merged hourly sketches come within 5 % of it."""
+    path, sketches = scratch_path(spark, "distinct"), scratch_path(spark, "rollup")
+
+    def refresh(table, days):
+        rollup.refresh_distinct(spark, table, path, days, "user_id")
+        rollup.refresh(spark, table, sketches, days, value="value", group="event_type", distinct="user_id")
+
+    _kept_up(spark, sf, refresh)
+    guess = rollup.combined(spark.read.parquet(sketches), ["ingest_day"]).select("ingest_day", F.col("distinct").alias("guess"))
+    exact = rollup.distinct_exact(spark.read.parquet(path), ["ingest_day"])
+    return exact.join(guess, "ingest_day").select("ingest_day", F.col("distinct").alias("users"),
+                                                  (F.abs(F.col("guess") / F.col("distinct") - 1) <= 0.05).alias("sketch_near"))
+
+
 def _typed_from_text(raw: DataFrame) -> DataFrame:
     """Landed event text back to the table's types; landing columns pass through."""
     extra = [c for c in raw.columns if c not in EVENT_COLS]
@@ -349,19 +441,67 @@ def q_stream_compaction(spark, sf):
 
 
 def q_stream_dedup(spark, sf):
-    """Six deliveries, the newest days first and the first one twice, a micro-batch each: one copy per event id
-    stays, however late its day comes."""
+    """Six deliveries, the newest days first and the first one twice, each taken by the stream before the next lands: one
+    copy per event id stays, however late its day comes."""
     ev = _events(spark, sf)
     root, table, ck = (scratch_path(spark, n) for n in ("landing", "day-table", "ckpt"))
     fifth = F.pmod(F.dayofyear("ts"), F.lit(5))
-    for k in (4, 3, 2, 1, 0, 4):  # a file source takes files in order of their time
-        _land(ev.filter(fifth == k).coalesce(1), root, f"00000{k}")
-    stream = st.landed_stream(spark, root, _LANDED_TEXT, max_files=max(1, ev.select(F.to_date("ts")).distinct().count() // 5))
-    q = st.compaction_query(stream, table, "event_id", ck, normalise=_typed_from_text, mode="insert_only")
-    st.run_until_done(q)
+    for n, k in enumerate((4, 3, 2, 1, 0, 4)):
+        _land(ev.filter(fifth == k), root, f"00000{n}")
+        stream = st.landed_stream(spark, root, _LANDED_TEXT)
+        st.run_until_done(st.compaction_query(stream, table, "event_id", ck, normalise=_typed_from_text, mode="insert_only"))
     return spark.read.parquet(table).select(*EVENT_COLS)
 
 
+def q_stream_deltas(spark, sf):
+    """Two pulls land one after the other; the stream writes each as deltas and folds what outgrows the base."""
+    root, table, ck = (scratch_path(spark, n) for n in ("landing", "day-table", "ckpt"))
+    for part, stamp in zip(_history_and_batch(_events(spark, sf)), ("000000", "235959")):
+        _land(part, root, stamp)
+        stream = st.landed_stream(spark, root, _LANDED_TEXT)
+        st.run_until_done(st.compaction_query(stream, table, "event_id", ck, normalise=_typed_from_text, fold_share=1.5))
+    return read_merged(spark, table, "event_id").select(*EVENT_COLS, "ingest_day")
+
+
+def _in_thirds(spark, sf):
+    """The events by thirds of their days, each third with the last day of the one before it sent again."""
+    ev = _events(spark, sf)
+    span = ev.agg(F.min(F.to_date("ts")).alias("a"), F.datediff(F.max(F.to_date("ts")), F.min(F.to_date("ts"))).alias("n")).first()
+    at = F.datediff(F.to_date("ts"), F.lit(span.a))
+    cut = [(span.n + 1) * k // 3 for k in range(4)]
+    return ev, at, [ev.filter((at >= max(a - 1, 0)) & (at < b)) for a, b in zip(cut, cut[1:])]
+
+
+def q_stream_late(spark, sf):
+    """Thirds of the days land one after the other, the last with the second day sent again: first copies from the stateful
+    de-duplication, rows under its watermark kept aside."""
+    ev, at, parts = _in_thirds(spark, sf)
+    parts[2] = parts[2].unionByName(ev.filter(at == 1))
+    root, ok, late, out, c1, c2 = (scratch_path(spark, n) for n in ("landing", "on-time", "late", "first", "ckpt", "ckpt"))
+    for k, part in enumerate(parts):
+        _land(part, root, f"00000{k}")
+        typed = _typed_from_text(st.landed_stream(spark, root, _LANDED_TEXT, position=False))
+        st.run_until_done(st.split_late(typed, "ts", "2 days", ok, late, c1))
+        rows = st.on_time_stream(spark, ok, typed.schema)
+        st.run_until_done(st.append_to_table(st.dedup_stream(rows, ["event_id"], "ts", "2 days"), out, c2))
+    first = spark.read.parquet(out).select(F.lit("first").alias("kind"), *EVENT_COLS)
+    return first.unionByName(st.read_late(spark, late, typed.schema).select(F.lit("late").alias("kind"), *EVENT_COLS))
+
+
+def q_stream_hourly_append(spark, sf):
+    """Closed hours emitted once each over three landings, the open ones from the landing."""
+    ev, at, _ = _in_thirds(spark, sf)
+    third = F.floor(at * 3 / (ev.agg(F.max(at)).scalar() + 1))
+    root, closed, ck = (scratch_path(spark, n) for n in ("landing", "closed-hours", "ckpt"))
+    for k in range(3):
+        _land(ev.filter(third == k), root, f"00000{k}")
+        typed = _typed_from_text(st.landed_stream(spark, root, _LANDED_TEXT, position=False))
+        st.run_until_done(st.append_to_table(st.hourly_stream(typed, "ts", "value", "1 day"), closed, ck))
+    landed = _typed_from_text(read_text_csv(spark, root, EVENT_COLS + ["stamp"], basePath=root))
+    hours = st.hours_now(spark, closed, landed, "ts", "value", "ingest_day")
+    return hours.select(F.col("h").cast("timestamp_ntz").alias("h"), "n", F.round("tone", 4).alias("tone"))
+
+
 def q_stream_hourly(spark, sf):
     root, out, ck = (scratch_path(spark, n) for n in ("landing", "hourly", "ckpt"))
     _land(_events(spark, sf), root, "000000")
@@ -563,6 +703,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "backfill_replace": q_backfill_replace,
         "csv_by_header": q_csv_by_header,
         "payload_rows": q_payload_rows,
+        "delta_read": q_delta_read,
+        "delta_folded": q_delta_folded,
+        "snapshot_incremental": q_snapshot_incremental,
+        "snapshot_incremental_insert_only": q_snapshot_incremental_insert_only,
+        "cross_day_dedup": q_cross_day_dedup,
+        "cross_day_insert_only": q_cross_day_insert_only,
+        "hourly_rollup": q_hourly_rollup,
+        "distinct_users": q_distinct_users,
+        "stream_deltas": q_stream_deltas,
+        "stream_late": q_stream_late,
+        "stream_hourly_append": q_stream_hourly_append,
         "lenient_cast": q_lenient_cast,
         "cast_loss": q_cast_loss,
         "regex_count_urls": q_regex_count_urls,
@@ -665,6 +816,38 @@ def oracle_sql() -> dict[str, str]:
             SELECT * FROM old
             UNION ALL
             SELECT * FROM new n WHERE NOT EXISTS (SELECT 1 FROM old o WHERE o.event_id = n.event_id)""",
+        "delta_read": f"SELECT *, CAST(ts AS DATE) AS ingest_day FROM ({_MERGE_LATEST})",
+        "delta_folded": f"SELECT *, CAST(ts AS DATE) AS ingest_day FROM ({_MERGE_LATEST})",
+        "snapshot_incremental": _MERGE_LATEST,
+        "snapshot_incremental_insert_only": f"""
+            WITH {_SPLIT}
+            SELECT * FROM old
+            UNION ALL
+            SELECT * FROM new n WHERE NOT EXISTS (SELECT 1 FROM old o WHERE o.event_id = n.event_id)""",
+        "cross_day_dedup": f"""
+            WITH {_SPLIT}
+            SELECT *, CAST(ts AS DATE) AS ingest_day FROM old o WHERE NOT EXISTS (SELECT 1 FROM new n WHERE n.event_id = o.event_id)
+            UNION ALL SELECT *, CAST(ts AS DATE) + 1 FROM new""",
+        "cross_day_insert_only": f"""
+            WITH {_SPLIT}
+            SELECT *, CAST(ts AS DATE) AS ingest_day FROM old
+            UNION ALL SELECT *, CAST(ts AS DATE) + 1 FROM new n WHERE NOT EXISTS (SELECT 1 FROM old o WHERE o.event_id = n.event_id)""",
+        "hourly_rollup": f"""
+            SELECT date_trunc('hour', ts) AS h, event_type, count(*) AS n, min(value) AS low, max(value) AS high,
+                   CAST(sum(CAST(value AS DECIMAL(38, 10))) AS DOUBLE) AS total,
+                   CAST(sum(CAST(value AS DECIMAL(38, 10))) AS DOUBLE) / count(value) AS tone
+            FROM ({_MERGE_LATEST}) GROUP BY 1, 2""",
+        "distinct_users": """
+            SELECT CAST(ts AS DATE) AS ingest_day, count(DISTINCT user_id) AS users, true AS sketch_near FROM events
+            WHERE user_id IS NOT NULL GROUP BY 1""",
+        "stream_deltas": f"SELECT *, CAST(ts AS DATE) AS ingest_day FROM ({_MERGE_LATEST})",
+        "stream_late": """
+            SELECT 'first' AS kind, event_id, ts, user_id, event_type, value, props FROM events
+            UNION ALL
+            SELECT 'late', event_id, ts, user_id, event_type, value, props FROM events
+            WHERE CAST(ts AS DATE) = (SELECT min(CAST(ts AS DATE)) + 1 FROM events)""",
+        "stream_hourly_append": """
+            SELECT date_trunc('hour', ts) AS h, count(*) AS n, round(avg(value), 4) AS tone FROM events GROUP BY 1""",
         "backfill_replace": """
             SELECT *, CAST(ts AS DATE) AS ingest_day FROM events
             WHERE event_type <> 'purchase' OR CAST(ts AS DATE) < (SELECT max(CAST(ts AS DATE)) FROM events)""",

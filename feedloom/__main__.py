@@ -135,19 +135,21 @@ def _stream_compact(spark, args) -> None:
 
     from feedloom.operators import normalize
     from feedloom.schemas import EVENT_FIELDS, WEATHER_FIELDS
+    from feedloom.sources.csv import CORRUPT
     from feedloom.streaming import stream as st
 
     fields = EVENT_FIELDS if args.feed == "events" else WEATHER_FIELDS
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in fields + ["stamp"]]
+    ragged = [CORRUPT] if args.feed == "events" else []
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in fields + ["stamp"] + ragged]
                           + [T.StructField("ingest_day", T.DateType())])
     s = st.landed_stream(spark, args.landing, schema)
     trigger = {"processingTime": args.every} if args.every else st.AVAILABLE_NOW
     if args.feed == "events":
         def typed(b):
-            return normalize.events_flagged(b).drop("stamp", "_corrupt_record")
+            return normalize.events_flagged(b).drop("stamp")
         q = st.compaction_query(s, args.table, "GlobalEventID", args.checkpoint, order=[F.desc("ts")],
                                 normalise=typed, trigger=trigger, cluster_by=["GlobalEventID"],
-                                reject_col=normalize.BAD)
+                                reject_col=normalize.BAD, raw_col=CORRUPT)
     else:
         def typed(b):
             return normalize.weather_flagged(b).withColumn("day", F.to_date("time")).drop("stamp", "ingest_day")

@@ -4,8 +4,8 @@
   every row carrying its pull's ``stamp`` (``YYYYMMDDHHMMSS``) as the last column. Nothing is
   ever rewritten in place (a file source never re-reads a grown file, and concurrent pulls
   cannot race); a backfill replaces a whole day folder.
-* Snapshot (K3): the whole-history table as versioned folders ``<root>/_v=NNNNNN`` plus an
-  append-only pointer table; a merge reads version N and writes N+1, so it never overwrites
+* Snapshot (K3): the whole-history table as versioned folders ``<root>/_v=NNNNNN`` plus a
+  pointer row per version kept; a merge reads version N and writes N+1, so it never overwrites
   what it reads. Files are range-partitioned and sorted, not coalesced into one.
 * Day table (K4): ``partitionBy(day)`` + dynamic partition overwrite (see ``merge.compact_days``).
 * Run log (K5): one row per job appended to ``<table>/_runs``.
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.schemas import RUN_LOG
-from feedloom.session import delete_path
+from feedloom.session import child_folders, delete_path
 
 # CSV dialect of the landing: quotes doubled (never backslash), full microseconds on times.
 CSV_OPTIONS = {
@@ -115,17 +115,24 @@ def write_snapshot(df: DataFrame, root: str, sort_by: Sequence[str], version: in
     (df.repartitionByRange(*sort_by).observe(written, F.count(F.lit(1)).alias("n"))
        .sortWithinPartitions(*sort_by).write.mode("overwrite").parquet(path))
     n = written.get.get("n", 0)
-    ptr = spark.createDataFrame([(version + 1, path, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None), n)],
-                                "version long, path string, committed_at timestamp_ntz, rows long")
-    ptr.write.mode("append").option("mergeSchema", "true").parquet(_pointer(root))
+    ptr = spark.createDataFrame([(path, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None), n)],
+                                "path string, committed_at timestamp_ntz, rows long")
+    ptr.coalesce(1).write.mode("overwrite").parquet(f"{_pointer(root)}/version={version + 1}")
     return (path, n) if return_rows else path
 
 
 def drop_versions(spark: SparkSession, root: str, keep: int = 2) -> None:
-    """Remove all but the newest ``keep`` versions (readers of those before have had a version's time to end)."""
-    ptr = spark.read.parquet(_pointer(root)).select("version", "path").distinct()
-    for r in ptr.orderBy(F.desc("version")).offset(keep).collect():  # one row per merge run
-        delete_path(spark, r.path)
+    """Remove all but the newest ``keep`` versions and their pointer rows (readers of those before have had a version's
+    time to end). What is gone is not looked at again, so the work does not grow with the number of merges."""
+    number = lambda name: int(name.split("=", 1)[1])
+    pointed = [number(p) for p in child_folders(spark, _pointer(root))]
+    last = max(pointed, default=0) - keep
+    for v in child_folders(spark, root):
+        if v.startswith("_v=") and number(v) <= last:
+            delete_path(spark, f"{root.rstrip('/')}/{v}")
+    for p in pointed:
+        if p <= last:
+            delete_path(spark, f"{_pointer(root)}/version={p}")
 
 
 def read_snapshot(spark: SparkSession, root: str, schema=None) -> DataFrame:

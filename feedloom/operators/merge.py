@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from feedloom.operators.dedup import POS, SRC, keep_one, split_null_keys
-from feedloom.session import delete_path, path_bytes, path_exists, scratch_path
+from feedloom.session import child_folders, delete_path, path_bytes, path_exists, scratch_path
 
 
 def _cols(keys) -> list[str]:
@@ -167,12 +167,14 @@ def day_files(merged: DataFrame, day_col: str, cluster: Sequence[str]) -> DataFr
     return merged.hint("rebalance", day_col).sortWithinPartitions(day_col, *cluster)
 
 
-def swap_in(spark: SparkSession, table_path: str, out: DataFrame, day_col: str) -> None:
-    """Stage whole days inside the table, complete, then put them in place (see :func:`publish_days`)."""
+def swap_in(spark: SparkSession, table_path: str, out: DataFrame, day_col: str) -> list[str]:
+    """Stage whole days inside the table, complete, then put them in place (see :func:`publish_days`); names the days."""
+    staged = f"{table_path.rstrip('/')}/_staged/days"
     # Static mode: the whole folder is replaced, and its _SUCCESS marks a complete copy.
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(day_col)
-        .parquet(f"{table_path.rstrip('/')}/_staged/days"))
+    out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(day_col).parquet(staged)
+    days = [d.split("=", 1)[1] for d in child_folders(spark, staged) if d.startswith(f"{day_col}=")]
     publish_days(spark, table_path, day_col)
+    return days
 
 
 def compact_days(spark: SparkSession, table_path: str, new: DataFrame, keys,

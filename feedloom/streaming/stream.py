@@ -9,7 +9,8 @@ checkpoint is the queue. One query per table keeps compactions serial (T3).
   it touches (``merge.compact_days``). The merge is idempotent, so a replayed batch after a
   failure writes the same rows.
 * ``dedup_stream``     - T4/T5: duplicate deliveries dropped by key within a watermark.
-* ``hourly_stream``    - T6: tumbling hour counts and mean.
+* ``split_late``       - T4: rows under the watermark put aside before a stateful step would drop them.
+* ``hourly_stream``    - T6: tumbling hour counts and mean; ``hours_now`` joins closed and open hours.
 * ``latest_stream``    - T7: newest value per group.
 * ``distinct_stream``  - T9: approximate distinct count (exact distinct is refused on streams).
 """
@@ -23,10 +24,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from feedloom.operators.dedup import number_rows, with_position
-from feedloom.operators.layout import CSV_OPTIONS, write_snapshot
+from feedloom.operators.dedup import POS, number_rows, with_position
+from feedloom.operators.deltas import append_delta, fold_deltas
+from feedloom.operators.layout import CSV_OPTIONS, drop_versions, write_snapshot
 from feedloom.operators.merge import compact_days
-from feedloom.session import ship_package
+from feedloom.session import child_folders, path_exists, ship_package
+from feedloom.sources.csv import CORRUPT
 
 EVERY_QUARTER_HOUR = {"processingTime": "15 minutes"}
 AVAILABLE_NOW = {"availableNow": True}
@@ -35,10 +38,12 @@ AVAILABLE_NOW = {"availableNow": True}
 def landed_stream(spark: SparkSession, root: str, schema: T.StructType, fmt: str = "csv",
                   max_files: int | None = None, position: bool = True, **options) -> DataFrame:
     """New files under ``root`` as a stream. ``schema`` lists the file columns (ending with
-    the pull ``stamp``) and then ``ingest_day``, which is filled from the folder name."""
+    the pull ``stamp``), optionally the column of ragged lines, and then ``ingest_day``, which is filled from the folder name."""
     r = spark.readStream.schema(schema)
     if fmt == "csv":
-        r = r.options(**{k: v for k, v in CSV_OPTIONS.items() if k != "lineSep"})
+        # As in the batch readers, a header that names other columns, or in another order, is an error.
+        r = r.options(**{k: v for k, v in CSV_OPTIONS.items() if k != "lineSep"}, enforceSchema="false",
+                      columnNameOfCorruptRecord=CORRUPT)
     if max_files:
         r = r.option("maxFilesPerTrigger", str(max_files))
     df = r.options(**options).format(fmt).load(root)
@@ -105,9 +110,12 @@ def distinct_stream(df: DataFrame, col: str, group: str | None = None) -> DataFr
 def compaction_query(stream: DataFrame, table_path: str, keys, checkpoint: str,
                      order: Sequence[Column | str] = (), day_col: str = "ingest_day",
                      mode: str = "latest", normalise=None, trigger: dict | None = None,
-                     name: str | None = None, **compact_options) -> StreamingQuery:
+                     name: str | None = None, fold_share: float | None = None, **compact_options) -> StreamingQuery:
     """Start the compaction stream: each micro-batch is merged into the days it touches.
 
+    With ``fold_share`` a micro-batch writes only its own rows, as a delta (``operators.deltas``; read the table with
+    ``read_merged`` then), and days whose deltas outgrow that share of the base are folded.
+
     ``normalise`` turns the landed text into typed rows; it may return ``(typed, rejects)``,
     and the rejects are kept with the table (``_rejects``) by the compaction.
     """
@@ -116,8 +124,12 @@ def compaction_query(stream: DataFrame, table_path: str, keys, checkpoint: str,
         batch = number_rows(batch)
         out = normalise(batch) if normalise else batch
         typed, rejects = out if isinstance(out, tuple) else (out, None)
-        compact_days(batch.sparkSession, table_path, typed, keys, order=order, day_col=day_col, mode=mode,
-                     rejects=rejects, batch_id=f"stream-{epoch_id}", **compact_options)
+        spark, options = batch.sparkSession, {"rejects": rejects, "batch_id": f"stream-{epoch_id}", **compact_options}
+        if fold_share is None:
+            compact_days(spark, table_path, typed, keys, order=order, day_col=day_col, mode=mode, **options)
+        else:
+            append_delta(spark, table_path, typed, keys, order=order, day_col=day_col, **options)
+            fold_deltas(spark, table_path, keys, order, mode, day_col, fold_share, compact_options.get("cluster_by"))
 
     w = stream.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint)
     if name:
@@ -131,6 +143,7 @@ def complete_to_table(agg: DataFrame, path: str, checkpoint: str, trigger: dict
 
     def write(batch: DataFrame, epoch_id: int) -> None:
         write_snapshot(batch, path, batch.columns[:1])
+        drop_versions(batch.sparkSession, path)
 
     return (agg.writeStream.outputMode("complete").foreachBatch(write)
                .option("checkpointLocation", checkpoint).trigger(**(trigger or AVAILABLE_NOW)).start())
@@ -142,6 +155,65 @@ def append_to_table(df: DataFrame, path: str, checkpoint: str, trigger: dict | N
               .option("checkpointLocation", checkpoint).trigger(**(trigger or AVAILABLE_NOW)).start())
 
 
+def split_late(df: DataFrame, ts: str, delay: str, on_time: str, late: str, checkpoint: str,
+               trigger: dict | None = None) -> StreamingQuery:
+    """Put rows under the watermark aside, before a stateful step would drop them (T4): the others go on to ``on_time``.
+
+    The watermark of a micro-batch is the newest time of all earlier ones less ``delay``, the rule of Spark's own
+    watermark. Each batch's newest time, its rows on time and its late rows are kept by epoch (``<on_time>/_high``,
+    ``<on_time>/epoch=N``, ``<late>/epoch=N``), so a replayed batch writes the same rows to the same places. A stream over
+    ``on_time`` with the same delay sees batches in this order or several at once; its watermark is never ahead of this one,
+    so it drops none of these rows. Rows without a time are late.
+    """
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        spark = batch.sparkSession
+        high = f"{on_time.rstrip('/')}/_high"
+        seen = [e for e in child_folders(spark, high) if int(e.split("=", 1)[1]) < epoch_id]
+        known = spark.read.option("basePath", high).parquet(*[f"{high}/{e}" for e in seen]).agg(F.max("high")).first()[0] if seen else None
+        at = event_time(ts)
+        batch = batch.drop(*[c for c in (POS,) if c in batch.columns])
+        batch.agg(F.max(at).alias("high")).write.mode("overwrite").parquet(f"{high}/epoch={epoch_id}")  # one row
+        bar = F.lit(known).cast("timestamp") - F.expr(f"INTERVAL {delay}")
+        behind = F.coalesce(at <= bar, F.lit(False)) | at.isNull()
+        batch.filter(behind).write.mode("overwrite").parquet(f"{late.rstrip('/')}/epoch={epoch_id}")
+        batch.filter(~behind).write.mode("overwrite").parquet(f"{on_time.rstrip('/')}/epoch={epoch_id}")
+
+    return (df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+              .trigger(**(trigger or AVAILABLE_NOW)).start())
+
+
+def on_time_stream(spark: SparkSession, on_time: str, schema: T.StructType) -> DataFrame:
+    """The rows that :func:`split_late` lets pass, as a stream (``schema`` of its input)."""
+    return spark.readStream.schema(T.StructType(list(schema.fields) + [T.StructField("epoch", T.LongType())])).parquet(on_time).drop("epoch")
+
+
+def read_late(spark: SparkSession, late: str, schema: T.StructType) -> DataFrame:
+    """The rows put aside so far."""
+    have = [e for e in child_folders(spark, late) if path_exists(spark, f"{late.rstrip('/')}/{e}/_SUCCESS")]
+    if not have:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*[f"{late.rstrip('/')}/{e}" for e in have])
+
+
+def hours_now(spark: SparkSession, closed: str, landed: DataFrame, ts: str, value: str, partition_col: str | None = None) -> DataFrame:
+    """``h, n, tone`` at any moment (T6): closed hours from the table that ``append_to_table(hourly_stream(..., delay))`` fills,
+    hours after the newest closed one from the landed rows.
+
+    A closed hour is never counted again: rows that came too late for it are not in its count (see ``split_late``). With
+    ``partition_col`` only the days from that hour on are read."""
+    schema = "h timestamp, n bigint, tone double"
+    have = path_exists(spark, f"{closed.rstrip('/')}/_spark_metadata")
+    done = spark.read.schema(schema).parquet(closed) if have else spark.createDataFrame([], schema)
+    newest = done.agg(F.max("h")).first()[0]
+    rows = landed.withColumn("_at", event_time(ts))
+    if newest is not None:
+        rows = rows.filter(F.col("_at") >= F.lit(newest) + F.expr("INTERVAL 1 HOUR"))
+        if partition_col:
+            rows = rows.filter(F.col(partition_col) >= F.to_date(F.lit(newest)))
+    open_ = rows.filter("_at IS NOT NULL").groupBy(F.date_trunc("hour", "_at").alias("h")).agg(F.count(F.lit(1)).alias("n"), F.avg(value).alias("tone"))
+    return done.unionByName(open_)
+
+
 def run_until_done(q: StreamingQuery) -> None:
     """Wait for an ``availableNow`` query to end, however long it takes; raise its error if it failed."""
     q.awaitTermination()
