@@ -6,7 +6,9 @@ normalise step, so a bad value is counted rather than guessed.
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterable
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +17,6 @@ from pyspark.sql import types as T
 from feedloom.operators.dedup import POS, with_position
 from feedloom.operators.merge import union_by_name
 from feedloom.schemas import EVENT_FIELDS, WEATHER_FIELDS
-from feedloom.session import scratch_path
 
 CORRUPT = "_corrupt_record"
 
@@ -74,46 +75,48 @@ def read_event_tsv(spark: SparkSession, paths, position: bool = True, **options)
 
 # --------------------------------------------------------------------------- S3: align by header
 
+def _headers(spark: SparkSession, pattern, base_path: str | None) -> dict[str, list[str]]:
+    """Files by their header line: one row per file on the driver, as in Spark's own file listing."""
+    reader = spark.read.option("basePath", base_path) if base_path else spark.read
+    lines = reader.text(pattern).filter(F.col("_metadata.file_block_start") == 0).select(
+        F.col("_metadata.file_path").alias("file"), F.struct(F.monotonically_increasing_id().alias("row"), "value").alias("line"))
+    found: dict[str, list[str]] = {}
+    for r in lines.groupBy("file").agg(F.min("line").alias("line")).collect():
+        header = r.line.value.rstrip("\r").removeprefix("\ufeff")
+        found.setdefault(header, []).append(unquote(r.file))
+    return {h: sorted(found[h]) for h in sorted(found)}
+
+
 def read_csv_by_header(spark: SparkSession, pattern, columns: Iterable[str] | None = None, sep: str = ",",
                        position: bool = True, base_path: str | None = None) -> DataFrame:
     """Several CSV files whose header order or width differs, aligned by column name (S3).
 
-    A multi-file CSV read is positional in Spark. Here files are read as lines; each file's header is its first
-    line (a later line of its first block that repeats it is taken for a header too). The headers, one row per
-    file, are written to the scratch folder, so the join with the lines is planned by their size. Only the
-    distinct headers (a few) reach the driver; the lines of each are parsed by their own names, and the results
-    are united by name.
+    A multi-file CSV read is positional in Spark. Here one pass finds each file's first line; the files are then read in
+    groups of equal headers, each group by its own names in one CSV scan (split, pruned and parsed like any other), and
+    united by name. Lines are never shuffled or joined.
     A column that a file lacks is NULL there; ``columns`` picks and orders columns (default: all, by name). With
-    ``base_path`` (e.g. the landing root) partition folders such as ``ingest_day=`` become columns.
+    ``base_path`` (e.g. the landing root) partition folders such as ``ingest_day=`` become columns. A file without
+    lines adds nothing.
     """
-    reader = spark.read.option("basePath", base_path) if base_path else spark.read
-    text = reader.text(pattern)
-    parts = [c for c in text.columns if c != "value"]
-    line = F.regexp_replace("value", "\r$", "")
-    lines = text.select(*parts, line.alias("_line"), F.col("_metadata.file_path").alias("_file"),
-                        F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_row"))
-    first = lines.filter("_block = 0").groupBy("_file").agg(F.min(F.struct("_row", "_line")).alias("f")).select(
-        "_file", F.col("f._line").alias("_first"), F.regexp_replace("f._line", "^\ufeff", "").alias("_header"))
-    path = scratch_path(spark, "headers")
-    first.write.parquet(path)
-    first = spark.read.schema(first.schema).parquet(path)
-    body = lines.join(first, "_file").filter((F.col("_block") != 0) | (F.col("_line") != F.col("_first"))).filter("_line != ''")
-    if position:
-        body = body.withColumn(POS, F.struct(F.lit(None).cast("string").alias("stamp"), F.col("_row").alias("row")))
-        parts = [*parts, POS]
     wanted = list(columns) if columns is not None else None
     frames = []
-    for (header,) in first.select("_header").distinct().collect():
-        names = [c.strip().strip('"') for c in header.split(sep)]
-        rows = F.from_csv("_line", ", ".join(f"`{c}` string" for c in names), {"sep": sep, "quote": '"', "escape": '"'})
-        frames.append(body.filter(F.col("_header") == header).select(*parts, rows.alias("r")).select("r.*", *parts))
-    if not frames:
-        out = spark.createDataFrame([], text_schema([*(wanted or []), *parts]))
-    else:
-        out = union_by_name(*frames)
+    for k, (header, files) in enumerate(_headers(spark, pattern, base_path).items()):
+        names = [c.strip() for c in next(csv.reader([header], delimiter=sep))]
+        reader = spark.read.option("basePath", base_path) if base_path else spark.read
+        options = {**DAY_CSV, "enforceSchema": "true", "sep": sep}  # the schema is the files' own header
+        rows = reader.schema(text_schema(names)).options(**options).csv(files)
+        if position:
+            stamp = F.col("stamp") if "stamp" in names else F.lit(None).cast("string")
+            row = F.monotonically_increasing_id() + F.lit(k << 55)  # groups in the order of their headers
+            rows = rows.withColumn(POS, F.struct(stamp.alias("stamp"), row.alias("row")))
+        if wanted is not None:
+            kept = [c for c in rows.columns if c in wanted or c not in names]
+            rows = rows.select(*kept)
+        frames.append(rows)
+    out = union_by_name(*frames) if frames else spark.createDataFrame([], text_schema(wanted or []))
     for c in wanted or []:
         if c not in out.columns:
             out = out.withColumn(c, F.lit(None).cast("string"))
-    if position and "stamp" in out.columns:
-        out = out.withColumn(POS, F.struct(F.col("stamp").alias("stamp"), F.col(f"{POS}.row").alias("row")))
-    return out.select(*wanted, *parts) if wanted is not None else out
+    if position and POS not in out.columns:
+        out = out.withColumn(POS, F.struct(F.lit(None).cast("string").alias("stamp"), F.lit(None).cast("bigint").alias("row")))
+    return out if wanted is None else out.select(*wanted, *[c for c in out.columns if c not in wanted])
