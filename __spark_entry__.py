@@ -41,13 +41,14 @@ from feedloom.plans.dashboard import class_mix, dashboard, leaders_tone, top_gro
 from feedloom.plans.hourly import hourly
 from feedloom.plans.lookback import day_window, since, window_bounds, window_totals
 from feedloom.plans.series import (
-    axis_positions, daily_domain, daily_summary, day_ticks, hourly_domain, readings, series_all, series_domain,
-    series_one, series_totals,
+    axis_positions, daily_domain, daily_summary, day_ticks, hourly_domain, nested_series, readings, series_all, series_domain,
+    series_one, series_totals, unnested,
 )
 from feedloom.schemas import CITIES, EVENT_FIELDS
 from feedloom.session import scratch_path
 from feedloom.sources.csv import read_csv_by_header, read_event_tsv, read_text_csv
 from feedloom.sources.payload import city_dim, rows_from_payload
+from feedloom.sources.zipped import unzip_events
 from feedloom.streaming import stream as st
 
 try:  # the training-data operators come with their own queries; the rest works without them
@@ -118,6 +119,12 @@ def q_all_series(spark, sf):
                       value="value", tie=("event_id",))
 
 
+def q_nested_series(spark, sf):
+    """Every type's readings as one sorted array a day, put together again."""
+    rows = readings(since(_events(spark, sf), "ts", "latest", 7), ["event_type"], "ts", tie=["event_id"])
+    return unnested(nested_series(rows, "event_type", "ts", "value"))
+
+
 # --------------------------------------------------------------------------- chart numbers
 
 def _chart_window(spark, sf):
@@ -424,6 +431,40 @@ def q_event_feed_hourly(spark, sf):
     return h.select(F.col("h").cast("timestamp_ntz").alias("h"), "n", "tone")
 
 
+def _zipped(batches):
+    """Each batch of export lines as one archive of two members."""
+    import io
+    import zipfile
+
+    import pandas as pd
+    for pdf in batches:
+        out, lines = io.BytesIO(), pdf["line"].tolist()
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+            for k in range(2):
+                z.writestr(f"{k}.export.CSV", "".join(x + "\r\n" for x in lines[k::2]))
+        yield pd.DataFrame({"path": [f"/exports/{pdf['stamp'].iloc[0]}.export.CSV.zip"], "content": [out.getvalue()]})
+
+
+def q_zip_roundtrip(spark, sf):
+    """Events as zipped exports, written and unzipped in tasks, then typed leniently."""
+    ev = _as_exports(_events(spark, sf))
+    line = F.concat_ws("\t", *[F.coalesce(F.col(c), F.lit("")) for c in EVENT_FIELDS])
+    path = scratch_path(spark, "archives")
+    ev.select(F.col("DATEADDED").alias("stamp"), line.alias("line")).mapInPandas(_zipped, "path string, content binary").write.parquet(path)
+    typed, _ = normalize.events(unzip_events(spark.read.parquet(path)))
+    return typed.select("GlobalEventID", F.col("ts").cast("timestamp_ntz").alias("ts"), "AvgTone", "ActionGeo_CountryCode", "SOURCEURL", "event_day", "_nfields")
+
+
+def q_landing_gaps(spark, sf):
+    """Export archives of every quarter hour that has events, some hours lost on the way: the missing slots as runs."""
+    ev = _events(spark, sf)
+    lost = (F.pmod(F.dayofmonth("ts"), F.lit(3)) == 0) & F.hour("ts").between(22, 23) | (F.pmod(F.dayofmonth("ts"), F.lit(3)) == 1) & (F.hour("ts") < 5)
+    slot = F.date_format(F.window("ts", "15 minutes").start, "yyyyMMddHHmmss")
+    files = ev.filter(~lost).select(F.concat(F.lit("/exports/"), slot, F.lit(".export.CSV.zip")).alias("path"))
+    span = ev.agg(F.min(F.to_date("ts")).alias("a"), F.max(F.to_date("ts")).alias("b")).first()
+    return audit.landing_gaps(files, span.a, span.b)
+
+
 # --------------------------------------------------------------------------- streams
 
 def q_stream_compaction(spark, sf):
@@ -714,6 +755,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_deltas": q_stream_deltas,
         "stream_late": q_stream_late,
         "stream_hourly_append": q_stream_hourly_append,
+        "nested_series": q_nested_series,
+        "zip_roundtrip": q_zip_roundtrip,
+        "landing_gaps": q_landing_gaps,
         "lenient_cast": q_lenient_cast,
         "cast_loss": q_cast_loss,
         "regex_count_urls": q_regex_count_urls,
@@ -848,6 +892,18 @@ def oracle_sql() -> dict[str, str]:
             WHERE CAST(ts AS DATE) = (SELECT min(CAST(ts AS DATE)) + 1 FROM events)""",
         "stream_hourly_append": """
             SELECT date_trunc('hour', ts) AS h, count(*) AS n, round(avg(value), 4) AS tone FROM events GROUP BY 1""",
+        "nested_series": f"SELECT event_type AS city, ts AS time, value FROM {_READINGS}",
+        "zip_roundtrip": """
+            SELECT event_id AS GlobalEventID, date_trunc('second', ts) AS ts, value AS AvgTone, upper(event_type[1:2]) AS ActionGeo_CountryCode,
+                   props AS SOURCEURL, CAST(ts AS DATE) AS event_day, 61 AS _nfields FROM events""",
+        "landing_gaps": """
+            WITH b AS (SELECT min(CAST(ts AS DATE)) AS a, max(CAST(ts AS DATE)) AS z FROM events),
+            slots AS (SELECT unnest(generate_series(CAST(a AS TIMESTAMP), CAST(z AS TIMESTAMP) + INTERVAL 1425 MINUTE, INTERVAL 15 MINUTE)) AS slot FROM b),
+            seen AS (SELECT DISTINCT time_bucket(INTERVAL 15 MINUTE, ts) AS slot FROM events
+                     WHERE NOT ((day(ts) % 3 = 0 AND hour(ts) BETWEEN 22 AND 23) OR (day(ts) % 3 = 1 AND hour(ts) < 5))),
+            gone AS (SELECT slot, slot - row_number() OVER (ORDER BY slot) * INTERVAL 15 MINUTE AS run
+                     FROM slots WHERE slot NOT IN (SELECT slot FROM seen))
+            SELECT min(slot) AS gap_from, max(slot) AS gap_to, count(*) AS slots FROM gone GROUP BY run""",
         "backfill_replace": """
             SELECT *, CAST(ts AS DATE) AS ingest_day FROM events
             WHERE event_type <> 'purchase' OR CAST(ts AS DATE) < (SELECT max(CAST(ts AS DATE)) FROM events)""",

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from feedloom.functions.casts import lost_in_cast
 from feedloom.operators.dedup import comparable
-from feedloom.sources.files import slots
+from feedloom.sources.files import slots, stamp_of
 
 
 def _cols(keys) -> list[str]:
@@ -34,6 +34,30 @@ def gaps(df: DataFrame, ts: str = "ts", minutes: int = 15, first=None, last=None
     return expected.join(seen, "slot", "left_anti")
 
 
+def landing_gaps(files: DataFrame, first, last, minutes: int = 15, path: str = "path") -> DataFrame:
+    """Missing slots of a landing, joined to runs: ``gap_from``, ``gap_to`` (first and last missing slot), ``slots``.
+
+    ``files`` lists landed files (``layout.list_files``); their stamps come from their names, names without one and
+    stamps outside the days ``first`` to ``last`` do not count, nor do files of no bytes (Spark's listing passes over them). Runs inside a day are found in that day's own window, runs
+    across days from one row per day that has any file, so no task sees all slots.
+    """
+    step = minutes * 60
+    at = F.unix_seconds(F.try_to_timestamp(stamp_of(path), F.lit("yyyyMMddHHmmss")))
+    low = F.unix_date(F.lit(first).cast("date")).cast("bigint") * (86_400 // step)
+    high = (F.unix_date(F.lit(last).cast("date")).cast("bigint") + 1) * (86_400 // step) - 1
+    seen = files.select(F.floor(at / step).alias("n")).filter(F.col("n").between(low, high)).distinct()
+    seen = seen.withColumn("day", F.floor(F.col("n") / (86_400 // step)))
+    inside = seen.withColumn("next", F.lead("n").over(Window.partitionBy("day").orderBy("n"))).select((F.col("n") + 1).alias("a"), (F.col("next") - 1).alias("b"))
+    edges = files.sparkSession.range(1).select(F.explode(F.array(F.struct((low - 1).alias("a"), (low - 1).alias("b")),
+                                                                 F.struct((high + 1).alias("a"), (high + 1).alias("b")))).alias("e")).select("e.*")
+    days = seen.groupBy("day").agg(F.min("n").alias("a"), F.max("n").alias("b")).select("a", "b").unionByName(edges)
+    over = Window.orderBy("a")  # one row per day
+    between = days.select((F.lag("b").over(over) + 1).alias("a"), (F.col("a") - 1).alias("b"))
+    runs = inside.unionByName(between).filter("b >= a")
+    time = lambda c: F.timestamp_seconds(F.col(c) * step).cast("timestamp_ntz")
+    return runs.select(time("a").alias("gap_from"), time("b").alias("gap_to"), (F.col("b") - F.col("a") + 1).alias("slots"))
+
+
 def cast_loss(typed: DataFrame, pairs: dict[str, str]) -> DataFrame:
     """One row per column: how many non-empty raw values became NULL (A2).
 

@@ -62,6 +62,20 @@ def series_all(df: DataFrame, as_of="now", days: int = 7, city_col: str = "city"
     return one.orderBy(city_col, ts).select(F.col(city_col).alias("city"), _minute_text(one, ts).alias("time"), value)
 
 
+def nested_series(df: DataFrame, city_col: str = "city", ts: str = "time", value: str = "temperature_c",
+                  minutes: int = 1440) -> DataFrame:
+    """Series as sorted arrays (G18): ``city, chunk, points`` with points ``struct<time, value>``, one row per city and
+    ``minutes``. A chunk holds the readings of its time span and never more, however long the series is."""
+    chunk = F.window(ts, f"{minutes} minutes").start
+    return df.groupBy(F.col(city_col).alias("city"), chunk.cast(df.schema[ts].dataType).alias("chunk")).agg(
+        F.array_sort(F.collect_list(F.struct(F.col(ts).alias("time"), F.col(value).alias("value")))).alias("points"))
+
+
+def unnested(series: DataFrame) -> DataFrame:
+    """The points of nested series as rows ``city, time, value``, chunk after chunk."""
+    return series.select("city", F.explode("points").alias("p")).select("city", "p.time", "p.value")
+
+
 def daily_summary(df: DataFrame, city: str | None = None, city_col: str = "city", ts: str = "time",
                   temp: str = "temperature_c", rain: str = "precipitation_mm", digits: int = 1) -> DataFrame:
     """Per city and day: mean, min, max, rain total (rounded) and readings."""
