@@ -1,20 +1,20 @@
 """Op 10: mixing sources to target weights by iterative proportional fitting.
 
 Documents fall into cells (source, language, topic). Each marginal has target shares of all tokens; raking
-scales the cells' token weights to one marginal after the other until all fit: at least ``rounds`` rounds are
-made, then more until the largest relative misfit of a marginal value's share is under ``TOLERANCE``. Targets
-that cannot all be met (a source in one language only, whose two targets differ) show by misfits that no longer
-change: then the last marginal is met exactly, the others as nearly as the last round leaves them, and the misfit
-is logged as a warning, as it is after ``MAX_ROUNDS``.
-
-Up to ``DRIVER_CELLS`` cells are raked on the driver, which rounds without end would otherwise cost a job each.
-More cells are raked by factor tables: the scale of a cell is the product of one factor per marginal, and every
-step is one aggregation of the cells joined with two factor tables.
-
-A document's probability is min(1, c * its cell's factor); none is repeated. Without ``budget``, c is one over the
-largest factor among cells that hold at least ``TRACE`` of all tokens (all tokens of the scarcest such cell
-stay; scarcer traces saturate at 1 and lower nobody else), raised where needed until ``least_share`` of all
-tokens is expected to stay. With ``budget`` tokens, c is solved for that expected total (all tokens at most).
+scales the cells' token weights to one marginal after the other, round by round. After a round every value's misfit is its
+share over its target share, less 1. Raking ends when the largest misfit is under ``TOLERANCE``, or when no misfit has
+changed by ``SETTLED`` or more since the round before: targets that cannot all be met (a source in one language only, whose
+two targets differ) end so, the last marginal met exactly, the others as nearly as the last round leaves them.
+``rounds`` bounds the rounds. :func:`misfits` gives what is left, value by value; a misfit that stays is logged too.
+
+The rule is one; it is computed in two places. Up to ``DRIVER_CELLS`` cells (a few numbers each) the rounds run on the
+driver, which would otherwise cost several jobs a round. More cells are raked by factor tables: the scale of a cell is the
+product of one factor per marginal, and every step is one aggregation of the cells joined with the others' factors. Both
+have the same steps and the same test for the end; tests hold them against each other.
+
+A document's probability is min(1, c * its cell's factor); none is repeated. c is solved so that ``share`` of all tokens (or
+``budget`` tokens; all tokens at most) is expected to stay: cells whose documents would have to be repeated saturate
+at 1, and a scarce cell lowers nobody else. With neither, c is one over the largest factor and nothing saturates.
 Where cells saturate, the marginals kept are as near to the targets as documents that are not repeated allow.
 A document is sampled if a fixed hash of its id is below its probability.
 
@@ -31,6 +31,7 @@ tables give empty results.
 from __future__ import annotations
 
 import logging
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,9 +40,8 @@ from pyspark.sql import functions as F
 
 from feedloom.llm.common import col, free_name, hash_share, others, packed, stored, table
 
-ROUNDS, FLATTEN = 6, 0.7
-TOLERANCE, SETTLED, MAX_ROUNDS = 1e-6, 1e-9, 2000
-TRACE, LEAST_SHARE = 1e-4, 0.4  # of all tokens
+FLATTEN, SHARE = 0.7, 0.5
+TOLERANCE, SETTLED, ROUNDS = 1e-6, 1e-9, 2000
 DRIVER_CELLS = 200_000
 MARGINALS = ("source", "lang", "topic")
 SHORT, LONG = 250, 1000  # words
@@ -60,7 +60,7 @@ def size_topic(n_tokens: Column) -> Column:
 
 def fitted(done: int, rounds: int, misfit: float, change: float) -> bool:
     """Whether raking ends after ``done`` rounds; a misfit that stays is logged."""
-    if done < rounds or misfit >= TOLERANCE and change >= SETTLED and done < max(rounds, MAX_ROUNDS):
+    if misfit >= TOLERANCE and change >= SETTLED and done < rounds:
         return False
     if misfit >= TOLERANCE:
         log.warning("raking: after %d rounds a share is off its target by %.3g of it (%s)", done, misfit,
@@ -68,31 +68,32 @@ def fitted(done: int, rounds: int, misfit: float, change: float) -> bool:
     return True
 
 
+def shares(cells: DataFrame, m: str, targets: dict[str, DataFrame], flatten: float) -> DataFrame:
+    """Rows (marginal value, goal) of one marginal; goals need not add up to 1."""
+    if m in targets:
+        return cells.select(m).distinct().join(targets[m].select(m, F.col("share").alias("goal")), m)
+    return cells.groupBy(m).agg(F.pow(F.sum("tokens").cast("double"), F.lit(flatten)).alias("goal"))
+
+
 def rake_here(cells: DataFrame, marginals, targets: dict[str, DataFrame], flatten: float, rounds: int) -> DataFrame:
     """:func:`rake` on the driver, for a bounded number of cells."""
-    for m in targets:
-        cells = cells.join(targets[m].select(m), m, "left_semi")
     got = cells.select(*marginals, "tokens").toArrow()  # DRIVER_CELLS rows at most
     tokens = got["tokens"].to_numpy().astype(float)
-    weight, codes, shares = tokens.copy(), [], []
+    weight, codes, goals = tokens.copy(), [], []
     for m in marginals:
         coded = got[m].combine_chunks().dictionary_encode()
         codes.append(coded.indices.to_numpy())
-        if m in targets:
-            values = cells.select(m).distinct().join(targets[m], m).select(m, "share").toArrow()
-            share = dict(zip(values[m].to_pylist(), values["share"].to_pylist()))
-            shares.append(np.array([share[v] for v in coded.dictionary.to_pylist()], float))
-        else:
-            shares.append(np.bincount(codes[-1], tokens) ** flatten)
-    done, last = 0, [np.zeros(len(x)) for x in shares]
+        goal = {r[m]: r["goal"] for r in shares(cells, m, targets, flatten).collect()}  # no more than cells
+        goals.append(np.array([goal[v] for v in coded.dictionary.to_pylist()], float))
+    done, last = 0, [np.zeros(len(x)) for x in goals]
     while len(tokens):
-        for code, share in zip(codes, shares):
-            now = np.bincount(code, weight)
-            weight *= np.divide(share, now, out=np.zeros_like(now), where=now > 0)[code]
-        done, off = done + 1, []
-        for code, share in zip(codes, shares):
-            now, goal = np.bincount(code, weight), share / (share.sum() or 1.0)
-            off.append(np.divide(now / (now.sum() or 1.0), goal, out=np.ones_like(now), where=goal > 0) - 1)
+        for code, goal in zip(codes, goals):
+            now = np.bincount(code, weight, len(goal))
+            weight *= np.divide(goal, now, out=np.zeros_like(now), where=now > 0)[code]
+        done, off, total = done + 1, [], weight.sum() or 1.0
+        for code, goal in zip(codes, goals):
+            aim = goal / (goal.sum() or 1.0)
+            off.append(np.divide(np.bincount(code, weight, len(goal)) / total, aim, out=np.ones_like(aim), where=aim > 0) - 1)
         change = max(np.abs(x - y).max() for x, y in zip(off, last))
         last = off
         if fitted(done, rounds, max(np.abs(x).max() for x in off), change):
@@ -101,42 +102,42 @@ def rake_here(cells: DataFrame, marginals, targets: dict[str, DataFrame], flatte
     return cells.sparkSession.createDataFrame(out, schema=f"{', '.join(f'`{m}` string' for m in marginals)}, tokens long, factor double")
 
 
-def rake(cells: DataFrame, marginals, targets: dict[str, DataFrame], flatten: float, rounds: int) -> DataFrame:
-    """The cells with ``factor``: raked weight per token, up to a common scale (targets need not add up to 1).
+def misfits(raked: DataFrame, marginals=MARGINALS, targets: dict[str, DataFrame] | None = None, flatten: float = FLATTEN) -> DataFrame:
+    """Rows (marginal, value, off): each value's share of the raked weight over its target share, less 1."""
+    parts = []
+    for m in marginals:
+        goal = shares(raked, m, targets or {}, flatten)
+        both = raked.groupBy(m).agg(F.sum(F.col("tokens") * F.col("factor")).alias("now")).join(goal, m)
+        sums = both.agg(F.sum("now").alias("all_now"), F.sum("goal").alias("all_goal"))  # one row
+        off = F.try_divide(F.try_divide("now", "all_now"), F.try_divide("goal", "all_goal")) - 1
+        parts.append(both.crossJoin(F.broadcast(sums)).select(F.lit(m).alias("marginal"), F.col(m).alias("value"), F.coalesce(off, F.lit(0.0)).alias("off")))
+    return reduce(DataFrame.unionByName, parts)
+
 
-    What a step multiplies a value's factor by (``moved``) is alike for all values of a marginal that fits."""
+def rake(cells: DataFrame, marginals, targets: dict[str, DataFrame], flatten: float, rounds: int) -> DataFrame:
+    """The cells (those that all targets have) with ``factor``: raked weight per token, up to a common scale."""
+    goals = {m: stored(shares(cells, m, targets, flatten), f"goal-{m}") for m in marginals}
     factors: dict[str, DataFrame] = {}
-    done = 0
+
+    def weighed(names) -> DataFrame:
+        out, product = cells, F.lit(1.0)
+        for m in names:
+            out, product = out.join(factors[m], m), product * F.col(f"f_{m}")
+        return out.select(*marginals, "tokens", product.alias("factor"))
+
+    done, last = 0, None
     while True:
-        misfit = change = 0.0
         for m in marginals:
-            weighed, w = cells, F.col("tokens").cast("double")
-            for other in marginals:
-                if other != m and other in factors:
-                    weighed, w = weighed.join(factors[other].drop("moved"), other), w * F.col(f"f_{other}")
-            sums = weighed.groupBy(m).agg(F.sum(w).alias("now"), F.pow(F.sum("tokens").cast("double"), F.lit(flatten)).alias("share"))
-            if m in targets:
-                sums = sums.drop("share").join(targets[m], m)
-            new = sums.select(m, F.try_divide("share", "now").alias(f"f_{m}"))
-            if m in factors:
-                old = factors[m].select(m, F.col(f"f_{m}").alias("was"), F.col("moved").alias("before"))
-                new = new.join(old, m).withColumn("moved", F.try_divide(f"f_{m}", "was"))
-                new = stored(new, f"factor-{m}")
-                seen = new.agg(F.max("moved").alias("most"), F.min("moved").alias("least"),
-                               F.max(F.abs(F.try_divide("moved", "before") - 1)).alias("change")).first()
-                misfit = max(misfit, seen["most"] / seen["least"] - 1 if seen["least"] else 0.0)
-                change = max(change, seen["change"] if seen["change"] is not None else 1.0)
-                factors[m] = new.select(m, f"f_{m}", "moved")
-            else:
-                factors[m] = stored(new.withColumn("moved", F.lit(None).cast("double")), f"factor-{m}")
-                misfit = change = 1.0
+            rest = weighed([x for x in marginals if x != m and x in factors])
+            now = rest.groupBy(m).agg(F.sum(F.col("tokens") * F.col("factor")).alias("now"))
+            factors[m] = stored(now.join(goals[m], m).select(m, F.coalesce(F.try_divide("goal", "now"), F.lit(0.0)).alias(f"f_{m}")), f"factor-{m}")
         done += 1
-        if fitted(done, rounds, misfit, change):
-            break
-    out, product = cells, F.lit(1.0)
-    for m in marginals:
-        out, product = out.join(factors[m].drop("moved"), m), product * F.col(f"f_{m}")
-    return out.withColumn("factor", F.coalesce(product, F.lit(0.0))).select(*marginals, "tokens", "factor")
+        off = stored(misfits(weighed(marginals), marginals, targets, flatten), "misfits")
+        both = off.withColumn("was", F.lit(0.0)) if last is None else off.join(last, ["marginal", "value"])
+        seen = both.agg(F.max(F.abs("off")).alias("misfit"), F.max(F.abs(F.col("off") - F.col("was"))).alias("change")).first()
+        last = off.withColumnRenamed("off", "was")
+        if fitted(done, rounds, seen["misfit"] or 0.0, seen["change"] or 0.0):
+            return weighed(marginals)
 
 
 def scale_for(raked: DataFrame, goal: float) -> float:
@@ -161,25 +162,24 @@ def scale_for(raked: DataFrame, goal: float) -> float:
 
 def mix(df: DataFrame, n_tokens: str = "n_tokens", key: str = "doc_id", marginals=MARGINALS,
         targets: dict[str, DataFrame] | None = None, flatten: float = FLATTEN, rounds: int = ROUNDS,
-        budget: float | None = None, least_share: float = 0.0) -> DataFrame:
+        budget: float | None = None, share: float | None = None) -> DataFrame:
     """Add ``probability`` and ``sampled``. ``targets``: for some marginals, rows (marginal, share)."""
     keys = {m: F.coalesce(col(m).cast("string"), F.lit("")) for m in marginals}
     cells = stored(df.select(*[e.alias(m) for m, e in keys.items()], col(n_tokens).alias("n")).filter("n > 0")
                    .groupBy(*marginals).agg(F.sum("n").alias("tokens")), "cells")
     want = {m: t.groupBy(F.coalesce(F.col(m).cast("string"), F.lit("")).alias(m)).agg(F.sum("share").alias("share"))
             for m, t in (targets or {}).items()}
+    total = cells.agg(F.sum("tokens").alias("n")).first()["n"] or 0
+    aimed = cells
+    for m in want:
+        aimed = aimed.join(want[m].select(m), m, "left_semi")
     way = rake_here if cells.limit(DRIVER_CELLS + 1).count() <= DRIVER_CELLS else rake
-    raked = stored(way(cells, marginals, want, flatten, rounds), "raked")
-    if budget is not None:
-        scale = scale_for(raked, budget)
+    raked = stored(way(aimed, marginals, want, flatten, rounds), "raked")
+    if budget is not None or share is not None:
+        scale = scale_for(raked, budget if budget is not None else share * total)
     else:
-        total = raked.agg(F.sum("tokens").alias("n")).first()["n"] or 0
-        seen = raked.agg(F.max(F.when(F.col("tokens") >= TRACE * total, F.col("factor"))).alias("top"), F.max("factor").alias("any")).first()
-        top = seen["top"] or seen["any"]  # any: all cells are traces
+        top = raked.agg(F.max("factor").alias("top")).first()["top"]
         scale = 1.0 / top if top else 0.0
-        kept = raked.agg(F.sum(F.col("tokens") * F.least(F.lit(1.0), F.col("factor") * scale)).alias("n")).first()["n"] or 0.0
-        if kept < least_share * total:
-            scale = max(scale, scale_for(raked, least_share * total))
     chance = free_name(df, "_chance")
     rates = raked.select(*[F.col(m).alias(f"_of_{m}") for m in marginals], F.least(F.lit(1.0), F.col("factor") * scale).alias(chance))
     match = [keys[m] == F.col(f"_of_{m}") for m in marginals]
@@ -195,30 +195,42 @@ def with_size(df: DataFrame) -> DataFrame:
 
 def op10_mixing(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
-    return mix(with_size(docs), least_share=LEAST_SHARE).select("doc_id", "topic", "n_tokens", "probability", "sampled")
-
-
-def oracle(rounds: int = ROUNDS, flatten: float = FLATTEN) -> str:
-    """The same raking in SQL, its steps written out one after the other."""
-    steps = []
-    now = {}
-    for r in range(rounds):
-        for m in MARGINALS:
-            joins = "".join(f" JOIN {now[o]} AS x_{o} USING ({o})" for o in MARGINALS if o != m and o in now)
-            w = "*".join(["tokens::DOUBLE", *(f"x_{o}.f" for o in MARGINALS if o != m and o in now)])
-            steps.append(f"f_{m}_{r} AS MATERIALIZED (SELECT {m}, pow(sum(tokens)::DOUBLE, {flatten}) / sum({w}) AS f FROM cells{joins} GROUP BY {m})")
-            now[m] = f"f_{m}_{r}"
+    return mix(with_size(docs), share=SHARE).select("doc_id", "topic", "n_tokens", "probability", "sampled")
+
+
+def oracle(flatten: float = FLATTEN, share: float = SHARE) -> str:
+    """The same rule in SQL: rounds as a recursive query that carries the cells, then c from the cells by falling factor."""
+    goals = ", ".join(f"g_{m} AS MATERIALIZED (SELECT {m}, pow(sum(tokens)::DOUBLE, {flatten}) AS goal FROM cells GROUP BY {m})" for m in MARGINALS)
+    inner = "SELECT *, w AS w0 FROM rake WHERE NOT done"
+    for k, m in enumerate(MARGINALS):
+        inner = f"SELECT *, w{k} * goal_{m} / sum(w{k}) OVER (PARTITION BY {m}) AS w{k + 1} FROM ({inner})"
+    last = f"w{len(MARGINALS)}"
+    fresh = ", ".join(f"sum({last}) OVER (PARTITION BY {m}) / sum({last}) OVER () / aim_{m} - 1 AS new_{m}" for m in MARGINALS)
+    worst = lambda terms: f"max(greatest({', '.join(terms)})) OVER ()"
+    ends = [f"{worst(f'abs(new_{m})' for m in MARGINALS)} < {TOLERANCE}", f"{worst(f'abs(new_{m} - off_{m})' for m in MARGINALS)} < {SETTLED}"]
+    kept = ", ".join([*MARGINALS, "tokens", *(f"goal_{m}, aim_{m}" for m in MARGINALS)])
     return f"""
-        WITH sized AS MATERIALIZED (SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang,
+        WITH RECURSIVE sized AS MATERIALIZED (SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang,
                 coalesce(len(regexp_extract_all(text, '[^ \\t\\r\\n]+')), 0)::BIGINT AS n_tokens FROM documents),
         d AS MATERIALIZED (SELECT *, CASE WHEN n_tokens < {SHORT} THEN 'short' WHEN n_tokens < {LONG} THEN 'medium'
                 ELSE 'long' END AS topic FROM sized),
-        cells AS MATERIALIZED (SELECT source, lang, topic, sum(n_tokens) AS tokens FROM d WHERE n_tokens > 0 GROUP BY ALL),
-        {", ".join(steps)},
-        raked AS MATERIALIZED (SELECT source, lang, topic, a.f * b.f * c.f AS factor FROM cells
-                JOIN {now["source"]} a USING (source) JOIN {now["lang"]} b USING (lang) JOIN {now["topic"]} c USING (topic)),
-        p AS (SELECT d.*, coalesce(round(CASE WHEN n_tokens > 0 THEN factor / (SELECT max(factor) FROM raked) ELSE 0.0 END, 9), 0.0)
-                AS probability FROM d LEFT JOIN raked USING (source, lang, topic))
+        cells AS MATERIALIZED (SELECT source, lang, topic, sum(n_tokens)::BIGINT AS tokens FROM d WHERE n_tokens > 0 GROUP BY ALL),
+        {goals},
+        rake AS (
+            SELECT 0 AS round, source, lang, topic, tokens, {", ".join(f"g_{m}.goal AS goal_{m}, g_{m}.goal / (SELECT sum(goal) FROM g_{m}) AS aim_{m}" for m in MARGINALS)},
+                   tokens::DOUBLE AS w, {", ".join(f"0::DOUBLE AS off_{m}" for m in MARGINALS)}, false AS done
+            FROM cells {" ".join(f"JOIN g_{m} USING ({m})" for m in MARGINALS)}
+            UNION ALL
+            SELECT round + 1, {kept}, {last}, {", ".join(f"new_{m}" for m in MARGINALS)}, {" OR ".join(ends)} OR round + 1 >= {ROUNDS}
+            FROM (SELECT *, {fresh} FROM ({inner}))),
+        raked AS MATERIALIZED (SELECT source, lang, topic, tokens, w / tokens AS factor FROM rake WHERE round = (SELECT max(round) FROM rake)),
+        steps AS (SELECT factor, ({share} * sum(tokens) OVER () - (sum(tokens) OVER down - tokens)) / sum(tokens * factor) OVER up AS c,
+                         row_number() OVER down AS place
+                  FROM raked WINDOW down AS (ORDER BY factor DESC, source, lang, topic ROWS UNBOUNDED PRECEDING),
+                                    up AS (ORDER BY factor DESC, source, lang, topic ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+        scale AS (SELECT arg_min(c, place) AS c FROM steps WHERE c * factor <= 1),
+        p AS (SELECT d.*, coalesce(round(CASE WHEN n_tokens > 0 THEN least(1.0, factor * c) ELSE 0.0 END, 9), 0.0) AS probability
+              FROM d LEFT JOIN raked USING (source, lang, topic) LEFT JOIN scale ON true)
         SELECT doc_id, topic, n_tokens, probability,
                ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT / 4503599627370496.0 < probability AS sampled FROM p"""
 
@@ -226,4 +238,4 @@ def oracle(rounds: int = ROUNDS, flatten: float = FLATTEN) -> str:
 def stage_mixing(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The sampled documents."""
     rows = with_size(packed(docs, *dict.fromkeys(("doc_id", "source", "lang", "text"))))
-    return mix(rows, least_share=LEAST_SHARE).filter("sampled").select("row.*")
+    return mix(rows, share=SHARE).filter("sampled").select("row.*")
