@@ -1,21 +1,21 @@
 """Op 2: site-relative line de-duplication, in DataFrame functions only.
 
-A page is a row, its host a column; with ``copies_once`` (as in the pipeline) rows of a host with equal texts are one
-page, so that a group of exact copies makes none of its own lines boilerplate and the one that is kept later keeps its
-text. Near copies remain pages of their own either way. For each (host, line) the pages that contain the line are counted once
-each; the count over the host's pages is the line's ratio, and lines above ``ratio`` on at least
-``least_pages`` pages are boilerplate of that host and dropped from its pages. Lines are compared without
-the blanks around them (as 128-bit digests); blank lines are never dropped.
-
-Scale: each page's lines are made distinct in its own row, copies are combined by 128-bit text digest (only line
-digests move with it, never the text), and counts are combined before the shuffle, so a host with a third of all pages is spread over its lines. A host has at most (mean distinct lines of its
-pages / ratio) boilerplate lines, so each host's set is small whatever its size. The sets are written to
-the shared folder; Spark sees their size there and broadcasts them only under its threshold, else it joins by
-host and splits a skewed host at run time (pages are the streamed side).
-
-Null text stays null (the page still counts for its host); null hosts are one host; a page that loses all
-lines keeps an empty text. Repeated rows are pages of their own without ``copies_once``; with it the host's null texts
-count as one page. Empty tables give empty results.
+A page is a distinct text of a host (a column): a group of exact copies is one page, so that it makes none of its own
+lines boilerplate. Near copies are pages of their own. For each (host, line) the pages that contain the line are counted
+once each. A line is boilerplate of its host, and is dropped from the host's pages, if the share of the *other* pages that
+have it too is above ``ratio``: (pages with the line - 1) / (pages of the host - 1). A page is thus no evidence against its own
+lines, and one rule holds for hosts of every size. Lines are compared without the blanks around them (as 128-bit digests);
+blank lines are never dropped.
+
+Scale: each page's lines are made distinct in its own row, copies are combined by 128-bit text digest (only
+line digests move with it, never the text), and counts are combined before the shuffle, so a host with a third of all pages is
+spread over its lines. A host has at most about (mean distinct lines of its pages / ratio) boilerplate lines, so each host's set is
+small whatever its size. The sets are written to the shared folder; Spark sees their size there and broadcasts them only
+under its threshold, else it joins by host and splits a skewed host at run time (pages are the streamed side).
+
+Null text stays null (a host's null texts count as one page); null hosts are one host; a page that loses all lines keeps
+an empty text; a host of one page loses none. Repeated rows count once and are all cut. Very long texts are cut whole, in one
+row's expressions, at a few times their size in memory. Empty tables give empty results; other columns stay.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from feedloom.llm.common import col, others, stored, table
 
-RATIO, LEAST_PAGES = 0.1, 5
+RATIO = 0.05
 FIELDS = ["text", "dropped_lines"]
 
 
@@ -33,24 +33,21 @@ def line_key(line: Column) -> Column:
     return F.unhex(F.md5(F.btrim(line, F.lit(" \t\r")).cast("binary")))
 
 
-def boilerplate(pages: DataFrame, ratio: float, least_pages: int, copies_once: bool = False) -> DataFrame:
+def boilerplate(pages: DataFrame, ratio: float) -> DataFrame:
     """Rows (host, lines): the digests of each host's boilerplate lines. ``pages`` has host and text."""
     keys = F.array_distinct(F.transform(F.filter(F.split("text", "\n"), lambda x: F.btrim(x, F.lit(" \t\r")) != ""), line_key))
-    counted, pages = pages, pages.select("host", keys.alias("keys"), *([F.unhex(F.md5(F.col("text").cast("binary"))).alias("page")] * copies_once))
-    if copies_once:
-        counted = pages.select("host", "page").distinct()
-        pages = pages.groupBy("host", "page").agg(F.first("keys").alias("keys"))
-    per_host = counted.groupBy("host").agg(F.count("*").alias("total"))
-    lines = pages.select("host", F.explode("keys").alias("line"))
-    counts = lines.groupBy("host", "line").agg(F.count("*").alias("n")).filter(F.col("n") >= least_pages)
-    found = counts.join(per_host, counts["host"].eqNullSafe(per_host["host"])).filter(F.col("n") > ratio * F.col("total"))
+    page = F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))), F.col("text").isNull()
+    pages = pages.select("host", keys.alias("keys"), F.struct(*page).alias("page"))
+    per_host = pages.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("total"))
+    once = pages.groupBy("host", "page").agg(F.first("keys").alias("keys"))
+    counts = once.select("host", F.explode("keys").alias("line")).groupBy("host", "line").agg(F.count("*").alias("n")).filter("n > 1")
+    found = counts.join(per_host, counts["host"].eqNullSafe(per_host["host"])).filter(F.col("n") - 1 > F.lit(ratio) * (F.col("total") - 1))
     return found.groupBy(counts["host"]).agg(F.collect_list("line").alias("lines"))
 
 
-def drop_boilerplate(df: DataFrame, host: str = "source", text: str = "text", ratio: float = RATIO,
-                     least_pages: int = LEAST_PAGES, copies_once: bool = False) -> DataFrame:
+def drop_boilerplate(df: DataFrame, host: str = "source", text: str = "text", ratio: float = RATIO) -> DataFrame:
     """Replace ``text`` by the text without its host's boilerplate lines; add ``dropped_lines``."""
-    sets = stored(boilerplate(df.select(col(host).alias("host"), col(text).alias("text")), ratio, least_pages, copies_once), "boilerplate")
+    sets = stored(boilerplate(df.select(col(host).alias("host"), col(text).alias("text")), ratio), "boilerplate")
     sets = sets.select(F.col("host").alias("of_host"), "lines")
     rows = df.select(F.struct("*").alias("row"), col(host).alias("host"), col(text).alias("text"))
     joined = rows.join(sets, F.col("host").eqNullSafe(F.col("of_host")), "left")
@@ -70,15 +67,16 @@ def op2_line_dedup(spark, sf_dir: str) -> DataFrame:
 
 
 ORACLE = f"""
-    WITH page AS (SELECT row_number() OVER () AS page, doc_id, source, text FROM documents),
-    line AS (SELECT DISTINCT page, source, trim(l, E' \\t\\r') AS line
-             FROM (SELECT page, source, unnest(string_split(text, E'\\n')) AS l FROM page) WHERE trim(l, E' \\t\\r') <> ''),
+    WITH page AS (SELECT DISTINCT source, text FROM documents),
+    line AS (SELECT source, text, trim(l, E' \\t\\r') AS line
+             FROM (SELECT source, text, unnest(string_split(text, E'\\n')) AS l FROM page) WHERE trim(l, E' \\t\\r') <> ''),
+    had AS (SELECT source, line, count(DISTINCT text) AS n FROM line GROUP BY source, line),
     total AS (SELECT source, count(*) AS total FROM page GROUP BY source),
-    bad AS (SELECT line.source, line FROM line JOIN total ON line.source IS NOT DISTINCT FROM total.source
-            GROUP BY line.source, line, total HAVING count(*) >= {LEAST_PAGES} AND count(*) > {RATIO} * total),
+    bad AS (SELECT had.source, line FROM had JOIN total ON had.source IS NOT DISTINCT FROM total.source
+            WHERE n - 1 > {RATIO}::DOUBLE * (total - 1)),
     sets AS (SELECT source, list(line) AS lines FROM bad GROUP BY source),
     cut AS (SELECT doc_id, text, string_split(text, E'\\n') AS all_lines, coalesce(lines, []) AS lines
-            FROM page LEFT JOIN sets ON page.source IS NOT DISTINCT FROM sets.source),
+            FROM documents LEFT JOIN sets ON documents.source IS NOT DISTINCT FROM sets.source),
     kept AS (SELECT *, list_filter(all_lines, lambda x: NOT list_contains(lines, trim(x, E' \\t\\r'))) AS k FROM cut)
     SELECT doc_id, CASE WHEN text IS NULL THEN NULL ELSE coalesce(array_to_string(k, E'\\n'), '') END AS text,
            coalesce(len(all_lines) - len(k), 0)::BIGINT AS dropped_lines FROM kept"""
@@ -86,7 +84,7 @@ ORACLE = f"""
 
 def stage_line_dedup(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents without their source's boilerplate lines; ``n_chars`` follows the text."""
-    out = drop_boilerplate(docs.drop("dropped_lines"), copies_once=True).drop("dropped_lines")
+    out = drop_boilerplate(docs.drop("dropped_lines")).drop("dropped_lines")
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.coalesce(F.char_length("text"), F.lit(0)).cast("long"))
     return out.select(*others(docs, []))

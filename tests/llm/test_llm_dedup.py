@@ -89,14 +89,29 @@ def test_components_of_a_long_chain(spark):
     assert got == {**dict.fromkeys(keys, keys[0]), b"\xf0": b"\xf0", b"\xf1": b"\xf0"}
 
 
-def test_lines_match_sql(spark):
+@pytest.mark.parametrize("sf", [SF001, SF01])
+def test_lines_match_sql(spark, sf):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF01}/documents.parquet')")
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{sf}/documents.parquet')")
     expected = sorted(con.execute(line_dedup.ORACLE).fetchall())
-    assert sorted(map(tuple, line_dedup.op2_line_dedup(spark, SF01).collect())) == expected
+    assert sorted(map(tuple, line_dedup.op2_line_dedup(spark, sf).collect())) == expected
     assert any(n for _, _, n in expected)
 
 
+@pytest.mark.parametrize("pages", [2, 21, 400])
+def test_planted_lines_go_by_one_rule(spark, pages):
+    """Hosts of every size: a line on more than a twentieth of a page's fellows goes, one on fewer or on copies alone stays."""
+    often = pages // 20 + 2  # the line is on this many pages, so on more than 1/20 of the others
+    seldom = (pages - 1) // 20 + 1 if pages > 20 else 1  # on exactly 1/20 of the others or less
+    texts = [f"page {k}\n" + ("often\n" if k < often else "") + ("seldom\n" if k < seldom else "") + f"end {k}" for k in range(pages)]
+    rows = [(k, t, "h") for k, t in enumerate(texts)] + [(1000 + k, texts[0], "h") for k in range(3 * pages)]
+    long = "often\n" + "\n".join(f"line {k}" for k in range(20_000))
+    rows.append((9999, long, "other"))
+    got = {r["doc_id"]: r["text"] for r in line_dedup.drop_boilerplate(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert all(got[k] == t.replace("often\n", "") for k, t in enumerate(texts))
+    assert {got[1000 + k] for k in range(3 * pages)} == {got[0]} and got[9999] == long
+
+
 def test_lines_of_a_site(spark, empty):
     rows = [(k, f"menu\nown {k}\n\n menu ", "h") for k in range(6)] + [(10, "menu\nown", "other"), (11, None, "h"), (12, "menu", "h"), (12, "menu", "h")]
     rows += [(20 + k, "menu", None) for k in range(6)]
@@ -105,7 +120,8 @@ def test_lines_of_a_site(spark, empty):
     for r in line_dedup.drop_boilerplate(df).collect():
         got.setdefault(r["doc_id"], []).append((r["text"], r["dropped_lines"]))
     assert got[0] == [("own 0\n", 2)] and got[10] == [("menu\nown", 0)] and got[11] == [(None, 0)]
-    assert got[12] == [("", 1), ("", 1)] and got[20] == [("", 1)]
+    assert got[12] == [("", 1), ("", 1)]
+    assert got[20] == got[25] == [("menu", 0)]  # copies are one page, and a host of one page has no boilerplate
     assert line_dedup.drop_boilerplate(empty).count() == 0
     assert line_dedup.stage_line_dedup(spark, empty, SF001).columns == empty.columns
 
@@ -122,7 +138,7 @@ def test_copies_on_a_host_do_not_drop_their_own_lines(spark):
     assert {got[1000 + k] for k in range(100)} == {text} and not any("menu" in got[k] for k in range(200))
     left = ngram_join.stage_ngram_join(spark, cut, SF001)
     assert [r["text"] for r in left.filter("doc_id >= 1000").collect()] == [text]
-    chance = mixing.mix(mixing.with_size(left), least_share=mixing.LEAST_SHARE).filter("doc_id >= 1000").collect()
+    chance = mixing.mix(mixing.with_size(left), share=mixing.SHARE).filter("doc_id >= 1000").collect()
     assert [r["n_tokens"] for r in chance] == [9] and chance[0]["probability"] > 0.1
 
 
