@@ -1,23 +1,27 @@
 """Op 7: language identification by prediction with partial matching (PPM).
 
-Each language has a frozen model: counts of bytes after contexts of up to four bytes. A text's code length
-under a language is exact: for each byte, the longest context of the shared context tree that the language has
-seen gives the byte's share, or else pays the escape share (escape method C: different successors over
+Each language has a frozen model of its own: a tree of contexts of up to four bytes with the counts of the bytes after
+them. A text's code length under a language is exact: for each byte, the longest context of the language's tree
+gives the byte's share, or else pays the escape share (escape method C: different successors over
 successors plus different successors) and asks the context without its first byte, down to the uniform
 share of 256 bytes. Code lengths are kept in whole 1/65536 bits, so sums do not depend on their order. The
 language with the shortest code wins (ties: the smaller name); the score is its share of probability.
 
-Scoring is an automaton over the tree: the context of each length follows from the context one shorter at
+Scoring is an automaton over each tree: the context of each length follows from the context one shorter at
 the byte before, so a whole block advances by table lookups. Training counts five-byte windows in tasks, of
-a bounded sample per language (``docs_per_language``, by a fixed hash of the id); contexts seen less often
-than needed for ``max_contexts`` are pruned. Everything else covers all documents.
+a bounded sample per language (``docs_per_language``, by a fixed hash of the id), and builds each language's tree in a task
+of its own. A tree keeps the contexts seen ``LEAST_SEEN`` times or more, of these the ``max_contexts`` most frequent: the size of
+a language's model, the same for each language and untouched by the others, so that the models together grow with the
+number of languages alone (2 to 3 MB for each). Everything else covers all documents.
 
 Null texts and texts without a letter are ``und`` with score 0, as are all texts if there is nothing to learn
-from. Rows are independent: repeated rows, empty tables and other columns pass through unchanged.
+from. Very long texts are scored whole, in one block, at some dozens of bytes of memory a byte of text. Rows are independent:
+repeated rows, empty tables and other columns pass through unchanged.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,7 +34,7 @@ from feedloom.llm.common import add_fields, blocks, col, free_name, hash_share,
 from feedloom.llm.quality import fold
 
 ORDER = 4
-DOCS_PER_LANGUAGE, MAX_CONTEXTS, LEAST_SEEN = 300, 20_000, 3
+DOCS_PER_LANGUAGE, MAX_CONTEXTS, LEAST_SEEN = 300, 5_000, 3  # of each language
 UNIT = 1 << 16
 FIELDS = ["lang_pred", "score"]
 UNKNOWN = "und"
@@ -68,20 +72,14 @@ def window_counts(texts: DataFrame) -> DataFrame:
 
 @dataclass
 class Tree:
-    """The context tree as tables. Symbol 0 is the byte 0, the last one every byte that training has not seen."""
-    langs: list[str]
+    """One language's contexts as tables. Symbol 0 is the byte 0, the last one every byte that training has not seen."""
     symbol: np.ndarray        # of each byte
     follow: list[np.ndarray]  # follow[k][context of k bytes * symbols + symbol]: context of k + 1 bytes; 0: pruned
     first: list[int]          # state number of the first context of each length
-    price: np.ndarray         # [state * symbols + symbol, language], in 1/UNIT bits
+    price: np.ndarray         # [state * symbols + symbol], in 1/UNIT bits
 
-    def lengths(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Code lengths [texts, languages] in 1/UNIT bits."""
-        out = np.zeros((len(offsets) - 1, len(self.langs)), np.int64)
-        filled = np.flatnonzero(np.diff(offsets) > 0)
-        if not len(filled):
-            return out
-        body, at = spaced(data, offsets)
+    def costs(self, body: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The price of the byte at each place ``at`` of the spaced bytes."""
         sym, width = self.symbol[body], int(self.symbol.max()) + 1
         context = np.zeros(len(sym), np.int32)  # of length k, before each position
         state = np.zeros(len(sym), np.int32)
@@ -89,10 +87,24 @@ class Tree:
             longer = np.zeros_like(context)
             longer[1:] = follow[context[:-1] * width + sym[:-1]]
             context = longer
-            there = context > 0
-            state[there] = context[there] + self.first[k + 1]
-        cost = self.price[state[at] * width + sym[at]]
-        out[filled] = np.add.reduceat(cost, offsets[filled], axis=0, dtype=np.int64)
+            np.copyto(state, context + np.int32(self.first[k + 1]), where=context > 0)
+        return self.price[state[at] * width + sym[at]]
+
+
+@dataclass
+class Languages:
+    """The trees of all languages, by name."""
+    langs: list[str]
+    trees: list[Tree]
+
+    def lengths(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Code lengths [texts, languages] in 1/UNIT bits."""
+        out = np.zeros((len(offsets) - 1, len(self.langs)), np.int64)
+        filled = np.flatnonzero(np.diff(offsets) > 0)
+        if len(filled):
+            body, at = spaced(data, offsets)
+            for k, tree in enumerate(self.trees):
+                out[filled, k] = np.add.reduceat(tree.costs(body, at), offsets[filled], dtype=np.int64)
         return out
 
     def predict(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -103,12 +115,12 @@ class Tree:
         return best, 1 / odds.sum(axis=1)
 
 
-def build(langs: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndarray, max_contexts: int = MAX_CONTEXTS) -> Tree:
-    """The tree from window counts (``lang`` as index)."""
+def build(gram: np.ndarray, n: np.ndarray, max_contexts: int = MAX_CONTEXTS) -> Tree:
+    """A language's tree from its window counts."""
     seen = np.unique(np.concatenate([gram & 255, [0]]))
     symbol = np.full(256, len(seen), np.int32)
     symbol[seen] = np.arange(len(seen))
-    width, number = len(seen) + 1, len(langs)
+    width = len(seen) + 1
     sym = symbol[gram & 255].astype(np.int64)
     # Contexts of each length by frequency; a context's suffixes are at least as frequent, so pruning keeps a tree.
     tables = [np.unique(gram >> 8 & ((1 << 8 * k) - 1), return_inverse=True) for k in range(1, ORDER + 1)]
@@ -120,67 +132,63 @@ def build(langs: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndarray, m
     first = [0, 0]
     for k in range(1, ORDER):
         first.append(first[-1] + len(kept[k - 1]))
-    price = np.full((1, width, number), 8 * UNIT, np.int64)  # below the empty context: 256 equal shares
-    prices, follow = [], []
-    id_of = [np.zeros(1, np.int64)]
-    parents_price = None
+    prices, follow, names = [], [], [np.zeros(1, np.int64)]  # names: the kept contexts of each length, sorted
+    shorter = np.full((1, width), 8 * UNIT, np.int64)  # below the empty context: 256 equal shares
     for k in range(ORDER + 1):
         if k == 0:
-            row, rows, values = np.zeros(len(gram), np.int64), 1, np.zeros(1, np.int64)
-            base = np.broadcast_to(price, (1, width, number))
+            row, rows, base = np.zeros(len(gram), np.int64), 1, shorter
         else:
             values, inverse = tables[k - 1]
             place = np.full(len(values), -1)
             place[kept[k - 1]] = np.arange(len(kept[k - 1]))
-            row, rows = place[inverse], len(kept[k - 1])
-            values = values[kept[k - 1]]
-            suffix = np.searchsorted(id_of[k - 1], values & ((1 << 8 * (k - 1)) - 1)) if k > 1 else np.zeros(rows, np.int64)
-            base = parents_price[suffix]
-        count = np.zeros((rows, width, number), np.int64)
+            row, rows, values = place[inverse], len(kept[k - 1]), values[kept[k - 1]]
+            base = shorter[np.searchsorted(names[k - 1], values & ((1 << 8 * (k - 1)) - 1)) if k > 1 else np.zeros(rows, np.int64)]
         ok = row >= 0
-        np.add.at(count, (row[ok], sym[ok], lang[ok]), n[ok])
+        count = np.bincount(row[ok] * width + sym[ok], n[ok], rows * width).reshape(rows, width)
         total, kinds = count.sum(axis=1, keepdims=True), (count > 0).sum(axis=1, keepdims=True)
         whole = np.maximum(total + kinds, 1)
-        with np.errstate(divide="ignore"):
-            hit = np.rint(-np.log2(np.maximum(count, 1) / whole) * UNIT).astype(np.int64)
-            escape = np.where(kinds > 0, np.rint(-np.log2(np.maximum(kinds, 1) / whole) * UNIT), 0).astype(np.int64)
-        now = np.where(count > 0, hit, escape + base)
-        prices.append(now.reshape(-1, number))
-        parents_price = now
-        id_of.append(values) if k else None
+        hit = np.rint(-np.log2(np.maximum(count, 1) / whole) * UNIT).astype(np.int64)
+        escape = np.where(kinds > 0, np.rint(-np.log2(np.maximum(kinds, 1) / whole) * UNIT), 0).astype(np.int64)
+        shorter = np.where(count > 0, hit, escape + base)
+        prices.append(shorter.reshape(-1))
         if k:  # from the context one shorter (at the byte before) and that byte
-            before = np.searchsorted(id_of[k - 1], values >> 8) if k > 1 else np.zeros(rows, np.int64)
-            there = id_of[k - 1][np.minimum(before, len(id_of[k - 1]) - 1)] == values >> 8 if k > 1 else np.ones(rows, bool)
-            table_ = np.zeros(((len(id_of[k - 1]) + 1 if k > 1 else 1) * width), np.int32)
-            slot = (before + (1 if k > 1 else 0)) * width + symbol[values & 255]
-            table_[slot[there]] = np.arange(1, rows + 1)[there]
-            follow.append(table_)
-    return Tree(langs, symbol, follow, first, np.concatenate(prices).astype(np.int32))
+            before = np.searchsorted(names[k - 1], values >> 8) if k > 1 else np.zeros(rows, np.int64)
+            there = np.ones(rows, bool)
+            if k > 1:
+                there = names[k - 1][np.minimum(before, len(names[k - 1]) - 1)] == values >> 8 if len(names[k - 1]) else ~there
+            step = np.zeros((len(names[k - 1]) + 1 if k > 1 else 1) * width, np.int32)
+            step[((before + (k > 1)) * width + symbol[values & 255])[there]] = np.arange(1, rows + 1)[there]
+            follow.append(step)
+            names.append(values)
+    return Tree(symbol, follow, first, np.concatenate(prices).astype(np.int32))
 
 
 def train(docs: DataFrame, per_language: int = DOCS_PER_LANGUAGE, max_contexts: int = MAX_CONTEXTS, key: str = "doc_id",
-          text: str = "text", lang: str = "lang") -> Tree | None:
-    """Fit on at most about ``per_language`` documents of each language; the languages are few."""
+          text: str = "text", lang: str = "lang") -> Languages | None:
+    """Fit on at most about ``per_language`` documents of each language, each language in a task of its own."""
     ship(docs)
     known = docs.select(col(key).alias("k"), col(text).alias("text"), col(lang).cast("string").alias("lang")).filter("lang IS NOT NULL AND text IS NOT NULL")
     sizes = known.groupBy("lang").agg(F.count("*").alias("n")).collect()
     if not sizes:
         return None
-    langs = sorted(r["lang"] for r in sizes)
     share = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], per_language / r["n"])])
     sample = known.filter(hash_share(F.col("k")) < share[F.col("lang")]).select("lang", "text")
-    got = window_counts(sample).toArrow()  # bounded by the sample's bytes
-    code = {x: i for i, x in enumerate(langs)}
-    lang_of = np.array([code[x] for x in got["lang"].to_pylist()], np.int64)
-    return build(langs, lang_of, got["gram"].to_numpy(), got["n"].to_numpy(), max_contexts) if len(got) else None
+
+    def grow(of_lang: pa.Table) -> pa.Table:
+        tree = build(of_lang["gram"].to_numpy(), of_lang["n"].to_numpy(), max_contexts)
+        return pa.table({"lang": of_lang["lang"][:1], "tree": pa.array([pickle.dumps(tree)], pa.binary())})
+
+    grown = window_counts(sample).groupBy("lang").applyInArrow(grow, "lang string, tree binary")  # a group: one sample's windows
+    trees = {r["lang"]: pickle.loads(r["tree"]) for r in grown.collect()}  # one bounded tree a language
+    return Languages(sorted(trees), [trees[x] for x in sorted(trees)]) if trees else None
 
 
-def identify(df: DataFrame, tree: Tree | None, text: str = "text") -> DataFrame:
+def identify(df: DataFrame, tree: Languages | None, text: str = "text") -> DataFrame:
     """Add ``lang_pred`` and ``score`` for each whole text."""
     ship(df)
     if tree is None:
         return add_fields(df, F.struct(F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score")), FIELDS)
-    model = df.sparkSession.sparkContext.broadcast(tree)  # bounded by max_contexts
+    model = df.sparkSession.sparkContext.broadcast(tree)  # languages x max_contexts x symbols
 
     @F.arrow_udf("struct<lang_pred: string, score: double>")
     def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:

@@ -244,15 +244,15 @@ def test_rules_on_edges_and_labels(spark, edges, empty):  # noqa: F811
 
 # ---- op 7
 
-def plain_bits(grams, seen, text):
-    """Code length of a text by method C, from counts per context."""
+def plain_bits(grams, text):
+    """Code length of a text by method C, from a language's counts per context."""
     body, total = b"\0" * 4 + text.encode(), 0.0
     for p in range(4, len(body)):
         for k in range(4, -1, -1):
             context = body[p - k:p]
-            if k and seen[context] < language.LEAST_SEEN or not grams.get(context):
+            after = grams.get(context, {})
+            if not after or k and sum(after.values()) < language.LEAST_SEEN:
                 continue
-            after = grams[context]
             whole = sum(after.values()) + len(after)
             if body[p] in after:
                 total -= math.log2(after[body[p]] / whole)
@@ -267,17 +267,32 @@ def test_code_lengths_are_those_of_plain_ppm(spark):
     texts = {"x": "the cat sat on the mat. the hat!", "y": "der hund und die katze, das haus. é"}
     df = spark.createDataFrame([(k, t, lang, 0) for k, (lang, t) in enumerate(texts.items())], "doc_id long, text string, lang string, gram int")
     tree = language.train(df)
-    grams, seen = {}, collections.Counter()
+    grams = {}
     for lang, t in texts.items():
         body, own = b"\0" * 4 + t.encode(), grams.setdefault(lang, collections.defaultdict(collections.Counter))
         for p in range(4, len(body)):
             for k in range(5):
                 own[body[p - k:p]][body[p]] += 1
-                seen[body[p - k:p]] += 1
     probes = ["the haus", "", "漢 zzz", "der mat sat", *texts.values()]
     bits = tree.lengths(*as_bytes(probes)) / language.UNIT
     for row, probe in zip(bits, probes):
-        assert row.tolist() == pytest.approx([plain_bits(grams[x], seen, probe) for x in tree.langs], abs=1e-3)
+        assert row.tolist() == pytest.approx([plain_bits(grams[x], probe) for x in tree.langs], abs=1e-3)
+
+
+def test_languages_do_not_touch_each_other(spark):
+    """More languages, and a cap that prunes: the code lengths of the others stay the same, in any batch."""
+    texts = {"a": "the cat sat on the mat and the hat " * 3, "b": "der hund und die katze das haus und der hof " * 2,
+             "c": "le chat est sur la table et la chaise " * 4, "d": "\u732b\u304c\u5ea7\u308b " * 5}
+    df = spark.createDataFrame([(k, t, lang) for k, (lang, t) in enumerate(texts.items())], "doc_id long, text string, lang string")
+    probes = ["the haus", "", "la katze", *texts.values()]
+    for cap in (30, 5000):
+        whole = language.train(df, max_contexts=cap)
+        part = language.train(df.filter("lang IN ('a', 'c')"), max_contexts=cap)
+        bits = whole.lengths(*as_bytes(probes))
+        assert whole.langs == [*texts] and part.langs == ["a", "c"]
+        assert (bits[:, [0, 2]] == part.lengths(*as_bytes(probes))).all()
+        assert (bits == np.concatenate([whole.lengths(*as_bytes([p])) for p in probes])).all()
+        assert all(len(t.price) <= (cap + 1) * (int(t.symbol.max()) + 1) for t in whole.trees)
 
 
 def test_languages_of_held_out_rows(spark):
