@@ -35,7 +35,7 @@ from feedloom.operators.deltas import append_delta, fold_deltas, read_merged
 from feedloom.operators.joins import numbered
 from feedloom.operators.layout import CSV_OPTIONS, backfill_day, land_partitioned, read_snapshot, write_snapshot
 from feedloom.operators.merge import compact_days, merge_insert_only, merge_into_snapshot, merge_latest
-from feedloom.plans import probes, rollup
+from feedloom.plans import feeds, probes, rollup
 from feedloom.plans.adhoc import DEFAULT_QUERY, adhoc
 from feedloom.plans.dashboard import class_mix, dashboard, leaders_tone, top_groups
 from feedloom.plans.hourly import hourly
@@ -47,7 +47,8 @@ from feedloom.plans.series import (
 from feedloom.schemas import CITIES, EVENT_FIELDS
 from feedloom.session import scratch_path
 from feedloom.sources.csv import read_csv_by_header, read_event_tsv, read_text_csv
-from feedloom.sources.payload import city_dim, rows_from_payload
+from feedloom.sources.parquet import last_days
+from feedloom.sources.payload import city_dim, read_payloads, rows_from_payload
 from feedloom.sources.zipped import unzip_events
 from feedloom.streaming import stream as st
 
@@ -240,6 +241,59 @@ def _payloads(ev, entries=len(CITIES)):
     return sent.select("user_id", "start", F.to_json("a").alias("value")).unionByName(no_json)
 
 
+def _payload_files(ev, path):
+    """One payload file per hour of events in a folder of its stamp: city k's entry is made of the hour's events whose id
+    ends in k (no such event: a null entry). The newest day is pulled again half an hour later, one degree warmer."""
+    hour = F.date_trunc("hour", "ts")
+    city = ev.groupBy(hour.alias("h"), F.pmod("event_id", F.lit(len(CITIES))).alias("k")).agg(
+        F.max("value").alias("t"), F.count("*").cast("double").alias("n"), F.max(F.pmod("user_id", F.lit(90))).alias("code"))
+    newest = city.agg(F.max(F.to_date("h"))).scalar()
+    again = city.filter(F.to_date("h") == newest).withColumn("t", F.col("t") + 1)
+    pulls = city.withColumn("late", F.lit(0)).unionByName(again.withColumn("late", F.lit(30)))
+    current = F.struct(F.date_format("h", "yyyy-MM-dd'T'HH:mm").alias("time"), F.col("t").alias("temperature_2m"), F.col("n").alias("precipitation"),
+                       F.col("code").alias("weather_code"))
+    by_city = F.map_from_entries(F.collect_list(F.struct("k", F.struct(current.alias("current")))))
+    sent = pulls.groupBy("h", "late").agg(by_city.alias("m")).select(
+        F.date_format(F.col("h") + F.make_dt_interval(mins=F.col("late")), "yyyyMMddHHmmss").alias("stamp"),
+        F.to_json(F.transform(F.sequence(F.lit(0), F.lit(len(CITIES) - 1)), lambda i: F.try_element_at("m", i.cast("long")))).alias("value"))
+    sent.write.partitionBy("stamp").text(path)
+
+
+def q_weather_feed_daily(spark, sf):
+    """The weather feed end to end: payload files, landed as CSV pulls, typed strictly, compacted with the later pull
+    winning, then the daily summary of each city."""
+    sent, landing, table = (scratch_path(spark, n) for n in ("payloads", "weather-landing", "weather-table"))
+    _payload_files(_events(spark, sf), sent)
+    pulls = read_payloads(spark, f"{sent}/stamp=*", position=False)
+    feeds.land_payloads(pulls.withColumn("stamp", F.regexp_extract("_metadata.file_path", r"stamp=(\d{14})/", 1)), landing)
+    feeds.compact_weather(spark, landing, table)
+    return daily_summary(spark.read.parquet(table))
+
+
+def q_last_days(spark, sf):
+    """Rows per day of the last seven day files, one of them missing."""
+    ev, table = _events(spark, sf), scratch_path(spark, "day-table")
+    newest = ev.select(F.max(F.to_date("ts"))).scalar()
+    days = ev.withColumn("ingest_day", F.to_date("ts")).filter(F.col("ingest_day") != F.date_sub(newest, 2))
+    compact_days(spark, table, days, "event_id", order=[F.desc("ts")], run_log=False)
+    as_of = ev.agg(F.max(F.to_date("ts"))).first()[0]
+    return last_days(spark, table, as_of, 7).groupBy("ingest_day").agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total"))
+
+
+def q_run_report(spark, sf):
+    """The run log of a day table after its history and a re-sent batch: rows before, in and after, rejects, days."""
+    old, new = _history_and_batch(_events(spark, sf))
+    table = scratch_path(spark, "day-table")
+    for k, part in enumerate((old, new)):
+        compact_days(spark, table, part.withColumn("ingest_day", F.to_date("ts")), "event_id", order=[F.desc("ts")], batch_id=f"run{k}")
+    return spark.read.parquet(f"{table}/_runs").select("batch", "rows_before", "rows_in", "rows_after", "rejects", "partitions")
+
+
+def q_adhoc_capped(spark, sf):
+    """A read-only query with the row cap of the SQL endpoint."""
+    return adhoc(spark, {"events": _events(spark, sf)}, "SELECT event_id, user_id, value FROM events ORDER BY value DESC, event_id", limit=500)
+
+
 def q_day_compaction(spark, sf):
     """Build a day table from the history, then compact the re-sent batch into its two days."""
     ev = _events(spark, sf)
@@ -744,6 +798,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "backfill_replace": q_backfill_replace,
         "csv_by_header": q_csv_by_header,
         "payload_rows": q_payload_rows,
+        "weather_feed_daily": q_weather_feed_daily,
+        "last_days": q_last_days,
+        "run_report": q_run_report,
+        "adhoc_capped": q_adhoc_capped,
         "delta_read": q_delta_read,
         "delta_folded": q_delta_folded,
         "snapshot_incremental": q_snapshot_incremental,
@@ -908,6 +966,26 @@ def oracle_sql() -> dict[str, str]:
             SELECT *, CAST(ts AS DATE) AS ingest_day FROM events
             WHERE event_type <> 'purchase' OR CAST(ts AS DATE) < (SELECT max(CAST(ts AS DATE)) FROM events)""",
         "csv_by_header": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
+        "weather_feed_daily": f"""
+            WITH pull AS (SELECT date_trunc('hour', ts) AS h, event_id % {len(CITIES)} AS k, max(value) AS t, CAST(count(*) AS DECIMAL(38, 6)) AS n
+                          FROM events GROUP BY 1, 2),
+            got AS (SELECT {[c[0] for c in CITIES]}[k + 1] AS city, CAST(h AS DATE) AS day, n,
+                           CASE WHEN CAST(h AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events) THEN t + 1 ELSE t END AS t FROM pull)
+            SELECT city, day, round(avg(t), 1) AS mean_c, round(min(t), 1) AS min_c, round(max(t), 1) AS max_c,
+                   CAST(round(sum(n), 1) AS DOUBLE) AS rain_mm, count(*) AS readings FROM got GROUP BY 1, 2""",
+        "last_days": """
+            WITH newest AS (SELECT max(CAST(ts AS DATE)) AS d FROM events)
+            SELECT CAST(ts AS DATE) AS ingest_day, count(*) AS n, round(sum(value), 2) AS total FROM events, newest
+            WHERE CAST(ts AS DATE) > d - 7 AND CAST(ts AS DATE) <> d - 2 GROUP BY 1""",
+        "run_report": f"""
+            WITH {_SPLIT},
+            days AS (SELECT DISTINCT CAST(ts AS DATE) AS d FROM new),
+            met AS (SELECT event_id, CAST(ts AS DATE) AS d FROM old WHERE CAST(ts AS DATE) IN (SELECT d FROM days))
+            SELECT 'run0' AS batch, 0::BIGINT AS rows_before, count(*) AS rows_in, count(*) AS rows_after, 0::BIGINT AS rejects,
+                   count(DISTINCT CAST(ts AS DATE)) AS partitions FROM old
+            UNION ALL SELECT 'run1', (SELECT count(*) FROM met), (SELECT count(*) FROM new),
+                   (SELECT count(*) FROM (SELECT * FROM met UNION SELECT event_id, CAST(ts AS DATE) FROM new)), 0, (SELECT count(*) FROM days)""",
+        "adhoc_capped": "SELECT event_id, user_id, value FROM events ORDER BY value DESC, event_id LIMIT 500",
         "payload_rows": f"""
             WITH city(pos, name) AS (VALUES {", ".join(f"({k}, '{c[0]}')" for k, c in enumerate(CITIES))}),
             sent AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS pos, value FROM events),

@@ -56,7 +56,12 @@ def land_weather_payloads(spark: SparkSession, payload_paths, landing: str) -> D
     not be landed: unreadable payloads, entries without a city, cities without an entry.
     """
     raw = read_payloads(spark, payload_paths, position=False).withColumn("stamp", stamp_of("_metadata.file_path"))
-    rows, rejects = rows_from_payload(raw, city_dim(spark), keep=("stamp",))
+    return land_payloads(raw, landing)
+
+
+def land_payloads(payloads: DataFrame, landing: str) -> DataFrame:
+    """The same for payloads as rows (``value`` = the JSON text, ``stamp`` = the pull's)."""
+    rows, rejects = rows_from_payload(payloads, city_dim(payloads.sparkSession), keep=("stamp",))
     land_partitioned(rows.select(*WEATHER_FIELDS, "stamp").withColumn("ingest_day", day_of_stamp(F.col("stamp"))),
                      landing)
     return rejects
