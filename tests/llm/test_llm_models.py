@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import unicodedata
 
 import duckdb
 import numpy as np
@@ -180,12 +181,28 @@ def test_base_counts(texts):
 
 def test_lines_that_fail_are_removed():
     good = "This line has enough words in it, and it ends as it should."
-    bad = ["Home", "a | b | c | d | e", "BUY!! NOW!! OR!! ELSE!!", "wow### such&&& signs***", "All rights reserved.", "spam " * 20 + "."]
+    bad = ["Home", "a | b | c | d | e", "BUY!! NOW!! OR!! ELSE!!", "wow### such&&& signs***", "All rights reserved.", "spam " * 20 + ".",
+           "Home About Products Contact Login", "Startseite Produkte Kontakt Impressum Anmelden", "Alle Rechte vorbehalten.", "菜单",
+           "© 2021 Somebody.", "See http://a.org/b and www.c.org.", "This work is licensed under the GNU General Public License, Version 3."]
     text = "\n".join([good] + [x for b in bad for x in (b, good)])
     data, offsets = as_bytes([text, "", good])
     counts, starts, fails = rules.judge(data, offsets)
     assert counts["n_bad_lines"].tolist() == [len(bad), 0, 0]
     assert rules.clean(data, offsets, starts, fails) == ["\n".join([good] * (len(bad) + 1)), "", good]
+    stay = ["JavaScript is a programming language that many people like to read about.", "他说，今天的天气很好。", "字" * 45,
+            "The court held that the words all rights reserved in the old contract had no effect on the later sale.",
+            "The album was released under another name.", "Er kam spät an diesem Abend nach Hause und"]
+    assert rules.judge(*as_bytes(stay))[0]["n_bad_lines"].tolist() == [0] * len(stay)
+
+
+def test_rules_on_long_texts():
+    """A text of many megabytes, of lines or of one line, has the verdict of the plain rules."""
+    rng = random.Random(3)
+    lines = [" ".join(f"w{rng.randint(0, 9 ** 6)}é" for _ in range(12)) + "." for _ in range(30_000)]
+    for text in ("\n".join(lines + ["Home", "All rights reserved."] + lines[:5]), " ".join(lines)):
+        got, _, _ = rules.judge(*as_bytes([text]))
+        assert tuple(got[f][0] for f in BASE_FIELDS) == base_counts(text)
+        assert (got["n_bad_lines"][0], got["kept"][0]) == plain_verdict(text)
 
 
 def plain_verdict(text):
@@ -196,15 +213,22 @@ def plain_verdict(text):
         w = ws(line)
         if not w:
             continue
-        closed = w[-1].encode()[-1:] in [bytes([c]) for c in b".!?\"')]:;"] or ord(w[-1][-1]) > 127
+        tail = w[-1][-1]
+        closed = tail in ".!?\"')]:;" if tail < "\x80" else unicodedata.category(tail) in ("Po", "Pe", "Pf", "Pi")
         share = lambda n: n / len(w)
-        bad = not closed and len(w) < rules.SHORT_LINE
+        bad = not closed and max(len(w), sum(map(len, w)) // 10) < rules.SHORT_LINE
         bad |= share(sum(any(c in "#*$%&|<>" for c in x) for x in w)) > rules.SYMBOL_WORDS
         bad |= share(sum(x.endswith("!!") for x in w)) > rules.BANG_WORDS
         bad |= share(sum(x in "|>/-*<" for x in w if len(x) == 1)) > rules.SEPARATORS
+        bad |= share(sum("://" in x or x[:4].lower() == "www." and len(x) > 4 or "@" in x[1:-1] for x in w)) > rules.LINKS
+        capitals = sum(unicodedata.category(x[0]) in ("Lu", "Lt") for x in w)
+        bad |= not closed and rules.MENU_WORDS[0] <= len(w) <= rules.MENU_WORDS[1] and share(capitals) >= rules.CAPITALS
         bad |= len(w) >= rules.LONG_LINE and share(max(collections.Counter(w).values())) > rules.ONE_WORD
-        low = line.encode().lower()
-        bad |= len(w) <= rules.PHRASE_WORDS and any(p in low for p in rules.PHRASES)
+        low, spans = line.encode().lower(), [m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", line.encode())]
+        hits = [m.span(1) for p in rules.PHRASES for m in re.finditer(rb"(?=(" + re.escape(p) + rb"))", low)]
+        inner = lambda x: x[:1].isalnum() or x[:1] == b"_" or x[:1] >= b"\x80"
+        hits = [(p, q) for p, q in hits if not inner(low[max(p - 1, 0):p]) and not inner(low[q:q + 1])]
+        bad |= share(sum(any(p < e and q > a for p, q in hits) for a, e in spans)) >= rules.BOILERPLATE
         fails.append(bool(bad))
         chars += sum(map(len, w))
         lost += bad * sum(map(len, w))
@@ -218,6 +242,7 @@ def test_rules_do_not_see_the_next_text(spark):
     """Verdicts in one batch are those of each text alone; phrases, lines and words never cross a border."""
     rng = random.Random(7)
     bits = [p.decode()[:k] for p in rules.PHRASES for k in (3, len(p) // 2, len(p))] + [p.decode()[len(p) // 2:] for p in rules.PHRASES]
+    bits += ["Home", "About", "Éire", "www.a.b", "http://x.y/z", "me@here.org", "@", "log in", "。", "»", "字" * 45, "😀"]
     bits += ["Log in", " in the morning", "a b", "|", "#", "wow!!", "é", "说。", "end.", "\n", "\n", " ", "word " * 9, " ".join(f"w{k}" for k in range(30)) + "."]
     texts = ["".join(rng.choice(bits) + rng.choice(["", " ", ". "]) for _ in range(rng.randint(0, 25))) for _ in range(400)]
     good = " ".join(f"word{k} is here" for k in range(40)) + "."
