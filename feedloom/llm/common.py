@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.session import scratch_path, ship_package
+from feedloom.session import delete_path, scratch_path, ship_package
 
 BLOCK_BYTES = 1 << 20  # of text that numpy works on at a time
+GAP = np.zeros(256, bool)  # bytes between words
+GAP[[9, 10, 11, 12, 13, 32]] = True
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,10 +53,31 @@ def packed(df: DataFrame, *names: str) -> DataFrame:
     return df.select(F.struct("*").alias("row"), *[col(n).alias(n) for n in names])
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared scratch folder and read again: lineage ends there, lost executors do no harm."""
+_OPEN: ContextVar[tuple[list[str], ...]] = ContextVar("open", default=())  # tables of the steps under way, outer ones first
+
+
+@contextmanager
+def tidied(spark: SparkSession) -> Iterator[None]:
+    """A step whose stored tables are removed at its end, but for those stored with ``keep``: they belong to the step
+    around it, if there is one. What leaves the step must not read the others any more."""
+    made: list[str] = []
+    token = _OPEN.set((*_OPEN.get(), made))
+    try:
+        yield
+    finally:
+        _OPEN.reset(token)
+        for path in made:
+            delete_path(spark, path)
+
+
+def stored(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
+    """``df`` written to the shared scratch folder and read again: lineage ends there, lost executors do no harm.
+    The table goes with the step that it is stored in (see :func:`tidied`), with ``keep`` with the step around that."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    steps = _OPEN.get()[:-1] if keep else _OPEN.get()
+    if steps:
+        steps[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

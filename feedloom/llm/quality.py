@@ -9,7 +9,8 @@ fixed hash of the id); everything else covers all documents.
 Null and empty texts have all statistics 0 and get a score like any other. Without labelled rows, or with one
 class only, the score is the smoothed share of label 1. Label rows without id or quality are left out;
 repeated label rows count once, and a document with both labels once with each. Rows are scored
-independently: repeated rows, ties, empty tables and other columns pass through.
+independently: repeated rows, ties, empty tables and other columns pass through. Very long texts are read whole, a megabyte
+at a time (cut between words); a few numbers of each word are what is held.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import add_fields, blocks, col, hash_share, packed, ship, table, utf8, word_hashes, word_spans
+from feedloom.llm.common import GAP, add_fields, blocks, col, hash_share, packed, pieces, ship, table, utf8, word_hashes, word_spans
 
 SAMPLE_ROWS = 20_000
 TREES, DEPTH, BINS, RATE, SMOOTH, LEAST = 60, 4, 64, 0.15, 1.0, 10
@@ -62,24 +63,30 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """The statistics of each text [texts, statistics]."""
     n = len(offsets) - 1
     size = np.diff(offsets)
-    safe, row_of = np.maximum(size, 1), np.repeat(np.arange(n), size)
-    kinds = np.bincount(row_of * len(KINDS) + _KIND[data], minlength=n * len(KINDS)).reshape(n, -1)
-    starts, ends, rows = word_spans(data, offsets)
-    words, length = np.bincount(rows, minlength=n), ends - starts
+    safe = np.maximum(size, 1)
+    kinds, bangs, feeds, parts = np.zeros((n, len(KINDS)), np.int64), np.zeros(n, np.int64), 0, []
+    for part, offs, which in pieces(data, offsets, GAP):
+        row_of = np.repeat(np.arange(len(which)), np.diff(offs))
+        kinds[which] += np.bincount(row_of * len(KINDS) + _KIND[part], minlength=kinds[which].size).reshape(-1, len(KINDS))
+        bangs[which] += np.bincount(row_of[part == 33], minlength=len(which))
+        starts, ends, owner = word_spans(part, offs)
+        before = feeds + np.cumsum(part == 10)
+        parts.append((which[owner], ends - starts, word_hashes(part, starts, ends), before[starts]))
+        feeds = int(before[-1]) if len(before) else feeds
+    rows, length, hashes, line_of = (np.concatenate([np.zeros(0, kind), *(p[k] for p in parts)])
+                                     for k, kind in enumerate((np.int64, np.int64, np.uint64, np.int64)))
+    words = np.bincount(rows, minlength=n)
     some = np.maximum(words, 1)
     longest = np.zeros(n)
     np.maximum.at(longest, rows, length)
-    hashes = word_hashes(data, starts, ends)
     distinct, _, top = row_shares(hashes, rows, n)
     triple = hashes[:-2] * np.uint64(3) + hashes[1:-1] * np.uint64(5) + hashes[2:] * np.uint64(7)
     same = rows[:-2] == rows[2:]
     _, triples, _ = row_shares(triple[same], rows[:-2][same], n)
-    line_of = np.cumsum(data == 10)[starts] if len(starts) else np.zeros(0, np.int64)
-    head = np.flatnonzero(np.concatenate([[True], (line_of[1:] != line_of[:-1]) | (rows[1:] != rows[:-1])])) if len(starts) else np.zeros(0, np.int64)
+    head = np.flatnonzero(np.concatenate([[True], (line_of[1:] != line_of[:-1]) | (rows[1:] != rows[:-1])])) if len(rows) else np.zeros(0, np.int64)
     lines = np.add.reduceat(hashes * np.uint64(0x9E3779B1), head) if len(head) else np.zeros(0, np.uint64)
     n_lines = np.bincount(rows[head], minlength=n)
     _, line_repeats, _ = row_shares(lines, rows[head], n)
-    bangs = np.bincount(row_of[data == 33], minlength=n)
     return np.column_stack([
         kinds / safe[:, None], np.log1p(size), np.log1p(words), np.bincount(rows, length, minlength=n) / some,
         np.log1p(longest), np.log1p(words / np.maximum(n_lines, 1)), distinct / some, top / some, triples / some,

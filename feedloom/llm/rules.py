@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import add_fields, blocks, col, mixed, pieces, ship, table, utf8, word_hashes, word_spans
+from feedloom.llm.common import GAP, add_fields, blocks, col, mixed, pieces, ship, table, utf8, word_hashes, word_spans
 from feedloom.llm.quality import row_shares
 
 LEAST_WORDS, MOST_REPEATED = 50, 50  # words; per cent of words
@@ -58,8 +58,6 @@ _CLOSING = np.zeros(128, bool)
 _CLOSING[[*b".!?\"')]:;"]] = True
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[*b"|>/-*<"]] = True
-_GAP = np.zeros(256, bool)
-_GAP[[9, 10, 11, 12, 13, 32]] = True
 _INNER = np.zeros(256, bool)  # bytes inside names and numbers: a phrase has none right before or behind it
 _INNER[[*b"0123456789abcdefghijklmnopqrstuvwxyz_"]] = True
 _INNER[128:] = True
@@ -83,7 +81,7 @@ def of_kind(points: np.ndarray, kinds: set[str]) -> np.ndarray:
 def word_facts(data: np.ndarray, offsets: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
     """Of every word its start, end, row, code points, hash, and whether it has a symbol; and the symbols of each row."""
     parts, n_symbols, at = [], np.zeros(len(offsets) - 1, np.int64), 0
-    for part, offs, which in pieces(data, offsets, _GAP):
+    for part, offs, which in pieces(data, offsets, GAP):
         starts, ends, rows = word_spans(part, offs)
         points = np.concatenate([[0], np.cumsum((part & 0xC0) != 0x80)])
         symbols = np.concatenate([[0], np.cumsum(_SYMBOL[part])])

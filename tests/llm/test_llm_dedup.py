@@ -1,5 +1,7 @@
 """Ops 2 and 4 against plain versions."""
 
+import os
+
 import duckdb
 import numpy as np
 import pytest
@@ -8,6 +10,7 @@ from pyspark.sql import functions as F
 from brute import jaccard, shingles
 from llm_cases import SF001, SF01, edges, empty  # noqa: F401 (fixtures)
 from feedloom.llm import line_dedup, mixing, ngram_join
+from feedloom.llm.common import stored, tidied
 
 
 def test_bands_reach_the_recall():
@@ -145,3 +148,19 @@ def test_copies_on_a_host_do_not_drop_their_own_lines(spark):
 def test_line_dedup_runs_no_python(spark):
     plan = line_dedup.op2_line_dedup(spark, SF001)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_scratch_tables_go(spark, edges):  # noqa: F811
+    """A step leaves what it was told to keep, and that goes with the step around it."""
+    path = lambda df: df.inputFiles()[0].removeprefix("file:").rsplit("/", 1)[0]
+    with tidied(spark):
+        with tidied(spark):
+            inner, kept = stored(spark.range(5), "a"), stored(spark.range(7), "b", keep=True)
+            gone, there = path(inner), path(kept)
+        assert not os.path.exists(gone) and kept.count() == 7
+    assert not os.path.exists(there)
+    root = os.path.dirname(there)
+    before = set(os.listdir(root))
+    got = ngram_join.jaccard_groups(edges)
+    names = {n.rsplit("-", 1)[0] for n in set(os.listdir(root)) - before}
+    assert names == {"sketches", "verdict"} and got.count() == edges.count()

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from feedloom.llm import chat, fingerprint, language, mixing, ngram_join, quality, rules
-from feedloom.llm.common import utf8
+from feedloom.llm.common import pieces, utf8
 from llm_cases import BASE, DOC, LONG, SF001, SF01, edges, empty  # noqa: F401 (fixtures)
 
 
@@ -317,6 +317,8 @@ def test_languages_do_not_touch_each_other(spark):
         assert whole.langs == [*texts] and part.langs == ["a", "c"]
         assert (bits[:, [0, 2]] == part.lengths(*as_bytes(probes))).all()
         assert (bits == np.concatenate([whole.lengths(*as_bytes([p])) for p in probes])).all()
+        long = as_bytes(["".join(probes) * 5])  # window by window as in one go
+        assert all((whole.lengths(*long, block=b) == whole.lengths(*long)).all() for b in (5, 64, 1000))
         assert all(len(t.price) <= (cap + 1) * (int(t.symbol.max()) + 1) for t in whole.trees)
 
 
@@ -379,6 +381,16 @@ def test_quality_on_edges(spark, edges, empty):  # noqa: F811
     assert np.array_equal(quality.statistics(data, offsets), alone) and not alone[1].any()
 
 
+def test_statistics_of_long_texts(monkeypatch):
+    """Read in pieces, texts have the statistics of one reading."""
+    rng = random.Random(5)
+    texts = ["".join(rng.choice(["ab ", "é, ", "the cat\n", "wow! ", "12", "|", "\n"]) for _ in range(rng.randint(0, 3000))) for _ in range(8)]
+    whole = quality.statistics(*as_bytes(texts))
+    for size in (1, 40, 1000):
+        monkeypatch.setattr(quality, "pieces", lambda data, offsets, gap, size=size: pieces(data, offsets, gap, size))
+        assert np.array_equal(quality.statistics(*as_bytes(texts)), whole)
+
+
 # ---- op 10
 
 def mixing_equals_sql(spark, folder):
